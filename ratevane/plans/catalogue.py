@@ -1,0 +1,6 @@
+"""All queries of the rate log by name, and SQL of the same meaning for each that SQL can express."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+SQL: dict = {}
