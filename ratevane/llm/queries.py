@@ -7,14 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup as _exact
+from . import simhash as _simhash
 from .frames import documents
 
 
+def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _simhash.simhash_groups(documents(spark, sf_dir))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact.exact_dedup(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_simhash_pivots": op6_simhash_pivots,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
