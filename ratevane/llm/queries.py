@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from . import bpe as _bpe
 from . import chat as _chat
 from . import exact_dedup as _exact
+from . import langid as _langid
 from . import repetition as _repetition
 from . import simhash as _simhash
+from . import toxicity as _toxicity
 from .frames import documents
 
 
@@ -19,6 +21,10 @@ def op1_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _repetition.repetition_rules(documents(spark, sf_dir))
 
 
+def op3_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _toxicity.toxicity_of(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_typed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -40,15 +46,21 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _langid.languages_of(documents(spark, sf_dir))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact.exact_dedup(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repetition": op1_suffix_repetition,
+    "op3_noisy_channel_toxicity": op3_noisy_channel_toxicity,
     "op4_typed_parts": op4_typed_parts,
     "op6_simhash_pivots": op6_simhash_pivots,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_kneser_ney_language": op9_kneser_ney_language,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

@@ -82,13 +82,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes: differences of the prefix sums of a polynomial over random byte values."""
-    n = len(data)
+    """A 64-bit hash of each span's bytes."""
+    return value_hashes(_BYTE[data], starts, ends)
+
+
+def value_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of unsigned 64-bit values: differences of the prefix sums of a polynomial."""
+    n = len(values)
     powers = np.full(n + 1, _BASE, np.uint64)
     powers[0] = 1
     np.multiply.accumulate(powers, out=powers)
     prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * powers[:n], out=prefix[1:])
+    np.cumsum(values * powers[:n], out=prefix[1:])
     back = np.full(n + 1, _BASE_INV, np.uint64)
     back[0] = 1
     np.multiply.accumulate(back, out=back)
