@@ -11,6 +11,8 @@ from . import bpe as _bpe
 from . import chat as _chat
 from . import exact_dedup as _exact
 from . import langid as _langid
+from . import linealign as _linealign
+from . import packing as _packing
 from . import repetition as _repetition
 from . import simhash as _simhash
 from . import toxicity as _toxicity
@@ -34,6 +36,10 @@ def op4_typed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chat.read_back(_chat.format_chats(turns))
 
 
+def op5_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packing.pack(documents(spark, sf_dir))
+
+
 def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _simhash.simhash_groups(documents(spark, sf_dir))
 
@@ -46,6 +52,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_patience_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = _linealign.align_lines(documents(spark, sf_dir))
+    return done.select("doc_id", "n_lines", "n_deleted", F.length("text").cast("bigint").alias("kept_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op9_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _langid.languages_of(documents(spark, sf_dir))
 
@@ -58,8 +69,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repetition": op1_suffix_repetition,
     "op3_noisy_channel_toxicity": op3_noisy_channel_toxicity,
     "op4_typed_parts": op4_typed_parts,
+    "op5_length_buckets": op5_length_buckets,
     "op6_simhash_pivots": op6_simhash_pivots,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_patience_alignment": op8_patience_alignment,
     "op9_kneser_ney_language": op9_kneser_ney_language,
     "op10_exact_dedup": op10_exact_dedup,
 }

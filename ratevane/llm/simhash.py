@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components, union_find
+from .components import components
 from .frames import map_texts, session, slim, written
 from .textbuf import SPACE, chunks, lowered, word_spans
 
@@ -91,7 +91,7 @@ def near(fp: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.
 
 
 def search(fp: np.ndarray, free: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what is near within one large bucket: a spanning forest, not all pairs. `free`: bits that may differ."""
+    """Links that connect what is near within one large bucket: spanning forests, not all pairs. `free`: bits that may differ."""
     if len(fp) > DEEP_BUCKET:
         bits = [b for b in range(64) if free >> b & 1]
         if len(bits) > 2 * MAX_BITS:
@@ -108,9 +108,7 @@ def search(fp: np.ndarray, free: int) -> tuple[np.ndarray, np.ndarray]:
                         b.append(y)
             if not a:
                 return fp[:0], fp[:0]
-            a, b = np.concatenate(a), np.concatenate(b)
-            nodes, label = union_find(a, b)
-            return nodes[nodes != label], label[nodes != label]
+            return np.concatenate(a), np.concatenate(b)
     return forest(fp)
 
 
