@@ -56,12 +56,16 @@ def grams(x: np.ndarray, doc: np.ndarray, order: int = ORDER) -> list[np.ndarray
     return out
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """Modified Kneser-Ney's amounts taken off counts of 0, 1, 2 and 3 or more."""
-    n = [float((counts == k).sum()) for k in range(1, 5)]
+def amounts(n: np.ndarray) -> np.ndarray:
+    """Modified Kneser-Ney's amounts taken off counts of 0, 1, 2 and 3 or more, from how many counts are 1, 2, 3 and 4."""
+    n = np.asarray(n, float)
     y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
-    d = [0.0] + [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1), k - 0.05) if n[k - 1] else 0.5 for k in (1, 2, 3)]
-    return np.array(d)
+    return np.array([0.0, *(min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1), k - 0.05) if n[k - 1] else 0.5 for k in (1, 2, 3))])
+
+
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """amounts() of counts."""
+    return amounts(np.array([(counts == k).sum() for k in range(1, 5)]))
 
 
 @dataclass

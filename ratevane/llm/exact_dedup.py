@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import golomb
-from .frames import session, slim, written
+from .frames import session, slim, without, written
 from .textbuf import buffers, lowered
 
 #: Bits of a hash that a message carries below the owner's bits. With a million hashes an owner, a hash is a false suspect about once in 16 million.
@@ -131,6 +131,5 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
 
 
 def keep_unique(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `df` that exact_dedup() keeps, with all their columns."""
-    kept = exact_dedup(df, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return df.join(kept, F.col(id_col).cast("bigint").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The rows of `df` that exact_dedup() keeps, with all their columns. Rows with a null id stay, as nothing names them."""
+    return without(df, id_col, exact_dedup(df, id_col, text_col).where("doc_id is not null and not kept").select("doc_id"))

@@ -70,3 +70,23 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
 def hashed_mod(id_col: str, n: int):
     """crc32 of the id as text, modulo n: the folds."""
     return F.crc32(F.col(id_col).cast("string")) % n
+
+
+def filter_texts(df: DataFrame, text_col: str, keep: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    """The rows for whose texts `keep` gives true, with all their columns; one pass, no shuffle."""
+    session(df)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(keep(batch.column(at)))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def without(df: DataFrame, id_col: str, gone: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """`df` less the rows whose id is in `gone` (one bigint column); null ids stay. Up to `broadcast_rows` ids (8 MB) are broadcast, more are joined by a shuffle."""
+    ids = written(gone.toDF("_gone").distinct(), "gone")
+    few = ids.count() <= broadcast_rows
+    return df.join(F.broadcast(ids) if few else ids, F.col(id_col).cast("bigint") == F.col("_gone"), "left_anti")

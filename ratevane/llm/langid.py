@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .charlm import Level, Mixture, letters, train
-from .frames import map_texts, session, slim
+from .frames import filter_texts, map_texts, session, slim
 from .textbuf import chunks
 
 #: Labelled rows of a language that are learned from, chosen by a hash of their id: the bound of the model's size (about 1.5 times as a most).
@@ -143,10 +143,26 @@ def fold(df: DataFrame, id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def languages_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """identify() of all rows, learned from those rows that aren't held out and have a language and an id, with `held_out`."""
+def _learned(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> Identifier | None:
     session(df)
     known = df.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~fold(df, id_col))
-    learned = learn(known.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")))
-    found = identify(df, learned, id_col, text_col)
+    return learn(known.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")))
+
+
+def languages_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """identify() of all rows, learned from those rows that aren't held out and have a language and an id, with `held_out`."""
+    found = identify(df, _learned(df, id_col, text_col, lang_col), id_col, text_col)
     return found.select("doc_id", fold(found, "doc_id").alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
+
+
+def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of `df` that languages_of() doesn't reject, with all their columns. If nothing was learned, none is kept."""
+    shared = df.sparkSession.sparkContext.broadcast(_learned(df, id_col, text_col, lang_col))
+
+    def keep(texts: pa.Array) -> pa.Array:
+        if shared.value is None:
+            return pa.array(np.zeros(len(texts), bool))
+        made = [shared.value.entropies(data, off) for _, _, data, off in chunks(texts)]
+        return pa.array(~shared.value.decide(np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made]))[2])
+
+    return filter_texts(df, text_col, keep)

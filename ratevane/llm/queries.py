@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import bpe as _bpe
 from . import chat as _chat
 from . import exact_dedup as _exact
+from . import kneserney as _kneserney
 from . import langid as _langid
 from . import linealign as _linealign
 from . import packing as _packing
@@ -23,6 +24,10 @@ def op1_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _repetition.repetition_rules(documents(spark, sf_dir))
 
 
+def op2_kneser_ney_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kneserney.score_texts(documents(spark, sf_dir))
+
+
 def op3_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _toxicity.toxicity_of(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -67,6 +72,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repetition": op1_suffix_repetition,
+    "op2_kneser_ney_perplexity": op2_kneser_ney_perplexity,
     "op3_noisy_channel_toxicity": op3_noisy_channel_toxicity,
     "op4_typed_parts": op4_typed_parts,
     "op5_length_buckets": op5_length_buckets,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import map_texts, session, slim, written
+from .frames import map_texts, session, slim, without, written
 from .textbuf import SPACE, chunks, lowered, word_spans
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -215,6 +215,5 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `df` with the smallest id of their group (rows with a null id stay), with all their columns."""
-    kept = simhash_groups(df, id_col, text_col).where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("_kept_id"))
-    return df.join(kept, F.col(id_col).cast("bigint").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The rows of `df` with the smallest id of their group, with all their columns. Rows with a null id stay, as nothing names them."""
+    return without(df, id_col, simhash_groups(df, id_col, text_col).where("doc_id <> component_id").select("doc_id"))
