@@ -50,7 +50,7 @@ def rate(x: Column) -> Column:
 def usd(x: Column) -> Column:
     """Two places from 1 on, four from 0.01 on, else three significant digits."""
     places = F.when(x > 0, F.greatest(F.lit(2), 2 - F.floor(F.log10(x))).cast("int"))
-    small = F.rtrim(F.lit("0"), F.format_string("%.12f", F.round(x * F.pow(F.lit(10.0), places)) / F.pow(F.lit(10.0), places)))
+    small = F.regexp_replace(F.format_string("%.12f", F.round(x * F.pow(F.lit(10.0), places)) / F.pow(F.lit(10.0), places)), r"\.?0+$", "")
     return F.when(x >= 1, F.format_string("$%.2f", x)).when(x >= 0.01, F.format_string("$%.4f", x)).when(x == 0, F.lit("$0")).otherwise(F.concat(F.lit("$"), small))
 
 
