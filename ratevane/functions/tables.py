@@ -9,6 +9,8 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..workers import reachable
+
 #: Columns that a cell may span.
 MAX_SPAN = 1000
 _DASHES = re.compile(r":?-+:?")
@@ -94,5 +96,5 @@ def tables_of(df: DataFrame, id_col: str, text_col: str, reader: Callable[[str |
             take = pa.array([r[0] for r in rows], pa.int64())
             yield pa.record_batch([batch.column(0).take(take), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.list_(pa.string()))], names=[id_col, "table_no", "row_no", "cells"])
 
-    rows = df.select(id_col, text_col)
+    rows = reachable(df).select(id_col, text_col)
     return rows.mapInArrow(run, f"{id_col} {rows.schema[0].dataType.simpleString()}, table_no int, row_no int, cells array<string>")

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import clock as K
 from ..functions import text as T
-from ..operators import absence, catalog, log, ops, rates, temporal, validate, views
+from ..operators import absence, catalog, log, merge, ops, rates, temporal, validate, views
 from ..schema import AXES, OVERRIDES, PROVENANCE, RATES
+from ..sources.listing import listing_rows
 from ..sources.observations import observations, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -560,3 +562,111 @@ def content_hashes(spark, sf_dir):
 @query("SELECT page_id, sha256(trim(regexp_replace(regexp_replace(regexp_replace(html, '<(script|style|noscript)\\b.*?</(script|style|noscript)\\s*>', ' ', 'gis'), '<[^>]*>', ' ', 'gs'), '\\s+', ' ', 'g'))) AS sha FROM pages")
 def page_prose(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.sha2(T.prose(F.col("html")), 256).alias("sha"))
+
+
+@query(
+    """WITH p AS (SELECT p_partkey, CAST(p_partkey * 37 % 1440 AS INT) AS s, CAST(p_partkey * 53 % 1440 AS INT) AS e, CAST((p_partkey % 25 - 12) * 60 AS INT) AS o FROM part),
+w AS (SELECT p_partkey, s - o AS a, CASE WHEN e <= s THEN 1440 ELSE e END - o AS b FROM p), f AS (SELECT p_partkey, CAST(floor(a / 1440.0) AS INT) AS d, a, b FROM w),
+u AS (SELECT p_partkey, d, a - d * 1440 AS a, b - d * 1440 AS b FROM f)
+SELECT p_partkey, CAST(0 AS INT) AS part, a AS "start", least(b, 1440) AS "end", d AS shift FROM u UNION ALL SELECT p_partkey, 1, 0, b - 1440, d + 1 FROM u WHERE b > 1440"""
+)
+def utc_windows(spark, sf_dir):
+    k = F.col("p_partkey")
+    start, end = (k * 37 % 1440).cast("int"), (k * 53 % 1440).cast("int")
+    windows = K.utc(start, F.when(end <= start, 1440).otherwise(end), ((k % 25 - 12) * 60).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.posexplode(windows).alias("part", "w")).select("p_partkey", "part", "w.start", "w.end", "w.shift")
+
+
+@query(
+    """WITH d AS (SELECT p_partkey, unnest(['monday', 'tuesday', 'wednesday', 'thursday', 'friday', 'saturday', 'sunday']) AS name, unnest([0, 1, 2, 3, 4, 5, 6]) AS i, CAST(p_partkey % 7 AS INT) AS a, CAST(p_size % 7 AS INT) AS b FROM part)
+SELECT p_partkey, string_agg(name, ',' ORDER BY i) FILTER ((i - a + 7) % 7 <= (b - a + 7) % 7) AS days, string_agg(name, ',' ORDER BY i) FILTER ((i + 1 - a + 7) % 7 <= (b - a + 7) % 7) AS before FROM d GROUP BY 1"""
+)
+def weekday_sets(spark, sf_dir):
+    from ..schema import DAYS
+
+    name = lambda i: F.get(F.array(*[F.lit(d) for d in DAYS]), i.cast("int"))
+    days = K.day_range(name(F.col("p_partkey") % 7), name(F.col("p_size") % 7))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(days, ",").alias("days"), F.array_join(K.shifted(days, F.lit(-1)), ",").alias("before"))
+
+
+@query(
+    """SELECT 'p' || p_partkey AS model_id, CASE WHEN p_size % 5 = 0 THEN 'image' END AS modality, round(p_retailprice / 1e9 * 1e6, 6) AS input, CASE WHEN p_size % 3 > 0 THEN round(p_size / 1e8 * 1e6, 6) END AS output, CASE WHEN p_size % 2 = 0 THEN 0.01 END AS fee, p_size * 1000 AS context FROM part WHERE p_partkey % 10 <> 0"""
+)
+def listing(spark, sf_dir):
+    k, size = F.col("p_partkey"), F.col("p_size")
+    quote = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+    pricing = F.concat(F.lit('{"prompt":'), quote(F.col("p_retailprice") / 1e9), F.lit(',"completion":'), quote(F.when(size % 3 > 0, size / 1e8).otherwise(-1.0)), F.when(size % 2 == 0, F.lit(',"web_search":"0.01"')).otherwise(""), F.lit("}"))
+    entry = F.concat(F.lit('{"id":"p'), k.cast("string"), F.lit('","name":"V: N","context_length":'), (size * 1000).cast("string"), F.when(k % 10 == 0, F.lit(',"alias_target":"x"')).otherwise(""), F.when(size % 5 == 0, F.lit(',"architecture":{"output_modalities":["image"]}')).otherwise(""), F.lit(',"pricing":'), pricing, F.lit("}"))
+    bodies = table(spark, sf_dir, "part").groupBy((k % 8).alias("page")).agg(F.concat(F.lit('{"data":['), F.array_join(F.collect_list(entry), ","), F.lit("]}")).alias("body"))
+    rows = listing_rows(bodies, "api", "2024-01-01")
+    return rows.select("model_id", "modality", F.col("rates.input").alias("input"), F.col("rates.output").alias("output"), F.col("fees.web_search").alias("fee"), F.col("limits.context").alias("context"))
+
+
+@query("SELECT p_partkey, p_size % 4 <> 0 AND p_size / 10.0 > round(p_retailprice / 1000, 6) AS implausible FROM part")
+def implausible_pairs(spark, sf_dir):
+    return entries(spark, sf_dir).select("p_partkey", merge.implausible(F.col("base"), F.col("overrides")).alias("implausible"))
+
+
+@query(
+    f"""WITH {OBS}, o AS (SELECT *, {_LINE} AS line, CAST(pos % 7 AS INT) AS branch FROM obs), b AS (SELECT * FROM o WHERE pos % 2 = 0 AND observed_at < '2024-01-12'), n AS (SELECT * FROM o WHERE pos % 2 = 1 AND line NOT IN (SELECT line FROM b)),
+c AS (SELECT n.branch, count(*) AS appended, count(DISTINCT CASE WHEN k2.source IS NULL THEN n.source || '/' || n.model_id END) AS created, count(*) FILTER (n.removed) AS removed FROM n LEFT JOIN (SELECT DISTINCT source, model_id FROM b) k2 ON n.source = k2.source AND n.model_id = k2.model_id GROUP BY 1)
+SELECT branch, CASE WHEN created > 50 THEN 'created' WHEN removed > 50 THEN 'removed' WHEN appended > 500 THEN 'appended' END AS exceeds FROM c"""
+)
+def churn_bounds(spark, sf_dir):
+    return merge.within_bounds(churn_counts(spark, sf_dir)).select("branch", "exceeds")
+
+
+@query(
+    """WITH b AS (SELECT page_id % 40 AS id, min('h' || page_id) AS text FROM pages WHERE page_id % 2 = 0 GROUP BY 1), x AS (SELECT page_id % 60 AS id, 'b' || page_id AS text, page_id AS branch FROM pages WHERE page_id % 2 = 1)
+SELECT id, text FROM b UNION ALL SELECT id, arg_min(text, branch) AS text FROM x WHERE id NOT IN (SELECT id FROM b) GROUP BY id"""
+)
+def rule_union(spark, sf_dir):
+    p, i = table(spark, sf_dir, "pages"), F.col("page_id")
+    head = p.where(i % 2 == 0).groupBy((i % 40).alias("id")).agg(F.min(F.concat(F.lit("h"), i.cast("string"))).alias("text"))
+    return merge.rule_union(head, p.where(i % 2 == 1).select((i % 60).alias("id"), F.concat(F.lit("b"), i.cast("string")).alias("text"), i.alias("branch")))
+
+
+@query(
+    """WITH t AS (SELECT l_partkey AS sku, CASE l_returnflag WHEN 'A' THEN 'input' ELSE 'output' END AS axis, min(l_extendedprice) AS rate, max(strftime(l_shipdate, '%Y-%m-%d')) AS day FROM lineitem GROUP BY 1, 2)
+SELECT p_partkey AS sku, max(CASE WHEN axis = 'input' THEN rate END) AS rate_in, max(CASE WHEN axis = 'output' THEN rate END) AS rate_out, max(day) AS effective FROM part JOIN t ON p_partkey = sku GROUP BY 1"""
+)
+def product_terms(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    terms = li.groupBy(F.col("l_partkey").alias("sku"), F.when(F.col("l_returnflag") == "A", "input").otherwise("output").alias("axis")).agg(F.min("l_extendedprice").alias("rate"), F.max(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("day"))
+    products = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("sku"), F.col("p_partkey").cast("string").alias("product"))
+    got = merge.effective_terms(products, terms)
+    return got.select(F.col("product").cast("bigint").alias("sku"), F.try_element_at("rates", F.lit("input")).alias("rate_in"), F.try_element_at("rates", F.lit("output")).alias("rate_out"), "effective")
+
+
+@query(f"WITH {OBS}, c AS (SELECT DISTINCT source, model_id FROM obs WHERE pos % 5 = 0) SELECT o.pos FROM obs o WHERE NOT removed AND pos % 5 = 1 AND NOT EXISTS (SELECT 1 FROM c WHERE c.source = o.source AND c.model_id = o.model_id)")
+def uncovered_rows(spark, sf_dir):
+    o = observations(spark, sf_dir)
+    return merge.uncovered(o.where("pos % 5 = 1"), o.where("pos % 5 = 0")).select("pos")
+
+
+@query(
+    """WITH b AS (SELECT page_id % 30 AS url, max(page_id % 7) AS sha, max(page_id % 5) AS fetched FROM pages WHERE page_id % 3 = 0 GROUP BY 1), x AS (SELECT page_id AS number, page_id % 45 AS url, page_id % 7 AS sha, page_id % 5 AS fetched FROM pages WHERE page_id % 3 = 1)
+SELECT x.number, x.url FROM x LEFT JOIN b USING (url) WHERE b.sha IS NULL OR (x.sha <> b.sha AND x.fetched > b.fetched)"""
+)
+def channel_carriers(spark, sf_dir):
+    p, i = table(spark, sf_dir, "pages"), F.col("page_id")
+    base = p.where(i % 3 == 0).groupBy((i % 30).alias("url")).agg(F.max(i % 7).alias("sha"), F.max(i % 5).alias("fetched")).withColumn("source", F.lit("s"))
+    rows = p.where(i % 3 == 1).select(i.alias("number"), F.lit("s").alias("source"), (i % 45).alias("url"), (i % 7).alias("sha"), (i % 5).alias("fetched"))
+    return merge.carriers(base, rows).select("number", "url")
+
+
+def amount_scan(spark, sf_dir):
+    """Readable dollar amounts of every document; tested against cases by hand, as SQL has no such grammar."""
+    from ..functions.money import scan_amounts
+
+    return scan_amounts(table(spark, sf_dir, "documents"), "doc_id", "text", before="$")
+
+
+def page_tables(spark, sf_dir):
+    """Rows of all HTML tables of all pages; tested by hand."""
+    from ..functions.tables import tables_of
+
+    return tables_of(table(spark, sf_dir, "pages"), "page_id", "html")
+
+
+QUERIES |= {"amount_scan": amount_scan, "page_tables": page_tables}

@@ -7,7 +7,7 @@ VERSION = 4
 AXES = ("input", "output", "cache_read", "cache_write", "cache_write_1h", "image", "audio", "input_audio_cache", "internal_reasoning", "image_output", "audio_output")
 FEES = ("web_search", "search", "fetch")
 LIMITS = ("context", "output")
-MODALITIES = ("image", "audio", "video", "embedding", "rerank", "transcription", "speech")
+MODALITIES = ("image", "embeddings", "speech", "transcription", "video", "rerank", "decisions")
 DAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 REQUIRED = ("schema", "source", "model_id", "observed_at")
 
