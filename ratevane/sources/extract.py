@@ -27,6 +27,8 @@ class Extractor:
     currency: str = "USD"
     per: float = 1e6  # tokens that a printed price is for
     spellings: tuple[tuple[str, str], ...] = field(default=())  # pattern and replacement, each another spelling of an id
+    clean: tuple[tuple[str, str], ...] = field(default=())  # patterns and replacements that a cell goes through first, as of crossed-out list prices
+    id_clean: tuple[tuple[str, str], ...] = field(default=())  # the same for the id's cell
 
 
 def _cells(pages: DataFrame, x: Extractor) -> DataFrame:
@@ -39,7 +41,14 @@ def _cells(pages: DataFrame, x: Extractor) -> DataFrame:
     key = F.get(F.col("cells"), (F.array_position("head", x.id_label) - 1).cast("int"))
     named = F.create_map(*[F.lit(v) for kv in x.axes.items() for v in kv])
     flat = labelled.select("url", "table_no", "row_no", F.trim(key).alias("model_id"), F.posexplode(F.arrays_zip("head", "cells")).alias("at", "c"))
-    return flat.select("url", "table_no", "row_no", "model_id", F.try_element_at(named, F.col("c.head")).alias("axis"), F.col("c.cells").alias("cell")).where("axis is not null and model_id <> ''")
+    return flat.select("url", "table_no", "row_no", _through("model_id", x.id_clean).alias("model_id"), F.try_element_at(named, F.col("c.head")).alias("axis"), _through("c.cells", x.clean).alias("cell")).where("axis is not null and model_id <> ''")
+
+
+def _through(column: str, changes: tuple[tuple[str, str], ...]):
+    out = F.col(column)
+    for pattern, to in changes:
+        out = F.regexp_replace(out, pattern, to)
+    return F.trim(out)
 
 
 def prices(pages: DataFrame, x: Extractor) -> DataFrame:
