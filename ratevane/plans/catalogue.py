@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock as K
 from ..functions import text as T
-from ..operators import absence, catalog, log, merge, ops, rates, temporal, validate, views
+from ..operators import absence, candidates, catalog, log, merge, ops, rates, temporal, validate, views
 from ..schema import AXES, OVERRIDES, PROVENANCE, RATES
 from ..sources.listing import listing_rows
 from ..sources.observations import observations, table
@@ -655,6 +655,66 @@ def channel_carriers(spark, sf_dir):
     return merge.carriers(base, rows).select("number", "url")
 
 
+@query(f"WITH {OBS}, d AS (SELECT DISTINCT source, model_id FROM obs WHERE pos % 3 = 0) SELECT source, model_id, NOT EXISTS (SELECT 1 FROM obs h WHERE h.source = d.source AND h.model_id = d.model_id AND h.pos % 11 = 4) AS emits FROM d WHERE NOT EXISTS (SELECT 1 FROM obs s WHERE s.source = d.source AND s.model_id = d.model_id AND s.pos % 7 = 1)")
+def scrape_candidates(spark, sf_dir):
+    o = observations(spark, sf_dir)
+    return candidates.to_scrape(o.where("pos % 3 = 0"), o.where("pos % 7 = 1"), o.where("pos % 11 = 4"))
+
+
+@query(f"WITH {OBS} SELECT source || model_id AS provider, count(*) AS attempts FROM obs GROUP BY 1 HAVING count(*) FILTER (k % 4 = 1) = 0")
+def priced_none(spark, sf_dir):
+    o = observations(spark, sf_dir)
+    return candidates.priced_none(o.select(F.concat("source", "model_id").alias("provider"), (F.col("k") % 4 == 1).alias("priced")))
+
+
+@query("SELECT p_partkey AS model, CAST(p_size * 1000 AS BIGINT) AS bound, CASE WHEN p_size % 3 < 2 THEN p_retailprice END AS base, CASE WHEN p_size % 3 > 0 THEN p_retailprice * 2 END AS over FROM part")
+def tier_pairs(spark, sf_dir):
+    p, size = table(spark, sf_dir, "part"), F.col("p_size")
+    row = lambda kind, rate: p.select(F.col("p_partkey").alias("model"), (size * 1000).cast("bigint").alias("bound"), F.lit(kind).alias("kind"), rate.alias("rate"))
+    return candidates.tiers(row("up to", F.col("p_retailprice")).where("bound / 1000 % 3 < 2").unionByName(row("over", F.col("p_retailprice") * 2).where("bound / 1000 % 3 > 0")))
+
+
+@query("WITH c AS (SELECT 's' || page_id % 3 AS source, 'u' || page_id % 40 AS url, page_id AS number, CASE WHEN page_id % 4 > 0 THEN CAST(page_id % 4 AS VARCHAR) END AS fetched, CASE page_id % 5 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' ELSE '' END AS verdict FROM pages), n AS (SELECT source, url, arg_max(verdict, (coalesce(fetched, ''), number)) AS v FROM c GROUP BY 1, 2) SELECT source, url FROM n WHERE v <> 'yes'")
+def held_channels(spark, sf_dir):
+    p, i = table(spark, sf_dir, "pages"), F.col("page_id")
+    rows = p.select(F.concat(F.lit("s"), (i % 3).cast("string")).alias("source"), F.concat(F.lit("u"), (i % 40).cast("string")).alias("url"), i.alias("number"), F.when(i % 4 > 0, (i % 4).cast("string")).alias("fetched"), F.when(i % 5 == 0, "yes").when(i % 5 == 1, "no").alias("verdict"))
+    return candidates.held_channels(rows)
+
+
+@query("SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN round(p_retailprice * (100 - p_size) / 100, 6) WHEN 1 THEN 7.25 ELSE p_retailprice END AS price FROM part")
+def promotions(spark, sf_dir):
+    size, price = F.col("p_size"), F.col("p_retailprice")
+    text = F.when(size % 3 == 0, F.concat(F.lit("now "), F.lpad(size.cast("string"), 2, "0"), F.lit("% off"))).when(size % 3 == 1, "limited: $7.25").otherwise("list")
+    return table(spark, sf_dir, "part").select("p_partkey", candidates.promoted(text, price).alias("price"))
+
+
+@query("SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE) - CAST(isodow(o_orderdate) - 1 AS INTEGER), '%Y-%m-%d') AS week, CAST(isodow(o_orderdate) - 1 AS INT) AS place, 'rows/' || regexp_replace(regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') || '-' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 8) AS branch FROM orders")
+def calendar_and_branches(spark, sf_dir):
+    day = F.to_date("o_orderdate")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format(K.week_row(day), "yyyy-MM-dd").alias("week"), F.weekday(day).alias("place"), candidates.branch_name(F.col("o_orderpriority"), F.col("o_orderkey").cast("string")).alias("branch"))
+
+
+@query("WITH p AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'data/history/a.ndjson' WHEN 1 THEN 'data/catalog/a.json' WHEN 2 THEN 'state/x/y' WHEN 3 THEN 'A.md' ELSE 'data/history/a/b.ndjson' END AS path FROM pages) SELECT page_id, path, CASE page_id % 5 WHEN 0 THEN 'shard' WHEN 1 THEN 'catalog' WHEN 2 THEN 'state' WHEN 3 THEN 'docs' ELSE 'other' END AS kind FROM p")
+def path_kinds(spark, sf_dir):
+    i = F.col("page_id") % 5
+    path = F.when(i == 0, "data/history/a.ndjson").when(i == 1, "data/catalog/a.json").when(i == 2, "state/x/y").when(i == 3, "A.md").otherwise("data/history/a/b.ndjson")
+    return table(spark, sf_dir, "pages").select("page_id", path.alias("path"), candidates.path_kind(path).alias("kind"))
+
+
+@query("SELECT p_partkey, '#m=' || replace(p_name, ' ', '+') || '&s=' || CAST(p_size AS VARCHAR) AS fragment, p_name AS name FROM part")
+def fragments(spark, sf_dir):
+    state = F.create_map(F.lit("s"), F.col("p_size").cast("string"), F.lit("m"), F.col("p_name"))
+    made = table(spark, sf_dir, "part").select("p_partkey", candidates.encoded(state).alias("fragment"))
+    return made.withColumn("name", F.try_element_at(candidates.decoded(F.col("fragment")), F.lit("m")))
+
+
+@query("SELECT p_partkey, CASE WHEN p_retailprice / p_size >= 1 THEN printf('$%.2f', p_retailprice / p_size) ELSE printf('$%.4f', p_retailprice / p_size) END AS usd FROM part WHERE abs(p_retailprice / p_size * 1000 - floor(p_retailprice / p_size * 1000) - 0.5) > 0.01 AND abs(p_retailprice / p_size * 100 - floor(p_retailprice / p_size * 100) - 0.5) > 0.01")
+def usd_texts(spark, sf_dir):
+    x = F.col("p_retailprice") / F.col("p_size")
+    far = lambda v: F.abs(v - F.floor(v) - 0.5) > 0.01  # noqa: E731  texts of halves depend on the printer's rounding
+    return table(spark, sf_dir, "part").where(far(x * 1000) & far(x * 100)).select("p_partkey", T.usd(x).alias("usd"))
+
+
 def amount_scan(spark, sf_dir):
     """Readable dollar amounts of every document; tested against cases by hand, as SQL has no such grammar."""
     from ..functions.money import scan_amounts
