@@ -24,9 +24,9 @@ from .textbuf import chunks, lowered, mix, span_hashes, word_spans
 ORDER = 2
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 #: Tokens that a counting task gathers before it sends their distinct n-grams on.
-FLUSH_TOKENS = 3_000_000
+FLUSH_TOKENS = 1_500_000
 #: Bytes of text that one vectorised step of scoring handles.
-SCORE_BYTES = 4 << 20
+SCORE_BYTES = 2 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
