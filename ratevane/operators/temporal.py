@@ -2,24 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import datetime
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import KEY
 
 
-def interval_chain(log: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
+def cuts_of(rows: DataFrame, column: str, slices: int) -> list[str]:
+    """Values that part `rows` into about `slices` even slices by `column`, for keys too large for one task."""
+    if slices < 2:
+        return []
+    days = F.expr(f"percentile_approx(unix_date(to_date({column})), array({','.join(str(i / slices) for i in range(1, slices))}))")
+    got = rows.select(days.alias("d")).first()["d"] or []
+    epoch = datetime.date(1970, 1, 1)
+    return sorted({(epoch + datetime.timedelta(d)).isoformat() for d in got})
+
+
+def _slice(column: Column, cuts: list[str]) -> Column:
+    out = F.lit(0)
+    for c in cuts:
+        out = out + F.coalesce((column >= c).cast("int"), F.lit(0))
+    return out
+
+
+def interval_chain(log: DataFrame, key: tuple[str, ...] = KEY, cuts: list[str] | None = None) -> DataFrame:
     """`log` with valid_from and valid_to (null: open).
 
     A row starts at its effective date, a removal and a row without one at its observation. It ends where the first of all rows that
     come later, by (observed_at, pos), starts, but not before its own start: a future effective date and a backfill clamp it to an
-    empty interval. One sort a key, where comparing each row with all later ones would take the square.
+    empty interval. One sort a key, where comparing each row with all later ones would take the square. `cuts` (see cuts_of) split the
+    keys by observation date: each slice is a task's, and a key's later slices are known by their least start alone.
     """
     start = F.when(F.coalesce("removed", F.lit(False)), F.col("observed_at")).otherwise(F.coalesce("effective_at", "observed_at"))
-    later = Window.partitionBy(*key).orderBy("observed_at", "pos").rowsBetween(1, Window.unboundedFollowing)
     chained = log.withColumn("valid_from", start)
-    end = F.min("valid_from").over(later)
-    return chained.withColumn("valid_to", end).withColumn("valid_to", F.when(F.col("valid_to").isNotNull(), F.greatest("valid_to", "valid_from")))
+    if not cuts:
+        later = Window.partitionBy(*key).orderBy("observed_at", "pos").rowsBetween(1, Window.unboundedFollowing)
+        ended = chained.withColumn("valid_to", F.min("valid_from").over(later))
+    else:
+        sliced = chained.withColumn("_slice", _slice(F.col("observed_at"), cuts))
+        later = Window.partitionBy(*key, "_slice").orderBy("observed_at", "pos").rowsBetween(1, Window.unboundedFollowing)
+        after = Window.partitionBy(*key).orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
+        rest = sliced.groupBy(*key, "_slice").agg(F.min("valid_from").alias("_least")).withColumn("_rest", F.min("_least").over(after)).drop("_least")
+        ended = sliced.withColumn("_own", F.min("valid_from").over(later)).join(rest, [*key, "_slice"]).withColumn("valid_to", F.least("_own", "_rest")).select(*chained.columns, "valid_to")
+    return ended.withColumn("valid_to", F.when(F.col("valid_to").isNotNull(), F.greatest("valid_to", "valid_from")))
 
 
 def solid(chain: DataFrame) -> DataFrame:
@@ -27,24 +54,30 @@ def solid(chain: DataFrame) -> DataFrame:
     return chain.where("valid_to is null or valid_to > valid_from")
 
 
-def as_of(left: DataFrame, right: DataFrame, key: tuple[str, ...], left_at: str, right_at: str, take: list[str], tie: str) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, key: tuple[str, ...], left_at: str, right_at: str, take: list[str], tie: str, cuts: list[str] | None = None) -> DataFrame:
     """`left` with `take` of the last row of `right`, by (right_at, tie), at or before `left_at` in the same key; nulls if there is none.
 
-    Both sides go through one window over their union, so a key costs the sort of its rows, not their product.
+    Both sides go through one window over their union, so a key costs the sort of its rows, not their product. `cuts` split the keys by
+    time: each slice is a task's, and of a key's earlier slices only the last row is carried on.
     """
-    held = F.struct(*take)
     fields = [c for c in left.columns if c not in key]
     a = left.select(*key, F.col(left_at).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[tie].dataType).alias("_tie"), F.struct(*fields).alias("_left"))
-    b = right.select(*key, F.col(right_at).alias("_at"), F.lit(0).alias("_side"), F.col(tie).alias("_tie"), held.alias("_held"))
-    both = a.unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy(*key).orderBy("_at", "_side", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    b = right.select(*key, F.col(right_at).alias("_at"), F.lit(0).alias("_side"), F.col(tie).alias("_tie"), F.struct(*take).alias("_held"))
+    both = a.unionByName(b, allowMissingColumns=True).withColumn("_slice", _slice(F.col("_at"), cuts or []))
+    w = Window.partitionBy(*key, *(["_slice"] if cuts else [])).orderBy("_at", "_side", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     got = both.withColumn("_held", F.last("_held", ignorenulls=True).over(w)).where("_side = 1")
+    if cuts:
+        ends = both.where("_side = 0").groupBy(*key, "_slice").agg(F.max_by("_held", F.struct("_at", "_tie")).alias("_end"))
+        slots = both.select(*key, "_slice").distinct().join(ends, [*key, "_slice"], "left")
+        before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        carried = slots.withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).drop("_end")
+        got = got.join(carried, [*key, "_slice"]).withColumn("_held", F.coalesce("_held", "_carried"))
     return got.select(*key, "_left.*", *[F.col(f"_held.{c}").alias(c) for c in take])
 
 
-def price_as_of(chain: DataFrame, probes: DataFrame, take: list[str], day: str = "day", key: tuple[str, ...] = KEY) -> DataFrame:
+def price_as_of(chain: DataFrame, probes: DataFrame, take: list[str], day: str = "day", key: tuple[str, ...] = KEY, cuts: list[str] | None = None) -> DataFrame:
     """`probes` with `take` of the item that holds on its day. Solid items of a key follow each other without a gap, so it is the last that has started."""
-    return as_of(probes, solid(chain), key, day, "valid_from", take, "pos")
+    return as_of(probes, solid(chain), key, day, "valid_from", take, "pos", cuts)
 
 
 def every_day(chain: DataFrame, last_day: str, take: list[str], key: tuple[str, ...] = KEY) -> DataFrame:

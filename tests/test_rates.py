@@ -93,3 +93,20 @@ def test_sessions(spark):
     own = rates.effective(c("base"), c("overrides"), lambda o: rates.matches(o, c("day"), c("minute"), c("a") + c("c"), c("mode"), rates.MINUTES))
     got = {r.i: r.t for r in df.select("i", rates.session_total(own, c("a"), c("c"), c("o")).alias("t")).collect()}
     assert [got[i] if got[i] is None else round(got[i], 6) for i in range(len(rows))] == [s[-1] for s in SESSIONS]
+
+
+def test_slices_of_a_large_key_change_nothing(spark):
+    import random
+
+    rng = random.Random(6)
+    day = lambda: f"{rng.randint(1, 9):02d}-{rng.randint(1, 28):02d}"
+    rows = [(day(), rng.choice([None, day()]), float(i), rng.random() < 0.2) for i in range(300)]
+    df = frame(spark, rows)
+    cuts = temporal.cuts_of(df, "observed_at", 5)
+    assert 3 <= len(cuts) <= 4 and temporal.cuts_of(df, "observed_at", 1) == []
+    order = lambda x: sorted((r.pos, r.valid_from, str(r.valid_to)) for r in x.collect())
+    whole, sliced = temporal.interval_chain(df), temporal.interval_chain(df, cuts=cuts)
+    assert order(whole) == order(sliced)
+    probes = spark.createDataFrame([("s", "m", f"2026-{day()}") for _ in range(200)] + [("s", "m", "2025-01-01"), ("s", "other", "2026-05-05")], "source string, model_id string, day string")
+    got = [sorted(map(str, map(tuple, temporal.price_as_of(whole, probes, ["pos", "removed"], cuts=c).collect()))) for c in (None, cuts)]
+    assert got[0] == got[1] and len(got[0]) == 202
