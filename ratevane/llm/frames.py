@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch; with texts of a few KB a batch has a few MB.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 
 
 def session(df: DataFrame) -> SparkSession:
