@@ -19,6 +19,8 @@ SAMPLE_PER_LANGUAGE = 1500
 HELD_BACK = 5
 #: Code points a model spreads its last share of probability over.
 ALPHABET = 20_000
+#: Bytes of text that one vectorised step handles.
+STEP_BYTES = 1 << 19
 UNDETERMINED = "und"
 _ARRAYS = {"keys": np.uint64, "logp": np.float64, "suffix": np.uint64, "before": np.uint64, "contexts": np.uint64, "weight": np.float64}
 
@@ -83,7 +85,7 @@ def learn(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Ident
 
     def fit(table: pa.Table) -> pa.Table:
         xs, docs, base = [], [], 0
-        for _, _, data, off in chunks(table["text"]):
+        for _, _, data, off in chunks(table["text"], STEP_BYTES):
             x, doc = letters(data, off)
             xs.append(x)
             docs.append(doc + base)
@@ -104,7 +106,7 @@ def learn(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Ident
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                made = [shared.value.entropies(data, off) for _, _, data, off in chunks(batch.column(1))]
+                made = [shared.value.entropies(data, off) for _, _, data, off in chunks(batch.column(1), STEP_BYTES)]
                 yield pa.record_batch([batch.column(0), pa.array(np.concatenate([n for n, _ in made])), pa.array([b.tobytes() for _, m in made for b in m], pa.binary())], names=["lang", "n", "bits"])
 
     back = [r for r in sample.where("back").select("lang", "text").mapInArrow(weigh, "lang string, n bigint, bits binary").collect() if r["lang"] in languages]
@@ -128,7 +130,7 @@ def identify(df: DataFrame, learned: Identifier | None, id_col: str = "doc_id",
         if own is None:
             lang, score, rejected, bits = [UNDETERMINED] * n_rows, np.zeros(n_rows), np.ones(n_rows, bool), np.zeros(n_rows)
         else:
-            made = [own.entropies(data, off) for _, _, data, off in chunks(batch.column(1))]
+            made = [own.entropies(data, off) for _, _, data, off in chunks(batch.column(1), STEP_BYTES)]
             n, h = np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made])
             best, score, rejected = own.decide(n, h)
             lang = [own.languages[b] if k else UNDETERMINED for b, k in zip(best.tolist(), n.tolist(), strict=True)]
@@ -162,7 +164,7 @@ def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def keep(texts: pa.Array) -> pa.Array:
         if shared.value is None:
             return pa.array(np.zeros(len(texts), bool))
-        made = [shared.value.entropies(data, off) for _, _, data, off in chunks(texts)]
+        made = [shared.value.entropies(data, off) for _, _, data, off in chunks(texts, STEP_BYTES)]
         return pa.array(~shared.value.decide(np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made]))[2])
 
     return filter_texts(df, text_col, keep)
