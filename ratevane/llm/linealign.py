@@ -1,4 +1,4 @@
-"""Line dedup by pairwise alignment: documents that share rare lines are aligned by patience diff; common blocks go from the later one."""
+"""Line dedup by pairwise alignment: documents that share a run of lines are aligned by patience diff; common blocks go from the later one."""
 
 from __future__ import annotations
 
@@ -13,10 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import map_texts, session, slim, written
-from .textbuf import buffers
+from .textbuf import buffers, mix, value_hashes
 
-#: A line in more documents than this is no rare line: each holder is aligned with the line's first holder alone, not with the one before it.
-RARE = 64
 #: Words that an aligned block needs to be deleted.
 BLOCK_WORDS = 20
 #: Bytes of deletions that are broadcast to the texts; more are joined by a shuffle.
@@ -111,8 +109,25 @@ def common_lines(later: np.ndarray, words: np.ndarray, earlier: np.ndarray, earl
     return gone
 
 
+def runs(lines: np.ndarray, words: np.ndarray, block_words: int = BLOCK_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first, one after the last) of runs of non-blank lines: from each line the shortest of `block_words`, and the shortest up to each line.
+
+    Each line of a block is in a run that lies inside the block: where the run from a line leaves the block, the one up to it doesn't.
+    """
+    own = np.flatnonzero(words > 0)
+    total = np.concatenate([[0], np.cumsum(words[own], dtype=np.int64)])
+    at, least = np.arange(len(own)), max(1, block_words)
+    end = np.searchsorted(total, total[:-1] + least)
+    begin = np.searchsorted(total, total[1:] - least, side="right") - 1
+    spans = np.concatenate([np.stack([at, end])[:, end <= len(own)], np.stack([begin, at + 1])[:, begin >= 0]], axis=1)
+    if not spans.shape[1]:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    start, end = np.unique(spans, axis=1)
+    return value_hashes(mix(lines[own].astype(np.uint64)), start, end).view(np.int64), start, end
+
+
 def _sequences(docs: DataFrame) -> DataFrame:
-    """(key, lines, words): each document's line hashes. The key orders documents by id, then by a hash of the text."""
+    """(key, lines, words, kind): each document's line hashes, and one of its non-blank lines. The key orders documents by id, then by a hash of the text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, off = buffers(batch.column(1))
@@ -120,44 +135,28 @@ def _sequences(docs: DataFrame) -> DataFrame:
         at = (off - off[0]).tolist()
         texts = [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
         made = [line_hashes(t) for t in texts]
-        return pa.record_batch([batch.column(0), pa.array([h.tobytes() for h, _ in made], pa.binary()), pa.array([w.tobytes() for _, w in made], pa.binary()), pa.array([xxhash.xxh3_64_intdigest(t) >> 1 for t in texts], pa.int64())], names=["doc_id", "lines", "words", "own"])
+        kinds = [xxhash.xxh3_64_intdigest(h[w > 0].tobytes()) >> 1 for h, w in made]
+        return pa.record_batch([batch.column(0), pa.array([h.tobytes() for h, _ in made], pa.binary()), pa.array([w.tobytes() for _, w in made], pa.binary()), pa.array([xxhash.xxh3_64_intdigest(t) >> 1 for t in texts], pa.int64()), pa.array(kinds, pa.int64())], names=["doc_id", "lines", "words", "own", "kind"])
 
-    return map_texts(docs, run, "doc_id bigint, lines binary, words binary, own bigint").select(F.struct("doc_id", "own").alias("key"), "lines", "words")
+    return map_texts(docs, run, "doc_id bigint, lines binary, words binary, own bigint, kind bigint").select(F.struct("doc_id", "own").alias("key"), "lines", "words", "kind")
 
 
-def _holders(seqs: DataFrame) -> DataFrame:
-    """(line, key): each document once for each of its lines with a word."""
+def _holders(seqs: DataFrame, block_words: int) -> DataFrame:
+    """(run, key): each document once for each of its runs of lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                sets = [np.unique(np.frombuffer(a, np.int64)[np.frombuffer(w, np.int32) > 0]) for a, w in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+                sets = [np.unique(runs(np.frombuffer(a, np.int64), np.frombuffer(w, np.int32), block_words)[0]) for a, w in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
                 take = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
-                yield pa.record_batch([pa.array(np.concatenate(sets)), batch.column(0).take(take), batch.column(1).take(take)], names=["line", "doc_id", "own"])
+                yield pa.record_batch([pa.array(np.concatenate(sets)), batch.column(0).take(take), batch.column(1).take(take)], names=["run", "doc_id", "own"])
 
     flat = seqs.select("key.doc_id", "key.own", "lines", "words")
-    return flat.mapInArrow(run, "line bigint, doc_id bigint, own bigint").select("line", F.struct("doc_id", "own").alias("key"))
-
-
-def overlapping(seqs: DataFrame, rare: int = RARE) -> DataFrame:
-    """(later, earlier): for each line in several documents, each holder but the first beside an earlier holder.
-
-    A rare line gives the holder just before, a frequent one its first holder: one pair for each holder, so no line gives the square of
-    its holders, and no document with a line that an earlier one has is missed.
-    """
-    holders = _holders(seqs)
-    count = holders.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min("key").alias("first")).where("df > 1")
-    count = written(count, "counted")
-    few = count.where(F.col("df") <= rare).select("line")
-    chain = holders.join(few, "line").groupBy("line").agg(F.array_sort(F.collect_list("key")).alias("keys"))  # at most `rare` keys
-    pairs = chain.select(F.explode(F.expr("transform(sequence(1, size(keys) - 1), i -> struct(keys[i] as later, keys[i - 1] as earlier))")).alias("p")).select("p.later", "p.earlier")
-    often = count.where(F.col("df") > rare).select("line", F.col("first").alias("earlier"))
-    other = holders.join(often, "line").where(F.col("key") > F.col("earlier")).select(F.col("key").alias("later"), "earlier")
-    return pairs.unionByName(other).distinct()
+    return flat.mapInArrow(run, "run bigint, doc_id bigint, own bigint").select("run", F.struct("doc_id", "own").alias("key"))
 
 
-def deletions(seqs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, own, gone): the lines to delete from each later document, as sorted 32-bit integers."""
+def _aligned(pairs: DataFrame, seqs: DataFrame, block_words: int) -> DataFrame:
+    """(key, gone): for each pair (later, earlier), the lines that the later one loses, if any."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,23 +166,67 @@ def deletions(seqs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WORDS)
             gone = [common_lines(np.frombuffer(a, np.int64), np.frombuffer(b, np.int32), np.frombuffer(c, np.int64), np.frombuffer(d, np.int32), block_words) for a, b, c, d in zip(*columns, strict=True)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(gone, pa.list_(pa.int32()))], names=["doc_id", "own", "gone"])
 
-    pairs = written(overlapping(seqs, rare), "pairs")
     both = pairs.join(seqs.select(F.col("key").alias("later"), "lines", "words"), "later").join(seqs.select(F.col("key").alias("earlier"), F.col("lines").alias("lines2"), F.col("words").alias("words2")), "earlier")
     found = both.select("later.doc_id", "later.own", "lines", "words", "lines2", "words2").mapInArrow(align, "doc_id bigint, own bigint, gone array<int>").where(F.size("gone") > 0)
-    return found.groupBy("doc_id", "own").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
+    return found.groupBy(F.struct("doc_id", "own").alias("key")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
+
 
+def _open(shared: DataFrame, seqs: DataFrame, gone: DataFrame, block_words: int) -> DataFrame:
+    """(run, later): the runs that an earlier document has, of which a line is left."""
 
-def align_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            left = []
+            for a, b, known, away in zip(*[batch.column(i).to_pylist() for i in range(2, 6)], strict=True):
+                lines, words = np.frombuffer(a, np.int64), np.frombuffer(b, np.int32)
+                stays = np.ones(len(lines), np.int64)
+                stays[away or []] = 0
+                total = np.concatenate([[0], np.cumsum(stays[words > 0])])
+                value, start, end = runs(lines, words, block_words)
+                left.append(np.intersect1d(value[total[end] > total[start]], np.array(known, np.int64)))
+            take = pa.array(np.repeat(np.arange(len(left)), [len(x) for x in left]))
+            yield pa.record_batch([pa.array(np.concatenate(left)), batch.column(0).take(take), batch.column(1).take(take)], names=["run", "doc_id", "own"])
+
+    all_ = seqs.join(shared, "key").join(gone, "key", "left").select("key.doc_id", "key.own", "lines", "words", "runs", "gone")
+    return all_.mapInArrow(run, "run bigint, doc_id bigint, own bigint").select("run", F.struct("doc_id", "own").alias("later"))
+
+
+def deletions(seqs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(doc_id, own, gone): the lines to delete from each later document, as sorted 32-bit integers: what all alignments with earlier ones give.
+
+    Of documents of the same non-blank lines the first stands for all: beside it, another one loses all that any alignment can take. A
+    block holds a run that both have, so only holders of a run are aligned: first each with the run's first holder, then, for runs of
+    which a line is left, with all other earlier holders. Where no line is left, no alignment can take more.
+    """
+    first = written(seqs.groupBy("kind").agg(F.min("key").alias("earlier"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "kinds")
+    copies = written(seqs.select("key", "kind").join(first, "kind").where(F.col("key") > F.col("earlier")).select(F.col("key").alias("later"), "earlier"), "copies")
+    one = written(seqs.join(copies.select(F.col("later").alias("key")), "key", "left_anti").select("key", "lines", "words"), "one_of_each")
+    holders = written(_holders(one, block_words), "holders")
+    count = written(holders.groupBy("run").agg(F.count(F.lit(1)).alias("df"), F.min("key").alias("first")).where("df > 1").drop("df"), "counted")
+    shared = holders.join(count, "run").where(F.col("key") > F.col("first")).groupBy("key").agg(F.collect_set("first").alias("firsts"), F.collect_set("run").alias("runs"))
+    shared = written(shared, "shared")
+    pairs = shared.select(F.col("key").alias("later"), F.explode("firsts").alias("earlier"))
+    gone = written(_aligned(pairs.unionByName(copies), seqs, block_words), "first_pass")
+    left = written(_open(shared.select("key", "runs"), one, gone, block_words), "open")
+    more = left.join(holders, "run").where(F.col("key") < F.col("later")).select("later", F.col("key").alias("earlier")).distinct().join(pairs, ["later", "earlier"], "left_anti")
+    both = gone.unionByName(_aligned(written(more, "pairs"), one, block_words))
+    return both.groupBy("key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone")).select("key.doc_id", "key.own", "gone")
+
+
+def align_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, text, n_lines, n_deleted) of every row: the text without the blocks of lines that an earlier document has.
 
     Documents come in the order of their ids, nulls first, equal ids by a hash of the text; rows that repeat id and text are one
     document and get the same result. Lines are equal if their bytes are; blank ones are no part of an alignment and stay. A null text
-    is an empty one: one line. Other columns are ignored; no rows give none. Memory follows the longest pair of documents.
+    is an empty one: one line. Other columns are ignored; no rows give none. Memory follows the longest pair of documents. `rare` is
+    there for older callers and changes nothing.
     """
     session(df)
     docs = slim(df, id_col, text_col)
     seqs = written(_sequences(docs).dropDuplicates(["key"]), "sequences")
-    gone = written(deletions(seqs, rare, block_words), "deletions")
+    gone = written(deletions(seqs, block_words), "deletions")
     size = gone.agg(F.coalesce(F.sum(4 * F.size("gone") + 32), F.lit(0)).alias("n")).first()["n"]
 
     def own(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -57,6 +57,26 @@ def test_against_brute_force(spark):
     assert clean[0].n_deleted > 0 and clean[None].n_deleted == 0 and clean[104].n_deleted == 3 and clean[300].n_deleted == 0
 
 
+def all_pairs(rows):
+    """Every later document aligned with every earlier one: (id, lines lost)."""
+    made = [(i, L.line_hashes(t.encode())) for i, t in sorted(rows)]
+    return [(i, len({x for _, b in made[:k] for x in L.common_lines(*a, *b)})) for k, (i, a) in enumerate(made)]
+
+
+def test_no_pair_is_left_out(spark):
+    rng = random.Random(3)
+    own = [line(rng) for _ in range(4)]
+    spread = [y for x in own for y in (x, line(rng))]
+    rows = [(1, "\n".join(own)), (2, "\n".join(spread)), (3, "\n".join(own))]
+    pool = [line(rng, rng.choice((3, 7, 12, 25))) for _ in range(14)]
+    for i in range(10, 90):
+        cut = [pool[a : a + rng.randint(1, 5)] for a in (rng.randrange(14) for _ in range(rng.randint(1, 4)))]
+        rows.append((i, "\n".join(y for x in cut for y in [*x, *([""] if rng.random() < 0.3 else []), *([line(rng)] if rng.random() < 0.5 else [])])))
+    got = sorted((r.doc_id, r.n_deleted) for r in L.align_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == all_pairs(rows)
+    assert dict(got)[3] == 4
+
+
 def test_edge_rows(docs, none):
     assert L.align_lines(docs).count() == docs.count()
     assert L.align_lines(none).collect() == []
