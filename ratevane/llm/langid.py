@@ -17,6 +17,10 @@ from .textbuf import chunks
 SAMPLE_PER_LANGUAGE = 1500
 #: One in so many of them is kept from the models, to calibrate the score and the rejection.
 HELD_BACK = 5
+#: Held-back texts from which a language has its own bound of rejection; one of fewer has the bound pooled over all languages.
+OWN_BOUND = 20
+#: The robust upper end of held-back cross-entropies: this quantile and so many interquartile ranges of all, whichever is less.
+QUANTILE, RANGES = 0.99, 6.0
 #: Code points a model spreads its last share of probability over.
 ALPHABET = 20_000
 #: Bytes of text that one vectorised step handles.
@@ -48,20 +52,38 @@ class Identifier:
         return p / p.sum(axis=1, keepdims=True)
 
     def calibrate(self, n: np.ndarray, bits: np.ndarray, truth: np.ndarray) -> None:
-        """The sharpness of least loss, and how far above its mean a language's cross-entropy went: 1.5 times that is still accepted."""
+        """The sharpness of least loss, and how far above its median a language's cross-entropy goes: 1.5 times that is still accepted.
+
+        Texts that another language's model reads better than the labelled one's, or that lie far beyond the rest, are taken for
+        mislabelled or junk and don't lift the bound. A language of few held-back texts has the bound of all languages' texts.
+        """
         some = n > 0
         n, bits, truth = n[some], bits[some], truth[some]
         if not len(n):
             return
         loss = {s: -np.log(np.maximum(self.odds(n, bits, s)[np.arange(len(n)), truth], 1e-9)).sum() for s in 2.0 ** np.arange(-6, 7)}
         self.sharpness = min(loss, key=loss.get)
-        for c in range(len(self.languages)):
-            own = truth == c
-            if own.sum() >= 5:
-                h, size = bits[own, c], n[own]
-                self.mean[c] = np.median(h)
-                self.spread[c] = 1.5 * max(1.0, np.quantile((h - self.mean[c]) * np.sqrt(size), 0.995))
-                self.slack[c] = 1.5 * max(0.2, (h - self.mean[c]).max())
+        best, h = bits.argmin(axis=1) == truth, bits[np.arange(len(n)), truth]
+        if not best.any():
+            return
+        away, members = np.zeros(len(n)), [np.flatnonzero((truth == c) & best) for c in range(len(self.languages))]
+        middle = np.median(h[best])
+        for c, own in enumerate(members):
+            self.mean[c] = np.median(h[own]) if len(own) >= OWN_BOUND else middle
+            away[own] = h[own] - self.mean[c]
+        pooled = self._bound(away[best], n[best])
+        for c, own in enumerate(members):
+            self.spread[c], self.slack[c] = self._bound(away[own], n[own]) if len(own) >= OWN_BOUND else pooled
+
+    @staticmethod
+    def _bound(away: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+        """1.5 times the robust upper end of distances above the median: times the root of the length, and as they are."""
+
+        def upper(x: np.ndarray) -> float:
+            low, middle, high = np.quantile(x, (0.25, 0.5, 0.75))
+            return float(min(np.quantile(x, QUANTILE), middle + RANGES * (high - low)))
+
+        return 1.5 * max(1.0, upper(away * np.sqrt(n))), 1.5 * max(0.2, upper(away))
 
     def decide(self, n: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(best language, score, rejected)."""
@@ -119,8 +141,8 @@ def identify(df: DataFrame, learned: Identifier | None, id_col: str = "doc_id",
     """(doc_id, lang_pred, score, rejected, cross_entropy) of every row, in one pass.
 
     `lang_pred` is the language of the lowest cross-entropy over all letters of the whole text; `score` its calibrated probability
-    among those learned; `rejected` tells that its cross-entropy (bits a character) is above all that the language's own held-back
-    texts show. A null text, or one without a letter, is `und` with score 0 and rejected; so is every text if nothing was learned.
+    among those learned; `rejected` tells that its cross-entropy (bits a character) is above what held-back texts show: the language's
+    own, or those of all languages where it has few. A null text, or one without a letter, is `und` with score 0 and rejected; so is every text if nothing was learned.
     Ids may be null or repeat. Other columns are ignored; no rows give none.
     """
     shared = df.sparkSession.sparkContext.broadcast(learned)

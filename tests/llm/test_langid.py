@@ -32,6 +32,19 @@ def test_held_out_accuracy_and_rejection(spark):
     assert all(0 <= r.score <= 1 for r in got.values()) and len(got) == len(rows)
 
 
+def test_a_rare_language_and_junk_labels_keep_the_rejection(spark):
+    rng = random.Random(6)
+    rare = lambda: " ".join("".join(rng.choice(["ka", "ulo", "zim", "pe"]) for _ in range(3)) for _ in range(30))
+    gibberish = lambda: " ".join("".join(rng.choice("qxjzkvwbf") for _ in range(6)) for _ in range(40))
+    rows = [(i, made(lang := rng.choice(["xx", "yy"]), rng, rng.randint(5, 60)), lang) for i in range(600)]
+    rows += [(700 + i, rare(), "zz") for i in range(10)] + [(800 + i, gibberish(), "xx") for i in range(3)]
+    rows += [(1000, "ЖЩЮЯ ЪЫЭ ЖЖЮ ЩЪЫ " * 30, None), (1001, gibberish(), None), (1002, gibberish(), None)]
+    got = {r.doc_id: r for r in langid.languages_of(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert all(got[i].rejected for i in (1000, 1001, 1002))
+    assert sum(not got[i].rejected for i in range(600)) > 590
+    assert all(got[700 + i].lang_pred == "zz" for i in range(10)) and sum(not got[700 + i].rejected for i in range(10)) >= 8
+
+
 def test_nothing_learned_and_no_rows(docs, none):
     from pyspark.sql import functions as F
 
