@@ -390,9 +390,13 @@ p AS (SELECT o_orderkey, 'brand' || CAST(o_custkey % 50 AS VARCHAR) AS alias, st
 SELECT p.o_orderkey, p.alias, p.day, a.canonical FROM p LEFT JOIN a ON p.alias = a.alias AND (f IS NULL OR f <= day) AND (t IS NULL OR day < t)"""
 )
 def alias_lookup(spark, sf_dir):
+    return _alias_lookup(spark, sf_dir, table(spark, sf_dir, "part").where("p_partkey < 500"))
+
+
+def _alias_lookup(spark, sf_dir, parts):
     base, n = F.to_date(F.lit("1995-01-01")), F.col("p_partkey")
     at = (n % 40 * 30).cast("int")
-    a = table(spark, sf_dir, "part").where("p_partkey < 500").select(F.concat(F.lit("brand"), F.col("p_size").cast("string")).alias("alias"), F.when(n % 3 > 0, F.date_format(F.date_add(base, at), "yyyy-MM-dd")).alias("valid_from"), F.when(n % 5 > 0, F.date_format(F.date_add(base, at + 60), "yyyy-MM-dd")).alias("valid_to"), n.cast("string").alias("canonical"))
+    a = parts.select(F.concat(F.lit("brand"), F.col("p_size").cast("string")).alias("alias"), F.when(n % 3 > 0, F.date_format(F.date_add(base, at), "yyyy-MM-dd")).alias("valid_from"), F.when(n % 5 > 0, F.date_format(F.date_add(base, at + 60), "yyyy-MM-dd")).alias("valid_to"), n.cast("string").alias("canonical"))
     p = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("brand"), (F.col("o_custkey") % 50).cast("string")).alias("alias"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
     return catalog.alias_on(p, a)
 
@@ -495,9 +499,13 @@ def channel_changes(spark, sf_dir):
 SELECT source, url, arg_max(sha, (fetched, number, CASE WHEN number = 1 << 30 THEN sha ELSE '' END)) AS sha, max(fetched) AS fetched, arg_max(number, (fetched, number)) = 1 << 30 AS from_base FROM r GROUP BY 1, 2"""
 )
 def resolved_channels(spark, sf_dir):
+    return _resolved_channels(spark, sf_dir, F.col("number") < 450)
+
+
+def _resolved_channels(spark, sf_dir, in_base):
     i = F.col("page_id")
     rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("s"), (i % 3).cast("string")).alias("source"), F.concat(F.lit("u"), (i % 50).cast("string")).alias("url"), F.sha2(i.cast("string"), 256).alias("sha"), (i % 4).cast("string").alias("fetched"), i.alias("number"))
-    base = rows.where("number % 9 = 0 and number < 450").groupBy("source", "url").agg(F.max_by(F.struct("sha", "fetched"), F.struct("fetched", "sha")).alias("x")).select("source", "url", "x.*")
+    base = rows.where((F.col("number") % 9 == 0) & in_base).groupBy("source", "url").agg(F.max_by(F.struct("sha", "fetched"), F.struct("fetched", "sha")).alias("x")).select("source", "url", "x.*")
     return ops.resolved_channels(base, rows.where("number % 9 <> 0"))
 
 
@@ -729,4 +737,14 @@ def page_tables(spark, sf_dir):
     return tables_of(table(spark, sf_dir, "pages"), "page_id", "html")
 
 
-QUERIES |= {"amount_scan": amount_scan, "page_tables": page_tables}
+def alias_lookup_all(spark, sf_dir):
+    """alias_lookup with the aliases of all parts; tested by brute force."""
+    return _alias_lookup(spark, sf_dir, table(spark, sf_dir, "part"))
+
+
+def resolved_channels_all(spark, sf_dir):
+    """resolved_channels with all pages of the base; tested by brute force."""
+    return _resolved_channels(spark, sf_dir, F.lit(True))
+
+
+QUERIES |= {"amount_scan": amount_scan, "page_tables": page_tables, "alias_lookup_all": alias_lookup_all, "resolved_channels_all": resolved_channels_all}
