@@ -45,6 +45,16 @@ def test_a_rare_language_and_junk_labels_keep_the_rejection(spark):
     assert all(got[700 + i].lang_pred == "zz" for i in range(10)) and sum(not got[700 + i].rejected for i in range(10)) >= 8
 
 
+def test_calibration_of_junk_labels_and_rare_languages():
+    rng = np.random.default_rng(1)
+    own = np.stack([rng.normal(2.0, 0.1, 60), rng.normal(6.0, 0.1, 60), rng.normal(9.0, 0.1, 60)], axis=1)
+    bits = np.concatenate([own, own[:, [1, 0, 2]], [[15.0, 14.9, 16.0], [14.0, 14.5, 15.0]]])
+    made = langid.Identifier(["xx", "yy", "zz"], None)
+    made.calibrate(np.full(len(bits), 200), bits, np.array([0] * 60 + [1] * 60 + [0, 0]))  # two labels of junk, no text of zz
+    rejected = made.decide(np.full(4, 200), np.array([[9.0, 12.0, 12.0], [12.0, 12.0, 9.0], [2.1, 6.0, 9.0], [9.0, 9.0, 2.1]]))[2]
+    assert rejected.tolist() == [True, True, False, False]
+
+
 def test_nothing_learned_and_no_rows(docs, none):
     from pyspark.sql import functions as F
 
