@@ -14,21 +14,10 @@ from .frames import session, slim, written
 from .textbuf import chunks, word_spans
 
 BUCKETS, TOKEN_BUDGET = 16, 65_536
-#: Lengths up to this are counted one by one; above, a length is rounded up by under 1/1024, so that the histogram is bounded.
-EXACT_LENGTHS = 65_536
 #: Rows of a bucket that one task ranks.
 SHARD_ROWS = 200_000
 
 
-def rounded(length: np.ndarray) -> np.ndarray:
-    """The length that a text counts as."""
-    bits = np.zeros(len(length), np.int64)
-    long = length > EXACT_LENGTHS
-    bits[long] = np.floor(np.log2(length[long])).astype(np.int64) - 10
-    step = np.int64(1) << bits
-    return -(-length // step) * step
-
-
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
     """Upper lengths of at most `buckets` buckets of least total padding, ascending; the last is the greatest length.
 
@@ -76,8 +65,9 @@ def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, token_budget: int = TOKEN_BUDGET) -> DataFrame:
     """(doc_id, n_tokens, bucket, bucket_length, batch, slot) of every row.
 
-    Tokens are the words `[^\\x20\\x09-\\x0D]+` of the whole text; a null or empty text has none and goes to the first bucket. All
-    lengths' histogram goes to the driver, which is bounded by EXACT_LENGTHS, and gives the bucket boundaries of least padding. A
+    Tokens are the words `[^\\x20\\x09-\\x0D]+` of the whole text; a null or empty text has none and goes to the first bucket. The
+    exact histogram of all lengths goes to the driver and gives the bucket boundaries of least padding: d distinct lengths take at least
+    d * (d - 1) / 2 tokens, so it has under sqrt(2 * tokens) + 1 rows, two integers each (a million for half a trillion tokens). A
     batch holds texts of one bucket only, max(1, token_budget // bucket_length) of them, padded to bucket_length; every batch of a
     bucket but its last is full. A text beyond the budget is a batch of its own. (bucket, batch, slot) is unique. Null or repeated
     ids are rows like any other, ranked by their place in the input; ties of length and id go by that place. Other columns are
@@ -95,10 +85,10 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets:
             n = np.concatenate([np.bincount(word_spans(data, off)[2], minlength=to - at) for at, to, data, off in chunks(batch.column(1))]).astype(np.int64)
             place = (np.int64(pid) << 40) + np.arange(row, row + len(n))
             row += len(n)
-            yield pa.record_batch([batch.column(0), pa.array(n), pa.array(rounded(n)), pa.array(place)], names=["doc_id", "n_tokens", "size", "place"])
+            yield pa.record_batch([batch.column(0), pa.array(n), pa.array(place)], names=["doc_id", "n_tokens", "place"])
 
-    sized = written(slim(df, id_col, text_col).mapInArrow(measure, "doc_id bigint, n_tokens bigint, size bigint, place bigint"), "lengths")
-    seen = sorted((r["size"], r["n"]) for r in sized.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect())
+    sized = written(slim(df, id_col, text_col).mapInArrow(measure, "doc_id bigint, n_tokens bigint, place bigint"), "lengths")
+    seen = sorted((r["n_tokens"], r["n"]) for r in sized.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect())
     bounds = boundaries([a for a, _ in seen], [b for _, b in seen], buckets)
     total = [0] * len(bounds)
     for a, b in seen:
@@ -107,7 +97,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets:
 
     bucket = F.lit(0)
     for b in bounds[:-1]:
-        bucket = bucket + (F.col("size") > b).cast("int")
+        bucket = bucket + (F.col("n_tokens") > b).cast("int")
     placed = sized.withColumn("bucket", bucket).join(F.broadcast(shape), "bucket").withColumn("shard", F.pmod(F.xxhash64("place"), "shards"))
     count = placed.groupBy("bucket", "shard").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -2,10 +2,9 @@ import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
-import numpy as np
 import pytest
 
-from ratevane.llm.packing import EXACT_LENGTHS, boundaries, pack, rounded
+from ratevane.llm.packing import boundaries, pack
 
 
 def padding(lengths, counts, bounds):
@@ -25,10 +24,10 @@ def test_dynamic_programme_against_all_choices():
     assert boundaries([], [], 3) == []
 
 
-def test_rounding_is_up_and_bounded():
-    x = np.array([0, 1, EXACT_LENGTHS, EXACT_LENGTHS + 1, 10**6, 10**9])
-    r = rounded(x)
-    assert (r >= x).all() and (r[:3] == x[:3]).all() and ((r - x) <= x / 1024 + 1).all()
+def test_very_long_texts_keep_their_length(spark):
+    rows = [(1, "w " * 70_001), (2, "w " * 70_002), (3, "w"), (4, None)]
+    got = {r.doc_id: (r.n_tokens, r.bucket_length) for r in pack(spark.createDataFrame(rows, "doc_id bigint, text string"), buckets=4).collect()}
+    assert got == {1: (70_001, 70_001), 2: (70_002, 70_002), 3: (1, 1), 4: (0, 0)}
 
 
 @pytest.mark.parametrize("budget", [1, 64, 65_536])
