@@ -27,6 +27,9 @@ class Encoder(dict):
         self.pieces = [b""] * (max(self.ranks.values()) + 1)
         for piece, rank in self.ranks.items():
             self.pieces[rank] = piece
+        self.sizes = np.fromiter(map(len, self.pieces), np.int64, len(self.pieces))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(self.pieces), np.uint8)  # all pieces, one after the other
 
     def __missing__(self, piece: bytes) -> bytes:
         ids = np.array(self.merged(piece), "<u4").tobytes()
@@ -78,8 +81,8 @@ class Encoder(dict):
             i = end[i]
         return out
 
-    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[list[bytes], list[np.ndarray]]:
-        """Of each text of a chunk: its packed ids, and where each piece begins in its bytes."""
+    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[list[bytes], list[np.ndarray], list[np.ndarray]]:
+        """Of each text of a chunk: its packed ids, where each piece begins in its bytes, and how many ids stand before each piece."""
         raw = data.tobytes()
         points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), "<u4")
         byte = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
@@ -89,11 +92,27 @@ class Encoder(dict):
         cut = np.searchsorted(begin, off)
         edge = np.append(begin, len(data)).tolist()
         packed = list(map(self.__getitem__, [raw[a:b] for a, b in zip(edge, edge[1:], strict=False)]))
+        first = np.zeros(len(packed) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed)) >> 2, out=first[1:])
         texts = list(zip(cut.tolist(), cut[1:].tolist(), off.tolist(), strict=False))
-        return [b"".join(packed[a:b]) for a, b, _ in texts], [begin[a:b] - o for a, b, o in texts]
-
-    def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+        return [b"".join(packed[a:b]) for a, b, _ in texts], [begin[a:b] - o for a, b, o in texts], [first[a:b] - first[a] for a, b, _ in texts]
+
+    def decode(self, ids: np.ndarray, begin: np.ndarray, first: np.ndarray) -> bytes:
+        """The bytes of ids, each id's put where its piece's offset says; pieces that don't abut are an error.
+
+        `begin` has the byte at which each piece begins, `first` how many ids stand before it.
+        """
+        if not len(ids):
+            return b""
+        size = self.sizes[ids]
+        end = np.cumsum(size)
+        before = end - size
+        piece = np.searchsorted(first, np.arange(len(ids)), "right") - 1
+        at = begin[piece] + before - before[first][piece]
+        if (at != before).any():
+            raise ValueError("ids and piece offsets don't belong together")
+        place = np.arange(end[-1]) + np.repeat(self.starts[ids] - at, size)
+        return self.flat[place].tobytes()
 
 
 @lru_cache(4)
@@ -102,29 +121,34 @@ def encoder(path: str) -> Encoder:
 
 
 def encode_texts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids, piece_offsets) of every row: ids packed as little-endian unsigned 32-bit integers, and so the bytes at which its pieces begin.
+    """(doc_id, ids, piece_offsets, piece_ids) of every row, each list packed as little-endian unsigned 32-bit integers.
 
-    No special tokens: their strings in a text are ordinary text. A null or empty text has no ids. Rows that repeat are encoded each.
-    Other columns are ignored; no rows give none. `path` names the vocabulary on the executors; nothing of it is stored.
+    `piece_offsets` has the byte at which each piece of the text begins, `piece_ids` how many ids stand before it. No special tokens:
+    their strings in a text are ordinary text. A null or empty text has no ids. Rows that repeat are encoded each. Other columns are
+    ignored; no rows give none. `path` names the vocabulary on the executors; nothing of it is stored.
     """
 
     def body(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own, ids, begins = encoder(path), [], []
+        own, made = encoder(path), ([], [], [])
         for _, _, data, off in chunks(batch.column(1)):
-            packed, begin = own.encode(data, off)
-            ids += packed
-            begins += [b.astype("<u4").tobytes() for b in begin]
-        return pa.record_batch([batch.column(0), pa.array(ids, pa.binary()), pa.array(begins, pa.binary())], names=["doc_id", "ids", "piece_offsets"])
+            packed, begin, first = own.encode(data, off)
+            made[0].extend(packed)
+            made[1].extend(b.astype("<u4").tobytes() for b in begin)
+            made[2].extend(f.astype("<u4").tobytes() for f in first)
+        return pa.record_batch([batch.column(0), *(pa.array(m, pa.binary()) for m in made)], names=["doc_id", "ids", "piece_offsets", "piece_ids"])
 
-    return map_texts(slim(df, id_col, text_col), body, "doc_id bigint, ids binary, piece_offsets binary")
+    return map_texts(slim(df, id_col, text_col), body, "doc_id bigint, ids binary, piece_offsets binary, piece_ids binary")
 
 
 def decode_ids(df: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded) of (doc_id, ids): the bytes that the ids stand for."""
+    """(doc_id, n_tokens, ids, decoded) of encode_texts(): the bytes that the ids stand for, placed by the piece offsets."""
 
     def body(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own, ids = encoder(path), batch.column(1).to_pylist()
-        return pa.record_batch([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), batch.column(1), pa.array([own.decode(x) for x in ids], pa.binary())], names=["doc_id", "n_tokens", "ids", "decoded"])
-
-    return map_texts(df.select("doc_id", "ids"), body, "doc_id bigint, n_tokens bigint, ids binary, decoded binary")
-
+        own, n, decoded = encoder(path), [], []
+        for row in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            ids, begin, first = (np.frombuffer(x, "<u4").astype(np.int64) for x in row)
+            n.append(len(ids))
+            decoded.append(own.decode(ids, begin, first))
+        return pa.record_batch([batch.column(0), pa.array(n, pa.int64()), batch.column(1), pa.array(decoded, pa.binary())], names=["doc_id", "n_tokens", "ids", "decoded"])
+
+    return map_texts(df.select("doc_id", "ids", "piece_offsets", "piece_ids"), body, "doc_id bigint, n_tokens bigint, ids binary, decoded binary")

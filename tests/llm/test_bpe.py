@@ -27,14 +27,15 @@ def test_against_the_library(library):
     texts += ["".join(random.choice(letters) for _ in range(random.randint(0, 90))) for _ in range(1500)]
     own = bpe.Encoder(PATH)
     for limit in (50, 1 << 20):
-        packed, begins = [], []
+        packed, begins, firsts = [], [], []
         for _, _, data, off in chunks(pa.array(texts), limit):
-            a, b = own.encode(data, off)
+            a, b, c = own.encode(data, off)
             packed += a
             begins += b
-        for t, p, b in zip(texts, packed, begins, strict=True):
+            firsts += c
+        for t, p, b, f in zip(texts, packed, begins, firsts, strict=True):
             assert np.frombuffer(p, "<u4").tolist() == library.encode_ordinary(t)
-            assert own.decode(p) == t.encode()
+            assert own.decode(np.frombuffer(p, "<u4").astype(np.int64), b, f) == t.encode()
             raw = t.encode()
             edge = [*b.tolist(), len(raw)]
             assert b"".join(raw[x:y] for x, y in zip(edge, edge[1:], strict=False)) == raw
@@ -44,3 +45,12 @@ def test_rows(docs, none, library):
     read = bpe.decode_ids(bpe.encode_texts(docs, PATH), PATH).collect()
     assert sorted((str(r.doc_id), bytes(r.decoded).decode()) for r in read) == sorted((str(r.doc_id), r.text or "") for r in docs.collect())
     assert bpe.encode_texts(none, PATH).collect() == []
+
+
+def test_offsets_that_belong_to_another_text_are_refused():
+    own = bpe.Encoder(PATH)
+    made = [own.encode(np.frombuffer(t, np.uint8), np.array([0, len(t)])) for t in (b"one two three", b"three, two one")]
+    ids = np.frombuffer(made[0][0][0], "<u4").astype(np.int64)
+    assert own.decode(ids, made[0][1][0], made[0][2][0]) == b"one two three"
+    with pytest.raises(ValueError, match="belong together"):
+        own.decode(ids[::-1], made[1][1][0], made[1][2][0][: len(ids)])
