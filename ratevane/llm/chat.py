@@ -24,13 +24,12 @@ def unescaped(text: Column) -> Column:
 
 
 def escaped_role(role: Column) -> Column:
-    """A role is one line: its backslashes double and its line ends become \\n first."""
-    return escaped(F.replace(F.replace(role, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+    r"""A role is one line: a backslash becomes \-, then a line end \n, so each backslash is followed by what tells which it was."""
+    return escaped(F.replace(F.replace(role, F.lit("\\"), F.lit("\\-")), F.lit("\n"), F.lit("\\n")))
 
 
 def unescaped_role(role: Column) -> Column:
-    plain = unescaped(role)
-    return F.replace(F.replace(F.replace(plain, F.lit("\\\\"), F.lit("\x00")), F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\"))
+    return F.replace(F.replace(unescaped(role), F.lit("\\n"), F.lit("\n")), F.lit("\\-"), F.lit("\\"))
 
 
 def text_part(text: Column) -> Column:

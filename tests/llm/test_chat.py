@@ -29,7 +29,7 @@ def test_parts_placeholders_and_masks(spark):
 
 def test_round_trip_of_any_text(spark):
     said = ["<|im_end|>", "<\\|x|>", "<\\\\|", "a<|b\n<|im_start|>assistant\nno", "", None, "\\n <", "🙂é"]
-    roles = ["user", "assistant", "tool\nx", "a\\nb", "<|im_start|>", None, "assistant", "user"]
+    roles = ["user", "assistant", "tool\nx", "a\\nb", "<|im_start|>", None, "assistant", "a\x00b\\\n\\-n"]
     rows = [(7, i, r, t) for i, (r, t) in enumerate(zip(roles, said, strict=True))]
     df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string").withColumn("parts", C.text_part(F.col("text")))
     got = C.read_back(C.format_chats(df)).first()
