@@ -17,11 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import golomb
-from .frames import session, slim, without, written
+from .frames import id_key, less, session, slim, written
 from .textbuf import buffers, lowered
 
 #: Bits of a hash that a message carries below the owner's bits. With a million hashes an owner, a hash is a false suspect about once in 16 million.
@@ -91,7 +91,7 @@ def answers(sent: DataFrame) -> DataFrame:
 
 
 def marked(sent: DataFrame, replies: DataFrame) -> DataFrame:
-    """(doc_id, sha, suspect) of every row."""
+    """(doc_id, sha, suspect, row) of every row; `row` is its own number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,36 +100,47 @@ def marked(sent: DataFrame, replies: DataFrame) -> DataFrame:
                 suspect = golomb.flags(r["twice"], r["n"]) | golomb.flags(r["bitmap"], r["n"])
                 null = golomb.flags(r["nulls"], len(place))
                 shas = pa.FixedSizeBinaryArray.from_buffers(pa.binary(32), len(place), [None, pa.py_buffer(r["shas"])]).cast(pa.binary())
-                yield pa.record_batch([pa.array(np.frombuffer(r["ids"], "<i8"), mask=null), shas, pa.array(suspect[place])], names=["doc_id", "sha", "suspect"])
+                row = (np.int64(r["pid"]) << 40) + (np.int64(r["owner"]) << 28) + np.arange(len(place))
+                yield pa.record_batch([pa.array(np.frombuffer(r["ids"], "<i8"), mask=null), shas, pa.array(suspect[place]), pa.array(row)], names=["doc_id", "sha", "suspect", "row"])
 
     both = sent.select("pid", "owner", "n", "twice", "place", "ids", "nulls", "shas").join(replies, ["pid", "owner"])
-    return both.select("n", "twice", "bitmap", "place", "ids", "nulls", "shas").mapInArrow(run, "doc_id bigint, sha binary, suspect boolean")
+    return both.select("pid", "owner", "n", "twice", "bitmap", "place", "ids", "nulls", "shas").mapInArrow(run, "doc_id bigint, sha binary, suspect boolean, row bigint")
 
 
-def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256) of every row; texts are equal if they are so after lower-casing A-Z alone.
+def normal(text_col: str) -> Column:
+    return F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER)
 
-    The largest id of a group stays. A null text is an empty one. A null id is never the one that stays unless its whole group has
-    null ids; then `keep_id` is null and `kept` true. Rows that repeat an id share its verdict. Other columns are ignored; no rows
-    give none. The suspects' ids select their texts through a broadcast up to `broadcast_rows` (8 MB of ids), else through a
-    shuffled semi-join.
-    """
-    spark = session(df)
+
+def _verdicts(df: DataFrame, id_col: str, text_col: str, broadcast_rows: int) -> DataFrame:
+    """(doc_id, sha, suspect, keep_id, group_size, kept) of every row."""
+    session(df)
     docs = slim(df, id_col, text_col)
     sent = written(messages(docs, owners_for(docs.rdd.getNumPartitions())), "messages")
     rows = written(marked(sent, answers(sent)), "marked")
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    ids = rows.where("suspect").select(key.alias("key")).distinct()
-    few = rows.where("suspect").count() <= broadcast_rows
-    texts = docs.select("doc_id", F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER).alias("normal"), key.alias("key"))
+    suspects = rows.where("suspect")
+    ids = suspects.select(id_key("doc_id").alias("key")).distinct()
+    few = suspects.count() <= broadcast_rows
+    texts = docs.select("doc_id", normal("text").alias("normal"), id_key("doc_id").alias("key"))
     texts = texts.join(F.broadcast(ids) if few else ids, "key", "left_semi")
     groups = texts.groupBy("normal").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).select(F.unhex(F.sha2("normal", 256)).alias("sha"), "keep_id", "group_size")
-    spread = rows.where("suspect").join(groups, "sha")
-    alone = rows.where("not suspect").select("sha", "doc_id", "suspect", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"))
-    out = spread.select(alone.columns).unionByName(alone)
-    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    top = suspects.groupBy("sha").agg(F.max(F.struct("doc_id", "row"))["row"].alias("top"))
+    spread = suspects.join(groups.join(top, "sha"), "sha").withColumn("kept", F.col("row") == F.col("top"))
+    alone = rows.where("not suspect").select("doc_id", "sha", "suspect", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"))
+    return spread.select(alone.columns).unionByName(alone)
+
+
+def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
+    """(doc_id, keep_id, group_size, kept, text_sha256) of every row; texts are equal if they are so after lower-casing A-Z alone.
+
+    Exactly one row of a group stays: that of the largest id, and if several rows repeat that id, one of them, whichever. A null text
+    is an empty one. A null id stays only if its whole group has null ids; then `keep_id` is null. Other columns are ignored; no rows
+    give none. The suspects' ids select their texts through a broadcast up to `broadcast_rows` (8 MB of ids), else through a shuffled
+    semi-join.
+    """
+    return _verdicts(df, id_col, text_col, broadcast_rows).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
-def keep_unique(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `df` that exact_dedup() keeps, with all their columns. Rows with a null id stay, as nothing names them."""
-    return without(df, id_col, exact_dedup(df, id_col, text_col).where("doc_id is not null and not kept").select("doc_id"))
+def keep_unique(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
+    """The rows of `df` that exact_dedup() keeps, with all their columns: one of each text. Rows are told apart by id and text, so an id that repeats over different texts loses none of them."""
+    rows = _verdicts(df, id_col, text_col, broadcast_rows).where("suspect").groupBy(id_key("doc_id").alias("key"), F.lower(F.hex("sha")).alias("own")).agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
+    return less(df, id_col, F.sha2(normal(text_col), 256), rows.where("not stays or n > 1").select("key", "own", "stays"), broadcast_rows)

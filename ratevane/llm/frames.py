@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch; with texts of a few KB a batch has a few MB.
@@ -56,7 +56,20 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = f"file://{tempfile.gettempdir()}/ratevane-shared"
         spark.sparkContext.setCheckpointDir(at)
-    return f"{at.rstrip('/')}/ratevane-{uuid.uuid4().hex}"
+    own = f"{at.rstrip('/')}/ratevane-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(own)
+    return own
+
+
+_made: dict[str, list[str]] = {}
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Deletes the tables that this session's operators left in the shared folder; what is still to be read from them must be done."""
+    jvm = spark.sparkContext._jvm
+    for at in _made.pop(spark.sparkContext.applicationId, []):
+        path = jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:
@@ -85,8 +98,27 @@ def filter_texts(df: DataFrame, text_col: str, keep: Callable[[pa.Array], pa.Arr
     return df.mapInArrow(run, df.schema)
 
 
-def without(df: DataFrame, id_col: str, gone: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """`df` less the rows whose id is in `gone` (one bigint column); null ids stay. Up to `broadcast_rows` ids (8 MB) are broadcast, more are joined by a shuffle."""
-    ids = written(gone.toDF("_gone").distinct(), "gone")
-    few = ids.count() <= broadcast_rows
-    return df.join(F.broadcast(ids) if few else ids, F.col(id_col).cast("bigint") == F.col("_gone"), "left_anti")
+#: Stands for a null id where ids are compared.
+NO_ID = -(1 << 63)
+
+
+def id_key(id_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
+
+
+def less(df: DataFrame, id_col: str, own: Column, marks: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """`df` less the rows that `marks` (key, own, stays) names by id_key() and `own`, a hash of the text; all other rows stay, null ids too.
+
+    Where `stays` is true, several rows have that id and text: one of them stays, whichever. Up to `broadcast_rows` marks are broadcast, more are joined by a shuffle.
+    """
+    marks = written(marks.toDF("__key", "__own", "__stays"), "marks")
+    few = marks.count() <= broadcast_rows
+
+    def named(side: DataFrame, how: str) -> DataFrame:
+        return df.join(F.broadcast(side) if few else side, (id_key(id_col) == F.col("__key")) & (own == F.col("__own")), how)
+
+    out, again = named(marks, "left_anti"), marks.where("__stays")
+    if again.isEmpty():
+        return out
+    one = named(again, "left_semi").withColumn("__key", id_key(id_col)).withColumn("__own", own).dropDuplicates(["__key", "__own"])
+    return out.union(one.select(df.columns))

@@ -103,7 +103,8 @@ WITH rows AS (
 SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM said""",
     "op10_exact_dedup": f"""
 WITH t AS (SELECT doc_id, {_LOW} AS normal FROM documents),
-     g AS (SELECT normal, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY normal)
-SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.normal) AS text_sha256
-FROM t JOIN g ON t.normal = g.normal""",
+     g AS (SELECT doc_id, normal, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+                  row_number() OVER (PARTITION BY normal ORDER BY doc_id DESC NULLS LAST) = 1 AS kept
+           FROM t WINDOW same AS (PARTITION BY normal))
+SELECT doc_id, keep_id, group_size, kept, sha256(normal) AS text_sha256 FROM g""",
 }

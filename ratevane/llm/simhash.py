@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import map_texts, session, slim, without, written
+from .frames import id_key, less, map_texts, session, slim, written
 from .textbuf import SPACE, chunks, lowered, word_spans
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -65,13 +65,13 @@ def majority(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of (doc_id, text)."""
+    """(doc_id, own, fp) of (doc_id, text); `own` is a hash of the text as it is."""
 
     def body(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = [majority(*shingle_hashes(data, off), to - at) for at, to, data, off in chunks(batch.column(1))]
-        return pa.record_batch([batch.column(0), pa.array(np.concatenate(made).view(np.int64))], names=["doc_id", "fp"])
+        return pa.record_batch([batch.column(0), batch.column(2), pa.array(np.concatenate(made).view(np.int64))], names=["doc_id", "own", "fp"])
 
-    return map_texts(docs, body, "doc_id bigint, fp bigint")
+    return map_texts(docs.select("doc_id", "text", F.xxhash64("text").alias("own")), body, "doc_id bigint, own bigint, fp bigint")
 
 
 def pivot_table(fp: np.ndarray) -> np.ndarray:
@@ -79,6 +79,18 @@ def pivot_table(fp: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fp[:, None] ^ PIVOTS)
 
 
+def with_pivots(fps: DataFrame) -> DataFrame:
+    """(fp, d0, d1): the pivot distance table, eight distances of one byte in an integer: computed once for each fingerprint and carried to wherever its pairs are judged."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                table = pivot_table(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)
+                yield pa.record_batch([batch.column(0), *(pa.array(np.ascontiguousarray(table[:, i])) for i in range(2))], names=["fp", "d0", "d1"])
+
+    return fps.mapInArrow(run, "fp bigint, d0 bigint, d1 bigint")
+
+
 def near(fp: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Which pairs (i, j) are within MAX_BITS: by the largest coordinate difference first, survivors by their bits."""
     alive = np.arange(len(i))
@@ -90,7 +102,7 @@ def near(fp: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.
     return alive[np.bitwise_count(fp[i[alive]] ^ fp[j[alive]]) <= MAX_BITS]
 
 
-def search(fp: np.ndarray, free: int) -> tuple[np.ndarray, np.ndarray]:
+def search(fp: np.ndarray, table: np.ndarray, free: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is near within one large bucket: spanning forests, not all pairs. `free`: bits that may differ."""
     if len(fp) > DEEP_BUCKET:
         bits = [b for b in range(64) if free >> b & 1]
@@ -103,18 +115,18 @@ def search(fp: np.ndarray, free: int) -> tuple[np.ndarray, np.ndarray]:
                 cut = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1], [True]]))
                 for s, e in zip(cut, cut[1:], strict=False):
                     if e - s > 1:
-                        x, y = search(fp[order[s:e]], free & ~mask) if e - s < len(fp) else forest(fp)
+                        own = order[s:e]
+                        x, y = search(fp[own], table[own], free & ~mask) if e - s < len(fp) else forest(fp, table)
                         a.append(x)
                         b.append(y)
             if not a:
                 return fp[:0], fp[:0]
             return np.concatenate(a), np.concatenate(b)
-    return forest(fp)
+    return forest(fp, table)
 
 
-def forest(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forest(fp: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Breadth first: what is found leaves the set that later fingerprints are compared with, so a dense bucket is soon empty."""
-    table = pivot_table(fp)
     order = np.argsort(table[:, 0], kind="stable")
     fp, table = fp[order], table[order]
     left, a, b = np.arange(len(fp)), [], []
@@ -141,7 +153,7 @@ def first_table(differ: np.ndarray) -> np.ndarray:
     return (alone * np.array(BLOCKS, np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
-def bucket_links(table_no: np.ndarray, key: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bucket_links(table_no: np.ndarray, key: np.ndarray, fp: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links within whole buckets; rows come sorted by (table, key)."""
     cut = np.flatnonzero(np.concatenate([[True], (table_no[1:] != table_no[:-1]) | (key[1:] != key[:-1]), [True]]))
     size = np.diff(cut)
@@ -150,8 +162,7 @@ def bucket_links(table_no: np.ndarray, key: np.ndarray, fp: np.ndarray) -> tuple
     bucket = np.repeat(np.arange(len(size)), size)
     rows = np.flatnonzero(small)
     if len(rows):
-        f, g = fp[rows], bucket[rows]
-        table = pivot_table(f)
+        f, g, table = fp[rows], bucket[rows], pivots[rows]
         for step in range(1, SMALL_BUCKET):
             i = np.flatnonzero(g[step:] == g[:-step])
             if not len(i):
@@ -161,7 +172,7 @@ def bucket_links(table_no: np.ndarray, key: np.ndarray, fp: np.ndarray) -> tuple
             a.append(f[hit])
             b.append(f[hit + step])
     for n in np.flatnonzero(size > SMALL_BUCKET):
-        x, y = search(fp[cut[n] : cut[n + 1]], (1 << 64) - 1 & ~TABLES[table_no[cut[n]]])
+        x, y = search(fp[cut[n] : cut[n + 1]], pivots[cut[n] : cut[n + 1]], (1 << 64) - 1 & ~TABLES[table_no[cut[n]]])
         a.append(x)
         b.append(y)
     return (np.concatenate(a), np.concatenate(b)) if a else (fp[:0], fp[:0])
@@ -171,10 +182,10 @@ def links(fps: DataFrame) -> DataFrame:
     """(a, b): links that connect all distinct fingerprints within MAX_BITS of each other; each is a true link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.zeros(0, np.int64)] * 3
+        held: list[np.ndarray] = [np.zeros(0, np.int64)] * 5
 
-        def found(t: np.ndarray, k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
-            x, y = bucket_links(t, k, f.view(np.uint64))
+        def found(t: np.ndarray, k: np.ndarray, f: np.ndarray, *distances: np.ndarray) -> pa.RecordBatch:
+            x, y = bucket_links(t, k, f.view(np.uint64), np.stack(distances, axis=1).view(np.uint8))
             x, y = x.view(np.int64), y.view(np.int64)
             pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
             return pa.record_batch([pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1]))], names=["a", "b"])
@@ -183,16 +194,28 @@ def links(fps: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             held = [np.concatenate([h, batch.column(i).to_numpy().astype(np.int64)]) for i, h in enumerate(held)]
-            t, k, f = held
+            t, k = held[:2]
             last = int(np.flatnonzero((t != t[-1]) | (k != k[-1]))[-1]) + 1 if (t[0], k[0]) != (t[-1], k[-1]) else 0  # the last bucket may go on
             if last > 50_000:
-                yield found(t[:last], k[:last], f[:last])
-                held = [t[last:], k[last:], f[last:]]
+                yield found(*(h[:last] for h in held))
+                held = [h[last:] for h in held]
         if len(held[0]):
             yield found(*held)
 
-    keyed = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in TABLES])).alias("tab", "key"))
-    return keyed.repartition("tab", "key").sortWithinPartitions("tab", "key").select("tab", "key", "fp").mapInArrow(run, "a bigint, b bigint")
+    keyed = with_pivots(fps).select("fp", "d0", "d1", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in TABLES])).alias("tab", "key"))
+    return keyed.repartition("tab", "key").sortWithinPartitions("tab", "key").select("tab", "key", "fp", "d0", "d1").mapInArrow(run, "a bigint, b bigint")
+
+
+def _grouped(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, own, fp, least, size) of every row: of its group the least (whether the id is null, id, own) and the number of rows."""
+    session(df)
+    prints = written(fingerprints(slim(df, id_col, text_col)), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "own")
+    own = written(prints.groupBy("fp").agg(F.min(row).alias("least"), F.count(F.lit(1)).alias("size")), "distinct")
+    label = components(links(own.select("fp")))
+    own = written(own.join(label.select(F.col("node").alias("fp"), "label"), "fp", "left").withColumn("label", F.coalesce("label", "fp")), "labels")
+    group = own.groupBy("label").agg(F.min("least").alias("least"), F.sum("size").alias("size"))
+    return prints.join(own.select("fp", "label").join(group, "label").drop("label"), "fp")
 
 
 def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -203,17 +226,15 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     an id or text are kept. Other columns are ignored; no rows give none. Equal fingerprints are one before any search, so groups of
     exact copies cost nothing; no search emits all pairs of a bucket.
     """
-    session(df)
-    prints = written(fingerprints(slim(df, id_col, text_col)), "fingerprints")
-    own = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    label = components(links(own.select("fp")))
-    own = own.join(label.select(F.col("node").alias("fp"), "label"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    own = written(own, "labels")
-    least = own.groupBy("label").agg(F.min("least").alias("component_id"))
-    member = own.join(least, "label").select("fp", "component_id")
-    return prints.join(member, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return _grouped(df, id_col, text_col).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("least.doc_id").alias("component_id"))
 
 
-def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `df` with the smallest id of their group, with all their columns. Rows with a null id stay, as nothing names them."""
-    return without(df, id_col, simhash_groups(df, id_col, text_col).where("doc_id <> component_id").select("doc_id"))
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
+    """One row of each group, with all its columns: that of the smallest id, null ids last, and of equal ids the one of the least hash of its text.
+
+    Rows are told apart by id and text, so an id that repeats over texts of different groups loses none of them.
+    """
+    rows = _grouped(df, id_col, text_col).where("size > 1")
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("own") == F.col("least.own"))
+    rows = rows.groupBy(id_key("doc_id").alias("key"), "own").agg(F.max(stays).alias("stays"), F.count(F.lit(1)).alias("n"))
+    return less(df, id_col, F.xxhash64(F.col(text_col).cast("string")), rows.where("not stays or n > 1").select("key", "own", "stays"), broadcast_rows)

@@ -13,11 +13,13 @@ def brute(rows):
     groups = defaultdict(list)
     for i, t in rows:
         groups[norm(t)].append(i)
-    out = []
+    out, stayed = [], set()
     for i, t in rows:
         own = groups[norm(t)]
         keep = max((x for x in own if x is not None), default=None)
-        out.append((i, keep, len(own), i == keep, hashlib.sha256(norm(t).encode()).hexdigest()))
+        out.append((i, keep, len(own), i == keep and norm(t) not in stayed, hashlib.sha256(norm(t).encode()).hexdigest()))
+        if i == keep:
+            stayed.add(norm(t))
     return Counter(out)
 
 
@@ -39,11 +41,18 @@ def test_no_rows(none):
     assert exact_dedup(none).collect() == []
 
 
-def test_keep_unique_keeps_columns(docs):
-    kept = keep_unique(docs)
-    assert kept.columns == docs.columns
-    got = kept.where("doc_id <> 3").collect()  # 3 is an id that repeats: its rows share a verdict
-    assert len({(r.text or "").lower() for r in got}) == len(got)
+def test_keep_unique_keeps_columns_and_one_row_of_each_text(docs, none):
+    for bound in (0, 1_000_000):
+        kept = keep_unique(docs, broadcast_rows=bound)
+        assert kept.columns == docs.columns
+        low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        assert Counter(low(r.text) for r in kept.collect()) == Counter({low(r.text) for r in docs.collect()})
+    assert keep_unique(none).collect() == [] and keep_unique(none).columns == none.columns
+
+
+def test_an_id_of_several_texts_loses_none(spark):
+    df = spark.createDataFrame([(5, "same text"), (9, "same text"), (5, "a text found nowhere else"), (None, "same TEXT"), (7, "x"), (7, "X")], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.text.lower()) for r in keep_unique(df).collect()) == [(5, "a text found nowhere else"), (7, "x"), (9, "same text")]
 
 
 def test_golomb_round_trip():

@@ -60,7 +60,7 @@ def test_links_of_crowds(monkeypatch):
         for t, mask in enumerate(S.TABLES):
             key = fp & np.uint64(mask)
             order = np.argsort(key, kind="stable")
-            x, y = S.bucket_links(np.full(len(fp), t), key[order], fp[order])
+            x, y = S.bucket_links(np.full(len(fp), t), key[order], fp[order], S.pivot_table(fp[order]))
             assert (np.bitwise_count(x ^ y) <= 4).all()
             a.append(x)
             b.append(y)
@@ -85,5 +85,29 @@ def test_no_rows(none):
     assert S.simhash_groups(none).collect() == []
 
 
-def test_keep_first(docs):
-    assert S.keep_first(docs).columns == docs.columns
+def test_keep_first(docs, none):
+    for bound in (0, 1_000_000):
+        kept = S.keep_first(docs, broadcast_rows=bound)
+        assert kept.columns == docs.columns
+        groups = S._grouped(docs, "doc_id", "text").select("fp", "least").distinct().collect()
+        assert sorted((str(r.doc_id), fingerprint(r.text)) for r in kept.collect()) == sorted((str(i), f) for i, f in {(r.least.doc_id, int(r.fp) % 2**64) for r in groups if fingerprint_of(docs, r.least) == int(r.fp) % 2**64})
+    assert S.keep_first(none).collect() == [] and S.keep_first(none).columns == none.columns
+
+
+def fingerprint_of(docs, least):
+    rows = [r.text for r in docs.collect() if r.doc_id == least.doc_id]
+    hashes = docs.sparkSession.createDataFrame([(t,) for t in rows], "text string").selectExpr("text", "xxhash64(text) AS own").collect()
+    return next(fingerprint(r.text) for r in hashes if r.own == least.own)
+
+
+def test_an_id_of_several_texts_loses_none(spark):
+    df = spark.createDataFrame([(5, "same text"), (9, "same text"), (5, "a text found nowhere else"), (None, "same text"), (9, "another one, alone here"), (7, "x"), (7, "x")], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.text) for r in S.keep_first(df).collect()) == [(5, "a text found nowhere else"), (5, "same text"), (7, "x"), (9, "another one, alone here")]
+
+
+def test_pivot_distances_are_carried(spark):
+    fp = crowd(3, 20)
+    df = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp bigint")
+    rows = S.with_pivots(df).collect()
+    table = {r.fp: np.array([r.d0, r.d1], np.int64).view(np.uint8).tolist() for r in rows}
+    assert table == dict(zip(fp.view(np.int64).tolist(), S.pivot_table(fp).tolist(), strict=True))
