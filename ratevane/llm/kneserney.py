@@ -1,15 +1,19 @@
-"""Interpolated modified Kneser-Ney n-gram model of words: counted in Spark, stored as sorted hash arrays, memory-mapped by workers.
+"""Interpolated modified Kneser-Ney trigrams of words: counted in Spark, stored as sorted hash arrays, memory-mapped by workers.
 
-Level k of the model has the k-grams. A k-gram is a major hash (64 bits of its context; of the word itself at level 1) and a minor one
-(32 bits of its last word). The major hash's top bits name an owner, so all of a context meets in one task, and one shuffle a level
-brings it counts (top level) or the distinct words before it (below). An owner writes its arrays to the shared folder; workers map
-them, so that what they score with is in no heap and is shared by all workers of a machine.
+A word is a 64-bit hash. One shuffle brings each trigram to the owner of its middle word, so an owner sees all of its trigrams' contexts,
+and all that stands around a middle word: it has the third level whole, and counts the distinct words before each bigram for the second.
+What the first level needs, the distinct words before a word, adds up over owners and goes to the words' owners by a second, small
+shuffle. Middle words so frequent that a bounded sample shows it are dealt over several owners by the word before; the partial counts of
+their bigrams are added up by the second shuffle. The sample decides only who counts what, never a count.
+
+An owner writes its arrays to the shared folder, one file a level; workers map them, so that what they score with is in no heap and is
+shared by all workers of a machine.
 """
 
 from __future__ import annotations
 
-import io
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,13 +25,24 @@ from .charlm import amounts
 from .frames import map_texts, session, shared_dir, slim
 from .textbuf import chunks, lowered, mix, span_hashes, word_spans
 
-ORDER = 2
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
-#: Tokens that a counting task gathers before it sends their distinct n-grams on.
+#: Tokens that a counting task gathers before it sends their distinct trigrams on.
 FLUSH_TOKENS = 1_500_000
 #: Bytes of text that one vectorised step of scoring handles.
 SCORE_BYTES = 2 << 20
+#: Texts, chosen by a hash, in which frequent words are looked for.
+SAMPLE_TEXTS = 20_000
+#: A word with this share of an owner's fair part is dealt over several owners.
+HOT = 0.5
+#: Entries of a bucket of the third level, and of a context whose sums aren't stored but added up when asked for.
+BUCKET, SHORT = 64, 8
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_ROW = "kind int, owner int, tag int, n int, major binary, older binary, minor binary, count binary"
+_NAMES = [x.split()[0] for x in _ROW.split(", ")]
+_KINDS = [pa.int32()] * 4 + [pa.binary()] * 4
+#: Kinds of rows: counts of counts, words, bigrams of frequent words, trigrams; and what a row of words has.
+STATS, WORDS, FREQUENT, TRIGRAMS = range(4)
+USES, BEFORE, PAIRS = range(3)
 
 
 def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -41,41 +56,30 @@ def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, np.repeat(np.arange(n), words + 1)
 
 
-def history(token: np.ndarray, doc: np.ndarray, length: int) -> list[np.ndarray]:
-    """The tokens 1, 2, ... `length` places back; before a text's first stands BEGIN."""
-    out, n = [], len(token)
-    for k in range(1, length + 1):
-        back = np.full(n, BEGIN, np.uint64)
-        back[k:] = token[:-k] if k < n else token[:0]
-        back[k:][doc[k:] != doc[: max(0, n - k)]] = BEGIN
-        out.append(back)
+def back(token: np.ndarray, doc: np.ndarray, k: int, begin: object) -> np.ndarray:
+    """The token k places back; before a text's first stands `begin`."""
+    out = np.full(len(token), begin, token.dtype)
+    out[k:] = token[:-k] if k < len(token) else token[:0]
+    out[k:][doc[k:] != doc[: max(0, len(token) - k)]] = begin
     return out
 
 
-def contexts(back: list[np.ndarray]) -> list[np.ndarray]:
-    """Hashes of the last 1, 2, ... tokens."""
-    out, value = [], None
-    for b in back:
-        value = mix(b + _STEP) if value is None else mix(value * _STEP + b)
-        out.append(value)
-    return out
+def small(x: np.ndarray) -> np.ndarray:
+    """A hash's upper half; its order is kept."""
+    return (x >> np.uint64(32)).astype(np.uint32)
 
 
-def small(x: np.ndarray) -> np.ndarray:
-    return (x >> np.uint64(16)).astype(np.uint32)
+def runs(*keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal rows of sorted keys begins."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = False
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
 
 
-def grouped(major: np.ndarray, minor: np.ndarray, third: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The distinct rows in order, with the sums of their counts."""
-    order = np.lexsort((third, minor, major)) if len(third) else np.lexsort((minor, major))
-    major, minor, count = major[order], minor[order], count[order]
-    third = third[order] if len(third) else third
-    new = np.ones(len(major), bool)
-    new[1:] = (major[1:] != major[:-1]) | (minor[1:] != minor[:-1])
-    if len(third):
-        new[1:] |= third[1:] != third[:-1]
-    at = np.flatnonzero(new)
-    return major[at], minor[at], third[at] if len(third) else third, np.add.reduceat(count, at) if len(at) else count
+def summed(count: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(count, at) if len(at) else count[:0]
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -83,145 +87,296 @@ def planes(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
 
 
+def rising(x: np.ndarray) -> bytes:
+    """planes() of the differences, which are small where `x` rises."""
+    return planes(np.diff(x, prepend=x.dtype.type(0)))
+
+
 def unplanes(data: bytes, kind: type, n: int) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, n).T).view(kind).ravel() if data else np.zeros(0, kind)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, n).T).view(kind).ravel() if data else np.zeros(0, kind)
+
+
+def unrising(data: bytes, kind: type, n: int) -> np.ndarray:
+    return np.cumsum(unplanes(data, kind, n), dtype=kind)
+
+
+class Deal:
+    """Who counts what: owners by the middle word, of frequent ones by the word before too."""
+
+    def __init__(self, bits: int, hot: np.ndarray, parts: np.ndarray) -> None:
+        self.bits, self.hot, self.parts = bits, hot, parts
+
+    def top(self, x: np.ndarray) -> np.ndarray:
+        return (mix(x) >> np.uint64(64 - self.bits)).astype(np.int64)
 
+    def frequent(self, middle: np.ndarray) -> np.ndarray:
+        if not len(self.hot):
+            return np.zeros(len(middle), bool)
+        at = np.searchsorted(self.hot, middle)
+        at[at == len(self.hot)] = 0
+        return self.hot[at] == middle
 
-def count_rows(docs: DataFrame, order: int, bits: int) -> DataFrame:
-    """(level, owner, n, major, minor, third, count): blocks of distinct n-grams of a part of the texts, in order."""
-    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-    names = ["level", "owner", "n", "major", "minor", "third", "count"]
+    def trigram(self, middle: np.ndarray, older: np.ndarray) -> np.ndarray:
+        part = np.zeros(len(middle), np.uint64)
+        hit = np.flatnonzero(self.frequent(middle))
+        part[hit] = np.uint64(1) + mix(older[hit].astype(np.uint64)) % self.parts[np.searchsorted(self.hot, middle[hit])]
+        return self.top(middle + part * _STEP)
 
-    def block(level: int, major: np.ndarray, minor: np.ndarray, third: np.ndarray) -> pa.RecordBatch:
-        major, minor, third, count = grouped(major, minor, third, np.ones(len(major), np.int64))
-        owner = (major >> np.uint64(64 - bits)).astype(np.int64)
-        cut = np.searchsorted(owner, np.arange((1 << bits) + 1))
-        rows = []
-        for o in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-            s = slice(cut[o], cut[o + 1])
-            rows.append((level, o, int(cut[o + 1] - cut[o]), planes(np.diff(major[s], prepend=np.uint64(0))), planes(minor[s]), planes(third[s]) if len(third) else b"", planes(count[s].astype(np.uint32))))
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    def word(self, minor: np.ndarray) -> np.ndarray:
+        return self.top(minor.astype(np.uint64))
+
+
+def dealt(owner: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(owner, its rows in their order)."""
+    if not len(owner):
+        return
+    order = np.argsort(owner, kind="stable")
+    at = runs(owner[order])
+    for o, a, b in zip(owner[order][at].tolist(), at.tolist(), np.append(at[1:], len(order)).tolist(), strict=True):
+        yield o, order[a:b]
+
+
+def record(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(_KINDS)
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, _KINDS, strict=True)], names=_NAMES)
+
+
+def count_rows(docs: DataFrame, deal: Deal) -> DataFrame:
+    """Blocks of distinct trigrams and words of parts of the texts, a row for each owner."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            token = np.concatenate([t for t, _ in held])
+        def flush() -> pa.RecordBatch:
             base, doc = 0, []
             for _, d in held:
                 doc.append(d + base)
                 base += int(d[-1]) + 1
-            back = history(token, np.concatenate(doc), order)
-            context = contexts(back[: order - 1])
-            yield block(1, mix(token), small(back[0]), np.zeros(0, np.uint32))
-            for k in range(2, order + 1):
-                yield block(k, context[k - 2], small(token), small(back[k - 1]) if k < order else np.zeros(0, np.uint32))
+            doc = np.concatenate(doc)
+            vocabulary, rank = np.unique(np.append(np.concatenate([t for t, _ in held]), BEGIN), return_inverse=True)
+            rank, begin = rank[:-1], rank[-1]
+            older, middle, w = back(rank, doc, 2, begin), back(rank, doc, 1, begin), int(len(vocabulary)).bit_length()
+            if 3 * w <= 63:
+                key, count = np.unique(middle << (2 * w) | older << w | rank, return_counts=True)
+                middle, older, last = key >> (2 * w), key >> w & ((1 << w) - 1), key & ((1 << w) - 1)
+            else:
+                order = np.lexsort((rank, older, middle))
+                middle, older, last = middle[order], older[order], rank[order]
+                at = runs(middle, older, last)
+                middle, older, last, count = middle[at], older[at], last[at], np.diff(np.append(at, len(order)))
+            b, a, c, count = vocabulary[middle], small(vocabulary[older]), small(vocabulary[last]), count.astype(np.uint32)
+            rows = [(TRIGRAMS, o, 0, len(s), rising(b[s]), rising(a[s]), planes(c[s]), planes(count[s])) for o, s in dealt(deal.trigram(b, a))]
+            uses = np.bincount(rank, minlength=len(vocabulary)).astype(np.uint32)
+            word, uses = vocabulary[uses > 0], uses[uses > 0]
+            rows += [(WORDS, o, USES, len(s), rising(word[s]), b"", b"", planes(uses[s])) for o, s in dealt(deal.word(small(word)))]
+            return record(rows)
 
         for batch in batches:
             for _, _, data, off in chunks(batch.column(0)) if batch.num_rows else ():
                 held.append(tokens(data, off))
                 size += len(held[-1][0])
                 if size >= FLUSH_TOKENS:
-                    yield from flush()
+                    yield flush()
                     held, size = [], 0
         if held:
-            yield from flush()
+            yield flush()
 
-    return docs.mapInArrow(run, "level int, owner int, n int, major binary, minor binary, third binary, count binary")
+    return docs.mapInArrow(run, _ROW)
 
 
-def _save(folder: str, name: str, array: np.ndarray) -> None:
-    """An array as a file that appears whole or not at all, whichever attempt of a task writes it."""
+def _save(folder: str, arrays: dict[str, np.ndarray]) -> None:
+    """Arrays as one file that appears whole or not at all, whichever attempt of a task writes it; numbers take as few bytes as they need."""
     import uuid
 
     from pyarrow import fs
 
-    store, at = fs.FileSystem.from_uri(folder)
-    store.create_dir(at, recursive=True)
-    part = f"{at}/.{name}.{uuid.uuid4().hex}"
+    kept = {k: a if a.dtype.kind != "u" or not len(a) or k in ("major", "minor") else a.astype(np.min_scalar_type(int(a.max()))) for k, a in arrays.items()}
+    head, at = {}, 0
+    for k, a in kept.items():
+        head[k] = [a.dtype.str, len(a), at]
+        at += -(-a.nbytes // 8) * 8
+    text = json.dumps(head).encode()
+    text += b" " * (-(len(text) + 8) % 64)
+    store, where = fs.FileSystem.from_uri(folder)
+    parent, _, name = where.rpartition("/")
+    store.create_dir(parent, recursive=True)
+    part = f"{parent}/.{name}.{uuid.uuid4().hex}"
     with store.open_output_stream(part) as out:
-        np.lib.format.write_array(out, array, allow_pickle=False)
-    store.move(part, f"{at}/{name}.npy")
+        out.write(len(text).to_bytes(8, "little") + text)
+        for a in kept.values():
+            out.write(a.tobytes() + b"\0" * (-a.nbytes % 8))
+    store.move(part, where)
 
 
-def _load(folder: str, name: str) -> np.ndarray:
-    """The array, memory-mapped where the shared folder is one of the file system's; else read."""
+def _load(file: str) -> dict[str, np.ndarray]:
+    """The arrays, memory-mapped where the shared folder is one of the file system's; else read."""
     from pyarrow import fs
 
-    store, at = fs.FileSystem.from_uri(folder)
+    store, at = fs.FileSystem.from_uri(file)
     if store.type_name == "local":
-        return np.load(f"{at}/{name}.npy", mmap_mode="r")
-    with store.open_input_stream(f"{at}/{name}.npy") as file:
-        return np.lib.format.read_array(io.BytesIO(file.read()), allow_pickle=False)
+        raw = np.memmap(at, np.uint8, "r")
+    else:
+        with store.open_input_stream(at) as stream:
+            raw = np.frombuffer(stream.read(), np.uint8)
+    base = 8 + int.from_bytes(raw[:8].tobytes(), "little")
+    return {k: raw[base + o : base + o + n * np.dtype(t).itemsize].view(t) for k, (t, n, o) in json.loads(raw[8:base].tobytes()).items()}
 
 
-class Model:
-    """Where the arrays are, and what holds of all of them: kept in a few hundred bytes."""
+@lru_cache(16_384)
+def _mapped(file: str) -> dict[str, np.ndarray]:
+    return _load(file)
+
+
+def counts_of(count: np.ndarray) -> list[int]:
+    """How many counts are 1, 2, 3, 4, how many 3 or more, and their sum."""
+    return [*(int((count == k).sum()) for k in (1, 2, 3, 4)), int((count >= 3).sum()), int(count.sum())]
+
 
-    def __init__(self, folder: str, order: int, bits: int, train_tokens: int, distinct: int, off: list[np.ndarray], owners: list[set[int]], first: tuple[float, float]) -> None:
-        self.folder, self.order, self.bits, self.train_tokens, self.distinct = folder, order, bits, train_tokens, distinct
-        self.off, self.owners, self.first = off, owners, first
+def capped(count: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts in a byte each; those of 255 or more stand apart."""
+    over = np.flatnonzero(count >= 255)
+    return {"n": np.minimum(count, 255).astype(np.uint8), "over": over.astype(np.uint64), "full": count[over].astype(np.uint64)}
 
-    def arrays(self, level: int, owner: int) -> dict[str, np.ndarray]:
-        return _mapped(self.folder, level, owner)
 
-    def _parts(self, level: int, major: np.ndarray) -> Iterator[tuple[np.ndarray, dict[str, np.ndarray]]]:
-        """For each owner asked for: the places in `major`, which ascends, and its arrays."""
-        owner = (major >> np.uint64(64 - self.bits)).astype(np.int64)
-        cut = np.searchsorted(owner, np.arange((1 << self.bits) + 1))
-        for o in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-            if o in self.owners[level - 1]:
-                yield np.arange(cut[o], cut[o + 1]), self.arrays(level, o)
+def counts_at(a: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
+    n = a["n"][at].astype(np.int64)
+    full = np.flatnonzero(n == 255)
+    if len(full):
+        n[full] = a["full"][np.searchsorted(a["over"], at[full])]
+    return n
+
+
+def sums(count: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+    """Of each run that begins at `at`: its total, and how many counts are 1, 2, and 3 or more."""
+    out = {"total": summed(count, at)} | {f"n{k}": summed((count == k if k < 3 else count >= 3).astype(np.int64), at) for k in (1, 2, 3)}
+    return {k: v.astype(np.uint64) for k, v in out.items()}
+
+
+def context(middle: np.ndarray, older: np.ndarray) -> np.ndarray:
+    return mix(mix(middle + _STEP) * _STEP + older.astype(np.uint64))
+
+
+def third_level(middle: np.ndarray, older: np.ndarray, minor: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
+    """Trigrams in buckets of their context's first bits; in a bucket by 24 more bits of the context and 24 of the word, six bytes in all."""
+    k = min(16, max(8, int(len(minor) // BUCKET).bit_length()))
+    key = (context(middle, older) >> np.uint64(40 - k)) << np.uint64(24) | (minor >> np.uint32(8)).astype(np.uint64)
+    order = np.argsort(key)
+    key = key[order]
+    at = runs(key)
+    key, count = key[at], summed(count[order], at)
+    begin = runs(key >> np.uint64(24))
+    size = np.diff(np.append(begin, len(key)))
+    total = sums(count, begin)
+    long = size > SHORT
+    out = {"start": np.searchsorted(key >> np.uint64(48), np.arange((1 << k) + 1, dtype=np.uint64)).astype(np.uint64), "long": begin[long].astype(np.uint64)}
+    out |= {name: (key >> np.uint64(s)).astype(np.uint16) for name, s in (("high", 32), ("mid", 16), ("low", 0))}
+    return out | {name: v[long] for name, v in total.items()} | capped(count)
+
+
+def lower_bound(key: Callable[[np.ndarray], np.ndarray], lo: np.ndarray, hi: np.ndarray, want: np.ndarray) -> np.ndarray:
+    """The first place from `lo` on, `hi` at most, whose key isn't less than what is wanted."""
+    lo, hi = lo.copy(), hi.copy()
+    live = np.flatnonzero(lo < hi)
+    while len(live):
+        mid = (lo[live] + hi[live]) >> 1
+        less = key(mid) < want[live]
+        lo[live[less]] = mid[less] + 1
+        hi[live[~less]] = mid[~less]
+        live = live[lo[live] < hi[live]]
+    return lo
+
+
+def second_level(middle: np.ndarray, minor: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
+    at = runs(middle) if len(middle) else np.zeros(0, np.int64)
+    return {"major": middle[at], "start": np.append(at, len(middle)).astype(np.uint64), "minor": minor} | sums(count, at) | capped(count)
+
+
+class Model:
+    """Where the arrays are, and what holds of all of them: kept in a few hundred bytes and a bit for each owner."""
+
+    def __init__(self, folder: str, deal: Deal, train_tokens: int, distinct: int, off: list[np.ndarray], first: tuple[float, float], there: set[tuple[int, int]]) -> None:
+        self.folder, self.deal, self.train_tokens, self.distinct, self.off, self.first, self.there = folder, deal, train_tokens, distinct, off, first, there
+
+    def _parts(self, kind: int, owner: np.ndarray) -> Iterator[tuple[np.ndarray, dict[str, np.ndarray]]]:
+        """For each owner asked for: the places in `owner`, and its arrays."""
+        for o, rows in dealt(owner):
+            if (kind, o) in self.there:
+                yield rows, _mapped(f"{self.folder}/{kind}/{o}")
 
     def unigrams(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(uses in the training texts, probability) of distinct tokens."""
-        major = mix(token)
-        order = np.argsort(major)
-        major = major[order]
-        uses, kinds = np.zeros(len(major), np.int64), np.zeros(len(major), np.int64)
-        for rows, a in self._parts(1, major):
-            at = np.searchsorted(a["major"], major[rows])
+        uses, kinds = np.zeros(len(token), np.int64), np.zeros(len(token), np.int64)
+        for rows, a in self._parts(WORDS, self.deal.word(small(token))):
+            at = np.searchsorted(a["major"], token[rows])
             at[at == len(a["major"])] = 0
-            hit = a["major"][at] == major[rows]
+            hit = a["major"][at] == token[rows]
             uses[rows[hit]], kinds[rows[hit]] = a["uses"][at[hit]], a["kinds"][at[hit]]
         total, weight = self.first
-        p = np.full(len(major), 1.0 / (self.distinct + 1))
+        p = np.full(len(token), 1.0 / (self.distinct + 1))
         if total:
             p = np.maximum(kinds - self.off[0][np.minimum(kinds, 3)], 0) / total + weight * p
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        return uses[back], p[back]
-
-    def raise_level(self, level: int, context: np.ndarray, word: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Probabilities of words after contexts, from those after contexts one word shorter."""
-        order = np.argsort(context, kind="stable")
-        major, minor, p = context[order], word[order], lower[order].copy()
-        d = self.off[level - 1]
-        for rows, a in self._parts(level, major):
-            at = np.searchsorted(a["major"], major[rows])
-            at[at == len(a["major"])] = 0
-            hit = a["major"][at] == major[rows]
-            rows, at = rows[hit], at[hit]
-            total = a["total"][at].astype(np.float64)
-            p[rows] *= (d[1] * a["n1"][at] + d[2] * a["n2"][at] + d[3] * a["n3"][at]) / total
-            lo, hi, want = a["start"][at].astype(np.int64), a["start"][at + 1].astype(np.int64), minor[rows]
-            last = hi.copy()
-            live = np.flatnonzero(lo < hi)
-            while len(live):
-                mid = (lo[live] + hi[live]) >> 1
-                less = a["minor"][mid] < want[live]
-                lo[live[less]] = mid[less] + 1
-                hi[live[~less]] = mid[~less]
-                live = live[lo[live] < hi[live]]
-            there = np.flatnonzero(lo < last)
-            there = there[a["minor"][lo[there]] == want[there]]
-            c = a["count"][lo[there]].astype(np.int64)
-            p[rows[there]] += (c - d[np.minimum(c, 3)]) / total[there]
-        out = np.empty_like(p)
-        out[order] = p
-        return out
+        return uses, p
+
+    def _raised(self, p: np.ndarray, rows: np.ndarray, count: np.ndarray, total: np.ndarray, n: list[np.ndarray], d: np.ndarray) -> None:
+        p[rows] = (np.maximum(count - d[np.minimum(count, 3)], 0) + sum(x * y for x, y in zip(d[1:], n, strict=True)) * p[rows]) / total
+
+    def after_one(self, middle: np.ndarray, word: np.ndarray, p: np.ndarray) -> None:
+        """Probabilities of words after one word, from those after none."""
+        often = self.deal.frequent(middle)
+        for kind, chosen in ((TRIGRAMS + 1, np.flatnonzero(~often)), (FREQUENT, np.flatnonzero(often))):
+            for part, a in self._parts(kind, self.deal.top(middle[chosen])):
+                rows = chosen[part]
+                at = np.searchsorted(a["major"], middle[rows])
+                at[at == len(a["major"])] = 0
+                hit = a["major"][at] == middle[rows]
+                rows, at = rows[hit], at[hit]
+                lo, hi = a["start"][at].astype(np.int64), a["start"][at + 1].astype(np.int64)
+                found = lower_bound(lambda i, a=a: a["minor"][i], lo, hi, word[rows])
+                count = np.zeros(len(rows), np.int64)
+                there = np.flatnonzero(found < hi)
+                there = there[a["minor"][found[there]] == word[rows][there]]
+                count[there] = counts_at(a, found[there])
+                self._raised(p, rows, count, a["total"][at].astype(np.float64), [a[f"n{k}"][at].astype(np.float64) for k in (1, 2, 3)], self.off[1])
+
+    def after_two(self, middle: np.ndarray, older: np.ndarray, word: np.ndarray, p: np.ndarray) -> None:
+        """Probabilities of words after two words, from those after one."""
+        for rows, a in self._parts(TRIGRAMS, self.deal.trigram(middle, older)):
+            k = int(len(a["start"]) - 1).bit_length() - 1
+            x = context(middle[rows], older[rows]) >> np.uint64(40 - k)
+            bucket, rest = (x >> np.uint64(24)).astype(np.int64), (x & np.uint64(0xFFFFFF)) << np.uint64(24)
+
+            def key(i: np.ndarray, a: dict[str, np.ndarray] = a) -> np.ndarray:
+                return a["high"][i].astype(np.uint64) << np.uint64(32) | a["mid"][i].astype(np.uint64) << np.uint64(16) | a["low"][i]
+
+            lo, hi = a["start"][bucket].astype(np.int64), a["start"][bucket + 1].astype(np.int64)
+            lo = lower_bound(key, lo, hi, rest)
+            there = np.flatnonzero(lo < hi)
+            there = there[key(lo[there]) >> np.uint64(24) == rest[there] >> np.uint64(24)]
+            if not len(there):
+                continue
+            own, lo, rest = rows[there], lo[there], rest[there]
+            hi = lower_bound(key, lo, hi[there], rest + np.uint64(1 << 24))
+            want = rest | (word[own] >> np.uint32(8)).astype(np.uint64)
+            found = lower_bound(key, lo, hi, want)
+            count = np.zeros(len(own), np.int64)
+            at = np.flatnonzero(found < hi)
+            at = at[key(found[at]) == want[at]]
+            count[at] = counts_at(a, found[at])
+            total, n = np.zeros(len(own)), [np.zeros(len(own)) for _ in range(3)]
+            long = np.flatnonzero(hi - lo > SHORT)
+            place = np.searchsorted(a["long"], lo[long].astype(np.uint64))
+            total[long] = a["total"][place]
+            for k in (1, 2, 3):
+                n[k - 1][long] = a[f"n{k}"][place]
+            short = np.flatnonzero(hi - lo <= SHORT)
+            for j in range(SHORT):
+                short = short[lo[short] + j < hi[short]]
+                c = counts_at(a, lo[short] + j)
+                total[short] += c
+                for k in (1, 2, 3):
+                    n[k - 1][short] += np.minimum(c, 3) == k
+            self._raised(p, own, count, total, n, self.off[2])
 
     def score(self, data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
         """Of each text: tokens, known tokens, base score and log10 probability."""
@@ -230,57 +385,120 @@ class Model:
         distinct, inverse = np.unique(token, return_inverse=True)
         uses, p = self.unigrams(distinct)
         base = np.log10((uses + 0.1) / (self.train_tokens + 0.1 * (self.distinct + 1)))
-        p, word = p[inverse], small(token)
-        for k, context in enumerate(contexts(history(token, doc, self.order - 1)), 2):
-            p = self.raise_level(k, context, word, p)
+        p, word, middle, older = p[inverse], small(token), back(token, doc, 1, BEGIN), small(back(token, doc, 2, BEGIN))
+        self.after_one(middle, word, p)
+        self.after_two(middle, older, word, p)
         return {"n_tokens": np.diff(np.append(begin, len(doc))), "n_known": np.add.reduceat((uses > 0)[inverse].astype(np.int64), begin), "base_score": np.add.reduceat(base[inverse], begin), "score": np.add.reduceat(np.log10(p), begin)}
 
 
-@lru_cache(16_384)
-def _mapped(folder: str, level: int, owner: int) -> dict[str, np.ndarray]:
-    names = ("major", "uses", "kinds") if level == 1 else ("major", "start", "minor", "count", "total", "n1", "n2", "n3")
-    return {n: _load(f"{folder}/level{level}/owner{owner}", n) for n in names}
+def deal_for(docs: DataFrame, partitions: int, hot: float = HOT) -> Deal:
+    """Twice as many owners as partitions, from 16 to 16,384, and the words that a sample of texts shows to be too frequent for one of them."""
+    bits = min(14, max(4, (2 * partitions - 1).bit_length()))
+    scale = 1 << 30
+    n = max(1, docs.count())
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < min(scale, scale * SAMPLE_TEXTS // n + 1)).select("text")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, off in chunks(batch.column(0)) if batch.num_rows else ():
+                token, _ = tokens(data, off)
+                word, uses = np.unique(np.append(token, np.full(len(off) - 1, BEGIN)), return_counts=True)
+                often = uses * (8 << bits) >= len(token)
+                yield pa.record_batch([pa.array(np.append(word[often], np.uint64(0)).view(np.int64)), pa.array(np.append(uses[often], len(token)))], names=["word", "n"])
+
+    seen = sample.mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    total = seen.where("word = 0").select("n").first()
+    found = seen.where((F.col("word") != 0) & (F.col("n") * (1 << bits) >= hot * total["n"])).collect() if total else []  # fewer than 1 / hot times as many as owners
+    found = sorted((int(np.int64(r["word"]).view(np.uint64)), -(-4 * r["n"] * (1 << bits) // total["n"])) for r in found)
+    return Deal(bits, np.array([w for w, _ in found], np.uint64), np.array([p for _, p in found], np.uint64))
 
-def fit(docs: DataFrame, order: int = ORDER) -> Model:
-    """A Model of all texts of (text), of order 2 or more."""
-    if order < 2:
-        raise ValueError("the order is 2 or more")
+
+def fit(docs: DataFrame, hot: float = HOT) -> Model:
+    """A Model of all texts of (doc_id, text)."""
     spark = session(docs)
     folder = shared_dir(spark)
-    bits = min(12, max(4, (2 * docs.rdd.getNumPartitions() - 1).bit_length()))
+    deal = deal_for(docs, docs.rdd.getNumPartitions(), hot)
+
+    def stats(level: int, owner: int, count: np.ndarray, more: tuple[int, ...] = ()) -> tuple:
+        return STATS, owner, level, 0, b"", b"", b"", np.array([*counts_of(count), *more], np.int64).tobytes()
 
     def own(table: pa.Table) -> pa.Table:
-        level, owner = table["level"][0].as_py(), table["owner"][0].as_py()
-        parts: list[tuple[np.ndarray, ...]] = []
-        for row in zip(*[table[c] for c in ("n", "major", "minor", "third", "count")], strict=True):
+        kind, owner, parts = table["kind"][0].as_py(), table["owner"][0].as_py(), []
+        for row in zip(*[table[c] for c in ("n", "major", "older", "minor", "count")], strict=True):
             n, *raw = (v.as_py() for v in row)
-            parts.append((np.cumsum(unplanes(raw[0], np.uint64, n), dtype=np.uint64), unplanes(raw[1], np.uint32, n), unplanes(raw[2], np.uint32, n), unplanes(raw[3], np.uint32, n).astype(np.int64)))
-        major, minor, third, count = grouped(*(np.concatenate(c) for c in zip(*parts, strict=True)))
-        if len(third):  # below the top level a count is of the distinct words before an n-gram
-            major, minor, _, count = grouped(major, minor, third[:0], np.ones(len(major), np.int64))
-        at = np.flatnonzero(np.concatenate([[True], major[1:] != major[:-1]]))
-        start = np.append(at, len(major)).astype(np.int64)
-        to = f"{folder}/level{level}/owner{owner}"
-        if level == 1:
-            kinds = np.diff(start)
-            arrays = {"major": major[at], "uses": np.add.reduceat(count, at), "kinds": kinds}
-            seen = kinds
+            parts.append((unrising(raw[0], np.uint64, n), unrising(raw[1], np.uint32, n), unplanes(raw[2], np.uint32, n), unplanes(raw[3], np.uint32, n).astype(np.int64)))
+        major, older, minor, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+        del parts
+        if kind == WORDS:
+            order = np.argsort(major)
+            at = runs(major[order])
+            return pa.Table.from_batches([record([(WORDS, owner, USES, len(at), rising(major[order][at]), b"", b"", planes(summed(count[order], at).astype(np.uint64)))])])
+        order = np.lexsort((minor, older, major))
+        major, older, minor, count = major[order], older[order], minor[order], count[order]
+        at = runs(major, older, minor)
+        major, older, minor, count = major[at], older[at], minor[at], summed(count, at)
+        rows = [stats(3, owner, count)]
+        _save(f"{folder}/{TRIGRAMS}/{owner}", third_level(major, older, minor, count))
+        del older
+        order = np.lexsort((minor, major))
+        major, minor = major[order], minor[order]
+        at = runs(major, minor)
+        count = np.diff(np.append(at, len(major)))  # the distinct words before a bigram
+        major, minor = major[at], minor[at]
+        often = deal.frequent(major)
+        for o, s in dealt(deal.top(major[often])):
+            rows.append((FREQUENT, o, 0, len(s), rising(major[often][s]), b"", planes(minor[often][s]), planes(count[often][s].astype(np.uint64))))
+        for o, s in dealt(deal.word(minor[often])):
+            rows.append((WORDS, o, PAIRS, len(s), rising(major[often][s]), b"", planes(minor[often][s]), b""))
+        major, minor, count = major[~often], minor[~often], count[~often]
+        if len(major):
+            _save(f"{folder}/{TRIGRAMS + 1}/{owner}", second_level(major, minor, count))
+            word, kinds = np.unique(minor, return_counts=True)
+            for o, s in dealt(deal.word(word)):
+                rows.append((WORDS, o, BEFORE, len(s), b"", b"", planes(word[s]), planes(kinds[s].astype(np.uint64))))
+            rows.append(stats(2, owner, count))
+        return pa.Table.from_batches([record(rows)])
+
+    def finish(table: pa.Table) -> pa.Table:
+        kind, owner, out = table["kind"][0].as_py(), table["owner"][0].as_py(), []
+        got = [tuple(v.as_py() for v in row) for row in zip(*[table[c] for c in ("tag", "n", "major", "minor", "count")], strict=True)]
+        if kind == STATS:
+            out = [(tag, owner, TRIGRAMS + (tag == 2), np.frombuffer(count, np.int64).tolist()) for tag, _, _, _, count in got]
+        elif kind == FREQUENT:
+            parts = [(unrising(b, np.uint64, n), unplanes(c, np.uint32, n), unplanes(k, np.uint64, n).astype(np.int64)) for _, n, b, c, k in got]
+            major, minor, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+            order = np.lexsort((minor, major))
+            major, minor = major[order], minor[order]
+            at = runs(major, minor)
+            major, minor, count = major[at], minor[at], summed(count[order], at)
+            _save(f"{folder}/{FREQUENT}/{owner}", second_level(major, minor, count))
+            out = [(2, owner, FREQUENT, counts_of(count))]
         else:
-            arrays = {"major": major[at], "start": start, "minor": minor, "count": count.astype(np.uint32), "total": np.add.reduceat(count, at)}
-            arrays |= {f"n{k}": np.add.reduceat((count == k if k < 3 else count >= 3).astype(np.uint32), at) for k in (1, 2, 3)}
-            seen = count
-        for name, array in arrays.items():
-            _save(to, name, array)
-        stats = [len(at), int(count.sum()), *(int((seen == k).sum()) for k in (1, 2, 3, 4)), int((seen >= 3).sum()), int(seen.sum())]
-        return pa.table({"level": [level], "owner": [owner], "stats": pa.array([stats], pa.list_(pa.int64()))}, schema=pa.schema([("level", pa.int32()), ("owner", pa.int32()), ("stats", pa.list_(pa.int64()))]))
-
-    rows = count_rows(docs.select("text"), order, bits).groupBy("level", "owner").applyInArrow(own, "level int, owner int, stats array<bigint>").collect()  # a row for each level and owner
-    total = {k: np.sum([r["stats"] for r in rows if r["level"] == k] or [[0] * 8], axis=0) for k in range(1, order + 1)}
-    off = [amounts(total[k][2:6]) for k in range(1, order + 1)]
+            none = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
+            word, uses = (np.concatenate(c) for c in zip(*none, *[(unrising(b, np.uint64, n), unplanes(k, np.uint64, n)) for t, n, b, _, k in got if t == USES], strict=True))
+            pair = [(unrising(b, np.uint64, n), unplanes(c, np.uint32, n)) for t, n, b, c, _ in got if t == PAIRS]
+            minor = [unplanes(c, np.uint32, n) for t, n, _, c, _ in got if t == BEFORE]
+            kinds = [unplanes(k, np.uint64, n).astype(np.int64) for t, n, _, _, k in got if t == BEFORE]
+            if pair:  # of one frequent word and what follows it, each once
+                b, c = (np.concatenate(x) for x in zip(*pair, strict=True))
+                order = np.lexsort((b, c))
+                at = runs(c[order], b[order])
+                minor.append(c[order][at])
+                kinds.append(np.ones(len(at), np.int64))
+            minor, back_ = np.unique(np.concatenate(minor), return_inverse=True)
+            kinds = np.bincount(back_, weights=np.concatenate(kinds), minlength=len(minor)).astype(np.int64)
+            kinds = kinds[np.searchsorted(minor, small(word))]
+            _save(f"{folder}/{WORDS}/{owner}", {"major": word, "uses": uses, "kinds": kinds.astype(np.uint64)})
+            out = [(1, owner, WORDS, [*counts_of(kinds), len(word), int(uses.sum())])]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())), strict=True)], names=["level", "owner", "kind", "stats"])
+
+    counted = count_rows(docs.select("text"), deal).groupBy("kind", "owner").applyInArrow(own, _ROW)
+    rows = counted.groupBy("kind", "owner").applyInArrow(finish, "level int, owner int, kind int, stats array<bigint>").collect()  # a few rows for each owner
+    total = {k: np.sum([r["stats"] for r in rows if r["level"] == k] or [[0] * 8], axis=0) for k in (1, 2, 3)}
+    off = [amounts(total[k][:4]) for k in (1, 2, 3)]
     one = total[1]
-    weight = (off[0][1] * one[2] + off[0][2] * one[3] + off[0][3] * one[6]) / one[7] if one[7] else 1.0
-    return Model(folder, order, bits, int(one[1]), int(one[0]), off, [{r["owner"] for r in rows if r["level"] == k} for k in range(1, order + 1)], (float(one[7]), float(weight)))
+    weight = (off[0][1] * one[0] + off[0][2] * one[1] + off[0][3] * one[4]) / one[5] if one[5] else 1.0
+    return Model(folder, deal, int(one[7]), int(one[6]), off, (float(one[5]), float(weight)), {(r["kind"], r["owner"]) for r in rows})
 
 
 def held_out(id_col: str = "doc_id"):
@@ -288,16 +506,16 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 10 == 0, F.lit(False))
 
 
-def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
+def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: float = HOT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) of every row, learned from those not held out.
 
     A null or empty text is one token, its end. A null id isn't held out. Repeated rows count and are scored each. A word never seen
     has the uniform share of the lowest level. Without training texts every token has probability 1. Other columns are ignored; no
-    rows give none.
+    rows give none. `hot` is the share of an owner's fair part from which a word is dealt over several owners; no result depends on it.
     """
     session(df)
     docs = slim(df, id_col, text_col)
-    model = fit(docs.where(~held_out("doc_id")), order)
+    model = fit(docs.where(~held_out("doc_id")), hot)
 
     def body(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = [model.score(data, off) for _, _, data, off in chunks(batch.column(1), SCORE_BYTES)]

@@ -61,22 +61,22 @@ class Brute:
         return sum(math.log10((self.uses[w] + 0.1) / (self.n + 0.1 * (self.v + 1))) for w in split(text))
 
 
-@pytest.mark.parametrize("order", [2, 3, 4])
-def test_against_the_textbook(docs, order):
+@pytest.mark.parametrize("hot", [K.HOT, 0.001])
+def test_against_the_textbook(docs, hot):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
-    brute = Brute([t for i, t in rows if not held(i)], order)
+    brute = Brute([t for i, t in rows if not held(i)], 3)
     want = sorted((str(i), held(i), len(split(t)), sum(brute.uses[w] > 0 for w in split(t)), brute.n, round(brute.base(t), 6), round(brute.score(t), 6)) for i, t in rows)
-    got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in K.score_texts(docs, order=order).collect())
+    got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in K.score_texts(docs, hot=hot).collect())
     assert got == want
 
 
 def test_probabilities_sum_to_one():
     random.seed(1)
     texts = [" ".join(random.choice("abcde") for _ in range(random.randint(1, 9))) for _ in range(40)]
-    brute = Brute(texts, 2)
-    for context in ("a", "<s>", "zz"):
-        assert abs(sum(brute.p((context, w)) for w in [*"abcde", None, "unseen"]) - 1) < 1e-9
+    brute = Brute(texts, 3)
+    for context in (("a", "b"), ("<s>", "<s>"), ("zz", "a")):
+        assert abs(sum(brute.p((*context, w)) for w in [*"abcde", None, "unseen"]) - 1) < 1e-9
 
 
 def test_better_than_the_base_on_held_out_texts(spark):
@@ -97,3 +97,30 @@ def test_no_rows(none, spark):
     assert K.score_texts(none).collect() == []
     only = spark.createDataFrame([(i, "a b") for i in range(2000) if zlib.crc32(str(i).encode()) % 10 == 0][:3], "doc_id bigint, text string")
     assert {(r.train_tokens, r.n_known, r.score) for r in K.score_texts(only).collect()} == {(0, 0, 0.0)}
+
+
+def test_frequent_words_are_dealt_over_owners(spark):
+    import numpy as np
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["the", "the", f"w{rng.randint(0, 400)}"]) for _ in range(200)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    deal = K.deal_for(df, 8)
+    the = K.tokens(np.frombuffer(b"the", np.uint8), np.array([0, 3]))[0][:1]
+    assert deal.frequent(the).all() and len(set(deal.trigram(np.repeat(the, 500), np.arange(500, dtype=np.uint32) * 7_919).tolist())) > 4
+    got = [{r.doc_id: round(r.score, 6) for r in K.score_texts(df, hot=h).collect()} for h in (K.HOT, 1e9)]
+    assert got[0] == got[1]
+    brute = Brute([t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10], 3)
+    assert all(abs(got[0][i] - brute.score(t)) < 1e-5 for i, t in enumerate(texts))
+
+
+def test_large_counts_and_long_contexts():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    n = 5000
+    middle, older = rng.integers(0, 40, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), rng.integers(0, 9, n).astype(np.uint32)
+    minor = rng.integers(0, 1 << 32, n, dtype=np.uint32)
+    count = np.where(rng.random(n) < 0.05, rng.integers(255, 100_000, n), rng.integers(1, 5, n))
+    a = K.third_level(middle, older, minor, count)
+    assert K.counts_at(a, np.arange(n)).sum() == count.sum() and len(a["long"]) > 200 and (np.diff(a["start"].astype(np.int64)) >= 0).all()
