@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .textbuf import mix
+from .frames import session
+from .textbuf import chunks, mix
 
 ORDER = 4
 BLANK = 32
+#: Bytes of text whose windows one step counts.
+STEP_BYTES = 1 << 19
 _STEP = np.uint64(0x100000001B3)
 
 
@@ -28,7 +35,7 @@ def folded() -> np.ndarray:
 
 
 def letters(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-case letters of a chunk's texts with one blank between words and after the last, and the number of each one's text."""
+    """Lower-case letters of a chunk's texts with one blank between words and where non-letters follow the last, and the number of each one's text."""
     points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
     first = (data & 0xC0) != 0x80
     total = np.zeros(len(data) + 1, np.int64)
@@ -80,17 +87,46 @@ class Level:
     weight: np.ndarray
 
 
-def train(x: np.ndarray, doc: np.ndarray, alphabet: int, order: int = ORDER) -> list[Level]:
-    """Levels of order 1 to `order`. Orders below the top count the distinct characters before an n-gram, not its uses."""
-    seen = grams(x, doc, order)
-    before = [np.zeros(len(x), np.uint64)] * (order + 1)  # hash of the k - 1 characters before each place
-    for k in range(2, order + 1):
-        shifted = np.concatenate([np.full(1, 0, np.uint64), seen[k - 1][:-1]])
-        begin = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-        shifted[begin] = grams(np.full(1, BLANK, np.uint32), np.zeros(1, np.int64), order)[k - 1][0]
-        before[k] = shifted
-    keys, index, count = np.unique(seen[order], return_index=True, return_counts=True)
-    stack = [(order, keys, index, count)]
+def windows(x: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(older two, newer two, uses) of the distinct runs of ORDER characters: two characters in an integer, blanks before a text's start."""
+    at = np.arange(len(x))
+    begin = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(x) else at
+    inside = at - np.repeat(begin, np.diff(np.append(begin, len(x))))
+    pair = np.zeros((2, len(x)), np.int64)
+    for k in range(ORDER):
+        c = np.concatenate([np.full(min(k, len(x)), BLANK, np.uint32), x[: max(0, len(x) - k)]]).astype(np.int64)
+        c[inside < k] = BLANK
+        pair[1 - k // 2] |= c << (21 * (k % 2))
+    order = np.lexsort((pair[1], pair[0]))
+    old, new = pair[0][order], pair[1][order]
+    first = np.ones(len(x), bool)
+    first[1:] = (old[1:] != old[:-1]) | (new[1:] != new[:-1])
+    rows = np.flatnonzero(first)
+    return old[rows], new[rows], np.diff(np.append(rows, len(x)))
+
+
+def hashed(back: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of the last 0, 1, 2, ... characters of runs given by their last character, the one before it, and so on: those of grams()."""
+    value, power = np.zeros(len(back[0]) if back else 1, np.uint64), np.ones(1, np.uint64)
+    out = [np.zeros(len(value), np.uint64)]
+    for k, c in enumerate(back):
+        value = value + (c.astype(np.uint64) + np.uint64(1)) * power
+        power = power * _STEP
+        out.append(mix(value + np.uint64(k)))
+    return out
+
+
+def train_windows(old: np.ndarray, new: np.ndarray, uses: np.ndarray, alphabet: int, order: int = ORDER) -> list[Level]:
+    """Levels of order 1 to `order`, from distinct windows(). Orders below the top count the distinct characters before an n-gram, not its uses.
+
+    Memory follows the distinct windows, not the text.
+    """
+    mask = (1 << 21) - 1
+    back = [new & mask, new >> 21, old & mask, old >> 21][:order]
+    seen = hashed(back)
+    before = [np.zeros(len(old), np.uint64), *hashed(back[1:])]  # of order k: hash of the k - 1 characters before the last
+    keys, index, inverse = np.unique(seen[order], return_index=True, return_inverse=True)
+    stack = [(order, keys, index, np.bincount(inverse, weights=uses, minlength=len(keys)).astype(np.int64))]
     for k in range(order - 1, 0, -1):
         at = index
         keys, rep, count = np.unique(seen[k][at], return_index=True, return_counts=True)
@@ -112,6 +148,39 @@ def train(x: np.ndarray, doc: np.ndarray, alphabet: int, order: int = ORDER) ->
     return levels
 
 
+def train(x: np.ndarray, doc: np.ndarray, alphabet: int, order: int = ORDER) -> list[Level]:
+    """train_windows() of one stream of characters."""
+    return train_windows(*windows(x, doc), alphabet, order) if len(x) else []
+
+
+def counted_windows(texts: DataFrame, group: str) -> DataFrame:
+    """(group, old, new, uses): the distinct windows of all texts of each group, summed per step of text, per partition and by a shuffle."""
+    session(texts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names, codes = np.unique(np.array(batch.column(0).to_pylist(), object).astype(str), return_inverse=True)
+            for g, name in enumerate(names.tolist()):
+                for _, _, data, off in chunks(batch.column(1).filter(pa.array(codes == g)), STEP_BYTES):
+                    old, new, uses = windows(*letters(data, off))
+                    yield pa.record_batch([pa.array([name] * len(old), pa.string()), pa.array(old), pa.array(new), pa.array(uses.astype(np.int64))], names=["group", "old", "new", "uses"])
+
+    flat = texts.select(F.col(group).cast("string").alias("group"), "text").mapInArrow(run, "group string, old bigint, new bigint, uses bigint")
+    return flat.groupBy("group", "old", "new").agg(F.sum("uses").alias("uses"))
+
+
+def fitted(texts: DataFrame, group: str, alphabet: int) -> dict[str, list[Level]]:
+    """The levels of each group's texts. The driver gets the distinct windows alone, whose number the characters of the sample bound."""
+    table = counted_windows(texts, group).toArrow()
+    names, out = table["group"].to_numpy(zero_copy_only=False).astype(str), {}
+    for name in np.unique(names).tolist():
+        at = np.flatnonzero(names == name)
+        out[name] = train_windows(*(table[c].to_numpy()[at] for c in ("old", "new", "uses")), alphabet)
+    return out
+
+
 def find(keys: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places of `query` in sorted `keys`, which are there)."""
     if not len(keys):

@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .charlm import Level, Mixture, letters, train
+from .charlm import Mixture, fitted, letters
 from .frames import filter_texts, map_texts, session, slim
 from .textbuf import chunks
 
 #: Labelled rows of a language that are learned from, chosen by a hash of their id: the bound of the model's size (about 1.5 times as a most).
 SAMPLE_PER_LANGUAGE = 1500
+#: Characters of a language's sample: where its texts are so long that SAMPLE_PER_LANGUAGE of them have more, fewer rows are taken.
+SAMPLE_CHARS = 8_000_000
 #: One in so many of them is kept from the models, to calibrate the score and the rejection.
 HELD_BACK = 5
 #: Held-back texts from which a language has its own bound of rejection; one of fewer has the bound pooled over all languages.
@@ -26,7 +28,6 @@ ALPHABET = 20_000
 #: Bytes of text that one vectorised step handles.
 STEP_BYTES = 1 << 19
 UNDETERMINED = "und"
-_ARRAYS = {"keys": np.uint64, "logp": np.float64, "suffix": np.uint64, "before": np.uint64, "contexts": np.uint64, "weight": np.float64}
 
 
 class Identifier:
@@ -95,35 +96,24 @@ class Identifier:
 
 def learn(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Identifier | None:
     """An Identifier from (doc_id, text, lang). Every language is counted over all rows; the models are fitted on a bounded sample of each."""
-    size = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each language
+    seen = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text").cast("bigint")), F.lit(0)).alias("chars")).collect()  # a row for each language
+    size = {r["lang"]: r["n"] for r in seen}
     if not size:
         return None
     languages, scale = sorted(size), 1 << 30
-    limit = F.create_map(*[F.lit(v) for k in languages for v in (k, min(scale, int(scale * per_language / size[k]) + 1))])
+    share = {r["lang"]: min(1.0, per_language / r["n"], SAMPLE_CHARS / max(1, r["chars"])) for r in seen}
+    limit = F.create_map(*[F.lit(v) for k in languages for v in (k, min(scale, int(scale * share[k]) + 1))])
     sample = labelled.withColumn("_h", F.pmod(F.xxhash64("doc_id"), F.lit(scale))).where(F.col("_h") < limit[F.col("lang")])
     fold = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(HELD_BACK)) == 0
     few = [k for k in languages if size[k] < 4 * HELD_BACK]  # too few to keep any back
     sample = sample.withColumn("back", fold & ~F.col("lang").isin(few)).select("lang", "back", "text")
 
-    def fit(table: pa.Table) -> pa.Table:
-        xs, docs, base = [], [], 0
-        for _, _, data, off in chunks(table["text"], STEP_BYTES):
-            x, doc = letters(data, off)
-            xs.append(x)
-            docs.append(doc + base)
-            base += len(off)
-        rows = train(np.concatenate(xs), np.concatenate(docs), ALPHABET) if sum(map(len, xs)) else []
-        made = {"lang": [table["lang"][0].as_py()] * len(rows), "k": list(range(len(rows)))}
-        return pa.table({"lang": pa.array(made["lang"], pa.string()), "k": pa.array(made["k"], pa.int32())} | {a: pa.array([getattr(r, a).astype(t).tobytes() for r in rows], pa.binary()) for a, t in _ARRAYS.items()})
-
-    schema = "lang string, k int, " + ", ".join(f"{a} binary" for a in _ARRAYS)
-    rows = sample.where("not back").groupBy("lang").applyInArrow(fit, schema).collect()
-    models = {k: [Level(**{a: np.frombuffer(r[a], t) for a, t in _ARRAYS.items()}) for r in sorted((r for r in rows if r["lang"] == k), key=lambda r: r["k"])] for k in languages}
-    languages = [k for k in languages if models[k]]
+    models = fitted(sample.where("not back"), "lang", ALPHABET)
+    languages = [k for k in languages if models.get(k)]
     if not languages:
         return None
     out = Identifier(languages, Mixture([models[k] for k in languages], ALPHABET))
-    shared = labelled.sparkSession.sparkContext.broadcast(out)  # its size is bounded by the sample's
+    shared = labelled.sparkSession.sparkContext.broadcast(out)  # its size is bounded by the sample's distinct windows
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,6 +122,7 @@ def learn(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Ident
                 yield pa.record_batch([batch.column(0), pa.array(np.concatenate([n for n, _ in made])), pa.array([b.tobytes() for _, m in made for b in m], pa.binary())], names=["lang", "n", "bits"])
 
     back = [r for r in sample.where("back").select("lang", "text").mapInArrow(weigh, "lang string, n bigint, bits binary").collect() if r["lang"] in languages]
+    shared.unpersist()
     if back:
         out.calibrate(np.array([r["n"] for r in back]), np.stack([np.frombuffer(r["bits"], np.float64) for r in back]), np.array([languages.index(r["lang"]) for r in back]))
     return out

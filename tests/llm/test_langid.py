@@ -1,9 +1,10 @@
 import random
-
-from ratevane.llm import charlm, langid
+from collections import Counter, defaultdict
 
 import numpy as np
 
+from ratevane.llm import charlm, langid
+
 
 def test_models_sum_to_one():
     x = np.array([ord(c) for c in "abracadabra abra cad"], np.uint32)
@@ -62,3 +63,61 @@ def test_nothing_learned_and_no_rows(docs, none):
     assert len(rows) == docs.count() and {r.lang_pred for r in rows} == {"und"}
     assert langid.languages_of(none).collect() == []
     assert langid.languages_of(docs).count() == docs.count()
+
+
+def textbook(streams, alphabet, order):
+    """log10 p(c | context) of an interpolated modified Kneser-Ney model over tuples of characters, written from its definition."""
+    top = Counter()
+    for s in streams:
+        padded = " " * (order - 1) + s
+        top.update(padded[i - order + 1 : i + 1] for i in range(order - 1, len(padded)))
+    levels = {order: top}
+    for k in range(order - 1, 0, -1):
+        before = defaultdict(set)
+        for g in levels[k + 1]:
+            before[g[1:]].add(g[0])
+        levels[k] = Counter({g: len(s) for g, s in before.items()})
+
+    def probability(context, c):
+        k = len(context) + 1
+        counts = {g[-1]: n for g, n in levels[k].items() if g[:-1] == context}
+        lower = 1 / alphabet if k == 1 else probability(context[1:], c)
+        if not counts:
+            return lower
+        d = charlm.amounts(np.array([sum(n == j for n in levels[k].values()) for j in (1, 2, 3, 4)]))
+        total = sum(counts.values())
+        own = counts.get(c, 0)
+        return (own - d[min(own, 3)]) / total + sum(d[min(n, 3)] for n in counts.values()) / total * lower
+
+    return probability
+
+
+def test_the_model_is_the_textbooks(spark):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 8))) for _ in range(40)]
+    levels = charlm.fitted(spark.createDataFrame([("xx", t) for t in texts] + [("yy", None)], "lang string, text string").repartition(5), "lang", 100)
+    assert list(levels) == ["xx"]
+    model, want = charlm.Mixture([levels["xx"]], 100), textbook(texts, 100, charlm.ORDER)
+    for t in [*texts[:10], "ab zq e", "edcba"]:
+        x = np.array([ord(c) for c in t], np.uint32)
+        got = model.score(x, np.zeros(len(x), np.int64))[:, 0]
+        padded = " " * (charlm.ORDER - 1) + t
+        assert np.allclose(got, [np.log10(want(padded[i : i + charlm.ORDER - 1], padded[i + charlm.ORDER - 1])) for i in range(len(t))], atol=1e-5)
+
+
+def test_a_very_long_text_and_several_partitions_give_the_same_model(spark):
+    rng = random.Random(9)
+    long = made("xx", rng, 120_000)
+    x, doc = charlm.letters(np.frombuffer(long.encode(), np.uint8), np.array([0, len(long.encode())]))
+    got, want = charlm.fitted(spark.createDataFrame([("xx", long)], "lang string, text string"), "lang", 100)["xx"], charlm.train(x, doc, 100)
+    assert all(np.array_equal(a.keys, b.keys) and np.allclose(a.logp, b.logp) for a, b in zip(got, want, strict=True))
+    rows = [(i, made(lang := rng.choice(["xx", "yy"]), rng, 30), lang) for i in range(200)] + [(900, long, None)]
+    found = {r.doc_id: r for r in langid.languages_of(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert found[900].lang_pred == "xx" and not found[900].rejected
+
+
+def test_keep_identified(spark, docs, none):
+    kept = langid.keep_identified(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in langid.languages_of(docs).where("not rejected").collect())
+    assert langid.keep_identified(none).collect() == [] and langid.keep_identified(none).columns == none.columns
