@@ -124,7 +124,9 @@ def _verdicts(df: DataFrame, id_col: str, text_col: str, broadcast_rows: int) ->
     texts = texts.join(F.broadcast(ids) if few else ids, "key", "left_semi")
     groups = texts.groupBy("normal").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).select(F.unhex(F.sha2("normal", 256)).alias("sha"), "keep_id", "group_size")
     top = suspects.groupBy("sha").agg(F.max(F.struct("doc_id", "row"))["row"].alias("top"))
-    spread = suspects.join(groups.join(top, "sha"), "sha").withColumn("kept", F.col("row") == F.col("top"))
+    groups = written(groups.join(top, "sha"), "groups")
+    small = groups.count() <= broadcast_rows // 8  # of 56 bytes each; a join by a shuffle would bring a whole group to one task
+    spread = suspects.join(F.broadcast(groups) if small else groups, "sha").withColumn("kept", F.col("row") == F.col("top"))
     alone = rows.where("not suspect").select("doc_id", "sha", "suspect", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"))
     return spread.select(alone.columns).unionByName(alone)
 
