@@ -27,7 +27,7 @@ def parsed(text: Column) -> Column:
 def pieces(start: Column, end: Column) -> Column:
     """A window in minutes as same-day windows: one that runs past midnight is two; an end of 0 is midnight. Each with the days it lies after its start's."""
     stop = F.when(end == 0, MIDNIGHT).otherwise(end)
-    one = lambda a, b, d: F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"), F.lit(d).alias("later"))
+    one = lambda a, b, d: F.named_struct(F.lit("start"), a.cast("int"), F.lit("end"), b.cast("int"), F.lit("later"), F.lit(d))
     return F.when(start < stop, F.array(one(start, stop, 0))).when(start == stop, F.array().cast("array<struct<start:int,end:int,later:int>>")).otherwise(F.array(one(start, F.lit(MIDNIGHT), 0), one(F.lit(0), stop, 1)))
 
 
@@ -36,7 +36,7 @@ def utc(start: Column, end: Column, offset: Column) -> Column:
     a, b = start - offset, F.when(end == 0, MIDNIGHT).otherwise(end) - offset
     shift = F.floor(a / MIDNIGHT).cast("int")
     a, b = a - shift * MIDNIGHT, b - shift * MIDNIGHT
-    one = lambda x, y, d: F.struct(x.cast("int").alias("start"), y.cast("int").alias("end"), d.cast("int").alias("shift"))
+    one = lambda x, y, d: F.named_struct(F.lit("start"), x.cast("int"), F.lit("end"), y.cast("int"), F.lit("shift"), d.cast("int"))
     return F.when(b <= MIDNIGHT, F.array(one(a, b, shift))).otherwise(F.array(one(a, F.lit(MIDNIGHT), shift), one(F.lit(0), b - MIDNIGHT, shift + 1)))
 
 

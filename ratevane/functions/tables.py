@@ -42,7 +42,7 @@ class _Tables(HTMLParser):
 
     def _end_cell(self) -> None:
         if self.cell is not None:
-            self.tables[-1][-1] += [" ".join("".join(self.cell).split())] * self.span
+            self.tables[-1][-1] += [" ".join(" ".join(self.cell).split())] * self.span
             self.cell = None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:

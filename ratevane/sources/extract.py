@@ -63,7 +63,7 @@ def prices(pages: DataFrame, x: Extractor) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [money.amounts(t, before, after) for t in batch.column(5).to_pylist()]
-            value = [float(a[0]) / per * 1e6 if len(a) == 1 and not bad else None for a, bad in made]
+            value = [float(a[0].replace(',', '')) / per * 1e6 if len(a) == 1 and not bad else None for a, bad in made]
             yield pa.record_batch([*batch.columns[:5], pa.array(value, pa.float64()), pa.array([bad or len(set(a)) > 1 for a, bad in made], pa.bool_())], names=["url", "table_no", "row_no", "model_id", "axis", "value", "bad"])
 
     read = cells.mapInArrow(run, "url string, table_no int, row_no int, model_id string, axis string, value double, bad boolean")
