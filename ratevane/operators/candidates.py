@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ..schema import KEY
 
-#: Paths that a branch may touch, by kind; the first that fits names a path.
+# Paths that a merge owns, by kind; the first that fits names a path.
 PATH_KINDS = (
-    ("shard", r"^data/history/[^/]+\.ndjson$"),
-    ("catalog", r"^data/catalog/[^/]+\.json$"),
-    ("state", r"^state/.+$"),
-    ("docs", r"^[^/]+\.md$"),
+    ("exact", r"^(data/catalog/(billing-rules|models)\.json|tests/test_billing_rules\.py)$"),
+    ("shard", r"^data/history/[^/]*$"),
+    ("announce", r"^state/announce/(index\.json|[^/]*/[^/]*\.md)$"),
+    ("absence", r"^state/absence/[^/]*\.json$"),
 )
 
 
@@ -55,10 +55,9 @@ def path_kind(path: Column) -> Column:
     return F.coalesce(*[F.when(path.rlike(p), F.lit(k)) for k, p in PATH_KINDS], F.lit("other"))
 
 
-def branch_name(source: Column, key: Column) -> Column:
-    """A branch's name: a slug and the first 8 digits of the key's SHA-256."""
-    slug = F.regexp_replace(F.regexp_replace(F.lower(source), "[^a-z0-9]+", "-"), "^-|-$", "")
-    return F.concat(F.lit("rows/"), slug, F.lit("-"), F.substring(F.sha2(key, 256), 1, 8))
+def branch_name(key: Column, prefix: str = "rows/") -> Column:
+    """A branch's name: the key, each character that a name can't have as a hyphen, and the first 8 digits of its SHA-256, so that keys that look alike stay apart."""
+    return F.concat(F.lit(prefix), F.regexp_replace(key, "[^A-Za-z0-9._-]", "-"), F.lit("-"), F.substring(F.sha2(key, 256), 1, 8))
 
 
 def decoded(fragment: Column) -> Column:

@@ -51,6 +51,6 @@ def resold(provider_vendor: Column, vendor: Column) -> Column:
 
 
 def slug_collisions(rows: DataFrame, group: str, slug: str) -> DataFrame:
-    """`rows` with a path: the slug, and where it isn't alone in its group the first 8 digits of the url's SHA-256 behind it."""
+    """`rows` with the path of a channel: the slug, and where it isn't alone in its group the first 8 digits of the url's SHA-256 behind it."""
     n = F.count(F.lit(1)).over(Window.partitionBy(group, slug))
-    return rows.withColumn("collides", n > 1).withColumn("path", F.concat(F.col(group), F.lit("/"), F.col(slug), F.when(F.col("collides"), F.concat(F.lit("-"), F.substring(F.sha2("url", 256), 1, 8))).otherwise(""), F.lit(".md")))
+    return rows.withColumn("collides", n > 1).withColumn("path", F.concat(F.lit("state/announce/"), F.col(group), F.lit("/"), F.col(slug), F.when(F.col("collides"), F.concat(F.lit("-"), F.substring(F.sha2("url", 256), 1, 8))).otherwise(""), F.lit(".md")))

@@ -52,17 +52,30 @@ def last_errors(found: DataFrame, n: int = 6, order: str = "pos") -> DataFrame:
     return found.where("class = 'hard'").withColumn("back", F.row_number().over(w)).where(F.col("back") <= n)
 
 
-def verdicts(comments: DataFrame, head: str = "head", order: str = "pos") -> DataFrame:
-    """(number, verdict, stamp, bound): the last comment whose final line is a verdict stands; a stamp other than the head leaves no verdict."""
-    final = F.regexp_extract("body", r"(?:^|\n)automerge: (yes|no)(?: ([0-9a-f]+))?\s*$", 0)
-    parsed = comments.withColumn("_f", final).where("_f <> ''")
-    v = F.regexp_extract("_f", r"automerge: (yes|no)", 1)
-    sha = F.nullif(F.regexp_extract("_f", r"automerge: (?:yes|no) ([0-9a-f]+)", 1), F.lit(""))
-    one = parsed.groupBy("number", head).agg(F.max_by(F.struct(v.alias("said"), sha.alias("stamp")), order).alias("x"))
+def verdict_line(body: Column) -> Column:
+    """The last line that is a verdict, as (said, stamp): a stamp has 7 to 64 hexadecimal digits; null without such a line."""
+    line = r"^\s*automerge: (yes|no)(?: ([0-9a-f]{7,64}))?\s*$"
+    found = F.try_element_at(F.filter(F.split(body, "\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029]"), lambda x: x.rlike(line)), F.lit(-1))
+    return F.when(found.isNotNull(), F.struct(F.regexp_extract(found, line, 1).alias("said"), F.nullif(F.regexp_extract(found, line, 2), F.lit("")).alias("stamp")))
+
+
+def verdicts(comments: DataFrame, bot: str, head: str = "head", order: str = "pos") -> DataFrame:
+    """(number, verdict, stamp, bound): the bot's last comment with a verdict stands; a stamp other than the head leaves no verdict."""
+    parsed = comments.where(F.col("author") == bot).withColumn("_v", verdict_line(F.col("body"))).where("_v is not null")
+    one = parsed.groupBy("number", head).agg(F.max_by("_v", order).alias("x"))
     bound = F.col("x.stamp").isNotNull() & (F.col("x.stamp") == F.col(head)) & (F.col(head) != "")
     return one.select("number", F.when(bound, F.col("x.said")).alias("verdict"), F.col("x.stamp").alias("stamp"), F.coalesce(bound, F.lit(False)).alias("bound"))
 
 
+def warning(found: DataFrame) -> DataFrame:
+    """One row, if there is any issue: providers with hard failures, then those that only skip, as one escaped command."""
+    from ..functions.text import command
+
+    g = issue_summary(found).agg(F.array_sort(F.collect_list(F.when(F.col("level") == "hard", F.col("provider")))).alias("hard"), F.array_sort(F.collect_list(F.when(F.col("level") == "soft", F.col("provider")))).alias("soft"))
+    parts = F.concat_ws("; ", F.when(F.size("hard") > 0, F.concat(F.lit("hard failures: "), F.array_join("hard", ", "))), F.when(F.size("soft") > 0, F.concat(F.lit("skips: "), F.array_join("soft", ", "))))
+    return g.where(parts != "").select(F.concat(F.lit("::warning::"), command(parts)).alias("warning"))
+
+
 def channel_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """(source, url, change): urls added, removed or of another hash between two snapshots."""
     a, b = before.select("source", "url", F.col("sha").alias("old")), after.select("source", "url", F.col("sha").alias("new"))

@@ -15,9 +15,13 @@ def matches(override: Column, day: Column, minute: Column, tokens: Column, mode:
 
     The contract writes windows as clock numbers (0730); `clock="minutes"` compares them with minutes of the day instead, as some readers do.
     """
-    when = override["when"]
     at = minute if clock == MINUTES else F.floor(minute / 60) * 100 + minute % 60
-    weekday = F.lower(F.date_format(day, "EEEE"))
+    return met(override, F.lower(F.date_format(day, "EEEE")), at, tokens, mode)
+
+
+def met(override: Column, weekday: Column, at: Column, tokens: Column, mode: Column) -> Column:
+    """matches() from a weekday's name and a clock number (or minute) that are columns already: they are computed once a row, not for every override."""
+    when = override["when"]
     in_days = when["days"].isNull() | F.array_contains(when["days"], weekday)
     in_window = when["window"].isNull() | ((at >= F.get(when["window"], 0)) & (at < F.get(when["window"], 1)))
     large = when["min_tokens"].isNull() | (tokens > when["min_tokens"])
@@ -51,10 +55,10 @@ def peak(base: Column, overrides: Column) -> Column:
 
 
 def ranked(costed: DataFrame, group: list[str], total: str = "total") -> DataFrame:
-    """`costed` with the group's cheapest total, its multiple (null for a null or zero cheapest) and the rank, null totals last."""
+    """`costed` with the group's cheapest total, its multiple (of a cheapest of nothing only nothing is once) and the rank, null totals last."""
     w = Window.partitionBy(*group)
     low = F.min(total).over(w)
-    return costed.withColumn("cheapest", low).withColumn("multiple", F.when(F.col("cheapest") > 0, F.col(total) / F.col("cheapest"))).withColumn("place", F.rank().over(w.orderBy(F.col(total).asc_nulls_last())))
+    return costed.withColumn("cheapest", low).withColumn("multiple", F.when(F.col("cheapest") > 0, F.col(total) / F.col("cheapest")).when((F.col("cheapest") == 0) & (F.col(total) == 0), 1.0)).withColumn("place", F.rank().over(w.orderBy(F.col(total).asc_nulls_last())))
 
 
 def per_million(cost: Column) -> Column:

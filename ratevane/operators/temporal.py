@@ -112,3 +112,23 @@ def current_era(chain: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
     """The solid priced item observed last; that of the key's newest priced row if it is solid."""
     priced = solid(chain).where(~F.coalesce("removed", F.lit(False)))
     return priced.groupBy(*key).agg(F.max_by(F.struct("valid_from", "valid_to", "rate_input"), F.struct("observed_at", "pos")).alias("era")).select(*key, "era.*")
+
+
+def charts(chain: DataFrame, value: str, key: tuple[str, ...] = KEY) -> DataFrame:
+    """(key, runs, start, finish, top, flat) of every key that is priced on some day: `runs` in order, each with its points (date, value) and its end (null: open).
+
+    The domain runs from the first point to the last run's end, null while that is open; `top` is the highest value, 0 at least; `flat`
+    tells that no value differs from it.
+    """
+    gap = F.coalesce("removed", F.lit(False)) | F.col(value).isNull()
+    w = Window.partitionBy(*key).orderBy("valid_from", "observed_at", "pos")
+    run = F.sum(gap.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    marked = solid(chain).withColumn("_gap", gap).withColumn("_run", run).withColumn("_next", F.lead("valid_from").over(w))
+    point = F.struct(F.col("valid_from").alias("date"), F.col(value).cast("double").alias("value"))
+    last = F.max_by("valid_to", F.struct("valid_from", "observed_at", "pos"))
+    each = marked.where(~F.col("_gap")).groupBy(*key, "_run").agg(F.array_sort(F.collect_list(F.struct("valid_from", "observed_at", "pos", point.alias("p")))).alias("points"), last.alias("end"))
+    each = each.select(*key, "_run", F.transform("points", lambda x: x["p"]).alias("points"), "end")
+    whole = each.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_run", "points", "end"))), lambda r: F.struct(r["points"].alias("points"), r["end"].alias("end"))).alias("runs"))
+    values = F.flatten(F.transform("runs", lambda r: F.transform(r["points"], lambda p: p["value"])))
+    top = F.greatest(F.array_max(values), F.lit(0.0))
+    return whole.select(*key, "runs", F.get("runs", 0)["points"][0]["date"].alias("start"), F.element_at("runs", -1)["end"].alias("finish"), top.alias("top"), F.forall(values, lambda v: v == top).alias("flat"))

@@ -162,13 +162,13 @@ def exact_line_union(spark, sf_dir):
 
 
 @query(
-    f"""WITH {OBS}, o AS (SELECT *, {_LINE} AS line, CAST(pos % 7 AS INT) AS branch FROM obs), b AS (SELECT * FROM o WHERE pos % 2 = 0 AND observed_at < '2024-01-12'), n AS (SELECT * FROM o WHERE pos % 2 = 1 AND line NOT IN (SELECT line FROM b))
+    f"""WITH {OBS}, o AS (SELECT *, {_LINE} AS line, CAST(pos % 7 AS INT) AS branch FROM obs), b AS (SELECT * FROM o WHERE pos % 2 = 0), n AS (SELECT * FROM o WHERE pos % 2 = 1 AND line NOT IN (SELECT line FROM b))
 SELECT n.branch, count(*) AS appended, count(DISTINCT CASE WHEN k2.source IS NULL THEN n.source || '/' || n.model_id END) AS created, count(*) FILTER (n.removed) AS removed
 FROM n LEFT JOIN (SELECT DISTINCT source, model_id FROM b) k2 ON n.source = k2.source AND n.model_id = k2.model_id GROUP BY 1"""
 )
 def churn_counts(spark, sf_dir):
     base, extra = _halves(spark, sf_dir)
-    return log.churn(_line(base.where("observed_at < '2024-01-12'")), _line(extra).withColumn("branch", (F.col("pos") % 7).cast("int")), "branch")
+    return log.churn(_line(base), _line(extra).withColumn("branch", (F.col("pos") % 7).cast("int")), "branch")
 
 
 @query(
@@ -215,8 +215,9 @@ def entries(spark, sf_dir):
 
 def sessions(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
+    minute = F.col("l_orderkey") % 1440
     mode = F.when(F.col("l_returnflag") == "A", "fast").when(F.col("l_returnflag") == "R", "quota").otherwise("")
-    return li.select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_quantity") * 20_000).cast("bigint").alias("tokens_in"), (F.col("l_linenumber") * 10_000).cast("bigint").alias("cached"), (F.col("l_partkey") % 50 * 1000).alias("tokens_out"), (F.col("l_orderkey") % 1440).alias("minute"), F.to_date("l_shipdate").alias("day"), mode.alias("mode"))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_quantity") * 20_000).cast("bigint").alias("tokens_in"), (F.col("l_linenumber") * 10_000).cast("bigint").alias("cached"), (F.col("l_partkey") % 50 * 1000).alias("tokens_out"), (F.col("l_orderkey") % 1440).alias("minute"), F.to_date("l_shipdate").alias("day"), mode.alias("mode"), T.weekday(F.to_date("l_shipdate")).alias("weekday"), (F.floor(minute / 60) * 100 + minute % 60).alias("clock"))
 
 
 _SESSION = """s AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity * 20000 AS BIGINT) AS tokens_in, CAST(l_linenumber * 10000 AS BIGINT) AS cached, l_partkey % 50 * 1000 AS tokens_out, l_orderkey % 1440 AS minute,
@@ -231,7 +232,7 @@ def _costed(spark, sf_dir):
     s, p = sessions(spark, sf_dir), entries(spark, sf_dir)
     c = F.col
     joined = s.join(p, s.l_partkey == p.p_partkey)
-    own = rates.effective(c("base"), c("overrides"), lambda o: rates.matches(o, c("day"), c("minute"), c("tokens_in") + c("cached"), c("mode")))
+    own = rates.effective(c("base"), c("overrides"), lambda o: rates.met(o, c("weekday"), c("clock"), c("tokens_in") + c("cached"), c("mode")))
     priced = joined.withColumn("rates", own)
     return priced.withColumn("total", rates.session_total(c("rates"), c("tokens_in"), c("cached"), c("tokens_out")))
 
@@ -248,7 +249,7 @@ def session_cost(spark, sf_dir):
 
 @query(
     f"""WITH {_SESSION}, r AS (SELECT l_orderkey, l_linenumber, total, min(total) OVER (PARTITION BY l_orderkey) AS low, rank() OVER (PARTITION BY l_orderkey ORDER BY total ASC NULLS LAST) AS place FROM c)
-SELECT l_orderkey, place, count(*) AS n, round(max(CASE WHEN low > 0 THEN total / low END), 6) AS multiple FROM r GROUP BY 1, 2"""
+SELECT l_orderkey, place, count(*) AS n, round(max(CASE WHEN low > 0 THEN total / low WHEN low = 0 AND total = 0 THEN 1.0 END), 6) AS multiple FROM r GROUP BY 1, 2"""
 )
 def cheapest_first(spark, sf_dir):
     r = rates.ranked(_costed(spark, sf_dir).select("l_orderkey", "l_linenumber", "total"), ["l_orderkey"])
@@ -261,11 +262,11 @@ def peak_rates(spark, sf_dir):
     return entries(spark, sf_dir).select("p_partkey", p["input"].alias("peak_input"), p["output"].alias("peak_output"), p["cache_read"].alias("peak_cache"))
 
 
-_FX = "fx AS (SELECT upper(substr(event_type, 1, 3)) AS currency, strftime(ts, '%Y-%m-%d') AS day, round(0.5 + min(value) / 100, 6) AS rate FROM events WHERE day(ts) % 5 = 2 GROUP BY 1, 2)"
+_FX = "fx AS (SELECT upper(substr(event_type, 1, 3)) AS currency, strftime(ts, '%Y-%m-%d') AS day, round(0.5 + min(value) / 100, 6) AS rate FROM events GROUP BY 1, 2)"
 
 
 def _fx(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where(F.dayofmonth("ts") % 5 == 2)
+    e = table(spark, sf_dir, "events")
     return e.groupBy(F.upper(F.substring("event_type", 1, 3)).alias("currency"), F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.round(0.5 + F.min("value") / 100, 6).alias("rate"))
 
 
@@ -385,25 +386,28 @@ def vendor_derive(spark, sf_dir):
 
 
 @query(
-    """WITH a AS (SELECT 'brand' || CAST(p_size AS VARCHAR) AS alias, CASE WHEN p_partkey % 3 > 0 THEN strftime(DATE '1995-01-01' + CAST(p_partkey % 40 * 30 AS INTEGER), '%Y-%m-%d') END AS f, CASE WHEN p_partkey % 5 > 0 THEN strftime(DATE '1995-01-01' + CAST(p_partkey % 40 * 30 + 60 AS INTEGER), '%Y-%m-%d') END AS t, CAST(p_partkey AS VARCHAR) AS canonical FROM part WHERE p_partkey < 500),
-p AS (SELECT o_orderkey, 'brand' || CAST(o_custkey % 50 AS VARCHAR) AS alias, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
+    """WITH a AS (SELECT 'brand' || CAST(p_partkey // 4 AS VARCHAR) AS alias, CASE WHEN p_partkey % 4 > 0 THEN strftime(DATE '1992-01-01' + CAST(p_partkey % 4 * 600 AS INTEGER), '%Y-%m-%d') END AS f,
+CASE WHEN p_partkey % 4 < 3 THEN strftime(DATE '1992-01-01' + CAST(p_partkey % 4 * 600 + 600 - p_partkey % 90 AS INTEGER), '%Y-%m-%d') END AS t, CAST(p_partkey AS VARCHAR) AS canonical FROM part),
+p AS (SELECT o_orderkey, 'brand' || CAST(o_custkey // 3 AS VARCHAR) AS alias, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
 SELECT p.o_orderkey, p.alias, p.day, a.canonical FROM p LEFT JOIN a ON p.alias = a.alias AND (f IS NULL OR f <= day) AND (t IS NULL OR day < t)"""
 )
 def alias_lookup(spark, sf_dir):
-    return _alias_lookup(spark, sf_dir, table(spark, sf_dir, "part").where("p_partkey < 500"))
+    return _alias_lookup(spark, sf_dir)
 
 
-def _alias_lookup(spark, sf_dir, parts):
-    base, n = F.to_date(F.lit("1995-01-01")), F.col("p_partkey")
-    at = (n % 40 * 30).cast("int")
-    a = parts.select(F.concat(F.lit("brand"), F.col("p_size").cast("string")).alias("alias"), F.when(n % 3 > 0, F.date_format(F.date_add(base, at), "yyyy-MM-dd")).alias("valid_from"), F.when(n % 5 > 0, F.date_format(F.date_add(base, at + 60), "yyyy-MM-dd")).alias("valid_to"), n.cast("string").alias("canonical"))
-    p = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("brand"), (F.col("o_custkey") % 50).cast("string")).alias("alias"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+def _alias_lookup(spark, sf_dir):
+    base, n = F.to_date(F.lit("1992-01-01")), F.col("p_partkey")
+    at = (n % 4 * 600).cast("int")
+    day = lambda d: F.date_format(F.date_add(base, d.cast("int")), "yyyy-MM-dd")
+    a = table(spark, sf_dir, "part").select(F.concat(F.lit("brand"), F.floor(n / 4).cast("string")).alias("alias"), F.when(n % 4 > 0, day(at)).alias("valid_from"), F.when(n % 4 < 3, day(at + 600 - n % 90)).alias("valid_to"), n.cast("string").alias("canonical"))
+    p = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("brand"), F.floor(F.col("o_custkey") / 3).cast("string")).alias("alias"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
     return catalog.alias_on(p, a)
 
 
 @query(
-    """WITH d AS (SELECT page_id, url, split_part(split_part(url, '://', 2), '/', 1) AS source, coalesce(nullif(list_last(string_split(regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[a-z]+://[^/]*', ''), '/+$', ''), '/')), ''), 'index') AS slug FROM pages)
-SELECT page_id, slug, count(*) OVER (PARTITION BY source, slug) > 1 AS collides, source || '/' || slug || CASE WHEN count(*) OVER (PARTITION BY source, slug) > 1 THEN '-' || substr(sha256(url), 1, 8) ELSE '' END || '.md' AS path FROM d"""
+    r"""WITH d AS (SELECT page_id, url, split_part(split_part(url, '://', 2), '/', 1) AS source, list_last(list_filter(string_split(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', ''), '/'), lambda x: x <> '')) AS last FROM pages),
+e AS (SELECT *, coalesce(nullif(regexp_replace(regexp_replace(lower(last), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'index') AS slug FROM d)
+SELECT page_id, slug, count(*) OVER (PARTITION BY source, slug) > 1 AS collides, 'state/announce/' || source || '/' || slug || CASE WHEN count(*) OVER (PARTITION BY source, slug) > 1 THEN '-' || substr(sha256(url), 1, 8) ELSE '' END || '.md' AS path FROM e"""
 )
 def channel_paths(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", "url", F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1)).alias("source"), T.slug(F.col("url")).alias("slug"))
@@ -468,17 +472,20 @@ def last_errors(spark, sf_dir):
 
 
 @query(
-    """WITH c AS (SELECT user_id AS number, event_id AS pos, 'h' || user_id % 3 AS x, CASE WHEN user_id % 2 = 0 THEN 'abc1' ELSE 'def2' END AS head, CASE event_type WHEN 'click' THEN 'yes' WHEN 'view' THEN 'no' END AS said, CASE WHEN event_id % 3 = 0 THEN 'abc1' WHEN event_id % 3 = 1 THEN 'def2' END AS stamp FROM events),
+    """WITH c AS (SELECT user_id AS number, event_id AS pos, CASE WHEN user_id % 2 = 0 THEN 'abc1234' ELSE 'def567890' END AS head, CASE event_type WHEN 'click' THEN 'yes' WHEN 'view' THEN 'no' END AS said,
+CASE event_id % 4 WHEN 0 THEN 'abc1234' WHEN 1 THEN 'def567890' END AS stamp FROM events WHERE event_id % 5 > 0 AND event_id % 4 < 3),
 l AS (SELECT number, head, arg_max(said, pos) AS said, arg_max(coalesce(stamp, ''), pos) AS stamp FROM c WHERE said IS NOT NULL GROUP BY 1, 2)
 SELECT number, CASE WHEN stamp = head THEN said END AS verdict, nullif(stamp, '') AS stamp, stamp = head AS bound FROM l"""
 )
 def verdict_fold(spark, sf_dir):
+    """The bot's verdict lines stand anywhere in a comment, the last one counts; every fifth comment is a reader's, every fourth has a stamp too short to be one."""
     e, i = table(spark, sf_dir, "events"), F.col("event_id")
     said = F.when(F.col("event_type") == "click", "yes").when(F.col("event_type") == "view", "no")
-    stamp = F.when(i % 3 == 0, " abc1").when(i % 3 == 1, " def2").otherwise("")
-    body = F.when(said.isNotNull(), F.concat(F.lit("looks fine\nautomerge: "), said, stamp)).otherwise("automerge: maybe")
-    rows = e.select(F.col("user_id").alias("number"), i.alias("pos"), F.when(F.col("user_id") % 2 == 0, "abc1").otherwise("def2").alias("head"), body.alias("body"))
-    return ops.verdicts(rows)
+    stamp = F.when(i % 4 == 0, " abc1234").when(i % 4 == 1, " def567890").when(i % 4 == 3, " abc12").otherwise("")
+    body = F.when(said.isNotNull(), F.concat(F.lit("automerge: yes 0000000\nlooks fine\n  automerge: "), said, stamp, F.lit("  \nthanks"))).otherwise("automerge: maybe")
+    body = F.when(said.isNotNull() & (i % 4 == 3), F.concat(F.lit("automerge: "), said, stamp)).otherwise(body)
+    rows = e.select(F.col("user_id").alias("number"), i.alias("pos"), F.when(i % 5 > 0, "bot").otherwise("reader").alias("author"), F.when(F.col("user_id") % 2 == 0, "abc1234").otherwise("def567890").alias("head"), body.alias("body"))
+    return ops.verdicts(rows, "bot")
 
 
 def _snapshots(spark, sf_dir):
@@ -495,11 +502,11 @@ def channel_changes(spark, sf_dir):
 
 
 @query(
-    """WITH r AS (SELECT 's' || page_id % 3 AS source, 'u' || page_id % 50 AS url, sha256(CAST(page_id AS VARCHAR)) AS sha, CAST(page_id % 4 AS VARCHAR) AS fetched, CASE WHEN page_id % 9 = 0 THEN 1 << 30 ELSE page_id END AS number FROM pages WHERE page_id % 9 <> 0 OR page_id < 450)
+    """WITH r AS (SELECT 's' || page_id % 3 AS source, 'u' || page_id % 50 AS url, sha256(CAST(page_id AS VARCHAR)) AS sha, CAST(page_id % 4 AS VARCHAR) AS fetched, CASE WHEN page_id % 9 = 0 THEN 1 << 30 ELSE page_id END AS number FROM pages)
 SELECT source, url, arg_max(sha, (fetched, number, CASE WHEN number = 1 << 30 THEN sha ELSE '' END)) AS sha, max(fetched) AS fetched, arg_max(number, (fetched, number)) = 1 << 30 AS from_base FROM r GROUP BY 1, 2"""
 )
 def resolved_channels(spark, sf_dir):
-    return _resolved_channels(spark, sf_dir, F.col("number") < 450)
+    return _resolved_channels(spark, sf_dir, F.lit(True))
 
 
 def _resolved_channels(spark, sf_dir, in_base):
@@ -616,7 +623,7 @@ def implausible_pairs(spark, sf_dir):
 
 
 @query(
-    f"""WITH {OBS}, o AS (SELECT *, {_LINE} AS line, CAST(pos % 7 AS INT) AS branch FROM obs), b AS (SELECT * FROM o WHERE pos % 2 = 0 AND observed_at < '2024-01-12'), n AS (SELECT * FROM o WHERE pos % 2 = 1 AND line NOT IN (SELECT line FROM b)),
+    f"""WITH {OBS}, o AS (SELECT *, {_LINE} AS line, CAST(pos % 7 AS INT) AS branch FROM obs), b AS (SELECT * FROM o WHERE pos % 2 = 0), n AS (SELECT * FROM o WHERE pos % 2 = 1 AND line NOT IN (SELECT line FROM b)),
 c AS (SELECT n.branch, count(*) AS appended, count(DISTINCT CASE WHEN k2.source IS NULL THEN n.source || '/' || n.model_id END) AS created, count(*) FILTER (n.removed) AS removed FROM n LEFT JOIN (SELECT DISTINCT source, model_id FROM b) k2 ON n.source = k2.source AND n.model_id = k2.model_id GROUP BY 1)
 SELECT branch, CASE WHEN created > 50 THEN 'created' WHEN removed > 50 THEN 'removed' WHEN appended > 500 THEN 'appended' END AS exceeds FROM c"""
 )
@@ -646,27 +653,27 @@ def product_terms(spark, sf_dir):
     return got.select(F.col("product").cast("bigint").alias("sku"), F.try_element_at("rates", F.lit("input")).alias("rate_in"), F.try_element_at("rates", F.lit("output")).alias("rate_out"), "effective")
 
 
-@query(f"WITH {OBS}, c AS (SELECT DISTINCT source, model_id FROM obs WHERE pos % 5 = 0) SELECT o.pos FROM obs o WHERE NOT removed AND pos % 5 = 1 AND NOT EXISTS (SELECT 1 FROM c WHERE c.source = o.source AND c.model_id = o.model_id)")
+@query(f"WITH {OBS}, c AS (SELECT DISTINCT source, model_id FROM obs WHERE k % 5 = 0) SELECT o.pos FROM obs o WHERE NOT removed AND k % 5 <> 0 AND NOT EXISTS (SELECT 1 FROM c WHERE c.source = o.source AND c.model_id = o.model_id)")
 def uncovered_rows(spark, sf_dir):
     o = observations(spark, sf_dir)
-    return merge.uncovered(o.where("pos % 5 = 1"), o.where("pos % 5 = 0")).select("pos")
+    return merge.uncovered(o.where("k % 5 <> 0"), o.where("k % 5 = 0")).select("pos")
 
 
 @query(
-    """WITH b AS (SELECT page_id % 30 AS url, max(page_id % 7) AS sha, max(page_id % 5) AS fetched FROM pages WHERE page_id % 3 = 0 GROUP BY 1), x AS (SELECT page_id AS number, page_id % 45 AS url, page_id % 7 AS sha, page_id % 5 AS fetched FROM pages WHERE page_id % 3 = 1)
+    """WITH b AS (SELECT page_id % 30 AS url, max(page_id % 7) AS sha, max(page_id % 5) AS fetched FROM pages WHERE page_id % 3 = 0 GROUP BY 1), x AS (SELECT page_id AS number, page_id % 45 AS url, page_id % 7 AS sha, page_id % 5 AS fetched FROM pages WHERE page_id % 3 <> 0)
 SELECT x.number, x.url FROM x LEFT JOIN b USING (url) WHERE b.sha IS NULL OR (x.sha <> b.sha AND x.fetched > b.fetched)"""
 )
 def channel_carriers(spark, sf_dir):
     p, i = table(spark, sf_dir, "pages"), F.col("page_id")
     base = p.where(i % 3 == 0).groupBy((i % 30).alias("url")).agg(F.max(i % 7).alias("sha"), F.max(i % 5).alias("fetched")).withColumn("source", F.lit("s"))
-    rows = p.where(i % 3 == 1).select(i.alias("number"), F.lit("s").alias("source"), (i % 45).alias("url"), (i % 7).alias("sha"), (i % 5).alias("fetched"))
+    rows = p.where(i % 3 != 0).select(i.alias("number"), F.lit("s").alias("source"), (i % 45).alias("url"), (i % 7).alias("sha"), (i % 5).alias("fetched"))
     return merge.carriers(base, rows).select("number", "url")
 
 
-@query(f"WITH {OBS}, d AS (SELECT DISTINCT source, model_id FROM obs WHERE pos % 3 = 0) SELECT source, model_id, NOT EXISTS (SELECT 1 FROM obs h WHERE h.source = d.source AND h.model_id = d.model_id AND h.pos % 11 = 4) AS emits FROM d WHERE NOT EXISTS (SELECT 1 FROM obs s WHERE s.source = d.source AND s.model_id = d.model_id AND s.pos % 7 = 1)")
+@query(f"WITH {OBS}, d AS (SELECT DISTINCT source, model_id FROM obs WHERE pos % 3 = 0) SELECT source, model_id, NOT EXISTS (SELECT 1 FROM obs h WHERE h.source = d.source AND h.model_id = d.model_id AND h.pos % 3 = 2) AS emits FROM d WHERE NOT EXISTS (SELECT 1 FROM obs s WHERE s.source = d.source AND s.model_id = d.model_id AND s.pos % 3 = 1)")
 def scrape_candidates(spark, sf_dir):
     o = observations(spark, sf_dir)
-    return candidates.to_scrape(o.where("pos % 3 = 0"), o.where("pos % 7 = 1"), o.where("pos % 11 = 4"))
+    return candidates.to_scrape(o.where("pos % 3 = 0"), o.where("pos % 3 = 1"), o.where("pos % 3 = 2"))
 
 
 @query(f"WITH {OBS} SELECT source || model_id AS provider, count(*) AS attempts FROM obs GROUP BY 1 HAVING count(*) FILTER (k % 4 = 1) = 0")
@@ -696,16 +703,18 @@ def promotions(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", candidates.promoted(text, price).alias("price"))
 
 
-@query("SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE) - CAST(isodow(o_orderdate) - 1 AS INTEGER), '%Y-%m-%d') AS week, CAST(isodow(o_orderdate) - 1 AS INT) AS place, 'rows/' || regexp_replace(regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') || '-' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 8) AS branch FROM orders")
+@query("SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE) - CAST(isodow(o_orderdate) - 1 AS INTEGER), '%Y-%m-%d') AS week, CAST(isodow(o_orderdate) - 1 AS INT) AS place, 'rows/' || regexp_replace(o_orderpriority || '/' || CAST(o_orderkey AS VARCHAR), '[^A-Za-z0-9._-]', '-', 'g') || '-' || substr(sha256(o_orderpriority || '/' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS branch FROM orders")
 def calendar_and_branches(spark, sf_dir):
     day = F.to_date("o_orderdate")
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format(K.week_row(day), "yyyy-MM-dd").alias("week"), F.weekday(day).alias("place"), candidates.branch_name(F.col("o_orderpriority"), F.col("o_orderkey").cast("string")).alias("branch"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format(K.week_row(day), "yyyy-MM-dd").alias("week"), F.weekday(day).alias("place"), candidates.branch_name(F.concat_ws("/", "o_orderpriority", F.col("o_orderkey").cast("string"))).alias("branch"))
 
 
-@query("WITH p AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'data/history/a.ndjson' WHEN 1 THEN 'data/catalog/a.json' WHEN 2 THEN 'state/x/y' WHEN 3 THEN 'A.md' ELSE 'data/history/a/b.ndjson' END AS path FROM pages) SELECT page_id, path, CASE page_id % 5 WHEN 0 THEN 'shard' WHEN 1 THEN 'catalog' WHEN 2 THEN 'state' WHEN 3 THEN 'docs' ELSE 'other' END AS kind FROM p")
+_PATHS = (("data/history/a.ndjson", "shard"), ("data/history/a/b.ndjson", "other"), ("data/catalog/models.json", "exact"), ("data/catalog/aliases.json", "other"), ("state/announce/index.json", "announce"), ("state/announce/s/p.md", "announce"), ("state/announce/p.md", "other"), ("state/announce/s/t/p.md", "other"), ("state/absence/s.json", "absence"), ("state/absence/s/t.json", "other"), ("README.md", "other"))
+
+
+@query("WITH p AS (SELECT page_id, CAST(page_id % 11 AS INT) AS n FROM pages), v AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(_PATHS)) + ") t(n, path, kind)) SELECT page_id, path, kind FROM p JOIN v USING (n)")
 def path_kinds(spark, sf_dir):
-    i = F.col("page_id") % 5
-    path = F.when(i == 0, "data/history/a.ndjson").when(i == 1, "data/catalog/a.json").when(i == 2, "state/x/y").when(i == 3, "A.md").otherwise("data/history/a/b.ndjson")
+    path = F.get(F.array(*[F.lit(a) for a, _ in _PATHS]), (F.col("page_id") % 11).cast("int"))
     return table(spark, sf_dir, "pages").select("page_id", path.alias("path"), candidates.path_kind(path).alias("kind"))
 
 
@@ -716,11 +725,14 @@ def fragments(spark, sf_dir):
     return made.withColumn("name", F.try_element_at(candidates.decoded(F.col("fragment")), F.lit("m")))
 
 
-@query("SELECT p_partkey, CASE WHEN p_retailprice / p_size >= 1 THEN printf('$%.2f', p_retailprice / p_size) ELSE printf('$%.4f', p_retailprice / p_size) END AS usd FROM part WHERE abs(p_retailprice / p_size * 1000 - floor(p_retailprice / p_size * 1000) - 0.5) > 0.01 AND abs(p_retailprice / p_size * 100 - floor(p_retailprice / p_size * 100) - 0.5) > 0.01")
+_USD = "CASE WHEN {x} >= 1 THEN CASE WHEN {x} * 8 = floor({x} * 8) AND CAST({x} * 8 AS BIGINT) % 2 = 1 THEN printf('$%.2f', {x} + 0.001) ELSE printf('$%.2f', {x}) END WHEN {x} >= 0.01 THEN CASE WHEN {x} * 32 = floor({x} * 32) AND CAST({x} * 32 AS BIGINT) % 2 = 1 THEN printf('$%.4f', {x} + 0.00001) ELSE printf('$%.4f', {x}) END ELSE '$0.00' END"
+
+
+@query(f"WITH x AS (SELECT p_partkey, p_retailprice / p_size AS a, p_retailprice / p_size / 1000 AS b FROM part) SELECT p_partkey, {_USD.format(x='a')} AS usd, {_USD.format(x='b')} AS small, {_USD.format(x='(a - a)')} AS nothing FROM x")
 def usd_texts(spark, sf_dir):
+    """Of two texts as close the larger one; SQL prints exactly too, but ties to even, so it lifts the ties, which only eighths and thirty-seconds are."""
     x = F.col("p_retailprice") / F.col("p_size")
-    far = lambda v: F.abs(v - F.floor(v) - 0.5) > 0.01  # noqa: E731  texts of halves depend on the printer's rounding
-    return table(spark, sf_dir, "part").where(far(x * 1000) & far(x * 100)).select("p_partkey", T.usd(x).alias("usd"))
+    return table(spark, sf_dir, "part").select("p_partkey", T.usd(x).alias("usd"), T.usd(x / 1000).alias("small"), T.usd(x - x).alias("nothing"))
 
 
 def amount_scan(spark, sf_dir):
@@ -738,8 +750,12 @@ def page_tables(spark, sf_dir):
 
 
 def alias_lookup_all(spark, sf_dir):
-    """alias_lookup with the aliases of all parts; tested by brute force."""
-    return _alias_lookup(spark, sf_dir, table(spark, sf_dir, "part"))
+    """Aliases whose records overlap, so that a day may have several; tested by brute force."""
+    base, n = F.to_date(F.lit("1995-01-01")), F.col("p_partkey")
+    at = (n % 40 * 30).cast("int")
+    a = table(spark, sf_dir, "part").select(F.concat(F.lit("brand"), F.col("p_size").cast("string")).alias("alias"), F.when(n % 3 > 0, F.date_format(F.date_add(base, at), "yyyy-MM-dd")).alias("valid_from"), F.when(n % 5 > 0, F.date_format(F.date_add(base, at + 60), "yyyy-MM-dd")).alias("valid_to"), n.cast("string").alias("canonical"))
+    p = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("brand"), (F.col("o_custkey") % 50).cast("string")).alias("alias"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    return catalog.alias_on(p, a)
 
 
 def resolved_channels_all(spark, sf_dir):
@@ -748,3 +764,8 @@ def resolved_channels_all(spark, sf_dir):
 
 
 QUERIES |= {"amount_scan": amount_scan, "page_tables": page_tables, "alias_lookup_all": alias_lookup_all, "resolved_channels_all": resolved_channels_all}
+
+from . import more as _more  # noqa: E402  the queries below use the tables above
+
+QUERIES |= _more.QUERIES
+SQL |= _more.SQL
