@@ -24,7 +24,7 @@ def general(x: Column) -> Column:
     power = F.concat(trimmed(F.format_string("%.5f", m)), F.when(e < 0, "e-").otherwise("e+"), F.lpad(F.abs(e).cast("string"), 2, "0"))
     big = F.concat(trimmed(F.format_string("%.5f", m)), F.when(e < 0, "e-").otherwise("e+"), F.abs(e).cast("string"))
     text = F.when(x == 0, F.lit("0")).when((e < -4) | (e >= 6), F.when(F.abs(e) > 99, big).otherwise(power)).otherwise(plain)
-    return F.coalesce(F.when(x < 0, F.concat(F.lit("-"), text)).otherwise(text), F.lit(DASH))
+    return F.when(x.isNull(), DASH).when(x < 0, F.concat(F.lit("-"), text)).otherwise(text)
 
 
 def rate(x: Column) -> Column:

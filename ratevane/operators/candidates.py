@@ -69,3 +69,19 @@ def decoded(fragment: Column) -> Column:
 def encoded(state: Column) -> Column:
     """The fragment of a state, keys in order."""
     return F.concat(F.lit("#"), F.array_join(F.transform(F.array_sort(F.map_entries(state)), lambda e: F.concat(F.url_encode(e["key"]), F.lit("="), F.url_encode(e["value"]))), "&"))
+
+
+def priced_positive(rates: Column) -> Column:
+    """Whether input and output have a price above zero."""
+    return F.coalesce((rates["input"] > 0) & (rates["output"] > 0), F.lit(False))
+
+
+def refused(priced: DataFrame, stored: DataFrame) -> DataFrame:
+    """(key, why): keys that are priced but not detected and can't be taken up: removed in the log, or under another spelling that is covered already.
+
+    `priced` has the key and `spelling`; `stored` the key's newest row as (source, model_id, removed).
+    """
+    s = stored.select("source", F.col("model_id").alias("spelling"), F.coalesce("removed", F.lit(False)).alias("removed"))
+    j = priced.join(s, ["source", "spelling"])
+    why = F.when(F.col("removed"), "removed").when(F.col("spelling") != F.col("model_id"), "covered")
+    return j.select(*KEY, why.alias("why")).where("why is not null").distinct()

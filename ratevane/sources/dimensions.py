@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import real_day, slug, unwrapped, wrapped
-from .observations import SHARD_NAME
+from .observations import SHARD_NAME, exists
 
 CATALOG_VERSION = 4
 ANNOUNCE = "state/announce"
@@ -62,10 +62,8 @@ def first_fault(*checks: tuple[Column, str]) -> Column:
 def refuse(rows: DataFrame, fault: str, *label: str) -> DataFrame:
     """`rows` without the fault's column; any fault stops the query with its label."""
     named = F.concat_ws(" ", *[F.col(x) for x in label], F.col(fault))
-    first, *rest = [c for c in rows.columns if c != fault]
-    kind_ = rows.schema[first].dataType
-    checked = F.when(F.col(fault).isNotNull(), F.raise_error(named).cast(kind_)).otherwise(F.col(first))
-    return rows.select(checked.alias(first), *rest)
+    kinds = {f.name: f.dataType for f in rows.schema}
+    return rows.select(*[F.when(F.col(fault).isNotNull(), F.raise_error(named).cast(kinds[c])).otherwise(F.col(c)).alias(c) for c in rows.columns if c != fault])
 
 
 def _document(spark: SparkSession, path: str) -> DataFrame:
@@ -73,11 +71,6 @@ def _document(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("ignoreMissingFiles", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("v"))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) is not None and len(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)) > 0
-
-
 def _versioned(doc: DataFrame, key: str) -> DataFrame:
     """(path, m): the object under `key` of files of the catalog's version; another shape stops the query."""
     version = F.try_variant_get("v", "$.version", "int")

@@ -10,12 +10,21 @@ from ..schema import ROW
 SHARD_NAME = r"^[a-z0-9][a-z0-9_-]*$"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether any file is there; `path` may be a pattern."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
+    return found is not None and len(found) > 0
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, pos, line) of newline-delimited files. Lines end at \\n alone; an empty last one isn't a line; `pos` is the order in the file.
 
-    A file is read whole, as its order carries meaning: shards are small, and there are as many tasks as shards. No file at `path`
-    gives an error of the reader; an empty file gives no rows.
+    A file is read whole, as its order carries meaning: shards are small, and there are as many tasks as shards. No file at `path`, or
+    an empty one, gives no rows.
     """
+    if not exists(spark, path):
+        return spark.createDataFrame([], "path string, pos int, line string")
     whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split("value", "\n", -1).alias("lines"))
     return whole.select("path", F.posexplode("lines").alias("pos", "line")).where("line <> ''")
 
@@ -25,7 +34,7 @@ def parse_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
     row = F.from_json("line", ROW)
     good = F.col("line").rlike(r"^\s*\{") & F.try_parse_json("line").isNotNull()
     fault = F.raise_error(F.concat(F.lit("not a JSON object: "), "path", F.lit(" line "), F.col("pos").cast("string")))
-    parsed = F.when(good, row).otherwise(fault.cast(f"struct<{ROW.replace(' ', ':').replace(',:', ',')}>") if strict else F.lit(None))
+    parsed = F.when(good, row).when(F.col("line") == "", F.lit(None)).otherwise(fault.cast(f"struct<{ROW.replace(' ', ':').replace(',:', ',')}>") if strict else F.lit(None))
     return lines.withColumn("r", parsed).select("path", "pos", "line", "r.*")
 
 
@@ -34,10 +43,17 @@ def read_log(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     return parse_lines(read_lines(spark, path), strict)
 
 
+def read_shard(spark: SparkSession, folder: str, source: str, strict: bool = True) -> DataFrame:
+    """One source's shard; a name that isn't a single safe segment is an error, a missing shard has no rows."""
+    import re
+
+    if not re.fullmatch(SHARD_NAME.strip("^$"), source):
+        raise ValueError(f"bad shard name: {source}")
+    return read_log(spark, f"{folder}/{source}.ndjson", strict)
+
+
 def write_shards(rows: DataFrame, path: str) -> None:
     """One folder for each source, sorted by (model_id, observed_at, pos); the commit protocol makes a rewrite all or nothing."""
-    from pyspark.sql.utils import AnalysisException  # noqa: F401
-
     named = rows.withColumn("source", F.when(F.col("source").rlike(SHARD_NAME), F.col("source")).otherwise(F.raise_error(F.concat(F.lit("bad shard name: "), F.coalesce("source", F.lit("null"))))))
     line = F.to_json(F.struct(*[c for c in rows.columns if c not in ("path", "pos", "line")]))
     named.select("source", "model_id", "observed_at", "pos", line.alias("line")).repartition("source").sortWithinPartitions("source", "model_id", "observed_at", "pos").select("source", "line").write.mode("overwrite").partitionBy("source").text(path)
