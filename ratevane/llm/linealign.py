@@ -126,19 +126,23 @@ def runs(lines: np.ndarray, words: np.ndarray, block_words: int = BLOCK_WORDS) -
     return value_hashes(mix(lines[own].astype(np.uint64)), start, end).view(np.int64), start, end
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, own, text): `own` is a hash of the text, which orders documents of one id; a null text is an empty one."""
+    return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("own"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 def _sequences(docs: DataFrame) -> DataFrame:
     """(key, lines, words, kind): each document's line hashes, and one of its non-blank lines. The key orders documents by id, then by a hash of the text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, off = buffers(batch.column(1))
+        data, off = buffers(batch.column(2))
         raw = data[off[0] : off[-1]].tobytes()
         at = (off - off[0]).tolist()
-        texts = [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
-        made = [line_hashes(t) for t in texts]
+        made = [line_hashes(raw[a:b]) for a, b in zip(at, at[1:], strict=False)]
         kinds = [xxhash.xxh3_64_intdigest(h[w > 0].tobytes()) >> 1 for h, w in made]
-        return pa.record_batch([batch.column(0), pa.array([h.tobytes() for h, _ in made], pa.binary()), pa.array([w.tobytes() for _, w in made], pa.binary()), pa.array([xxhash.xxh3_64_intdigest(t) >> 1 for t in texts], pa.int64()), pa.array(kinds, pa.int64())], names=["doc_id", "lines", "words", "own", "kind"])
+        return pa.record_batch([batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _ in made], pa.binary()), pa.array([w.tobytes() for _, w in made], pa.binary()), pa.array(kinds, pa.int64())], names=["doc_id", "own", "lines", "words", "kind"])
 
-    return map_texts(docs, run, "doc_id bigint, lines binary, words binary, own bigint, kind bigint").select(F.struct("doc_id", "own").alias("key"), "lines", "words", "kind")
+    return map_texts(_keyed(docs), run, "doc_id bigint, own bigint, lines binary, words binary, kind bigint").select(F.struct("doc_id", "own").alias("key"), "lines", "words", "kind")
 
 
 def _holders(seqs: DataFrame, block_words: int) -> DataFrame:
@@ -229,27 +233,20 @@ def align_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     gone = written(deletions(seqs, block_words), "deletions")
     size = gone.agg(F.coalesce(F.sum(4 * F.size("gone") + 32), F.lit(0)).alias("n")).first()["n"]
 
-    def own(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, off = buffers(batch.column(1))
-        raw = data[off[0] : off[-1]].tobytes()
-        at = (off - off[0]).tolist()
-        return pa.record_batch([batch.column(0), batch.column(1), pa.array([xxhash.xxh3_64_intdigest(raw[a:b]) >> 1 for a, b in zip(at, at[1:], strict=False)], pa.int64())], names=["doc_id", "text", "own"])
-
-    keyed = map_texts(docs, own, "doc_id bigint, text string, own bigint").alias("d")
+    keyed = _keyed(docs).alias("d")
     right = (F.broadcast(gone) if size <= BROADCAST_BYTES else gone).alias("g")
-    joined = keyed.join(right, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.own") == F.col("g.own")), "left").select("d.doc_id", "d.text", "g.gone")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.own") == F.col("g.own"))
+    n_lines = (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("bigint")
+    whole = keyed.join(right, same, "left_anti").select("doc_id", "text", n_lines.alias("n_lines"), F.lit(0).cast("bigint").alias("n_deleted"))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, lines, lost = [], [], []
         for text, gone_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            text = text or ""
-            n = text.count("\n") + 1
-            if gone_:
-                away = set(gone_)
-                text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in away)
-            kept.append(text)
-            lines.append(n)
-            lost.append(len(gone_ or ()))
+            away, own = set(gone_), text.split("\n")
+            kept.append("\n".join(x for i, x in enumerate(own) if i not in away))
+            lines.append(len(own))
+            lost.append(len(gone_))
         return pa.record_batch([batch.column(0), pa.array(kept, pa.string()), pa.array(lines, pa.int64()), pa.array(lost, pa.int64())], names=["doc_id", "text", "n_lines", "n_deleted"])
 
-    return map_texts(joined, cut, "doc_id bigint, text string, n_lines bigint, n_deleted bigint")
+    # only texts that lose lines go through Python
+    return whole.unionByName(map_texts(keyed.join(right, same).select("d.doc_id", "d.text", "g.gone"), cut, "doc_id bigint, text string, n_lines bigint, n_deleted bigint"))
