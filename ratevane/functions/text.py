@@ -126,3 +126,8 @@ def tokens(text: Column) -> Column:
     unit = F.upper(F.regexp_extract(text, r"^\s*([\d,]+(?:\.\d+)?)\s*([KkMm]?)", 2))
     number = F.floor(F.replace(n, F.lit(","), F.lit("")).try_cast("double"))
     return (number * F.when(unit == "K", 1024).when(unit == "M", 1024 * 1024).otherwise(1)).cast("bigint")
+
+
+def today() -> Column:
+    """The day in UTC, whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd")

@@ -37,6 +37,11 @@ def last_by_input(log: DataFrame, fields: list[str], key: tuple[str, ...] = KEY)
     return log.groupBy(*key).agg(F.max_by(row, F.when(~F.coalesce("removed", F.lit(False)), F.col("pos"))).alias("last"), F.max_by(row, "pos").alias("newest"))
 
 
+def recorded(rows: DataFrame, log: DataFrame, key: tuple[str, ...] = (*KEY, "observed_at"), line: str = "line") -> DataFrame:
+    """The rows that the log has already: of the same key and day, and the same line."""
+    return rows.join(log.select(*key, line).distinct(), [*key, line], "left_semi")
+
+
 def line_union(base: DataFrame, extra: DataFrame, line: str = "line", order: str = "pos") -> DataFrame:
     """Lines of `extra` that `base` lacks, each once, where it first stands."""
     fresh = extra.join(base.select(line).distinct(), line, "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,6 +23,22 @@ def catalog_union(merge_base: DataFrame, head: DataFrame, branch: DataFrame) ->
     return mine.join(taken, "canonical", "left_anti").select("canonical", "source", "model_id")
 
 
+def catalog_unions(merge_base: DataFrame, head: DataFrame, branches: list[DataFrame]) -> DataFrame:
+    """catalog_union() of branches one after the other: what a branch lands is the head's claim for those after it. One query; as many joins as open branches."""
+    landed = head
+    for branch in branches:
+        new = catalog_union(merge_base, landed, branch)
+        landed = landed.join(new.select("canonical").distinct(), "canonical", "left_anti").unionByName(new)
+    return landed
+
+
+def sorted_lines(lines: DataFrame) -> DataFrame:
+    """(path, pos, line) of shards' lines in the order of (model_id, observed_at), ties as they stood; the lines are as they were, `pos` is the new place."""
+    key = [F.get_json_object("line", f"$.{k}") for k in ("model_id", "observed_at")]
+    w = Window.partitionBy("path").orderBy(*key, "pos")  # a shard is one file
+    return lines.select("path", (F.row_number().over(w) - 1).alias("pos"), "line")
+
+
 def uncovered(appended: DataFrame, claims: DataFrame) -> DataFrame:
     """Appended price rows whose key nobody claims; removals need no claim."""
     return appended.where(~F.coalesce("removed", F.lit(False))).join(claims.select("source", "model_id").distinct(), ["source", "model_id"], "left_anti")

@@ -44,3 +44,8 @@ def detected(pages: DataFrame, names: tuple[str, ...] | None = None) -> DataFram
     """(source, model_id) of ids whose row can be read, priced or not."""
     return all_priced(pages, names).where("fault is null").select("source", "model_id")
 
+
+
+def priced_ids(pages: DataFrame, names: tuple[str, ...] | None = None) -> DataFrame:
+    """(source, model_id) of ids that the pages price: what absence goes by where a source lists more than it prices."""
+    return all_priced(pages, names).where("rates is not null").select("source", "model_id")

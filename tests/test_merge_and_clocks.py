@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from ratevane.functions import clock
-from ratevane.operators import catalog, merge, ops, validate
+from ratevane.operators import catalog, log, merge, ops, validate
 from ratevane.schema import ROW
 from ratevane.sources import listing
 
@@ -70,3 +70,22 @@ def test_merges(spark):
     ids = df([("@cf/Meta/x", None, None), ("OpenAI/y", None, None), ("gpt-4", "v", "reseller"), ("gpt-llama", "Vend", "first_party"), ("a/b/c", "v", "first_party")], "id string, v string, k string")
     got = [r[0] for r in ids.select(catalog.vendor_of(F.col("id"), F.col("v"), F.col("k"), {"gpt": "openai", "llama": "meta"})).collect()]
     assert got == ["meta", "openai", "openai", "vend", None]
+
+
+def test_catalogs_of_branches_claim_one_after_the_other(spark):
+    schema = "canonical string, source string, model_id string"
+    of = lambda *rows: spark.createDataFrame(list(rows), schema)
+    head = of(("a", "s", "1"))
+    first, second = of(("a", "s", "1"), ("b", "s", "2")), of(("a", "s", "1"), ("c", "s", "2"), ("d", "s", "3"))
+    got = merge.catalog_unions(head, head, [first, second])
+    assert sorted(tuple(r) for r in got.collect()) == [("a", "s", "1"), ("b", "s", "2"), ("d", "s", "3")]
+
+
+def test_lines_are_sorted_and_recorded(spark):
+    line = lambda m, d: '{"model_id": "%s", "observed_at": "%s", "x": 1}' % (m, d)
+    lines = spark.createDataFrame([("s", 0, line("b", "1")), ("s", 1, line("a", "2")), ("s", 2, line("a", "1")), ("t", 0, line("z", "1"))], "path string, pos int, line string")
+    assert [r.line for r in merge.sorted_lines(lines).where("path = 's'").orderBy("pos").collect()] == [line("a", "1"), line("a", "2"), line("b", "1")]
+    schema = "source string, model_id string, observed_at string, line string"
+    stored = spark.createDataFrame([("s", "m", "1", "x"), ("s", "m", "2", "y")], schema)
+    rows = spark.createDataFrame([("s", "m", "1", "x"), ("s", "m", "2", "x"), ("s", "n", "1", "x")], schema)
+    assert [r.observed_at for r in log.recorded(rows, stored).collect()] == ["1"]
