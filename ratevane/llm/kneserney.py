@@ -82,9 +82,13 @@ def summed(count: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.add.reduceat(count, at) if len(at) else count[:0]
 
 
+def squeezed(raw: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+
 def planes(x: np.ndarray) -> bytes:
-    """An array's first bytes, then its second ones, and so on: planes of zeros compress away."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+    """An array's first bytes, then its second ones, and so on, compressed: what numbers have in common is in few bytes."""
+    return squeezed(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes())
 
 
 def rising(x: np.ndarray) -> bytes:
@@ -93,13 +97,29 @@ def rising(x: np.ndarray) -> bytes:
 
 
 def unplanes(data: bytes, kind: type, n: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, n).T).view(kind).ravel() if data else np.zeros(0, kind)
+    width = np.dtype(kind).itemsize
+    raw = pa.Codec("zstd").decompress(data, n * width, asbytes=True) if data else b""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).view(kind).ravel() if data else np.zeros(0, kind)
 
 
 def unrising(data: bytes, kind: type, n: int) -> np.ndarray:
     return np.cumsum(unplanes(data, kind, n), dtype=kind)
 
 
+def listed(x: np.ndarray) -> bytes:
+    """32-bit hashes that repeat: the distinct ones in order, and the place of each in them."""
+    values, at = np.unique(x, return_inverse=True)
+    first, places = rising(values), planes(at.astype(np.uint16 if len(values) <= 1 << 16 else np.uint32))
+    return np.array([len(values), len(first)], "<u4").tobytes() + first + places
+
+
+def unlisted(data: bytes, n: int) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.uint32)
+    distinct, size = np.frombuffer(data[:8], "<u4").tolist()
+    return unrising(data[8 : 8 + size], np.uint32, distinct)[unplanes(data[8 + size :], np.uint16 if distinct <= 1 << 16 else np.uint32, n)]
+
+
 class Deal:
     """Who counts what: owners by the middle word, of frequent ones by the word before too."""
 
@@ -166,7 +186,7 @@ def count_rows(docs: DataFrame, deal: Deal) -> DataFrame:
                 at = runs(middle, older, last)
                 middle, older, last, count = middle[at], older[at], last[at], np.diff(np.append(at, len(order)))
             b, a, c, count = vocabulary[middle], small(vocabulary[older]), small(vocabulary[last]), count.astype(np.uint32)
-            rows = [(TRIGRAMS, o, 0, len(s), rising(b[s]), rising(a[s]), planes(c[s]), planes(count[s])) for o, s in dealt(deal.trigram(b, a))]
+            rows = [(TRIGRAMS, o, 0, len(s), rising(b[s]), listed(a[s]), listed(c[s]), planes(count[s])) for o, s in dealt(deal.trigram(b, a))]
             uses = np.bincount(rank, minlength=len(vocabulary)).astype(np.uint32)
             word, uses = vocabulary[uses > 0], uses[uses > 0]
             rows += [(WORDS, o, USES, len(s), rising(word[s]), b"", b"", planes(uses[s])) for o, s in dealt(deal.word(small(word)))]
@@ -426,7 +446,7 @@ def fit(docs: DataFrame, hot: float = HOT) -> Model:
         kind, owner, parts = table["kind"][0].as_py(), table["owner"][0].as_py(), []
         for row in zip(*[table[c] for c in ("n", "major", "older", "minor", "count")], strict=True):
             n, *raw = (v.as_py() for v in row)
-            parts.append((unrising(raw[0], np.uint64, n), unrising(raw[1], np.uint32, n), unplanes(raw[2], np.uint32, n), unplanes(raw[3], np.uint32, n).astype(np.int64)))
+            parts.append((unrising(raw[0], np.uint64, n), unlisted(raw[1], n), unlisted(raw[2], n), unplanes(raw[3], np.uint32, n).astype(np.int64)))
         major, older, minor, count = (np.concatenate(c) for c in zip(*parts, strict=True))
         del parts
         if kind == WORDS:

@@ -23,6 +23,8 @@ HELD_BACK = 5
 OWN_BOUND = 20
 #: The robust upper end of held-back cross-entropies: this quantile and so many interquartile ranges of all, whichever is less.
 QUANTILE, RANGES = 0.99, 6.0
+#: So many times as far above the median as that end is still accepted: ordinary texts lie beyond a quantile too, those of no language far beyond.
+BEYOND = 3.0
 #: Code points a model spreads its last share of probability over.
 ALPHABET = 20_000
 #: Bytes of text that one vectorised step handles.
@@ -53,7 +55,7 @@ class Identifier:
         return p / p.sum(axis=1, keepdims=True)
 
     def calibrate(self, n: np.ndarray, bits: np.ndarray, truth: np.ndarray) -> None:
-        """The sharpness of least loss, and how far above its median a language's cross-entropy goes: 1.5 times that is still accepted.
+        """The sharpness of least loss, and how far above its median a language's cross-entropy goes: BEYOND times that is still accepted.
 
         Texts that another language's model reads better than the labelled one's, or that lie far beyond the rest, are taken for
         mislabelled or junk and don't lift the bound. A language of few held-back texts has the bound of all languages' texts.
@@ -78,13 +80,13 @@ class Identifier:
 
     @staticmethod
     def _bound(away: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-        """1.5 times the robust upper end of distances above the median: times the root of the length, and as they are."""
+        """BEYOND times the robust upper end of distances above the median: times the root of the length, and as they are."""
 
         def upper(x: np.ndarray) -> float:
             low, middle, high = np.quantile(x, (0.25, 0.5, 0.75))
             return float(min(np.quantile(x, QUANTILE), middle + RANGES * (high - low)))
 
-        return 1.5 * max(1.0, upper(away * np.sqrt(n))), 1.5 * max(0.2, upper(away))
+        return BEYOND * max(1.0, upper(away * np.sqrt(n))), BEYOND * max(0.2, upper(away))
 
     def decide(self, n: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(best language, score, rejected)."""
