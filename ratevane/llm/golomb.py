@@ -1,4 +1,4 @@
-"""Golomb-Rice codes of sorted unsigned integers, vectorised in both directions."""
+"""Golomb-Rice codes of sorted unsigned integers; a code's unary ends are found one after the other, all else is vectorised."""
 
 from __future__ import annotations
 

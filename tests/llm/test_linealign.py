@@ -77,6 +77,15 @@ def test_no_pair_is_left_out(spark):
     assert dict(got)[3] == 4
 
 
-def test_edge_rows(docs, none):
-    assert L.align_lines(docs).count() == docs.count()
-    assert L.align_lines(none).collect() == []
+def test_edge_rows(spark, docs, none):
+    more = [(3, "one two three four five\n" * 7 + "end"), (3, "one two three four five\n" * 7 + "other end"), (None, "one two three four five\n" * 5), (900, "word " * 3000), (901, "a line\n" + "word " * 3000)]
+    docs = docs.unionByName(spark.createDataFrame(more, "doc_id bigint, text string"), allowMissingColumns=True)
+    rows = [tuple(r) for r in docs.selectExpr("doc_id", "coalesce(text, '') AS t", "xxhash64(coalesce(text, '')) AS own").collect()]
+    keyed = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
+    made = [L.line_hashes(t.encode()) for _, t, _ in keyed]
+    gone = {k: {x for b in made[:n] for x in L.common_lines(*made[n], *b)} for n, k in enumerate(keyed)}
+    want = sorted((str(k[0]), "\n".join(x for i, x in enumerate(k[1].split("\n")) if i not in gone[k]), len(k[1].split("\n")), len(gone[k])) for k in rows)
+    got = L.align_lines(docs)
+    assert sorted((str(r.doc_id), r.text, r.n_lines, r.n_deleted) for r in got.collect()) == want
+    assert got.columns == ["doc_id", "text", "n_lines", "n_deleted"] and L.align_lines(none).collect() == []
+    assert sum(bool(x) for x in gone.values()) > 0

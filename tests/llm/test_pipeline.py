@@ -42,3 +42,34 @@ def test_each_stage_is_its_operator(spark, folder):
 def test_run(spark, folder):
     rows = corpus_pipeline.run(spark, folder).collect()
     assert len(rows) > 500 and len({(r.bucket, r.batch, r.slot) for r in rows}) == len(rows)
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def test_stages_of_odd_rows(spark, folder, docs):
+    """Nulls, repeated ids, ties, long texts and columns with the names that the operators use inside: each stage keeps whole rows, and none twice."""
+    step = docs
+    whole = {tuple(r) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        step = stage(spark, step, folder)
+        rows = [tuple(r) for r in step.collect()]
+        assert step.columns == docs.columns and set(rows) <= whole and len(rows) == len(set(rows)), name
+        whole = set(rows)
+    packed = corpus_pipeline.pack(spark, step, folder).collect()
+    assert len(packed) == len(whole) and len({(r.bucket, r.batch, r.slot) for r in packed}) == len(packed)
+
+
+def test_copies_with_one_id_over_several_texts(spark, folder):
+    rows = [(5, "same text of some length here"), (9, "same text of some length here"), (5, "a text found nowhere else at all"), (None, "same TEXT of some length here"), (7, "yet another one"), (7, "yet another one")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    unique = corpus_pipeline.drop_exact_copies(spark, df, folder)
+    assert sorted((r.doc_id, lower(r.text)) for r in unique.collect()) == [(5, rows[2][1]), (7, rows[4][1]), (9, rows[0][1])]
+    near = corpus_pipeline.drop_near_copies(spark, df, folder)
+    assert {lower(r.text) for r in near.collect()} == {lower(t) for _, t in rows} and near.count() == 3
+
+
+def test_stages_of_no_rows(spark, folder, none):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, folder).collect() == [], name
