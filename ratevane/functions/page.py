@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,17 +16,27 @@ REPORT = (("input", "input"), ("cache_read", "cache read"), ("cache_write", "cac
 DASH = "—"
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def general(x: Column) -> Column:
     """A number with six significant digits, no trailing zeros; beyond six digits or below 0.0001 with an exponent of two digits or more."""
-    e = F.floor(F.log10(F.abs(x))).cast("int")
-    m = F.round(F.abs(x) / F.pow(F.lit(10.0), e), 5)
-    e, m = F.when(m >= 10, e + 1).otherwise(e), F.when(m >= 10, m / 10).otherwise(m)
     trimmed = lambda t: F.regexp_replace(F.regexp_replace(t, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    plain = trimmed(F.format_string("%.10f", F.round(F.abs(x) * F.pow(F.lit(10.0), 5 - e)) / F.pow(F.lit(10.0), 5 - e)))
-    power = F.concat(trimmed(F.format_string("%.5f", m)), F.when(e < 0, "e-").otherwise("e+"), F.lpad(F.abs(e).cast("string"), 2, "0"))
-    big = F.concat(trimmed(F.format_string("%.5f", m)), F.when(e < 0, "e-").otherwise("e+"), F.abs(e).cast("string"))
-    text = F.when(x == 0, F.lit("0")).when((e < -4) | (e >= 6), F.when(F.abs(e) > 99, big).otherwise(power)).otherwise(plain)
-    return F.when(x.isNull(), DASH).when(x < 0, F.concat(F.lit("-"), text)).otherwise(text)
+
+    def written(v: Column) -> Column:
+        def shown(p: Column) -> Column:
+            e, m = p["e"], p["m"]
+            power = F.concat(trimmed(F.format_string("%.5f", m)), F.when(e < 0, "e-").otherwise("e+"), F.lpad(F.abs(e).cast("string"), F.when(F.abs(e) > 99, 3).otherwise(2), F.lit("0")))
+            plain = trimmed(F.format_string("%.10f", F.round(m * 100_000) / F.pow(F.lit(10.0), 5 - e)))
+            return F.when((e < -4) | (e >= 6), power).otherwise(plain)
+
+        raised = lambda p: F.named_struct(F.lit("e"), p["e"] + (p["m"] >= 10).cast("int"), F.lit("m"), F.when(p["m"] >= 10, p["m"] / 10).otherwise(p["m"]))
+        scaled = lambda e: F.named_struct(F.lit("e"), e, F.lit("m"), F.round(v / F.pow(F.lit(10.0), e), 5))
+        return once(F.floor(F.log10(v)).cast("int"), lambda e: once(once(scaled(e), raised), shown))
+
+    return F.when(x.isNull(), DASH).when(x == 0, "0").otherwise(F.concat(F.when(x < 0, "-").otherwise(""), once(F.abs(x), written)))
 
 
 def rate(x: Column) -> Column:
