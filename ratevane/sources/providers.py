@@ -355,3 +355,11 @@ def xai(pages: DataFrame) -> DataFrame:
     fault = faults((any_long & ~F.coalesce(bound > 0, lit(False)), "long-context threshold"), (any_long & (rate(long[0]).isNull() | rate(long[1]).isNull()), "long-context rates"), (any_long & c(long[2]).isNotNull() & rate(long[2]).isNull(), "long-context cache rate"))
     over = F.when(any_long, F.array(override(rates(input=F.round(rate(long[0]), 6), output=F.round(rate(long[1]), 6), cache_read=F.round(rate(long[2]), 6)), min_tokens=bound)))
     return priced(flat, "xai", fault, {"input": rate("promptTextTokenPrice"), "output": rate("completionTextTokenPrice"), "cache_read": rate("cachedPromptTokenPrice")}, overrides=over, limits={"context": c("maxPromptLength").try_cast("bigint")})
+
+
+def price_list_urls(pages: DataFrame, region: str = "us-east-1") -> DataFrame:
+    """(url, file): of each region index (JSON) the pinned file of a region, as an absolute url; an index without it has a null."""
+    at = F.try_variant_get(F.try_parse_json("body"), f"$.regions['{region}'].currentVersionUrl", "string")
+    host = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", 0)
+    folder = F.regexp_replace(F.regexp_replace("url", r"[?#].*$", ""), r"/[^/]*$", "/")
+    return pages.select("url", F.when(at.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), at).when(at.startswith("/"), F.concat(host, at)).otherwise(F.concat(folder, at)).alias("file"))

@@ -183,3 +183,12 @@ def test_spellings(spark):
     for r in registry.spellings(ids).orderBy("ord").collect():
         got.setdefault(r.model_id, []).append(r.spelling)
     assert got == {"tarn-4-0709-reasoning": ["tarn-4-0709-reasoning", "tarn-4"], "codestone-25-08": ["codestone-25-08", "codestone-2508"], "stonal-3-8b-25-12": ["stonal-3-8b-25-12", "stonal-3-8b-2512", "stonal-8b-2512"], "a-1234": ["a-1234"]}
+
+
+def test_price_list_urls(spark):
+    from ratevane.sources.providers import price_list_urls
+
+    made = lambda at: json.dumps({"regions": {"us-east-1": {"currentVersionUrl": at}}})
+    rows = [("https://h/a/index.json", made("/x/y.json")), ("https://h/a/b.json?q", made("v/y.json")), ("https://h/c", made("https://k/z")), ("https://h/d", "{}")]
+    got = {r.url: r.file for r in price_list_urls(spark.createDataFrame(rows, "url string, body string")).collect()}
+    assert got == {"https://h/a/index.json": "https://h/x/y.json", "https://h/a/b.json?q": "https://h/a/v/y.json", "https://h/c": "https://k/z", "https://h/d": None}
