@@ -27,9 +27,9 @@ from .textbuf import chunks, lowered, mix, span_hashes, word_spans
 
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 #: Tokens that a counting task gathers before it sends their distinct trigrams on.
-FLUSH_TOKENS = 1_500_000
+FLUSH_TOKENS = 2_200_000
 #: Bytes of text that one vectorised step of scoring handles.
-SCORE_BYTES = 2 << 20
+SCORE_BYTES = 4 << 20
 #: Texts, chosen by a hash, in which frequent words are looked for.
 SAMPLE_TEXTS = 20_000
 #: A word with this share of an owner's fair part is dealt over several owners.
@@ -351,6 +351,8 @@ class Model:
                 at[at == len(a["major"])] = 0
                 hit = a["major"][at] == middle[rows]
                 rows, at = rows[hit], at[hit]
+                order = np.argsort(at.astype(np.uint64) << np.uint64(32) | word[rows])  # searches that follow each other touch what is near
+                rows, at = rows[order], at[order]
                 lo, hi = a["start"][at].astype(np.int64), a["start"][at + 1].astype(np.int64)
                 found = lower_bound(lambda i, a=a: a["minor"][i], lo, hi, word[rows])
                 count = np.zeros(len(rows), np.int64)
@@ -364,6 +366,8 @@ class Model:
         for rows, a in self._parts(TRIGRAMS, self.deal.trigram(middle, older)):
             k = int(len(a["start"]) - 1).bit_length() - 1
             x = context(middle[rows], older[rows]) >> np.uint64(40 - k)
+            order = np.argsort(x)
+            rows, x = rows[order], x[order]
             bucket, rest = (x >> np.uint64(24)).astype(np.int64), (x & np.uint64(0xFFFFFF)) << np.uint64(24)
 
             def key(i: np.ndarray, a: dict[str, np.ndarray] = a) -> np.ndarray:
@@ -376,7 +380,13 @@ class Model:
             if not len(there):
                 continue
             own, lo, rest = rows[there], lo[there], rest[there]
-            hi = lower_bound(key, lo, hi[there], rest + np.uint64(1 << 24))
+            last, hi, after = hi[there], lo + 1, rest + np.uint64(1 << 24)
+            live = np.arange(len(own))
+            for _ in range(SHORT):  # most contexts end soon
+                live = live[hi[live] < last[live]]
+                live = live[key(hi[live]) < after[live]]
+                hi[live] += 1
+            hi[live] = lower_bound(key, hi[live], last[live], after[live])
             want = rest | (word[own] >> np.uint32(8)).astype(np.uint64)
             found = lower_bound(key, lo, hi, want)
             count = np.zeros(len(own), np.int64)
