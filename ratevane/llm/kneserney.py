@@ -12,8 +12,7 @@ shared by all workers of a machine.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .charlm import amounts
 from .frames import map_texts, session, shared_dir, slim
+from .shelf import load, lower_bound, save
 from .textbuf import chunks, lowered, mix, span_hashes, word_spans
 
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
@@ -205,47 +205,9 @@ def count_rows(docs: DataFrame, deal: Deal) -> DataFrame:
     return docs.mapInArrow(run, _ROW)
 
 
-def _save(folder: str, arrays: dict[str, np.ndarray]) -> None:
-    """Arrays as one file that appears whole or not at all, whichever attempt of a task writes it; numbers take as few bytes as they need."""
-    import uuid
-
-    from pyarrow import fs
-
-    kept = {k: a if a.dtype.kind != "u" or not len(a) or k in ("major", "minor") else a.astype(np.min_scalar_type(int(a.max()))) for k, a in arrays.items()}
-    head, at = {}, 0
-    for k, a in kept.items():
-        head[k] = [a.dtype.str, len(a), at]
-        at += -(-a.nbytes // 8) * 8
-    text = json.dumps(head).encode()
-    text += b" " * (-(len(text) + 8) % 64)
-    store, where = fs.FileSystem.from_uri(folder)
-    parent, _, name = where.rpartition("/")
-    store.create_dir(parent, recursive=True)
-    part = f"{parent}/.{name}.{uuid.uuid4().hex}"
-    with store.open_output_stream(part) as out:
-        out.write(len(text).to_bytes(8, "little") + text)
-        for a in kept.values():
-            out.write(a.tobytes() + b"\0" * (-a.nbytes % 8))
-    store.move(part, where)
-
-
-def _load(file: str) -> dict[str, np.ndarray]:
-    """The arrays, memory-mapped where the shared folder is one of the file system's; else read."""
-    from pyarrow import fs
-
-    store, at = fs.FileSystem.from_uri(file)
-    if store.type_name == "local":
-        raw = np.memmap(at, np.uint8, "r")
-    else:
-        with store.open_input_stream(at) as stream:
-            raw = np.frombuffer(stream.read(), np.uint8)
-    base = 8 + int.from_bytes(raw[:8].tobytes(), "little")
-    return {k: raw[base + o : base + o + n * np.dtype(t).itemsize].view(t) for k, (t, n, o) in json.loads(raw[8:base].tobytes()).items()}
-
-
 @lru_cache(16_384)
 def _mapped(file: str) -> dict[str, np.ndarray]:
-    return _load(file)
+    return load(file)
 
 
 def counts_of(count: np.ndarray) -> list[int]:
@@ -294,19 +256,6 @@ def third_level(middle: np.ndarray, older: np.ndarray, minor: np.ndarray, count:
     return out | {name: v[long] for name, v in total.items()} | capped(count)
 
 
-def lower_bound(key: Callable[[np.ndarray], np.ndarray], lo: np.ndarray, hi: np.ndarray, want: np.ndarray) -> np.ndarray:
-    """The first place from `lo` on, `hi` at most, whose key isn't less than what is wanted."""
-    lo, hi = lo.copy(), hi.copy()
-    live = np.flatnonzero(lo < hi)
-    while len(live):
-        mid = (lo[live] + hi[live]) >> 1
-        less = key(mid) < want[live]
-        lo[live[less]] = mid[less] + 1
-        hi[live[~less]] = mid[~less]
-        live = live[lo[live] < hi[live]]
-    return lo
-
-
 def second_level(middle: np.ndarray, minor: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
     at = runs(middle) if len(middle) else np.zeros(0, np.int64)
     return {"major": middle[at], "start": np.append(at, len(middle)).astype(np.uint64), "minor": minor} | sums(count, at) | capped(count)
@@ -468,7 +417,7 @@ def fit(docs: DataFrame, hot: float = HOT) -> Model:
         at = runs(major, older, minor)
         major, older, minor, count = major[at], older[at], minor[at], summed(count, at)
         rows = [stats(3, owner, count)]
-        _save(f"{folder}/{TRIGRAMS}/{owner}", third_level(major, older, minor, count))
+        save(f"{folder}/{TRIGRAMS}/{owner}", third_level(major, older, minor, count))
         del older
         order = np.lexsort((minor, major))
         major, minor = major[order], minor[order]
@@ -482,7 +431,7 @@ def fit(docs: DataFrame, hot: float = HOT) -> Model:
             rows.append((WORDS, o, PAIRS, len(s), rising(major[often][s]), b"", planes(minor[often][s]), b""))
         major, minor, count = major[~often], minor[~often], count[~often]
         if len(major):
-            _save(f"{folder}/{TRIGRAMS + 1}/{owner}", second_level(major, minor, count))
+            save(f"{folder}/{TRIGRAMS + 1}/{owner}", second_level(major, minor, count))
             word, kinds = np.unique(minor, return_counts=True)
             for o, s in dealt(deal.word(word)):
                 rows.append((WORDS, o, BEFORE, len(s), b"", b"", planes(word[s]), planes(kinds[s].astype(np.uint64))))
@@ -501,7 +450,7 @@ def fit(docs: DataFrame, hot: float = HOT) -> Model:
             major, minor = major[order], minor[order]
             at = runs(major, minor)
             major, minor, count = major[at], minor[at], summed(count[order], at)
-            _save(f"{folder}/{FREQUENT}/{owner}", second_level(major, minor, count))
+            save(f"{folder}/{FREQUENT}/{owner}", second_level(major, minor, count))
             out = [(2, owner, FREQUENT, counts_of(count))]
         else:
             none = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
@@ -518,7 +467,7 @@ def fit(docs: DataFrame, hot: float = HOT) -> Model:
             minor, back_ = np.unique(np.concatenate(minor), return_inverse=True)
             kinds = np.bincount(back_, weights=np.concatenate(kinds), minlength=len(minor)).astype(np.int64)
             kinds = kinds[np.searchsorted(minor, small(word))]
-            _save(f"{folder}/{WORDS}/{owner}", {"major": word, "uses": uses, "kinds": kinds.astype(np.uint64)})
+            save(f"{folder}/{WORDS}/{owner}", {"major": word, "uses": uses, "kinds": kinds.astype(np.uint64)})
             out = [(1, owner, WORDS, [*counts_of(kinds), len(word), int(uses.sum())])]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())), strict=True)], names=["level", "owner", "kind", "stats"])
 

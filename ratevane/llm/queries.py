@@ -15,8 +15,11 @@ from . import langid as _langid
 from . import linealign as _linealign
 from . import packing as _packing
 from . import repetition as _repetition
+from . import resample as _resample
 from . import simhash as _simhash
 from . import toxicity as _toxicity
+from . import veccodes as _veccodes
+from . import wumanber as _wumanber
 from .frames import documents
 
 
@@ -70,6 +73,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact.exact_dedup(documents(spark, sf_dir))
 
 
+def op11_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _wumanber.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    items = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), items.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op12_weighted_lloyd_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done, books = _veccodes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return done.select("vec_id", code.alias("code"), "error", "label_error", F.lit(_veccodes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _resample.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repetition": op1_suffix_repetition,
     "op2_kneser_ney_perplexity": op2_kneser_ney_perplexity,
@@ -81,10 +100,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_patience_alignment": op8_patience_alignment,
     "op9_kneser_ney_language": op9_kneser_ney_language,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_wu_manber_decontamination": op11_wu_manber_decontamination,
+    "op12_weighted_lloyd_codes": op12_weighted_lloyd_codes,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 _LOW = f"translate(coalesce(text, ''), '{_exact.UPPER}', '{_exact.LOWER}')"
 
+_PLAIN = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: One of Lloyd's rounds: parts to their nearest entry, entries to the floors of means; `b0` to `b2` are the codebooks.
+_ROUND = """
+a{0} AS (SELECT p.pos, p.part, p.n, arg_min(b.entry, (list_sum(list_transform(list_zip(p.part, b.part), lambda x: (x[1] - x[2]) * (x[1] - x[2]))), b.entry)) AS entry
+         FROM d p JOIN b{0} b USING (pos) GROUP BY p.pos, p.part, p.n),
+m{0} AS (SELECT pos, entry, k, CAST(floor(sum(n * part[k])::DOUBLE / sum(n)) AS BIGINT) AS x FROM a{0}, range(1, 5) r(k) GROUP BY pos, entry, k),
+b{1} AS (SELECT b.pos, b.entry, coalesce(m.part, b.part) AS part FROM b{0} b LEFT JOIN (SELECT pos, entry, list(x ORDER BY k) AS part FROM m{0} GROUP BY pos, entry) m USING (pos, entry)),"""
+
 SQL: dict[str, str] = {
     "op4_typed_parts": r"""
 WITH rows AS (
@@ -107,4 +138,46 @@ WITH t AS (SELECT doc_id, {_LOW} AS normal FROM documents),
                   row_number() OVER (PARTITION BY normal ORDER BY doc_id DESC NULLS LAST) = 1 AS kept
            FROM t WINDOW same AS (PARTITION BY normal))
 SELECT doc_id, keep_id, group_size, kept, sha256(normal) AS text_sha256 FROM g""",
+    "op11_wu_manber_decontamination": f"""
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_PLAIN} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+        FROM item, unnest(range(1, greatest(len(w) - 10, 0) + 2)) u(i) WHERE len(w) > 0),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {_PLAIN} AS w FROM documents),
+hit AS (SELECT r, i, k, item_id FROM (SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM doc, (SELECT DISTINCT k FROM win) z, unnest(range(1, len(w) - k + 2)) u(i)) JOIN win USING (k, s)),
+words AS (SELECT r, count(DISTINCT j) AS n_hit FROM hit, unnest(range(i, i + k)) u(j) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+    "op12_weighted_lloyd_codes": """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 256) AS BIGINT)) AS ints FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+f AS (SELECT r, vec_id, pos, ints[4 * pos + 1:4 * pos + 4] AS part FROM v, range(16) q(pos)),
+d AS (SELECT pos, part, count(*) AS n FROM f GROUP BY pos, part),
+b0 AS (SELECT pos, s.entry, part FROM f JOIN (SELECT r, row_number() OVER (ORDER BY vec_id, ints) - 1 AS entry FROM v QUALIFY entry < 64) s USING (r)),"""
+    + _ROUND.format(0, 1)
+    + _ROUND.format(1, 2)
+    + """
+a2 AS (SELECT p.pos, p.part, arg_min(b.entry, (e, b.entry)) AS entry, min(e) AS e
+       FROM d p JOIN b2 b USING (pos), LATERAL (SELECT list_sum(list_transform(list_zip(p.part, b.part), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS e) z GROUP BY p.pos, p.part),
+c AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY pos) AS code, CAST(sum(e) AS BIGINT) AS error FROM f JOIN a2 USING (pos, part) GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY pos, entry)) FROM b2) AS codebooks_sha256
+FROM v JOIN c USING (r)""",
+    "op13_importance_resampling": f"""
+WITH bits AS (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM range(256) r(i)),
+crc AS (SELECT list(t ORDER BY i) AS t FROM bits),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {_PLAIN} AS w FROM documents),
+one AS (SELECT r, unnest(w) AS word FROM doc),
+aim AS (SELECT unnest({_PLAIN}) AS word FROM benchmark),
+word AS (SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(word))), lambda k: ('0x' || hex(encode(word))[2 * k + 1:2 * k + 2])::BIGINT)),
+                                      lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+         FROM (SELECT word FROM one UNION SELECT word FROM aim), crc),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * ((SELECT count(*) FROM one) + 10000)::DOUBLE / ((s + 1)::DOUBLE * ((SELECT count(*) FROM aim) + 10000)::DOUBLE))) AS BIGINT) AS gain
+         FROM (SELECT bucket, count(*) FILTER (o = 1) AS s, count(*) FILTER (o = 0) AS t FROM (SELECT word, 1 AS o FROM one UNION ALL SELECT word, 0 FROM aim) JOIN word USING (word) GROUP BY bucket)),
+total AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM one JOIN word USING (word) JOIN gain USING (bucket) GROUP BY r),
+score AS (SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight,
+                 coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+          FROM doc LEFT JOIN total USING (r)),
+drawn AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) FILTER (n_features >= 20) OVER () AS fit FROM score)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * fit // 100 THEN place END AS rank FROM drawn""",
 }

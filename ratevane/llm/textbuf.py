@@ -110,3 +110,26 @@ def per_text(values: np.ndarray, off: np.ndarray) -> np.ndarray:
 def lowered(data: np.ndarray) -> np.ndarray:
     """A-Z become a-z; all other bytes stay."""
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+
+
+#: Letters and digits of ASCII after lower-casing, and all bytes of other characters.
+PLAIN = np.zeros(256, bool)
+PLAIN[48:58] = PLAIN[97:123] = PLAIN[128:] = True
+
+
+def plain_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, texts) of the lower-cased runs of letters, digits and characters beyond ASCII, laid out with one space after each."""
+    low = lowered(data)
+    inside = PLAIN[low]
+    start, end, doc = spans(inside, off)
+    size = end - start
+    to = np.cumsum(size + 1) - size - 1
+    out = np.full(int(size.sum()) + len(size), 32, np.uint8)
+    out[np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)] = low[inside]
+    return out, to, to + size, doc
+
+
+def spread(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place in the row) of every element of rows of these sizes."""
+    row = np.repeat(np.arange(len(size)), size)
+    return row, np.arange(len(row)) - (np.cumsum(size) - size)[row]
