@@ -1,16 +1,19 @@
-"""Elements of HTML pages as rows: a page is parsed once, and what is asked for comes out with where it stands."""
+"""Pages read once for all sources: elements, rows of tables and rows of pipe tables come out of one pass, each with where it stands."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workers import reachable
+from ..workers import reachable, shared_table
+from .literals import Fault, component_tables, stream_of
+from .money import short_references
+from .tables import markdown_tables, span_of
 from .text import fold_heading
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -33,25 +36,69 @@ class Sel:
     skip: tuple[str, ...] = ()  # tags whose text isn't part of the value
     sep: str = " "
 
-    def fits(self, tag: str, attrs: dict[str, str | None], above: frozenset[str]) -> bool:
-        tags = (self.tag,) if isinstance(self.tag, str) else self.tag
+    @property
+    def tags(self) -> tuple[str, ...]:
+        return (self.tag,) if isinstance(self.tag, str) else self.tag
+
+    def fits(self, attrs: dict[str, str | None], classes: list[str], above: frozenset[str]) -> bool:
+        """Whether an element of the right tag fits."""
+        return all(c in classes for c in self.cls) and all(attrs.get(k) == v for k, v in self.attrs.items()) and (not self.parent or self.parent in above) and (not self.value or self.value in attrs)
+
+
+@dataclass(frozen=True)
+class Reading:
+    """What a source's pages are read for: elements by name; rows of tables, with elements inside cells (`inner`); rows of pipe tables; tables that a component of script or markup holds. `clean` changes a body first."""
+
+    wanted: dict[str, Sel] = field(default_factory=dict)
+    inner: dict[str, Sel] = field(default_factory=dict)
+    tables: bool = False
+    pipes: bool = False
+    component: str = ""
+    sep: str = " "
+    clean: Callable[[str], str] | None = None
+
+
+_TABLE = {"table": Sel("table"), "caption": Sel("caption"), "head": Sel("thead"), "foot": Sel("tfoot"), "tr": Sel("tr")}
+_ROWS = frozenset((*_TABLE, "cell"))
+
+
+class Index:
+    """A reading's selectors by what an element must have: its tag, else a class, else an attribute."""
+
+    def __init__(self, reading: Reading) -> None:
+        table = _TABLE | {"cell": Sel(("td", "th"), sep=reading.sep)} | reading.inner if reading.tables else {}
+        self.reading, self.selectors = reading, table | reading.wanted
+        self.by_tag: dict[str, list[tuple[str, Sel]]] = {}
+        self.by_class: dict[str, list[tuple[str, Sel]]] = {}
+        self.by_attr: dict[str, list[tuple[str, Sel]]] = {}
+        for name, s in self.selectors.items():
+            for tag in s.tags:
+                self.by_tag.setdefault(tag, []).append((name, s))
+            if not s.tags and s.cls:
+                self.by_class.setdefault(s.cls[0], []).append((name, s))
+            elif not s.tags:
+                self.by_attr.setdefault(next(iter(s.attrs)), []).append((name, s))
+
+    def names(self, tag: str, attrs: dict[str, str | None], above: frozenset[str]) -> list[str]:
         classes = (attrs.get("class") or "").split()
-        return (not tags or tag in tags) and all(c in classes for c in self.cls) and all(attrs.get(k) == v for k, v in self.attrs.items()) and (not self.parent or self.parent in above) and (not self.value or self.value in attrs)
+        near = [*self.by_tag.get(tag, ()), *(x for c in dict.fromkeys(classes) for x in self.by_class.get(c, ())), *(x for a in attrs for x in self.by_attr.get(a, ()))]
+        found = {name for name, s in near if s.fits(attrs, classes, above)}
+        return [n for n in self.selectors if n in found]
 
 
 class _Open:
-    __slots__ = ("tag", "no", "names", "value", "text", "path", "attrs")
+    __slots__ = ("tag", "no", "names", "text", "path", "attrs")
 
     def __init__(self, tag: str, no: int, attrs: dict, path: dict[str, int]) -> None:
-        self.tag, self.no, self.attrs, self.path, self.names, self.value, self.text = tag, no, attrs, path, [], {}, {}
+        self.tag, self.no, self.attrs, self.path, self.names, self.text = tag, no, attrs, path, [], {}
 
 
 class _Walk(HTMLParser):
     """Elements in the order of their starts; the text of an element is that of its text nodes, trimmed, empty ones left out."""
 
-    def __init__(self, wanted: dict[str, Sel]) -> None:
+    def __init__(self, index: Index) -> None:
         super().__init__(convert_charrefs=True)
-        self.wanted, self.open, self.no, self.out, self.readers = wanted, [], 0, [], []
+        self.index, self.open, self.no, self.out, self.readers = index, [], 0, [], []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         for closing in CLOSES.get(tag, ()):
@@ -66,7 +113,7 @@ class _Walk(HTMLParser):
         above, path = frozenset(parent.names) if parent else frozenset(), parent.path if parent else {}
         self.no += 1
         here = _Open(tag, self.no, own, path)
-        here.names = [name for name, s in self.wanted.items() if s.fits(tag, own, above)]
+        here.names = self.index.names(tag, own, above)
         if here.names:
             here.path = {**path, **{n: self.no for n in here.names if n not in path or n != "table"}}
             here.text = {n: [] for n in here.names}
@@ -97,14 +144,14 @@ class _Walk(HTMLParser):
             if inside.tag in RAW and reader is not inside:
                 continue
             for name in reader.names:
-                skip = self.wanted[name].skip
+                skip = self.index.selectors[name].skip
                 if not skip or not any(o.no > reader.no and o.tag in skip for o in self.open):
                     reader.text[name].append(text)
 
     def _close(self, i: int) -> None:
         for here in reversed(self.open[i:]):
             for name in here.names:
-                s = self.wanted[name]
+                s = self.index.selectors[name]
                 self.out.append((here.no, name, (here.attrs.get(s.value) or "") if s.value else s.sep.join(here.text[name]), here.path, {k: v or "" for k, v in here.attrs.items()}))
             if here.names:
                 self.readers.remove(here)
@@ -116,21 +163,145 @@ class _Walk(HTMLParser):
         return sorted(self.out, key=lambda r: r[0])
 
 
-def elements(pages: DataFrame, wanted: dict[str, Sel]) -> DataFrame:
-    """(source, url, no, name, value, path, attrs) of every element of `pages` (source, url, body) that fits; `path` has for each name the number of the element around it, its own too."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.map_(pa.string(), pa.int32()), pa.map_(pa.string(), pa.string())]
-        for batch in batches:
-            rows = []
-            for i, body in enumerate(batch.column(2).to_pylist()):
-                walk = _Walk(wanted)
-                walk.feed(body or "")
-                rows += [(i, no, name, value, list(path.items()), list(attrs.items())) for no, name, value, path, attrs in walk.finish()]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)]
-            yield pa.record_batch([batch.column(0).take(columns[0]), batch.column(1).take(columns[0]), *columns[1:]], names=["source", "url", "no", "name", "value", "path", "attrs"])
+def _rows_of(found: list[tuple], inner: dict[str, Sel]) -> list[dict]:
+    """The rows of top-level tables; a table inside a cell is part of that cell's text alone."""
+    outer = {no for no, name, _, path, _ in found if name == "tr" and "cell" not in path}
+    rows: dict[int, dict] = {}
+    captions: dict[int, str] = {}
+    for no, name, value, path, attrs in found:
+        if name == "caption" and "table" in path:
+            captions.setdefault(path["table"], value)
+        if name == "cell" and "table" in path and path.get("tr") in outer:
+            row = rows.setdefault(path["tr"], {"table": path["table"], "no": path["tr"], "cells": [], "nos": [], "inner": [], "in_head": False, "in_foot": False})
+            row["cells"] += [value] * span_of(attrs.get("colspan"))
+            row["nos"].append(no)
+            row["in_head"] |= "head" in path
+            row["in_foot"] |= "foot" in path
+        elif name in inner and "cell" in path and path.get("tr") in rows and path["cell"] in rows[path["tr"]]["nos"]:
+            rows[path["tr"]]["inner"].append({"cell": rows[path["tr"]]["nos"].index(path["cell"]), "name": name, "value": value, "no": no})
+    top: dict[int, list[str]] = {}
+    out = []
+    for no in sorted(rows):
+        row = rows[no]
+        row["first"] = row["table"] not in top
+        row["top"] = top.setdefault(row["table"], row["cells"])
+        row["caption"] = captions.get(row["table"])
+        out.append(row)
+    return out
+
+
+_SCHEMA = "source string, run string, url string, kind string, no int, name string, value string, path map<string,int>, attrs map<string,string>, tbl int, cells array<string>, top array<string>, inner array<struct<cell:int,name:string,value:string,no:int>>, caption string, in_head boolean, in_foot boolean, first boolean"
+_NAMES = [x.split()[0] for x in _SCHEMA.split(", ")][3:]
+_KINDS = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.map_(pa.string(), pa.int32()), pa.map_(pa.string(), pa.string()), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.struct([("cell", pa.int32()), ("name", pa.string()), ("value", pa.string()), ("no", pa.int32())])), pa.string(), pa.bool_(), pa.bool_(), pa.bool_()]
+
+
+def page_rows(index: Index, body: str | None) -> list[dict]:
+    """What stands on a page. One that can't be read is a single `fault`; an empty one is, too."""
+    if not (body or "").strip():
+        return [{"kind": "fault", "value": "empty page"}]
+    out, reading = [], index.reading
+    text = reading.clean(body) if reading.clean else body
+    if index.selectors:
+        walk = _Walk(index)
+        try:
+            walk.feed(short_references(text))
+            found = walk.finish()
+        except (AssertionError, ValueError, RecursionError) as fault:
+            return [{"kind": "fault", "value": f"markup: {type(fault).__name__}"}]
+        out += [{"kind": "element", "no": no, "name": name, "value": value, "path": list(path.items()), "attrs": list(attrs.items())} for no, name, value, path, attrs in found if name in reading.wanted]
+        if reading.tables:
+            out += [{"kind": "row", "tbl": r["table"], **{k: r[k] for k in ("no", "cells", "top", "inner", "caption", "in_head", "in_foot", "first")}} for r in _rows_of(found, reading.inner)]
+    if reading.pipes:
+        for t, table in enumerate(markdown_tables(body)):
+            out += [{"kind": "pipe", "tbl": t, "no": t * 100_000 + r, "cells": cells, "top": table[0]} for r, cells in enumerate(table) if r]
+    if reading.component:
+        for late, source in enumerate((text, stream_of(body))):
+            for t, table in enumerate(component_tables(source, reading.component)):
+                if isinstance(table, Fault):
+                    out.append({"kind": "fault", "value": f"literal: {table}"})
+                else:
+                    out += [{"kind": "component", "tbl": late, "no": t * 100_000 + r, "cells": cells, "top": table[0]} for r, cells in enumerate(table[1])]
+    return out
+
+
+class Pages:
+    """A table of pages (source, url, body, and the run that fetched them as `run`, if there are several), read once.
+
+    `bodies`, `elements`, `rows` and `pipes` are of one source, once of() has chosen it; their `url` holds the run as well, so what is
+    grouped by it never mixes two fetches.
+    """
 
-    return reachable(pages).select("source", "url", "body").mapInArrow(run, "source string, url string, no int, name string, value string, path map<string,int>, attrs map<string,string>")
+    def __init__(self, bodies: DataFrame, read: DataFrame, source: str | None = None) -> None:
+        self._bodies, self._read, self.source = bodies, read, source
+
+    @classmethod
+    def of_table(cls, pages: DataFrame, readings: dict[str, Reading]) -> Pages:
+        """One Arrow pass over the bodies of all sources that are read for something; what it finds is written once, a folder for each source."""
+        run_ = F.coalesce(F.col("run").cast("string"), F.lit("")) if "run" in pages.columns else F.lit("")
+        bodies = pages.select("source", run_.alias("run"), "url", "body").where(F.col("source").isin(list(readings)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            indexes: dict[str, Index] = {}
+            for batch in batches:
+                at, found = [], []
+                for i, (source, body) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                    if source not in indexes:
+                        indexes[source] = Index(readings[source])
+                    own = page_rows(indexes[source], body)
+                    found += own
+                    at += [i] * len(own)
+                take = pa.array(at, pa.int64())
+                columns = [pa.array([r.get(n) for r in found], t) for n, t in zip(_NAMES, _KINDS, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(take) for k in range(3)), *columns], names=["source", "run", "url", *_NAMES])
+
+        return cls(bodies, shared_table(reachable(bodies).mapInArrow(run, _SCHEMA), "pages", "source"))
+
+    def of(self, source: str) -> Pages:
+        return Pages(self._bodies.where(F.col("source") == source), self._read.where(F.col("source") == source), source)
+
+    @staticmethod
+    def _keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn("url", F.struct("run", "url"))
+
+    @property
+    def bodies(self) -> DataFrame:
+        """(url, body)."""
+        return self._keyed(self._bodies).select("url", "body")
+
+    @property
+    def elements(self) -> DataFrame:
+        """(url, no, name, value, path, attrs) of every element that fits; `path` has for each name the number of the element around it, its own too."""
+        return self._keyed(self._read.where("kind = 'element'")).select("url", "no", "name", "value", "path", "attrs")
+
+    @property
+    def rows(self) -> DataFrame:
+        """(url, table, ord, head, top, cells, inner, caption, in_head, in_foot, first) of the rows of top-level tables.
+
+        `cells` has the texts, spanning ones repeated; `top` those of the table's first row, `head` the same folded; `inner` the elements
+        asked for inside cells, as (cell, name, value, no).
+        """
+        rows = self._keyed(self._read.where("kind = 'row'")).withColumnsRenamed({"tbl": "table", "no": "ord"})
+        return rows.select("url", "table", "ord", F.transform("top", fold_heading).alias("head"), "top", "cells", "inner", "caption", "in_head", "in_foot", "first")
+
+    @property
+    def pipes(self) -> DataFrame:
+        """(url, table, ord, head, cells) of the rows of pipe tables, heading rows left out."""
+        return self._keyed(self._read.where("kind = 'pipe'")).select("url", F.col("tbl").alias("table"), F.col("no").alias("ord"), F.transform("top", fold_heading).alias("head"), "cells")
+
+    @property
+    def components(self) -> DataFrame:
+        """(url, late, ord, top, cells) of the rows of component tables; `late` is 0 on the page itself, 1 in the state of its scripts."""
+        return self._keyed(self._read.where("kind = 'component'")).select("url", F.col("tbl").alias("late"), F.col("no").alias("ord"), "top", "cells")
+
+    @property
+    def faults(self) -> DataFrame:
+        """(source, run, url, fault) of the pages that can't be read or are empty."""
+        return self._read.where("kind = 'fault'").select("source", "run", "url", F.col("value").alias("fault"))
+
+    @property
+    def fetched(self) -> DataFrame:
+        """(source, run) of all pages."""
+        return self._bodies.select("source", "run").distinct()
 
 
 def records(rows: DataFrame, record: str, one: tuple[str, ...] = (), many: tuple[str, ...] = ()) -> DataFrame:
@@ -140,36 +311,6 @@ def records(rows: DataFrame, record: str, one: tuple[str, ...] = (), many: tuple
     return rows.withColumn("ord", F.col("path")[record]).where("ord is not null").groupBy("url", "ord").agg(*first, *every)
 
 
-TABLE = {"table": Sel("table"), "caption": Sel("caption"), "head": Sel("thead"), "foot": Sel("tfoot"), "tr": Sel("tr"), "cell": Sel(("td", "th"))}
-
-
-def table_rows(pages: DataFrame, inner: dict[str, Sel] | None = None, sep: str = " ") -> DataFrame:
-    """(url, table, ord, head, cells, inner, caption, in_head, first) of the rows of top-level tables.
-
-    `cells` has the texts, spanning ones repeated; `head` the folded texts of the table's first row; `inner` the elements asked for inside
-    cells, as (cell, name, value, attrs). Cells of a table inside a cell belong to that cell's text alone.
-    """
-    wanted = TABLE | {"cell": Sel(("td", "th"), sep=sep)} | (inner or {})
-    rows = elements(pages, wanted)
-    # a nested table's rows have an outer cell: their tr isn't the one whose cells are read
-    own = rows.where("name = 'cell' and path.tr is not null and path.table is not null")
-    depth = rows.where("name = 'tr'").select("url", F.col("no").alias("tr"), F.col("path.cell").alias("within"))
-    own = own.withColumn("tr", F.col("path.tr")).join(depth, ["url", "tr"]).where("within is null")
-    span = F.least(F.lit(1000), F.greatest(F.lit(1), F.coalesce(F.col("attrs")["colspan"].try_cast("int"), F.lit(1))))
-    cell = F.struct("no", "value", span.alias("span"))
-    tr = own.groupBy("url", F.col("path.table").alias("table"), F.col("tr").alias("ord")).agg(F.sort_array(F.collect_list(cell)).alias("c"), F.max(F.col("path.head").isNotNull()).alias("in_head"), F.max(F.col("path.foot").isNotNull()).alias("in_foot"))
-    tr = tr.select("url", "table", "ord", "in_head", "in_foot", F.flatten(F.transform("c", lambda x: F.array_repeat(x["value"], x["span"]))).alias("cells"), F.transform("c", lambda x: x["no"]).alias("nos"))
-    if inner:
-        deep = rows.where(F.col("name").isin(list(inner)) & F.col("path.cell").isNotNull()).groupBy("url", F.col("path.tr").alias("ord")).agg(F.sort_array(F.collect_list(F.struct("no", F.col("path.cell").alias("cell"), "name", "value", F.to_json("attrs").alias("attrs")))).alias("d"))
-        tr = tr.join(deep, ["url", "ord"], "left")
-        found = F.transform(F.coalesce("d", F.array().cast("array<struct<no:int,cell:int,name:string,value:string,attrs:string>>")), lambda x: F.struct((F.array_position("nos", x["cell"]) - 1).cast("int").alias("cell"), x["name"].alias("name"), x["value"].alias("value"), x["attrs"].alias("attrs"), x["no"].alias("no")))
-        tr = tr.withColumn("inner", F.filter(found, lambda x: x["cell"] >= 0)).drop("d")
-    captions = rows.where("name = 'caption'").groupBy("url", F.col("path.table").alias("table")).agg(F.min_by("value", "no").alias("caption"))
-    w = Window.partitionBy("url", "table").orderBy("ord")
-    out = tr.join(captions, ["url", "table"], "left").withColumn("first", F.row_number().over(w) == 1)
-    return out.withColumn("head", F.first(F.transform("cells", fold_heading)).over(w)).drop("nos")
-
-
 def inner_of(name: str, cell: int, value: str = "value") -> Column:
     """The first value of an inner element of a cell; null without one."""
     found = F.filter("inner", lambda x: (x["cell"] == cell) & (x["name"] == name))

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..workers import reachable
+from .money import short_references
 
 #: Columns that a cell may span.
 MAX_SPAN = 1000
@@ -35,6 +36,11 @@ def markdown_tables(text: str | None) -> list[list[list[str]]]:
     return out
 
 
+def span_of(value: str | None) -> int:
+    """How many columns a cell takes by its colspan."""
+    return min(MAX_SPAN, max(1, int(value))) if value and value.isdecimal() and len(value) < 10 else 1
+
+
 class _Tables(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -59,8 +65,7 @@ class _Tables(HTMLParser):
             self._end_cell()
             if not self.tables[-1]:
                 self.tables[-1].append([])
-            value = dict(attrs).get("colspan") or "1"
-            self.cell, self.span = [], min(MAX_SPAN, max(1, int(value))) if value.isdigit() else 1
+            self.cell, self.span = [], span_of(dict(attrs).get("colspan"))
 
     def handle_endtag(self, tag: str) -> None:
         if tag in ("script", "style", "noscript"):
@@ -80,7 +85,7 @@ class _Tables(HTMLParser):
 def html_tables(text: str | None) -> list[list[list[str]]]:
     """Top-level tables; a table inside a cell is part of that cell's text. Spanning cells repeat. Rows without cells go."""
     parser = _Tables()
-    parser.feed(text or "")
+    parser.feed(short_references(text or ""))
     parser.close()
     if parser.depth:
         parser._end_cell()
@@ -88,11 +93,17 @@ def html_tables(text: str | None) -> list[list[list[str]]]:
 
 
 def tables_of(df: DataFrame, id_col: str, text_col: str, reader: Callable[[str | None], list] = html_tables) -> DataFrame:
-    """(id, table_no, row_no, cells): a row for each row of each table of a page; Arrow batches, no shuffle."""
+    """(id, table_no, row_no, cells): a row for each row of each table of a page, or one row of nulls for a page that can't be read; Arrow batches, no shuffle."""
+
+    def rows_of(text: str | None) -> list[tuple]:
+        try:
+            return [(t, r, cells) for t, table in enumerate(reader(text)) for r, cells in enumerate(table)]
+        except AssertionError:  # what the parser raises on a broken declaration
+            return [(None, None, None)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(i, t, r, cells) for i, text in enumerate(batch.column(1).to_pylist()) for t, table in enumerate(reader(text)) for r, cells in enumerate(table)]
+            rows = [(i, *row) for i, text in enumerate(batch.column(1).to_pylist()) for row in rows_of(text)]
             take = pa.array([r[0] for r in rows], pa.int64())
             yield pa.record_batch([batch.column(0).take(take), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.list_(pa.string()))], names=[id_col, "table_no", "row_no", "cells"])
 

@@ -1,6 +1,6 @@
 """What the sources of pages share: the rows that they give, and how cells, cards and amounts become them.
 
-A source is a function from pages (source, url, body) to PRICED rows. One id is one row, the first on the page; `fault` names what
+A source is a function from Pages to PRICED rows, and what its pages are read for. One id is one row, the first on a run's pages; `fault` names what
 can't be read, which is never the same as unpriced (neither rates nor fault). Rates are for a million tokens in `currency`.
 """
 
@@ -8,28 +8,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.markup import Sel, table_rows
-from ..functions.tables import markdown_tables, tables_of
-from ..functions.text import fold_heading
+from ..functions.markup import Pages, Reading
 from ..schema import AXES, FEES, LIMITS, OVERRIDES, RATES
 
-PRICED = f"source string, model_id string, currency string, rates {RATES}, overrides {OVERRIDES}, fees struct<{','.join(f'{f}:double' for f in FEES)}>, limits struct<{','.join(f'{x}:bigint' for x in LIMITS)}>, effective_at string, fault string, url string"
-SOURCES: dict[str, Callable[[DataFrame], DataFrame]] = {}
+PRICED = f"source string, model_id string, currency string, rates {RATES}, overrides {OVERRIDES}, fees struct<{','.join(f'{f}:double' for f in FEES)}>, limits struct<{','.join(f'{x}:bigint' for x in LIMITS)}>, effective_at string, fault string, run string, url string"
+SOURCES: dict[str, Callable[[Pages], DataFrame]] = {}
+READINGS: dict[str, Reading] = {}
 #: Digits of a token count that can be read.
 COUNT_DIGITS = 12
 c, lit = F.col, F.lit
 
 
-def source(f: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    def own(pages: DataFrame) -> DataFrame:
-        return f(pages.where(c("source") == f.__name__))
+def source(**reading: object) -> Callable[[Callable[[Pages], DataFrame]], Callable[[Pages], DataFrame]]:
+    """A source under its function's name, with the fields of its Reading."""
 
-    own.__name__, own.__doc__ = f.__name__, f.__doc__
-    SOURCES[f.__name__] = own
-    return own
+    def named(f: Callable[[Pages], DataFrame]) -> Callable[[Pages], DataFrame]:
+        SOURCES[f.__name__], READINGS[f.__name__] = f, Reading(**reading)
+        return f
+
+    return named
 
 
 def slug(x: Column, keep: str = "a-z0-9.") -> Column:
@@ -82,26 +82,19 @@ def priced(rows: DataFrame, name: str, fault: Column, own: dict[str, Column], *,
         F.when(good, effective if effective is not None else none).cast("string").alias("effective_at"),
         fault.alias("fault"),
     )
-    one = rows.where("model_id <> ''").groupBy("model_id").agg(F.min_by(F.struct(row.alias("r"), "url"), F.struct(*order, "url", "ord")).alias("x"))
-    return one.select(lit(name).alias("source"), "model_id", "x.r.currency", "x.r.rates", "x.r.overrides", "x.r.fees", "x.r.limits", "x.r.effective_at", "x.r.fault", "x.url")
+    one = rows.where("model_id <> ''").groupBy("url.run", "model_id").agg(F.min_by(F.struct(row.alias("r"), "url"), F.struct(*order, "url", "ord")).alias("x"))
+    return one.select(lit(name).alias("source"), "model_id", "x.r.currency", "x.r.rates", "x.r.overrides", "x.r.fees", "x.r.limits", "x.r.effective_at", "x.r.fault", F.nullif("run", lit("")).alias("run"), "x.url.url")
 
 
-def data_rows(pages: DataFrame, head: Column, inner: dict[str, Sel] | None = None, sep: str = " ") -> DataFrame:
+def data_rows(pages: Pages, head: Column) -> DataFrame:
     """The rows below the heading of tables whose folded heading fits."""
-    return table_rows(pages, inner, sep).where(head & ~c("first") & ~c("in_head"))
+    return pages.rows.where(head & ~c("first") & ~c("in_head"))
 
 
 def headed(*labels: str) -> Column:
     return F.transform("head", lambda h: h) == F.array(*[lit(" ".join(x.casefold().replace("&", " and ").split())) for x in labels])
 
 
-def markdown_rows(pages: DataFrame) -> DataFrame:
-    """(url, table, ord, head, cells) of the rows of markdown tables, heading rows left out."""
-    rows = tables_of(pages, "url", "body", markdown_tables).withColumnRenamed("table_no", "table").withColumnRenamed("row_no", "ord")
-    w = Window.partitionBy("url", "table").orderBy("ord")
-    return rows.withColumn("head", F.first(F.transform("cells", fold_heading)).over(w)).where("ord > 0").withColumn("ord", c("table") * 100_000 + c("ord"))
-
-
 def cell(i: int) -> Column:
     return F.get(c("cells"), i)
 

@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.markup import Sel, column, elements, inner_of, plain, records, table_rows
+from ..functions.markup import Pages, Sel, column, inner_of, plain, records
 from ..functions.money import scan
 from ..functions.text import fold_heading
-from .priced import COUNT_DIGITS, SOURCES, amount, c, cell, data_rows, faults, headed, lit, markdown_rows, override, priced, rates, slug, source, thousand
+from .priced import COUNT_DIGITS, SOURCES, amount, c, cell, data_rows, faults, headed, lit, override, priced, rates, slug, source, thousand
 
 
-@source
-def ai21(pages: DataFrame) -> DataFrame:
+@source(wanted={"list": Sel("div", ("b-cards--type-models",)), "card": Sel("div", ("card",)), "title": Sel("h3", ("card__title",)), "footer": Sel("div", ("card__footer",))})
+def ai21(pages: Pages) -> DataFrame:
     """Cards: a title, and a footer of one input and one output amount."""
-    wanted = {"list": Sel("div", ("b-cards--type-models",)), "card": Sel("div", ("card",)), "title": Sel("h3", ("card__title",)), "footer": Sel("div", ("card__footer",))}
-    cards = records(elements(pages, wanted).where("path.list is not null"), "card", ("title", "footer"))
+    cards = records(pages.elements.where("path.list is not null"), "card", ("title", "footer"))
     line = r"(\$\S+) / 1M input tokens\s*(\$\S+) / 1M output tokens"
     cards = cards.withColumn("model_id", F.coalesce(slug(c("title")), lit(""))).withColumn("lines", F.size(F.regexp_extract_all("footer", lit(line), lit(0))))
     cards = cards.withColumn("in", F.regexp_extract("footer", line, 1)).withColumn("out", F.regexp_extract("footer", line, 2))
@@ -24,8 +23,8 @@ def ai21(pages: DataFrame) -> DataFrame:
     return priced(got, "ai21", fault, {"input": amount("i"), "output": amount("o")})
 
 
-@source
-def amazon(pages: DataFrame) -> DataFrame:
+@source()
+def amazon(pages: Pages) -> DataFrame:
     """A price list as JSON: products join their on-demand terms by sku and axis; rates of a thousand tokens; the latest date of an axis counts."""
     # The names of models and what an axis is called.
     ids = {"Nova Lite": "amazon.nova-lite-v1:0", "Nova Micro": "amazon.nova-micro-v1:0", "Nova Pro": "amazon.nova-pro-v1:0", "Nova Premier": "amazon.nova-premier-v1:0", "Nova 2.0 Lite": "amazon.nova-2-lite-v1:0", "Nova 2.0 Omni": "amazon.nova-2-omni-v1:0", "Nova 2.0 Pro": "amazon.nova-2-pro-v1:0"}
@@ -33,7 +32,7 @@ def amazon(pages: DataFrame) -> DataFrame:
     attributes = "struct<model:string,feature:string,inferenceType:string>"
     term = "struct<effectiveDate:string,priceDimensions:map<string,struct<unit:string,pricePerUnit:map<string,string>>>>"
     file = F.from_json("body", f"struct<products:map<string,struct<attributes:{attributes}>>,terms:struct<OnDemand:map<string,map<string,{term}>>>>")
-    read = pages.select("url", file.alias("f"))
+    read = pages.bodies.select("url", file.alias("f"))
     key, axis = F.create_map(*[lit(x) for kv in ids.items() for x in kv]), F.create_map(*[lit(x) for kv in axes.items() for x in kv])
     product = read.select("url", F.explode("f.products").alias("sku", "p")).select("url", "sku", F.try_element_at(key, c("p.attributes.model")).alias("model_id"), F.try_element_at(axis, c("p.attributes.inferenceType")).alias("axis")).where("axis is not null and model_id is not null and p.attributes.feature = 'On-demand Inference'")
     offer = read.select("url", F.explode("f.terms.OnDemand").alias("sku", "offers")).select("url", "sku", F.map_values("offers").alias("offers"))
@@ -46,11 +45,10 @@ def amazon(pages: DataFrame) -> DataFrame:
     return priced(named, "amazon", faults((c("twice"), "two products of an axis"), (c("bad").isNotNull(), "terms of a product")), {a: c(a) for a in sorted(set(axes.values()))}, effective=c("date"))
 
 
-@source
-def avian(pages: DataFrame) -> DataFrame:
+@source(wanted={"grid": Sel(attrs={"id": "avModelGrid"}), "card": Sel(cls=("av-model-card",)), "label": Sel(cls=("av-model-label",)), "meta": Sel(cls=("av-model-meta",)), "block": Sel(cls=("av-mp",)), "key": Sel(cls=("av-mp-label",)), "rate": Sel(cls=("av-mp-val",))})
+def avian(pages: Pages) -> DataFrame:
     """Cards in a grid: labelled price blocks; a context of K or M tokens in thousands."""
-    wanted = {"grid": Sel(attrs={"id": "avModelGrid"}), "card": Sel(cls=("av-model-card",)), "label": Sel(cls=("av-model-label",)), "meta": Sel(cls=("av-model-meta",)), "block": Sel(cls=("av-mp",)), "key": Sel(cls=("av-mp-label",)), "rate": Sel(cls=("av-mp-val",))}
-    rows = elements(pages, wanted).where("path.grid is not null")
+    rows = pages.elements.where("path.grid is not null")
     cards = records(rows, "card", ("label", "meta"))
     block = rows.where("name in ('key', 'rate') and path.block is not null").groupBy("url", c("path.card").alias("ord"), c("path.block").alias("block")).agg(F.max(F.when(c("name") == "key", c("value"))).alias("k"), F.max(F.when(c("name") == "rate", c("value"))).alias("v"))
     block = block.groupBy("url", "ord").agg(*[F.max(F.when(c("k") == k, c("v"))).alias(k) for k in ("Input", "Output", "Cache")])
@@ -61,11 +59,10 @@ def avian(pages: DataFrame) -> DataFrame:
     return priced(got.withColumn("model_id", slug(c("label"))).where(r"model_id rlike '^[a-z0-9][a-z0-9.-]*$'"), "avian", fault, {"input": amount("i"), "output": amount("o"), "cache_read": amount("r")}, limits={"context": tokens})
 
 
-@source
-def baseten(pages: DataFrame) -> DataFrame:
+@source(wanted={"row": Sel("div", ("grid",)), "desk": Sel("div", ("hidden", "md:flex"), skip=("a",)), "link": Sel("a", value="href"), "label": Sel("div", parent="row")})
+def baseten(pages: Pages) -> DataFrame:
     """A grid whose cells are rendered twice: only the desktop one counts; a dash for output beside an input is no charge; a page of dashes alone is broken."""
-    wanted = {"row": Sel("div", ("grid",)), "desk": Sel("div", ("hidden", "md:flex"), skip=("a",)), "link": Sel("a", value="href"), "label": Sel("div", parent="row")}
-    rows = elements(pages, wanted)
+    rows = pages.elements
     grid = records(rows, "row", (), ("desk", "label")).join(records(rows.where("path.desk is not null"), "row", ("link",)), ["url", "ord"], "left")
     heading = F.transform("label", fold_heading) == F.array(*map(lit, ("model", "input", "cache input", "output")))
     start = grid.where(heading).groupBy("url").agg(F.min("ord").alias("start"))
@@ -82,24 +79,27 @@ def baseten(pages: DataFrame) -> DataFrame:
     return priced(rows, "baseten", fault, {"input": amount("i"), "output": F.when(c("o_dash") & ~blank, 0.0).otherwise(amount("o")), "cache_read": amount("r")})
 
 
-@source
-def cerebras(pages: DataFrame) -> DataFrame:
+@source()
+def cerebras(pages: Pages) -> DataFrame:
     """JSON: prices of a token as texts; a negative one is no price."""
-    flat = pages.select("url", F.posexplode(F.from_json("body", "struct<data:array<struct<id:string,pricing:struct<prompt:string,completion:string>>>>")["data"]).alias("ord", "m")).select("url", "ord", c("m.id").alias("model_id"), "m.pricing.*")
+    flat = pages.bodies.select("url", F.posexplode(F.from_json("body", "struct<data:array<struct<id:string,pricing:struct<prompt:string,completion:string>>>>")["data"]).alias("ord", "m")).select("url", "ord", c("m.id").alias("model_id"), "m.pricing.*")
     rate = lambda x: F.when(c(x).try_cast("double") >= 0, c(x).try_cast("double") * 1e6)
     bad = [(c(x).isNotNull() & c(x).try_cast("double").isNull(), f"unreadable {x} rate") for x in ("prompt", "completion")]
     return priced(flat.where("model_id is not null"), "cerebras", faults(*bad), {"input": rate("prompt"), "output": rate("completion")})
 
 
-@source
-def cloudflare(pages: DataFrame) -> DataFrame:
+#: The anchors of the two sections.
+CLOUDFLARE = ("llm-model-pricing", "other-model-pricing")
+
+
+@source(tables=True, sep="\n", wanted={f"section{i}": Sel(attrs={"id": x}) for i, x in enumerate(CLOUDFLARE)} | {"h2": Sel("h2"), "table": Sel("table")})
+def cloudflare(pages: Pages) -> DataFrame:
     """Two sections: lines of a token cell name their rates. Of the first section every row counts, of the other only clean pairs of input and output."""
-    ids = ("llm-model-pricing", "other-model-pricing")  # fixed values: the sections' anchors
-    marks = elements(pages, {f"section{i}": Sel(attrs={"id": x}) for i, x in enumerate(ids)} | {"h2": Sel("h2"), "table": Sel("table")})
-    marks = marks.where((c("name") != "h2") | ~F.coalesce(F.col("attrs")["id"], lit("")).isin(*ids))
+    ids = CLOUDFLARE
+    marks = pages.elements.where((c("name") != "h2") | ~F.coalesce(F.col("attrs")["id"], lit("")).isin(*ids))
     before = F.max_by(F.when(c("name") != "table", c("name")), F.when(c("name") != "table", c("no"))).over(Window.partitionBy("url").orderBy("no", F.desc("name")).rowsBetween(Window.unboundedPreceding, 0))
     tables = marks.withColumn("section", before).where("name = 'table' and section like 'section%'").select("url", c("no").alias("table"), "section")
-    rows = data_rows(pages, headed("Model", "Price in Tokens", "Price in Neurons"), sep="\n").join(tables, ["url", "table"])
+    rows = data_rows(pages, headed("Model", "Price in Tokens", "Price in Neurons")).join(tables, ["url", "table"])
     once = Window.partitionBy("url", "section")
     rows = rows.withColumn("least", F.min("table").over(once)).where("table = least")
     lines = F.split(cell(1), "\n")
@@ -114,27 +114,27 @@ def cloudflare(pages: DataFrame) -> DataFrame:
     return priced(got.where((c("section") == "section0") | ~odd), "cloudflare", faults((odd, "token cell"), (unreadable, "unreadable rate")), {"input": amount("i"), "output": amount("o"), "cache_read": amount("r")}, order=("section",))
 
 
-@source
-def cohere(pages: DataFrame) -> DataFrame:
+@source(wanted={"script": Sel("script"), "block": Sel(("li", "p"))})
+def cohere(pages: Pages) -> DataFrame:
     """Cards inside script state, then sentences that name both rates; output that isn't of tokens costs nothing."""
     named = lambda x: slug(F.replace(x, lit("+"), lit(" plus ")))
     mark = r'\"_type\":\"model\"'
-    state = elements(pages, {"script": Sel("script")}).where(F.col("value").contains("__next_f") & F.col("value").contains(mark))
+    state = pages.elements.where((c("name") == "script") & F.col("value").contains("__next_f") & F.col("value").contains(mark))
     part = state.select("url", "no", F.posexplode(F.slice(F.split("value", r'\\"_type\\":\\"model\\"'), 2, 1 << 30)).alias("i", "s"))
     text = lambda p, i=1: F.regexp_extract("p", p, i)
     part = part.withColumn("name", F.regexp_extract("s", r'\\"modelName\\":\\"([^"\\]+)\\"', 1)).withColumn("p", F.regexp_extract("s", r'\\"pricings\\":\[([^\]]*)\]', 1)).where("p <> ''")
     has_out = text(r'\\"outputLabel\\":\\"([^"\\]*)\\",\\"outputPrice\\":([^,}]+)', 0) != ""
     card = part.where(has_out).select("url", (c("no") * 1000 + c("i")).cast("bigint").alias("ord"), named(c("name")).alias("model_id"), text(r'\\"inputPrice\\":([^,}]+)').try_cast("double").alias("in"), F.when(text(r'\\"outputLabel\\":\\"([^"\\]*)\\"') == "Output", text(r'\\"outputPrice\\":([^,}]+)').try_cast("double")).otherwise(0.0).alias("out"), F.lit(0).alias("kind"), lit(False).alias("bad")).where("in >= 0 and out >= 0")
     shape = r"^(.+?) pricing is (\$[^/]+?)\s*/\s*1M tokens for input and (\$[^/]+?)\s*/\s*1M tokens for output$"
-    said = elements(pages, {"block": Sel(("li", "p"))}).where(F.col("value").rlike(shape)).select("url", c("no").cast("bigint").alias("ord"), named(F.regexp_extract("value", shape, 1)).alias("model_id"), F.regexp_extract("value", shape, 2).alias("a"), F.regexp_extract("value", shape, 3).alias("b"))
+    said = pages.elements.where((c("name") == "block") & F.col("value").rlike(shape)).select("url", c("no").cast("bigint").alias("ord"), named(F.regexp_extract("value", shape, 1)).alias("model_id"), F.regexp_extract("value", shape, 2).alias("a"), F.regexp_extract("value", shape, 3).alias("b"))
     said = scan(said, a=("a", "$", ""), b=("b", "$", ""))
     whole = lambda n: ~c(f"{n}_bad") & (F.size(f"{n}_amounts") == 1) & (c(n) == F.concat(lit("$"), F.get(f"{n}_amounts", 0)))
     said = said.select("url", "ord", "model_id", amount("a").alias("in"), amount("b").alias("out"), lit(1).alias("kind"), (~whole("a") | ~whole("b")).alias("bad"))
     return priced(card.unionByName(said), "cohere", faults((c("bad"), "prose rate")), {"input": c("in"), "output": c("out")}, order=("kind",))
 
 
-@source
-def databricks(pages: DataFrame) -> DataFrame:
+@source(tables=True)
+def databricks(pages: Pages) -> DataFrame:
     """Tables of a standard and a priority tier in DBU; a display name may stand for several ids."""
     # The ids that a display name stands for.
     names = {
@@ -143,7 +143,7 @@ def databricks(pages: DataFrame) -> DataFrame:
         "Llama 3.3 70B": ["llama-3.3-70b-instruct"], "Gemma 3 12B": ["gemma-3-12b-it"], "Llama 3.1 8B": ["llama-3.1-8b-instruct"], "Qwen 3 0.6B Embedding": ["qwen3-embedding-0.6b"], "GTE": ["gte"], "BGE Large": ["bge-large"],
     }
     tier = F.get(F.filter("cells", lambda x: fold_heading(x).rlike(r"pay per token \(dbu per 1m tokens\)")), 0)
-    rows = table_rows(pages)
+    rows = pages.rows
     spans = rows.where(c("in_head") | c("first")).groupBy("url", "table").agg(F.max(fold_heading(tier)).alias("tier"))
     heading = rows.where("in_head or first").groupBy("url", "table").agg(F.max(F.array_contains(F.transform("cells", fold_heading), "cache read")).alias("sub"))
     body = rows.where(~c("in_head") & ~c("first")).join(spans, ["url", "table"]).join(heading, ["url", "table"]).where("sub and tier is not null and size(cells) = 4 and not lower(cells[1]) = 'input'")
@@ -157,11 +157,10 @@ def databricks(pages: DataFrame) -> DataFrame:
     return priced(flat.where(~c("unknown") | c("i").isNotNull()), "databricks", faults((c("unknown"), "unmapped name"), (c("bad"), "unreadable rate")), {"input": c("i"), "output": F.coalesce("o", F.when(c("i").isNotNull(), 0.0)), "cache_read": c("r")}, currency="DBU", order=("late",))
 
 
-@source
-def deepinfra(pages: DataFrame) -> DataFrame:
+@source(tables=True, inner={"link": Sel("a", value="href"), "list": Sel("span", attrs={"aria-label": "List price"})})
+def deepinfra(pages: Pages) -> DataFrame:
     """Tables rendered twice; a model's link names its id; of a discounted cell the run behind the list price is charged; k is 1024."""
-    inner = {"link": Sel("a", value="href"), "list": Sel("span", attrs={"aria-label": "List price"})}
-    rows = data_rows(pages, headed("Model", "Context", "$ per 1M input tokens", "$ per 1M output tokens", "Actions"), inner)
+    rows = data_rows(pages, headed("Model", "Context", "$ per 1M input tokens", "$ per 1M output tokens", "Actions"))
     flat = rows.select("url", "ord", F.lower(F.element_at(F.split(inner_of("link", 0), "/"), -1)).alias("model_id"), cell(1).alias("context"), cell(2).alias("i"), cell(3).alias("o"), inner_of("list", 2).isNotNull().alias("li"), inner_of("list", 3).isNotNull().alias("lo"))
     got = scan(flat.where("model_id rlike '^[a-z0-9][a-z0-9._/-]*$'"), i=("i", "$", ""), o=("o", "$", ""))
     sale = c("li") | c("lo")
@@ -172,8 +171,8 @@ def deepinfra(pages: DataFrame) -> DataFrame:
     return priced(got, "deepinfra", fault, {"input": amount("i"), "output": amount("o"), "cache_read": amount("i", 1)}, limits={"context": thousand(c("context"))})
 
 
-@source
-def fireworks(pages: DataFrame) -> DataFrame:
+@source(tables=True)
+def fireworks(pages: Pages) -> DataFrame:
     """Three amounts in the standard tier's cell: input, cached, output."""
     rows = data_rows(pages, F.slice("head", 1, 3) == F.array(*map(lit, ("model", "standard", "priority"))))
     flat = rows.select("url", "ord", F.regexp_replace(F.regexp_replace(F.lower(cell(0)), r"[\s()]+", "-"), "^-+|-+$", "").alias("model_id"), cell(1).alias("p"))
@@ -181,11 +180,11 @@ def fireworks(pages: DataFrame) -> DataFrame:
     return priced(got, "fireworks", faults((c("p_bad"), "unreadable rate"), (F.size("p_amounts") != 3, "amounts")), {"input": amount("p"), "cache_read": amount("p", 1), "output": amount("p", 2)})
 
 
-@source
-def groq(pages: DataFrame) -> DataFrame:
+@source(pipes=True)
+def groq(pages: Pages) -> DataFrame:
     """A markdown table; the link's path is the id; prices by the hour or character, or on request, are none."""
     head = headed("MODEL ID", "SPEED (T/SEC)", "PRICE PER 1M TOKENS", "RATE LIMITS (DEVELOPER PLAN)", "CONTEXT WINDOW (TOKENS)", "MAX COMPLETION TOKENS", "MAX FILE SIZE")
-    rows = markdown_rows(pages).where(head & (F.size("cells") == 7))
+    rows = pages.pipes.where(head & (F.size("cells") == 7))
     link = r"^.*\]\(([^)]*)\)(.*)$"
     path, tail = F.regexp_extract(cell(0), link, 1), F.regexp_extract(cell(0), link, 2)
     own = F.regexp_extract(path, r"^/docs/model/(.*)$", 1)
@@ -199,23 +198,22 @@ def groq(pages: DataFrame) -> DataFrame:
     return priced(got, "groq", fault, {"input": amount("i"), "output": amount("o")}, limits={"context": count("context"), "output": count("most")})
 
 
-@source
-def minimax(pages: DataFrame) -> DataFrame:
+@source(pipes=True)
+def minimax(pages: Pages) -> DataFrame:
     """Markdown tables; the last amount of a cell counts, as struck-through ones stand before it; headings may carry a unit."""
     unit = lambda h: F.regexp_replace(F.regexp_replace(h, r"\s*\\?\$\s*/\s*m tokens$", ""), r"^\*\*(.*)\*\*$", "$1")
-    rows = markdown_rows(pages).withColumn("head", F.transform("head", unit)).where(F.array_contains("head", "model") & F.array_contains("head", "input") & F.array_contains("head", "output"))
+    rows = pages.pipes.withColumn("head", F.transform("head", unit)).where(F.array_contains("head", "model") & F.array_contains("head", "input") & F.array_contains("head", "output"))
     flat = rows.select("url", "ord", F.regexp_extract(cell(0), r"\*\*(.+?)\*\*", 1).alias("model_id"), column("input").alias("i"), column("output").alias("o"), column("prompt caching read").alias("r"), F.exists("head", lambda h: h.contains("cach")).alias("caches"), F.array_contains("head", "prompt caching read").alias("known"))
     got = scan(flat, i=("i", "$", ""), o=("o", "$", ""), r=("r", "$", ""))
     fault = faults((c("caches") & ~c("known"), "caching column"), (c("i").isNull() | c("o").isNull(), "cells"), (c("i_bad") | c("o_bad") | c("r_bad"), "unreadable rate"))
     return priced(got, "minimax", fault, {"input": amount("i", -1), "output": amount("o", -1), "cache_read": amount("r", -1)})
 
 
-@source
-def mistral(pages: DataFrame) -> DataFrame:
+@source(tables=True, inner={"link": Sel("a", value="href"), "ins": Sel("ins"), "del": Sel("del")}, wanted={"section": Sel("section"), "table": Sel("table")})
+def mistral(pages: Pages) -> DataFrame:
     """Tables in sections of token prices; of a sale the inserted amount counts; Free is zero; the link names the id."""
-    inner = {"link": Sel("a", value="href"), "ins": Sel("ins"), "del": Sel("del")}
-    rows = data_rows(pages, headed("Model", "Input", "Cached input", "Output"), inner)
-    inside = elements(pages, {"section": Sel("section"), "table": Sel("table")})
+    rows = data_rows(pages, headed("Model", "Input", "Cached input", "Output"))
+    inside = pages.elements
     near = inside.where("name = 'section' and value like '%Prices /M Tokens%'").select("url", c("no").alias("section"))
     near = inside.where("name = 'table'").select("url", c("no").alias("table"), c("path.section").alias("section")).join(near, ["url", "section"]).select("url", "table")
     sale = lambda i: F.coalesce(inner_of("ins", i).isNotNull() & inner_of("del", i).isNotNull(), lit(False))
@@ -227,11 +225,10 @@ def mistral(pages: DataFrame) -> DataFrame:
     return priced(got, "mistral", faults((odd("i") | odd("r") | odd("o"), "unreadable rate")), {"input": own("i"), "output": own("o"), "cache_read": own("r")})
 
 
-@source
-def novita(pages: DataFrame) -> DataFrame:
+@source(wanted={"card": Sel("article", attrs={"data-testid": "model-section-mobile-card"}), "href": Sel("a", value="href"), "dt": Sel("dt"), "dd": Sel("dd"), "amount": Sel("span", value="title"), "cached": Sel(attrs={"data-pricing-key": "cache-read"}), "script": Sel("script")})
+def novita(pages: Pages) -> DataFrame:
     """Cards of terms and definitions, exact amounts in titles; script state maps a card's dashed name to the id."""
-    wanted = {"card": Sel("article", attrs={"data-testid": "model-section-mobile-card"}), "href": Sel("a", value="href"), "dt": Sel("dt"), "dd": Sel("dd"), "amount": Sel("span", value="title"), "cached": Sel(attrs={"data-pricing-key": "cache-read"}), "script": Sel("script")}
-    rows = elements(pages, wanted)
+    rows = pages.elements
     ids = rows.where("name = 'script' and value like '%__next_f%'").select("url", F.explode(F.array_distinct(F.regexp_extract_all("value", lit(r'\\"id\\":\\"([^"\\]+)\\"'), lit(1)))).alias("id")).select("url", F.replace(c("id"), lit("/"), lit("-")).alias("dashed"), "id").groupBy("url", "dashed").agg(F.max("id").alias("id"))
     card = rows.where("path.card is not null").withColumn("term", F.last(F.when(c("name") == "dt", c("value")), ignorenulls=True).over(Window.partitionBy("url", c("path.card")).orderBy("no")))
     value = lambda term, where=lit(True): F.min_by(F.when((c("name") == "amount") & (c("term") == term) & where, c("value")), F.when((c("name") == "amount") & (c("term") == term) & where, c("no")))
@@ -243,8 +240,8 @@ def novita(pages: DataFrame) -> DataFrame:
     return priced(named, "novita", lit(None).cast("string"), {"input": rate(c("i")), "output": rate(c("o")), "cache_read": rate(c("r"))}, limits={"context": F.trim("n").try_cast("bigint")})
 
 
-@source
-def perplexity(pages: DataFrame) -> DataFrame:
+@source(tables=True)
+def perplexity(pages: Pages) -> DataFrame:
     """Tables of own models; resold ones are left out; the fee of a search is the one named after `instead of`, by its number of calls."""
     resold = ("deepseek-v4-pro-0813", "glm-5.3", "glm-5.3-flash", "kimi-k3", "nemotron-3-ultra-550b-a55b")  # fixed values
     labels = ("input ($/1m)", "output ($/1m)", "cache read ($/1m)")
@@ -253,26 +250,26 @@ def perplexity(pages: DataFrame) -> DataFrame:
     flat = rows.select("url", "ord", F.regexp_extract(name, "^perplexity/([a-z0-9][a-z0-9.-]*)$", 1).alias("model_id"), *[F.trim(column(x)).alias(n) for x, n in zip(labels, "ior", strict=True)], (F.size("cells") < F.size("head")).alias("short")).where(~c("model_id").isin(list(resold)))
     got = scan(flat, i=("i", "", ""), o=("o", "", ""), r=("r", "", ""))
     own = lambda n: F.when((F.size(f"{n}_amounts") == 1) & ((c(n) == F.get(f"{n}_amounts", 0)) | (c(n) == F.concat(lit("$"), F.get(f"{n}_amounts", 0)))), amount(n))
-    clause = pages.select(F.regexp_extract(plain(c("body")), r"(?i)(instead of\s*\$[^.]*?(?:\.\d[^.]*)*)(?:\.\s|\.$|$)", 1).alias("fee"), F.regexp_extract(plain(c("body")), r"(?i)\bper\s+([\d,.]*)\s+invocations\b", 1).alias("n")).where("fee <> ''")
+    clause = pages.bodies.select("url", F.regexp_extract(plain(c("body")), r"(?i)(instead of\s*\$[^.]*?(?:\.\d[^.]*)*)(?:\.\s|\.$|$)", 1).alias("fee"), F.regexp_extract(plain(c("body")), r"(?i)\bper\s+([\d,.]*)\s+invocations\b", 1).alias("n")).where("fee <> ''")
     clause = scan(clause.withColumn("own", F.regexp_extract("fee", r"(?i)\bper\s+([\d,.]*)\s+invocations\b", 1)).withColumn("n", F.when(c("own") != "", c("own")).otherwise(c("n"))), f=("fee", "$", ""), k=("n", "", ""))
-    fee = clause.where(~c("f_bad") & ~c("k_bad") & (F.size("k_amounts") == 1) & (F.size("f_amounts") > 0)).agg(F.max(amount("f") / amount("k")).alias("fee"))
-    got = got.withColumn("one", lit(1)).join(F.broadcast(fee.withColumn("one", lit(1))), "one", "left")  # one row
+    fee = clause.where(~c("f_bad") & ~c("k_bad") & (F.size("k_amounts") == 1) & (F.size("f_amounts") > 0)).groupBy("url.run").agg(F.max(amount("f") / amount("k")).alias("fee"))
+    got = got.withColumn("run", c("url.run")).join(fee, "run", "left")
     fault = faults((c("short"), "cells"), (c("i_bad") | c("o_bad") | c("r_bad"), "unreadable rate"), (c("fee").isNull(), "fee of a search"))
     return priced(got, "perplexity", fault, {"input": own("i"), "output": own("o"), "cache_read": own("r")}, fees=F.struct(c("fee").alias("web_search"), lit(None).cast("double").alias("search"), lit(None).cast("double").alias("fetch")))
 
 
-@source
-def publicai(pages: DataFrame) -> DataFrame:
+@source(tables=True, inner={"link": Sel("a")})
+def publicai(pages: Pages) -> DataFrame:
     """A table: both amounts in one cell, a context in thousands."""
-    rows = data_rows(pages, headed("model id", "context length", "pricing", "country of origin"), {"link": Sel("a")})
+    rows = data_rows(pages, headed("model id", "context length", "pricing", "country of origin"))
     flat = rows.select("url", "ord", F.lower(F.trim(F.coalesce(inner_of("link", 0), cell(0)))).alias("model_id"), cell(1).alias("context"), F.when(F.lower(cell(2)).contains("per 1m tokens"), cell(2)).alias("p"))
     got = scan(flat.where("model_id rlike '^[a-z0-9][a-z0-9._/-]*$'"), p=("p", "$", ""))
     fault = faults((c("p_bad"), "unreadable rate"), (c("p").isNotNull() & (F.size("p_amounts") != 2), "amounts"), (c("p").isNotNull() & thousand(c("context"), 1000).isNull(), "context"))
     return priced(got, "publicai", fault, {"input": amount("p"), "output": amount("p", 1)}, limits={"context": thousand(c("context"), 1000)})
 
 
-@source
-def sambanova(pages: DataFrame) -> DataFrame:
+@source(tables=True)
+def sambanova(pages: Pages) -> DataFrame:
     """A table of amounts before USD; N/A is no cached rate."""
     rows = data_rows(pages, headed("Model", "Cached Input Tokens", "Input (per 1M tokens)", "Output (per 1M tokens)"))
     flat = rows.select("url", "ord", slug(cell(0)).alias("model_id"), cell(1).alias("r"), cell(2).alias("i"), cell(3).alias("o"))
@@ -281,11 +278,11 @@ def sambanova(pages: DataFrame) -> DataFrame:
     return priced(got, "sambanova", fault, {"input": amount("i"), "output": amount("o"), "cache_read": amount("r")})
 
 
-@source
-def scaleway(pages: DataFrame) -> DataFrame:
+@source(tables=True, inner={"link": Sel("a", value="href")})
+def scaleway(pages: Pages) -> DataFrame:
     """A captioned table in euros; Free is zero; prices by the audio minute are none; a link that names the model must agree."""
     start = F.array(*map(lit, ("name", "tasks", "input tokens", "output tokens")))
-    rows = data_rows(pages, F.forall(F.arrays_zip(F.slice("head", 1, 4).alias("h"), start.alias("s")), lambda x: x["h"].startswith(x["s"])) & (F.size("head") == 5), {"link": Sel("a", value="href")}).where("caption = 'Generative API'")
+    rows = data_rows(pages, F.forall(F.arrays_zip(F.slice("head", 1, 4).alias("h"), start.alias("s")), lambda x: x["h"].startswith(x["s"])) & (F.size("head") == 5)).where("caption = 'Generative API'")
     rate, cached = r"^€(\d+(?:\.\d+)?) / million tokens$", r"^€(\d+(?:\.\d+)?) / million tokens €(\d+(?:\.\d+)?) / million tokens cached$"
     read = lambda text, p, i=1: F.regexp_extract(text, p, i).try_cast("double")
     i = F.when(cell(2) == "Free", 0.0).otherwise(F.coalesce(read(cell(2), cached), read(cell(2), rate)))
@@ -297,26 +294,25 @@ def scaleway(pages: DataFrame) -> DataFrame:
     return priced(flat, "scaleway", fault, {"input": c("i"), "output": c("o"), "cache_read": c("r")}, currency="EUR")
 
 
-@source
-def together(pages: DataFrame) -> DataFrame:
+@source(tables=True, inner={"model": Sel("a", ("pricing_model-link",)), "any": Sel("a")})
+def together(pages: Pages) -> DataFrame:
     """Tables of three columns; a second amount in the input cell is the cached rate; cells of other links are promotions."""
-    inner = {"model": Sel("a", ("pricing_model-link",)), "any": Sel("a")}
-    rows = data_rows(pages, headed("model", "input", "output"), inner)
+    rows = data_rows(pages, headed("model", "input", "output"))
     name = F.when(inner_of("model", 0).isNotNull(), inner_of("model", 0)).when(inner_of("any", 0).isNull(), cell(0)).otherwise("")
     flat = rows.select("url", "ord", F.lower(F.regexp_replace(F.trim(name), r"\s+", "-")).alias("model_id"), cell(1).alias("i"), cell(2).alias("o"), (F.size("cells") != 3).alias("short"))
     got = scan(flat.where("model_id rlike '^[a-z0-9][a-z0-9._/-]*$'"), i=("i", "$", ""), o=("o", "$", ""))
     return priced(got, "together", faults((c("short"), "cells"), (c("i_bad") | c("o_bad"), "unreadable rate")), {"input": amount("i"), "output": amount("o"), "cache_read": F.when(amount("i", 1) > 0, amount("i", 1))})
 
 
-@source
-def volcengine(pages: DataFrame) -> DataFrame:
+@source()
+def volcengine(pages: Pages) -> DataFrame:
     """Cards of running text in yuan at a pinned rate; of a range the lower bound counts; a card ends at the next one, or behind its copy button."""
     # The rate, labels and signs of a card.
     per_usd, window, copy = 7.2, 400, "复制"
     ins, outs, sizes = "输入价格|推理输入", "输出价格|推理输出", "最大输出|上下文窗口"
     id_ = r"doubao-seed(?!ream|ance)[a-z0-9.-]+"
     text = plain(c("body"))
-    card = pages.select("url", F.posexplode(F.regexp_extract_all(text, lit(f"({id_}(?:(?!{id_}).){{0,{window}}})"), lit(1))).alias("ord", "t"))
+    card = pages.bodies.select("url", F.posexplode(F.regexp_extract_all(text, lit(f"({id_}(?:(?!{id_}).){{0,{window}}})"), lit(1))).alias("ord", "t"))
     card = card.select("url", "ord", F.regexp_extract("t", f"^({id_})", 1).alias("model_id"), F.regexp_replace("t", f"^{id_}", "").alias("t"))
     card = card.withColumn("t", F.regexp_extract("t", f"(?s)^((?:(?!{copy}).)*(?:{copy}(?:(?!{copy}).)*)?)", 1))
     after = lambda labels: F.regexp_extract("t", f"(?s)(?:{labels})((?:(?!{ins}|{outs}|{sizes}).)*)", 1)
@@ -325,12 +321,10 @@ def volcengine(pages: DataFrame) -> DataFrame:
     return priced(card, "volcengine", lit(None).cast("string"), {"input": value(ins), "output": value(outs)}, limits={"context": size("上下文窗口"), "output": size("最大输出")})
 
 
-@source
-def watsonx(pages: DataFrame) -> DataFrame:
+@source(wanted={"comp": Sel("c4d-pricing-table"), "top": Sel("c4d-pricing-table-header-row"), "row": Sel("c4d-pricing-table-row"), "cell": Sel(("c4d-pricing-table-cell", "c4d-pricing-table-header-cell"))})
+def watsonx(pages: Pages) -> DataFrame:
     """Tables of custom elements; one amount bills both directions."""
-    cells = ("c4d-pricing-table-cell", "c4d-pricing-table-header-cell")
-    wanted = {"comp": Sel("c4d-pricing-table"), "top": Sel("c4d-pricing-table-header-row"), "row": Sel("c4d-pricing-table-row"), "cell": Sel(cells)}
-    rows = elements(pages, wanted)
+    rows = pages.elements
     head = records(rows, "top", (), ("cell",)).select("url", c("ord").alias("h"), c("cell").alias("head")).where(F.exists("head", lambda x: x.startswith("Model Name")) & F.exists("head", lambda x: x.startswith("Model Provider")))
     body = records(rows.where("path.row is not null"), "row", (), ("cell",))
     where_ = rows.where("name in ('row', 'top')").select("url", c("no").alias("ord"), c("path.comp").alias("comp"))
@@ -341,12 +335,12 @@ def watsonx(pages: DataFrame) -> DataFrame:
     return priced(got, "watsonx", faults((c("none"), "no price column"), (c("short"), "cells"), (c("p_bad"), "unreadable rate"), (F.size("p_amounts") > 2, "amounts")), {"input": amount("p"), "output": amount("p", -1)})
 
 
-@source
-def xai(pages: DataFrame) -> DataFrame:
+@source()
+def xai(pages: Pages) -> DataFrame:
     """A JSON object assigned in a script: rates in ten-thousandths; a longer context's rates become an override."""
     entry = "struct<name:string,promptTextTokenPrice:string,completionTextTokenPrice:string,cachedPromptTokenPrice:string,maxPromptLength:string,longContextThreshold:string,promptTextTokenPriceLongContext:string,completionTokenPriceLongContext:string,cachedPromptTokenPriceLongContext:string>"
     blob = F.regexp_extract("body", r"(?s)__XAI_PUBLIC_MODELS__[^=]*=\s*(\{.*?\})\s*;?\s*</script>", 1)
-    flat = pages.select("url", F.posexplode(F.from_json(blob, f"struct<clusterConfigs:array<struct<languageModels:array<{entry}>>>>")["clusterConfigs"]).alias("i", "k")).select("url", "i", F.posexplode("k.languageModels").alias("j", "e"))
+    flat = pages.bodies.select("url", F.posexplode(F.from_json(blob, f"struct<clusterConfigs:array<struct<languageModels:array<{entry}>>>>")["clusterConfigs"]).alias("i", "k")).select("url", "i", F.posexplode("k.languageModels").alias("j", "e"))
     flat = flat.select("url", (c("i") * 100_000 + c("j")).alias("ord"), c("e.name").alias("model_id"), "e.*")
     rate = lambda x: c(x).try_cast("double") * 0.0001
     long = ("promptTextTokenPriceLongContext", "completionTokenPriceLongContext", "cachedPromptTokenPriceLongContext")

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import clock, day_range, shifted, utc
-from ..functions.markup import Sel, column, elements, plain, table_rows
+from ..functions.literals import unfenced
+from ..functions.markup import Pages, Sel, column, plain
 from ..functions.money import scan
 from ..functions.text import fold_heading
 from ..schema import DAYS, RATES
-from .priced import amount, c, cell, data_rows, faults, headed, lit, markdown_rows, override, priced, rates, slug, some, source
+from .priced import amount, c, cell, data_rows, faults, headed, lit, override, priced, rates, slug, some, source
+
 
 def hhmm(text: Column) -> Column:
     """01:30 as 130."""
@@ -23,10 +25,10 @@ def bound(text: Column, pattern: str) -> Column:
     return digits * F.when(scale == "k", 1000).when(scale == "m", 1_000_000).otherwise(1)
 
 
-@source
-def anthropic(pages: DataFrame) -> DataFrame:
+@source(pipes=True)
+def anthropic(pages: Pages) -> DataFrame:
     """A markdown table of five rates; rows for prompts up to and over a bound become one entry; a table of a fast mode gives overrides."""
-    rows = markdown_rows(pages)
+    rows = pages.pipes
     clean = lambda x: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r"(?s)<sup>.*?</sup>", ""), r"!?\[([^\]]*)\]\([^)]*\)", "$1"), r"<[^>]*>|[*`_​‌‍]", " "), r"\s+", " "))
     tier = r"(?i)\(for\s+prompts\s+(up\s+to|over)\s+(\S+)\s+(?:input\s+)?tokens\)\s*$"
     name = clean(cell(0))
@@ -58,13 +60,11 @@ def anthropic(pages: DataFrame) -> DataFrame:
     return priced(joined, "anthropic", fault, base, overrides=some(F.array_compact(F.array(longer, quick))))
 
 
-@source
-def dashscope(pages: DataFrame) -> DataFrame:
+@source(tables=True)
+def dashscope(pages: Pages) -> DataFrame:
     """International rows of tables: promotions, and peak rates over the complement of the off-peak hours, in UTC."""
     resold = ("deepseek-v3.2", "deepseek-v4-flash", "deepseek-v4-pro", "glm-5.1", "glm-5.2", "kimi-k2.7-code")  # fixed values
-    rows = table_rows(pages)
-    head = F.first("cells").over(Window.partitionBy("url", "table").orderBy("ord"))
-    rows = rows.withColumn("top", head).where(~c("first") & F.get("top", 0).startswith("Model ID") & F.contains(cell(1), lit("International")))
+    rows = pages.rows.where(~c("first") & F.get("top", 0).startswith("Model ID") & F.contains(cell(1), lit("International")))
     at = lambda *labels: F.array_position(F.transform("top", lambda x: x.rlike("^(" + "|".join(labels) + ")")), lit(True)) - 1
     i, o, span = at("Input price", "Input unit price"), at("Output price", "Output unit price"), at("Input token")
     ranged = F.array_position(F.transform(F.slice("cells", 3, 1000), lambda x: x.rlike(r"Token\s*[<≤]|^No tiered pricing$|^flat-rate pricing$")), lit(True)) + 1
@@ -103,7 +103,7 @@ def dashscope(pages: DataFrame) -> DataFrame:
 
     timed = {n: c(n).rlike("(?i)peak") for n in "io"}
     note = r"(?i)(?:(?<![-\w])peak hours are from (\d{1,2}):(\d{2}) to (\d{1,2}):(\d{2}) \(UTC\+(\d{1,2})\), and )?off-peak hours are from (\d{1,2}):(\d{2}) to (\d{1,2}):(\d{2})(?: the next day)? \(UTC\+(\d{1,2})\)"
-    said = pages.select("url", F.explode(F.regexp_extract_all(plain(c("body")), lit(note), lit(0))).alias("t"))
+    said = pages.bodies.select("url", F.explode(F.regexp_extract_all(plain(c("body")), lit(note), lit(0))).alias("t"))
     part = lambda k: F.regexp_extract("t", note, k).try_cast("int")
     minute = lambda k, zone: F.pmod(part(k) * 60 + part(k + 1) - part(zone) * 60, lit(1440))
     start, end = minute(8, 10), minute(6, 10)  # the peak hours are what the off-peak ones leave
@@ -119,12 +119,10 @@ def dashscope(pages: DataFrame) -> DataFrame:
     return priced(rows, "dashscope", fault, {"input": F.when(both, ioff).otherwise(iv), "output": F.when(both, ooff).otherwise(ov)}, overrides=over)
 
 
-@source
-def deepseek(pages: DataFrame) -> DataFrame:
+@source(tables=True, wanted={"p": Sel(("p", "li", "div"))})
+def deepseek(pages: Pages) -> DataFrame:
     """A table of ids across and labelled rows down, off-peak and peak; a footnote's windows and weekdays; fees of a guide."""
-    rows = table_rows(pages)
-    top = F.first("cells").over(Window.partitionBy("url", "table").orderBy("ord"))
-    rows = rows.withColumn("top", top)
+    rows = pages.rows
     main = rows.where(F.get("head", 0) == "model")
     label = F.get(F.filter("cells", lambda x: x.startswith("1M ")), 0)
     marked = main.where(~c("first")).withColumn("label", F.last(label, ignorenulls=True).over(Window.partitionBy("url", "table").orderBy("ord")))
@@ -143,16 +141,16 @@ def deepseek(pages: DataFrame) -> DataFrame:
 
     got = got.join(size("CONTEXT LENGTH", r"(?i)(\d+(?:\.\d+)?)\s*M\b", 1024 * 1024), ["url", "model_id"], "left").join(size("MAX OUTPUT", r"(?i)(\d+(?:\.\d+)?)\s*K\b", 1024), ["url", "model_id"], "left")
     foot = r"Peak hours are (\d{2}:\d{2}) - (\d{2}:\d{2}) and (\d{2}:\d{2}) - (\d{2}:\d{2}) UTC"
-    note = elements(pages, {"p": Sel(("p", "li", "div"))}).where(c("value").rlike(foot)).groupBy("url").agg(F.min_by("value", F.length("value")).alias("note"))
+    note = pages.elements.where(c("value").rlike(foot)).groupBy("url").agg(F.min_by("value", F.length("value")).alias("note"))
     clocks = [hhmm(F.regexp_extract("note", foot, k)) for k in range(1, 5)]
     tail = F.lower(F.regexp_extract("note", f"(?s){foot}(.*)$", 5))
     weekly = F.contains(tail, lit("monday through friday"))
     other = ~weekly & tail.rlike(r"\b(mon|tue|wed|thu|fri|sat|sun|weekdays?|mondays?|tuesdays?|wednesdays?|thursdays?|fridays?|saturdays?|sundays?)\b")
     late = weekly & (F.greatest(clocks[1], clocks[3]) > 1600)
-    fees = rows.where((c("head") == F.array(lit("api"), lit("unit"), lit("price"))) & ~c("first")).select(F.regexp_replace(fold_heading(cell(0)), " api$", "").alias("k"), cell(2).alias("p"), F.regexp_extract(cell(1), r"(?i)^per\s+([\d,.]*)\s+successful requests$", 1).alias("n")).where("k in ('search', 'fetch')")
+    fees = rows.where((c("head") == F.array(lit("api"), lit("unit"), lit("price"))) & ~c("first")).select("url", F.regexp_replace(fold_heading(cell(0)), " api$", "").alias("k"), cell(2).alias("p"), F.regexp_extract(cell(1), r"(?i)^per\s+([\d,.]*)\s+successful requests$", 1).alias("n")).where("k in ('search', 'fetch')")
     fees = scan(fees, p=("p", "$", ""), n=("n", "", ""))
-    fee = fees.agg(*[F.max(F.when((c("k") == k) & ~c("p_bad") & (F.size("p_amounts") == 1) & ~c("n_bad") & (F.size("n_amounts") == 1), amount("p") / amount("n"))).alias(k) for k in ("search", "fetch")], F.count(lit(1)).alias("fee_rows")).withColumn("one", lit(1))
-    got = got.withColumn("one", lit(1)).join(F.broadcast(fee), "one", "left").join(note, "url", "left")  # one row
+    fee = fees.groupBy("url.run").agg(*[F.max(F.when((c("k") == k) & ~c("p_bad") & (F.size("p_amounts") == 1) & ~c("n_bad") & (F.size("n_amounts") == 1), amount("p") / amount("n"))).alias(k) for k in ("search", "fetch")], F.count(lit(1)).alias("fee_rows"))
+    got = got.withColumn("run", c("url.run")).join(fee, "run", "left").join(note, "url", "left")
     peak = amount("pi").isNotNull() | amount("po").isNotNull() | amount("pr").isNotNull()
     half = peak & (amount("pi").isNull() | amount("po").isNull())
     fault = faults((F.greatest(*[c(f"{n}_bad") for n in ("i", "o", "r", "pi", "po", "pr")]), "unreadable rate"), (peak & ~half & c("note").isNull(), "peak hours"), (peak & F.coalesce(other | late, lit(False)), "peak weekdays"), (c("search").isNull() | c("fetch").isNull() | (c("fee_rows") != 2), "fees"))
@@ -161,11 +159,10 @@ def deepseek(pages: DataFrame) -> DataFrame:
     return priced(got, "deepseek", fault, {"input": F.when(~half, amount("i")), "output": amount("o"), "cache_read": amount("r")}, overrides=over, fees=F.struct(lit(None).cast("double").alias("web_search"), "search", "fetch"), limits={"context": c("n1048576"), "output": c("n1024")}, effective=F.when(peak & weekly, lit("2026-08-23")))
 
 
-@source
-def digitalocean(pages: DataFrame) -> DataFrame:
+@source(tables=True, inner={"link": Sel("a"), "matrix": Sel("span", ("gen-ai-pricing-matrix",)), "line": Sel("span", ("gen-ai-pricing-matrix-row",)), "field": Sel("span", parent="line")})
+def digitalocean(pages: Pages) -> DataFrame:
     """A matrix of spans in a table's cell: modes become ids, longer prompts overrides; a model without an output rate costs nothing for it."""
-    inner = {"link": Sel("a"), "matrix": Sel("span", ("gen-ai-pricing-matrix",)), "line": Sel("span", ("gen-ai-pricing-matrix-row",)), "field": Sel("span", parent="line")}
-    rows = data_rows(pages, F.exists(F.array(lit(0)), lambda _: F.get("head", F.size("head") - 1).startswith("serverless inference") & F.get("head", F.size("head") - 2).startswith("model") & F.size("head").isin(2, 3)), inner)
+    rows = data_rows(pages, F.exists(F.array(lit(0)), lambda _: F.get("head", F.size("head") - 1).startswith("serverless inference") & F.get("head", F.size("head") - 2).startswith("model") & F.size("head").isin(2, 3)))
     last = F.size("cells") - 1
     link = F.get(F.transform(F.filter("inner", lambda x: (x["name"] == "link") & (x["cell"] == last - 1)), lambda x: x["value"]), 0)
     lines = F.filter("inner", lambda x: x["name"] == "line")
@@ -191,10 +188,10 @@ def digitalocean(pages: DataFrame) -> DataFrame:
     return priced(one, "digitalocean", fault, {"input": F.coalesce("base.i", "half.i"), "output": F.when(c("base").isNotNull(), c("base.o")).otherwise(F.when(c("half").isNotNull(), 0.0)), "cache_read": F.when(c("base").isNotNull(), c("base.r")).otherwise(c("half.r"))}, overrides=over)
 
 
-@source
-def google(pages: DataFrame) -> DataFrame:
+@source()
+def google(pages: Pages) -> DataFrame:
     """Sections of lines with tabs and bulleted tables: the standard tab, the paid column; a rate over a bound becomes an override."""
-    line = pages.select("url", F.posexplode(F.split("body", "\r\n?|\n")).alias("n", "t"))
+    line = pages.bodies.select("url", F.posexplode(F.split("body", "\r\n?|\n")).alias("n", "t"))
     anchor = F.regexp_extract("t", r'^## .+?\{% id="([^"]+)" %\}\s*$', 1)
     w = Window.partitionBy("url").orderBy("n")
     line = line.withColumn("section", F.sum((anchor != "").cast("int")).over(w)).where("section > 0").withColumn("anchor", F.first(anchor).over(Window.partitionBy("url", "section").orderBy("n")))
@@ -244,45 +241,26 @@ def google(pages: DataFrame) -> DataFrame:
     return priced(got, "google", fault, {"input": F.coalesce(rate("i1"), rate("i2")), "output": F.coalesce(rate("o"), F.when(~c("has_out"), 0.0)), "cache_read": rate("r")}, overrides=over, limits={"context": c("context")})
 
 
-@source
-def moonshot(pages: DataFrame) -> DataFrame:
+@source(tables=True, component="DocTable", clean=unfenced)
+def moonshot(pages: Pages) -> DataFrame:
     """Tables as component properties, or HTML tables, or calls in script state; writes of five minutes and of an hour."""
     # Titles of a rendered page and what they are on the plain one.
     titles = {"Input": "Input Price", "Output": "Output Price", "Cached Input": "Cached Input Price", "5m writes": "Cache Write Price (TTL 5min)", "1h writes": "Cache Write Price (TTL 1h)"}
-    unfenced = F.regexp_replace("body", r"(?ms)^ {0,3}(`{3,}|~{3,}).*?^ {0,3}\1[ \t]*$", "")
-    chunk = F.transform(F.regexp_extract_all("body", lit(r'self\.__next_f\.push\(\[1,("(?:[^"\\]|\\.)*")\]\)'), lit(1)), lambda x: F.get(F.from_json(F.concat(lit("["), x, lit("]")), "array<string>"), 0))
-    manifest = F.get_json_object(F.regexp_extract("body", r'(?s)<template data-mint="manifest">(.*?)</template>', 1), "$.page.mdx.mdxSource.compiledSource")
-    stream = F.concat(F.array_join(chunk, ""), F.coalesce(manifest, lit("")))
-
-    def literal(x: Column) -> Column:
-        """A literal of a script as JSON: fragments and calls as the text they hold, no comma before a bracket."""
-        x = F.regexp_replace(x, r'<>\{"([^"]*)"\}([^<]*)</>', '"$1$2"')
-        x = F.regexp_replace(x, r'_jsxs?\([\w.$]+,\s*\{[^{}]*?children:\s*("(?:[^"\\]|\\.)*")[^{}]*\}\)', "$1")
-        return F.regexp_replace(x, r",\s*([\]}])", "$1")
-
-    one = r"(?s)<DocTable\b.*?columns=\{(\[.*?\])\}\s*rows=\{(\[.*?\])\}\s*/?>"
-    two = r"(?s)_jsx\(DocTable,\s*\{.*?columns:\s*(\[.*?\]),\s*rows:\s*(\[\s*\[.*?\]\s*\])\s*,?\s*\}\)"
-    found = pages.select("url", F.posexplode(F.regexp_extract_all(unfenced, lit(one), lit(0))).alias("k", "b"), lit(0).alias("late"), lit(one).alias("p")).unionByName(pages.select("url", F.posexplode(F.regexp_extract_all(stream, lit(two), lit(0))).alias("k", "b"), lit(2).alias("late"), lit(two).alias("p")))
-    parts = found.select("url", "k", "late", literal(F.when(c("late") == 0, F.regexp_extract("b", one, 1)).otherwise(F.regexp_extract("b", two, 1))).alias("x"), literal(F.when(c("late") == 0, F.regexp_extract("b", one, 2)).otherwise(F.regexp_extract("b", two, 2))).alias("y"))
-    named = F.transform(F.from_json("x", "array<struct<title:string>>", {"allowUnquotedFieldNames": "true"}), lambda v: v["title"])
-    plain_names = F.from_json("x", "array<string>")
-    table = parts.select("url", "k", "late", F.coalesce(F.when(F.exists(named, lambda t: t.isNotNull()), named), plain_names).alias("top"), F.posexplode(F.from_json("y", "array<array<string>>")).alias("n", "cells"))
-    html = table_rows(pages.withColumn("body", unfenced))
-    html = html.withColumn("top", F.first("cells").over(Window.partitionBy("url", "table").orderBy("ord"))).where("not first and not in_foot").select("url", c("table").alias("k"), lit(1).alias("late"), "top", c("ord").alias("n"), "cells")
+    calls = pages.components.select("url", (c("late") * 2).alias("late"), "ord", "top", "cells")
+    html = pages.rows.where("not first and not in_foot").select("url", lit(1).alias("late"), (c("table").cast("bigint") * 100_000 + c("ord")).alias("ord"), "top", "cells")
     known = F.create_map(*[lit(x) for kv in titles.items() for x in kv])
-    rows = table.unionByName(html).withColumn("head", F.transform("top", lambda t: F.when(c("late") == 2, F.coalesce(F.try_element_at(known, t), t)).otherwise(t)))
-    flat = rows.select("url", "late", (c("k").cast("bigint") * 100_000 + c("n")).alias("ord"), F.lower(F.trim(column("Model"))).alias("model_id"), F.coalesce(column("Input Price (Cache Miss)"), column("Input Price")).alias("i"), column("Output Price").alias("o"), F.coalesce(column("Input Price (Cache Hit)"), column("Cached Input Price")).alias("r"), column("Cache Write Price (TTL 5min)").alias("w"), column("Cache Write Price (TTL 1h)").alias("h"), column("Context Window").alias("n"))
+    rows = calls.unionByName(html).withColumn("head", F.transform("top", lambda t: F.when(c("late") == 2, F.coalesce(F.try_element_at(known, t), t)).otherwise(t)))
+    flat = rows.select("url", "late", "ord", F.lower(F.trim(column("Model"))).alias("model_id"), F.coalesce(column("Input Price (Cache Miss)"), column("Input Price")).alias("i"), column("Output Price").alias("o"), F.coalesce(column("Input Price (Cache Hit)"), column("Cached Input Price")).alias("r"), column("Cache Write Price (TTL 5min)").alias("w"), column("Cache Write Price (TTL 1h)").alias("h"), column("Context Window").alias("n"))
     got = scan(flat.where("i is not null and o is not null and model_id rlike '^[a-z0-9][a-z0-9.-]*$'"), **{n: (n, "$", "") for n in "iorwh"})
     size = F.replace(F.regexp_extract(F.coalesce("n", lit("")), r"\d[\d,]*", 0), lit(","), lit("")).try_cast("bigint")
     some_price = got.where(F.greatest(*[c(f"{n}_bad") for n in "iorwh"]) | (F.size("i_amounts") > 0) & (F.size("o_amounts") > 0))
     return priced(some_price, "moonshot", faults((F.greatest(*[c(f"{n}_bad") for n in "iorwh"]), "unreadable rate")), {"input": amount("i"), "output": amount("o"), "cache_read": amount("r"), "cache_write": amount("w"), "cache_write_1h": amount("h")}, limits={"context": size}, order=("late",))
 
 
-@source
-def openai(pages: DataFrame) -> DataFrame:
+@source(wanted={"pane": Sel(attrs={"data-content-switcher-pane": "true"}), "switch": Sel(attrs={"data-content-switcher-id": "multimodal-image-pricing"}), "island": Sel("astro-island", value="props")})
+def openai(pages: Pages) -> DataFrame:
     """Properties of page islands: rows of the standard tier, groups of image models, and a batch mode where it prices all that the standard one does."""
-    wanted = {"pane": Sel(attrs={"data-content-switcher-pane": "true"}), "switch": Sel(attrs={"data-content-switcher-id": "multimodal-image-pricing"}), "island": Sel("astro-island", value="props")}
-    rows = elements(pages, wanted)
+    rows = pages.elements
     island = rows.where("name = 'island'").select("url", "no", F.col("attrs")["component-export"].alias("kind"), c("path.pane").alias("pane"), c("path.switch").isNotNull().alias("image"), F.try_parse_json("value").alias("v"))
     get = lambda v, path, kind: F.try_variant_get(v, path, kind)
     name = r"^([a-z0-9][a-z0-9.-]*)(?: \(.*\))?$"
@@ -318,8 +296,8 @@ def openai(pages: DataFrame) -> DataFrame:
     return priced(both, "openai", faults((c("twice"), "in two tables"), (c("short"), "cells"), (c("bad"), "unreadable rate")), {"input": c("i"), "output": c("o"), "cache_read": c("r"), "cache_write": c("w"), "image": c("mi"), "image_output": c("mo")}, overrides=over)
 
 
-@source
-def zai(pages: DataFrame) -> DataFrame:
+@source(tables=True)
+def zai(pages: Pages) -> DataFrame:
     """Tables whose last amount counts, Free as zero; a notice's multipliers in peak hours of another zone."""
     rows = data_rows(pages, F.array_contains("head", "model") & F.array_contains("head", "input") & F.array_contains("head", "output"))
     flat = rows.select("url", "ord", F.lower(F.trim(cell(0))).alias("model_id"), column("input").alias("i"), column("output").alias("o"), column("cached input").alias("r"), (~F.array_contains("head", "cached input")).alias("uncached"), (F.size("cells") < F.size("head")).alias("short"))
@@ -327,7 +305,7 @@ def zai(pages: DataFrame) -> DataFrame:
     own = lambda n: F.when(F.size(f"{n}_amounts") > 0, amount(n, -1)).when(F.contains(F.lower(n), lit("free")), 0.0)
     peak = r"Peak hours: ([A-Za-z]+) to ([A-Za-z]+), (\d{1,2}):(\d{2})[–—-](\d{1,2}):(\d{2}) Singapore Standard Time \(UTC\+(\d{1,2})\)"
     clause = r'\*\*([^*]+)\*\*:.*?API calls consume quota at a rate of "?(\d+(?:\.\d+)?)× during off-peak hours and (\d+(?:\.\d+)?)× during peak hours'
-    notice = pages.where("body like '%consume quota at a rate of%' or body like '%Peak hours:%'")
+    notice = pages.bodies.where("body like '%consume quota at a rate of%' or body like '%Peak hours:%'")
     part = lambda k: F.regexp_extract("body", peak, k)
     num = lambda k: part(k).try_cast("int")
     said = F.regexp_extract_all("body", lit(clause), lit(0))
@@ -337,9 +315,9 @@ def zai(pages: DataFrame) -> DataFrame:
     first, last = F.array_position(week, F.lower(part(1))), F.array_position(week, F.lower(part(2)))
     plan = F.transform(utc(num(3) * 60 + num(4), num(5) * 60 + num(6), num(7) * 60), lambda w: F.named_struct(lit("days"), shifted(day_range(F.lower(part(1)), F.lower(part(2))), w["shift"]), lit("window"), F.array(clock(w["start"]), clock(w["end"]))))
     sane = ~F.coalesce(odd | (first == 0) | (last < first), lit(True))
-    quota = notice.select(F.explode(said).alias("s"), F.when(sane, plan).alias("plan"), ~sane).toDF("s", "plan", "odd").select(F.lower(F.trim(F.regexp_extract("s", clause, 1))).alias("model_id"), F.regexp_extract("s", clause, 2).cast("double").alias("off"), F.regexp_extract("s", clause, 3).cast("double").alias("on"), "plan", "odd")
-    quota = quota.groupBy("model_id").agg(F.max(F.struct("off", "on", "plan", "odd")).alias("q"))
-    got = got.join(quota, "model_id", "left")
+    quota = notice.select(c("url.run").alias("run"), F.explode(said).alias("s"), F.when(sane, plan).alias("plan"), (~sane).alias("odd")).select("run", F.lower(F.trim(F.regexp_extract("s", clause, 1))).alias("model_id"), F.regexp_extract("s", clause, 2).cast("double").alias("off"), F.regexp_extract("s", clause, 3).cast("double").alias("on"), "plan", "odd")
+    quota = quota.groupBy("run", "model_id").agg(F.max(F.struct("off", "on", "plan", "odd")).alias("q"))
+    got = got.withColumn("run", c("url.run")).join(quota, ["run", "model_id"], "left")
     bare = lit(None).cast(RATES)
     base = F.filter(F.array(override(bare, multiplier=c("q.off"))), lambda o: o["quota_multiplier"] != 1.0)
     over = F.when(c("q").isNotNull() & ~c("q.odd"), F.concat(base, F.transform("q.plan", lambda w: override(bare, days=w["days"], window=w["window"], multiplier=c("q.on")))))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.markup import Pages
 from . import providers, providers_more  # noqa: F401  each source puts itself into SOURCES
-from .priced import SOURCES, c
+from .priced import READINGS, SOURCES, c
 
 #: Other spellings that a page's id may be stored under: (pattern, replacement); fixed values.
 SPELLINGS: dict[str, tuple[tuple[str, str], ...]] = {
@@ -31,21 +34,22 @@ def spellings(ids: DataFrame) -> DataFrame:
     return ids.select("source", "model_id", F.posexplode(F.array_distinct(each)).alias("ord", "spelling"))
 
 
-def all_priced(pages: DataFrame, names: tuple[str, ...] | None = None) -> DataFrame:
-    """PRICED rows of all sources, or those named, over one table of pages."""
-    made = [SOURCES[n](pages) for n in names or sorted(SOURCES)]
-    out = made[0]
-    for m in made[1:]:
-        out = out.unionByName(m)
-    return out
+def read(pages: DataFrame, names: tuple[str, ...] | None = None) -> Pages:
+    """A table of pages (source, url, body, and maybe run), read once for all sources or those named."""
+    return Pages.of_table(pages, {n: READINGS[n] for n in names or sorted(SOURCES)})
 
 
-def detected(pages: DataFrame, names: tuple[str, ...] | None = None) -> DataFrame:
-    """(source, model_id) of ids whose row can be read, priced or not."""
-    return all_priced(pages, names).where("fault is null").select("source", "model_id")
+def all_priced(pages: DataFrame | Pages, names: tuple[str, ...] | None = None) -> DataFrame:
+    """PRICED rows of all sources, or those named, over one table of pages."""
+    found = pages if isinstance(pages, Pages) else read(pages, names)
+    return reduce(DataFrame.unionByName, [SOURCES[n](found.of(n)) for n in names or sorted(SOURCES)])
+
 
+def detected(priced: DataFrame) -> DataFrame:
+    """(source, run, model_id) of ids whose row can be read, priced or not."""
+    return priced.where("fault is null").select("source", "run", "model_id")
 
 
-def priced_ids(pages: DataFrame, names: tuple[str, ...] | None = None) -> DataFrame:
-    """(source, model_id) of ids that the pages price: what absence goes by where a source lists more than it prices."""
-    return all_priced(pages, names).where("rates is not null").select("source", "model_id")
+def priced_ids(priced: DataFrame) -> DataFrame:
+    """(source, run, model_id) of ids that the pages price: what absence goes by where a source lists more than it prices."""
+    return priced.where("rates is not null").select("source", "run", "model_id")
