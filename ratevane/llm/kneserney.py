@@ -1,10 +1,11 @@
-"""Interpolated modified Kneser-Ney trigrams of words: counted in Spark, stored as sorted hash arrays, memory-mapped by workers.
+"""Interpolated modified Kneser-Ney trigrams of words: counted in Spark, stored as sorted arrays, memory-mapped by workers.
 
-A word is a 64-bit hash. One shuffle brings each trigram to the owner of its middle word, so an owner sees all of its trigrams' contexts,
-and all that stands around a middle word: it has the third level whole, and counts the distinct words before each bigram for the second.
-What the first level needs, the distinct words before a word, adds up over owners and goes to the words' owners by a second, small
-shuffle. Middle words so frequent that a bounded sample shows it are dealt over several owners by the word before; the partial counts of
-their bigrams are added up by the second shuffle. The sample decides only who counts what, never a count.
+A first pass gathers the distinct words, as 64-bit hashes, at owners of hash ranges, which number them: from then on a word is its
+number, so n-grams are told apart exactly and in few bits. A second pass brings each trigram to the owner of its middle word, so an owner
+sees all of its trigrams' contexts, and all that stands around a middle word: it has the third level whole, and counts the distinct words
+before each bigram for the second. What the first level needs, the distinct words before a word, adds up over owners and goes to the
+words' owners by a second, small shuffle. Middle words too frequent for one owner, which the first pass has counted, are dealt over
+several owners by the word before; the partial counts of their bigrams are added up by the second shuffle.
 
 An owner writes its arrays to the shared folder, one file a level; workers map them, so that what they score with is in no heap and is
 shared by all workers of a machine.
@@ -12,12 +13,12 @@ shared by all workers of a machine.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .charlm import amounts
@@ -25,24 +26,26 @@ from .frames import map_texts, session, shared_dir, slim
 from .shelf import load, lower_bound, save
 from .textbuf import chunks, lowered, mix, span_hashes, word_spans
 
-BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
+#: The hash of a text's end, and the number that stands before a text's first word; words have numbers from 1 on.
+END, BEGIN = np.uint64(0x13198A2E03707344), 0
+#: Owners at most: 2 to the power of this.
+MOST_BITS = 17
 #: Tokens that a counting task gathers before it sends their distinct trigrams on.
 FLUSH_TOKENS = 2_200_000
 #: Bytes of text that one vectorised step of scoring handles.
 SCORE_BYTES = 4 << 20
-#: Texts, chosen by a hash, in which frequent words are looked for.
-SAMPLE_TEXTS = 20_000
 #: A word with this share of an owner's fair part is dealt over several owners.
 HOT = 0.5
-#: Entries of a bucket of the third level, and of a context whose sums aren't stored but added up when asked for.
-BUCKET, SHORT = 64, 8
+#: Entries of a context whose sums aren't stored but added up when asked for.
+SHORT = 8
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ROW = "kind int, owner int, tag int, n int, major binary, older binary, minor binary, count binary"
 _NAMES = [x.split()[0] for x in _ROW.split(", ")]
 _KINDS = [pa.int32()] * 4 + [pa.binary()] * 4
-#: Kinds of rows: counts of counts, words, bigrams of frequent words, trigrams; and what a row of words has.
-STATS, WORDS, FREQUENT, TRIGRAMS = range(4)
-USES, BEFORE, PAIRS = range(3)
+#: Kinds of rows and files: counts of counts, words before words, bigrams of frequent words, trigrams, other bigrams, the vocabulary.
+STATS, WORDS, FREQUENT, TRIGRAMS, BIGRAMS, VOCABULARY = range(6)
+#: What a row of words has: how many words stand before each, or bigrams whose first word is frequent.
+BEFORE, PAIRS = range(2)
 
 
 def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,11 +67,6 @@ def back(token: np.ndarray, doc: np.ndarray, k: int, begin: object) -> np.ndarra
     return out
 
 
-def small(x: np.ndarray) -> np.ndarray:
-    """A hash's upper half; its order is kept."""
-    return (x >> np.uint64(32)).astype(np.uint32)
-
-
 def runs(*keys: np.ndarray) -> np.ndarray:
     """Where each run of equal rows of sorted keys begins."""
     new = np.ones(len(keys[0]), bool)
@@ -107,27 +105,57 @@ def unrising(data: bytes, kind: type, n: int) -> np.ndarray:
 
 
 def listed(x: np.ndarray) -> bytes:
-    """32-bit hashes that repeat: the distinct ones in order, and the place of each in them."""
+    """Numbers that repeat: the distinct ones in order, and the place of each in them."""
     values, at = np.unique(x, return_inverse=True)
     first, places = rising(values), planes(at.astype(np.uint16 if len(values) <= 1 << 16 else np.uint32))
     return np.array([len(values), len(first)], "<u4").tobytes() + first + places
 
 
-def unlisted(data: bytes, n: int) -> np.ndarray:
+def unlisted(data: bytes, kind: type, n: int) -> np.ndarray:
     if not data:
-        return np.zeros(0, np.uint32)
+        return np.zeros(0, kind)
     distinct, size = np.frombuffer(data[:8], "<u4").tolist()
-    return unrising(data[8 : 8 + size], np.uint32, distinct)[unplanes(data[8 + size :], np.uint16 if distinct <= 1 << 16 else np.uint32, n)]
+    return unrising(data[8 : 8 + size], kind, distinct)[unplanes(data[8 + size :], np.uint16 if distinct <= 1 << 16 else np.uint32, n)]
+
+
+def top(x: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(x.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Words:
+    """The vocabulary: sorted hashes of each owner, a file each; a word's number is its owner's first one and its place there."""
+
+    def __init__(self, folder: str, bits: int, sizes: np.ndarray, tokens: int) -> None:
+        self.folder, self.bits, self.tokens = folder, bits, tokens
+        self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64) + 1
+        self.distinct = int(self.first[-1]) - 1
+        self.kind = np.uint32 if self.distinct < (1 << 32) - 2 else np.uint64
+        self.unknown = np.iinfo(self.kind).max
+
+    def numbers(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number, uses) of distinct hashes; one that isn't in the vocabulary has `unknown` and no use."""
+        number, uses = np.full(len(word), self.unknown, self.kind), np.zeros(len(word), np.int64)
+        for o, rows in dealt(top(word, self.bits)):
+            if self.first[o] < self.first[o + 1]:
+                a = _mapped(f"{self.folder}/{VOCABULARY}/{o}")
+                at = np.searchsorted(a["major"], word[rows])
+                at[at == len(a["major"])] = 0
+                hit = a["major"][at] == word[rows]
+                number[rows[hit]], uses[rows[hit]] = (self.first[o] + at[hit]).astype(self.kind), a["uses"][at[hit]]
+        return number, uses
+
+    def owner(self, number: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.first, number.astype(np.int64), "right") - 1
 
 
 class Deal:
-    """Who counts what: owners by the middle word, of frequent ones by the word before too."""
+    """Who counts what: owners by the middle word, of frequent ones by the word before too; words are numbers."""
 
     def __init__(self, bits: int, hot: np.ndarray, parts: np.ndarray) -> None:
         self.bits, self.hot, self.parts = bits, hot, parts
 
     def top(self, x: np.ndarray) -> np.ndarray:
-        return (mix(x) >> np.uint64(64 - self.bits)).astype(np.int64)
+        return top(x, self.bits)
 
     def frequent(self, middle: np.ndarray) -> np.ndarray:
         if not len(self.hot):
@@ -140,10 +168,7 @@ class Deal:
         part = np.zeros(len(middle), np.uint64)
         hit = np.flatnonzero(self.frequent(middle))
         part[hit] = np.uint64(1) + mix(older[hit].astype(np.uint64)) % self.parts[np.searchsorted(self.hot, middle[hit])]
-        return self.top(middle + part * _STEP)
-
-    def word(self, minor: np.ndarray) -> np.ndarray:
-        return self.top(minor.astype(np.uint64))
+        return self.top(middle.astype(np.uint64) + part * _STEP)
 
 
 def dealt(owner: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -161,48 +186,80 @@ def record(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, t) for c, t in zip(columns, _KINDS, strict=True)], names=_NAMES)
 
 
-def count_rows(docs: DataFrame, deal: Deal) -> DataFrame:
-    """Blocks of distinct trigrams and words of parts of the texts, a row for each owner."""
+def blocks(docs: DataFrame, flush: Callable[[np.ndarray, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+    """What `flush` makes of the (hash, text) of all tokens of parts of the texts (a column `text`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            base, doc = 0, []
-            for _, d in held:
-                doc.append(d + base)
-                base += int(d[-1]) + 1
-            doc = np.concatenate(doc)
-            vocabulary, rank = np.unique(np.append(np.concatenate([t for t, _ in held]), BEGIN), return_inverse=True)
-            rank, begin = rank[:-1], rank[-1]
-            older, middle, w = back(rank, doc, 2, begin), back(rank, doc, 1, begin), int(len(vocabulary)).bit_length()
-            if 3 * w <= 63:
-                key, count = np.unique(middle << (2 * w) | older << w | rank, return_counts=True)
-                middle, older, last = key >> (2 * w), key >> w & ((1 << w) - 1), key & ((1 << w) - 1)
-            else:
-                order = np.lexsort((rank, older, middle))
-                middle, older, last = middle[order], older[order], rank[order]
-                at = runs(middle, older, last)
-                middle, older, last, count = middle[at], older[at], last[at], np.diff(np.append(at, len(order)))
-            b, a, c, count = vocabulary[middle], small(vocabulary[older]), small(vocabulary[last]), count.astype(np.uint32)
-            rows = [(TRIGRAMS, o, 0, len(s), rising(b[s]), listed(a[s]), listed(c[s]), planes(count[s])) for o, s in dealt(deal.trigram(b, a))]
-            uses = np.bincount(rank, minlength=len(vocabulary)).astype(np.uint32)
-            word, uses = vocabulary[uses > 0], uses[uses > 0]
-            rows += [(WORDS, o, USES, len(s), rising(word[s]), b"", b"", planes(uses[s])) for o, s in dealt(deal.word(small(word)))]
-            return record(rows)
+        size = base = 0
+
+        def out() -> pa.RecordBatch:
+            word, doc = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
+            return flush(word, doc)
 
         for batch in batches:
             for _, _, data, off in chunks(batch.column(0)) if batch.num_rows else ():
-                held.append(tokens(data, off))
-                size += len(held[-1][0])
+                word, doc = tokens(data, off)
+                held.append((word, doc + base))
+                base += len(off) - 1
+                size += len(word)
                 if size >= FLUSH_TOKENS:
-                    yield flush()
-                    held, size = [], 0
+                    yield out()
+                    size = 0
         if held:
-            yield flush()
+            yield out()
 
-    return docs.mapInArrow(run, _ROW)
+    return docs.mapInArrow(run, schema)
+
+
+def vocabulary(docs: DataFrame, folder: str, bits: int) -> Words:
+    """The distinct words of all texts, their ends too, and how often each stands there."""
+
+    def flush(word: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+        distinct, uses = np.unique(word, return_counts=True)
+        rows = [(o, len(s), rising(distinct[s]), planes(uses[s].astype(np.uint64))) for o, s in dealt(top(distinct, bits))]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["owner", "n", "word", "uses"])
+
+    def own(table: pa.Table) -> pa.Table:
+        owner = table["owner"][0].as_py()
+        parts = [(unrising(w.as_py(), np.uint64, n.as_py()), unplanes(u.as_py(), np.uint64, n.as_py())) for n, w, u in zip(table["n"], table["word"], table["uses"], strict=True)]
+        word, uses = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(word)
+        at = runs(word[order])
+        save(f"{folder}/{VOCABULARY}/{owner}", {"major": word[order][at], "uses": summed(uses[order], at)})
+        return pa.table({"owner": pa.array([owner], pa.int32()), "distinct": pa.array([len(at)], pa.int64()), "total": pa.array([int(uses.sum())], pa.int64())})
+
+    found = blocks(docs, flush, "owner int, n int, word binary, uses binary").groupBy("owner").applyInArrow(own, "owner int, distinct bigint, total bigint").collect()  # a row for each owner
+    sizes = np.zeros(1 << bits, np.int64)
+    for r in found:
+        sizes[r["owner"]] = r["distinct"]
+    return Words(folder, bits, sizes, sum(r["total"] for r in found))
+
+
+def count_rows(docs: DataFrame, words: Words, deal: Deal) -> DataFrame:
+    """Blocks of distinct trigrams of parts of the texts, a row for each owner."""
+
+    def flush(word: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+        distinct, rank = np.unique(word, return_inverse=True)
+        number, _ = words.numbers(distinct)
+        order = np.argsort(number)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(1, len(order) + 1)
+        number, rank = np.append(number.dtype.type(BEGIN), number[order]), place[rank]
+        older, middle, w = back(rank, doc, 2, 0), back(rank, doc, 1, 0), int(len(number)).bit_length()
+        if 3 * w <= 63:
+            key, count = np.unique(middle << (2 * w) | older << w | rank, return_counts=True)
+            middle, older, last = key >> (2 * w), key >> w & ((1 << w) - 1), key & ((1 << w) - 1)
+        else:
+            order = np.lexsort((rank, older, middle))
+            middle, older, last = middle[order], older[order], rank[order]
+            at = runs(middle, older, last)
+            middle, older, last, count = middle[at], older[at], last[at], np.diff(np.append(at, len(order)))
+        b, a, c, count = number[middle], number[older], number[last], count.astype(np.uint32)
+        return record([(TRIGRAMS, o, 0, len(s), rising(b[s]), listed(a[s]), listed(c[s]), planes(count[s])) for o, s in dealt(deal.trigram(b, a))])
+
+    return blocks(docs, flush, _ROW)
 
 
 @lru_cache(16_384)
@@ -235,25 +292,14 @@ def sums(count: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     return {k: v.astype(np.uint64) for k, v in out.items()}
 
 
-def context(middle: np.ndarray, older: np.ndarray) -> np.ndarray:
-    return mix(mix(middle + _STEP) * _STEP + older.astype(np.uint64))
-
-
 def third_level(middle: np.ndarray, older: np.ndarray, minor: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
-    """Trigrams in buckets of their context's first bits; in a bucket by 24 more bits of the context and 24 of the word, six bytes in all."""
-    k = min(16, max(8, int(len(minor) // BUCKET).bit_length()))
-    key = (context(middle, older) >> np.uint64(40 - k)) << np.uint64(24) | (minor >> np.uint32(8)).astype(np.uint64)
-    order = np.argsort(key)
-    key = key[order]
-    at = runs(key)
-    key, count = key[at], summed(count[order], at)
-    begin = runs(key >> np.uint64(24))
-    size = np.diff(np.append(begin, len(key)))
-    total = sums(count, begin)
+    """Sorted distinct trigrams: where each middle word's begin, and the word before and the last word of each."""
+    at = runs(middle)
+    begin = runs(middle, older)
+    size = np.diff(np.append(begin, len(minor)))
     long = size > SHORT
-    out = {"start": np.searchsorted(key >> np.uint64(48), np.arange((1 << k) + 1, dtype=np.uint64)).astype(np.uint64), "long": begin[long].astype(np.uint64)}
-    out |= {name: (key >> np.uint64(s)).astype(np.uint16) for name, s in (("high", 32), ("mid", 16), ("low", 0))}
-    return out | {name: v[long] for name, v in total.items()} | capped(count)
+    out = {"major": middle[at], "start": np.append(at, len(middle)).astype(np.uint64), "older": older, "minor": minor, "long": begin[long].astype(np.uint64)}
+    return out | {name: v[long] for name, v in sums(count, begin).items()} | capped(count)
 
 
 def second_level(middle: np.ndarray, minor: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
@@ -262,10 +308,11 @@ def second_level(middle: np.ndarray, minor: np.ndarray, count: np.ndarray) -> di
 
 
 class Model:
-    """Where the arrays are, and what holds of all of them: kept in a few hundred bytes and a bit for each owner."""
+    """Where the arrays are, and what holds of all of them: kept in a few hundred bytes and some for each owner."""
 
-    def __init__(self, folder: str, deal: Deal, train_tokens: int, distinct: int, off: list[np.ndarray], first: tuple[float, float], there: set[tuple[int, int]]) -> None:
-        self.folder, self.deal, self.train_tokens, self.distinct, self.off, self.first, self.there = folder, deal, train_tokens, distinct, off, first, there
+    def __init__(self, words: Words, deal: Deal, off: list[np.ndarray], first: tuple[float, float], there: set[tuple[int, int]]) -> None:
+        self.words, self.folder, self.deal, self.off, self.first, self.there = words, words.folder, deal, off, first, there
+        self.train_tokens, self.distinct = words.tokens, words.distinct
 
     def _parts(self, kind: int, owner: np.ndarray) -> Iterator[tuple[np.ndarray, dict[str, np.ndarray]]]:
         """For each owner asked for: the places in `owner`, and its arrays."""
@@ -273,19 +320,18 @@ class Model:
             if (kind, o) in self.there:
                 yield rows, _mapped(f"{self.folder}/{kind}/{o}")
 
-    def unigrams(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(uses in the training texts, probability) of distinct tokens."""
-        uses, kinds = np.zeros(len(token), np.int64), np.zeros(len(token), np.int64)
-        for rows, a in self._parts(WORDS, self.deal.word(small(token))):
-            at = np.searchsorted(a["major"], token[rows])
-            at[at == len(a["major"])] = 0
-            hit = a["major"][at] == token[rows]
-            uses[rows[hit]], kinds[rows[hit]] = a["uses"][at[hit]], a["kinds"][at[hit]]
+    def unigrams(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number, uses in the training texts, probability) of distinct tokens."""
+        number, uses = self.words.numbers(token)
+        kinds, known = np.zeros(len(token), np.int64), np.flatnonzero(uses)
+        for part, a in self._parts(WORDS, self.words.owner(number[known])):
+            rows = known[part]
+            kinds[rows] = a["kinds"][number[rows].astype(np.int64) - self.words.first[self.words.owner(number[rows[:1]])]]
         total, weight = self.first
         p = np.full(len(token), 1.0 / (self.distinct + 1))
         if total:
             p = np.maximum(kinds - self.off[0][np.minimum(kinds, 3)], 0) / total + weight * p
-        return uses, p
+        return number, uses, p
 
     def _raised(self, p: np.ndarray, rows: np.ndarray, count: np.ndarray, total: np.ndarray, n: list[np.ndarray], d: np.ndarray) -> None:
         p[rows] = (np.maximum(count - d[np.minimum(count, 3)], 0) + sum(x * y for x, y in zip(d[1:], n, strict=True)) * p[rows]) / total
@@ -293,14 +339,14 @@ class Model:
     def after_one(self, middle: np.ndarray, word: np.ndarray, p: np.ndarray) -> None:
         """Probabilities of words after one word, from those after none."""
         often = self.deal.frequent(middle)
-        for kind, chosen in ((TRIGRAMS + 1, np.flatnonzero(~often)), (FREQUENT, np.flatnonzero(often))):
+        for kind, chosen in ((BIGRAMS, np.flatnonzero(~often)), (FREQUENT, np.flatnonzero(often))):
             for part, a in self._parts(kind, self.deal.top(middle[chosen])):
                 rows = chosen[part]
                 at = np.searchsorted(a["major"], middle[rows])
                 at[at == len(a["major"])] = 0
                 hit = a["major"][at] == middle[rows]
                 rows, at = rows[hit], at[hit]
-                order = np.argsort(at.astype(np.uint64) << np.uint64(32) | word[rows])  # searches that follow each other touch what is near
+                order = np.lexsort((word[rows], at))  # searches that follow each other touch what is near
                 rows, at = rows[order], at[order]
                 lo, hi = a["start"][at].astype(np.int64), a["start"][at + 1].astype(np.int64)
                 found = lower_bound(lambda i, a=a: a["minor"][i], lo, hi, word[rows])
@@ -313,34 +359,30 @@ class Model:
     def after_two(self, middle: np.ndarray, older: np.ndarray, word: np.ndarray, p: np.ndarray) -> None:
         """Probabilities of words after two words, from those after one."""
         for rows, a in self._parts(TRIGRAMS, self.deal.trigram(middle, older)):
-            k = int(len(a["start"]) - 1).bit_length() - 1
-            x = context(middle[rows], older[rows]) >> np.uint64(40 - k)
-            order = np.argsort(x)
-            rows, x = rows[order], x[order]
-            bucket, rest = (x >> np.uint64(24)).astype(np.int64), (x & np.uint64(0xFFFFFF)) << np.uint64(24)
-
-            def key(i: np.ndarray, a: dict[str, np.ndarray] = a) -> np.ndarray:
-                return a["high"][i].astype(np.uint64) << np.uint64(32) | a["mid"][i].astype(np.uint64) << np.uint64(16) | a["low"][i]
-
-            lo, hi = a["start"][bucket].astype(np.int64), a["start"][bucket + 1].astype(np.int64)
-            lo = lower_bound(key, lo, hi, rest)
-            there = np.flatnonzero(lo < hi)
-            there = there[key(lo[there]) >> np.uint64(24) == rest[there] >> np.uint64(24)]
+            at = np.searchsorted(a["major"], middle[rows])
+            at[at == len(a["major"])] = 0
+            hit = a["major"][at] == middle[rows]
+            rows, at = rows[hit], at[hit]
+            order = np.lexsort((word[rows], older[rows], at))
+            rows, at = rows[order], at[order]
+            lo, last = a["start"][at].astype(np.int64), a["start"][at + 1].astype(np.int64)
+            lo = lower_bound(lambda i, a=a: a["older"][i], lo, last, older[rows])
+            there = np.flatnonzero(lo < last)
+            there = there[a["older"][lo[there]] == older[rows[there]]]
             if not len(there):
                 continue
-            own, lo, rest = rows[there], lo[there], rest[there]
-            last, hi, after = hi[there], lo + 1, rest + np.uint64(1 << 24)
+            own, lo, last = rows[there], lo[there], last[there]
+            hi, before = lo + 1, older[own]
             live = np.arange(len(own))
             for _ in range(SHORT):  # most contexts end soon
                 live = live[hi[live] < last[live]]
-                live = live[key(hi[live]) < after[live]]
+                live = live[a["older"][hi[live]] == before[live]]
                 hi[live] += 1
-            hi[live] = lower_bound(key, hi[live], last[live], after[live])
-            want = rest | (word[own] >> np.uint32(8)).astype(np.uint64)
-            found = lower_bound(key, lo, hi, want)
+            hi[live] = lower_bound(lambda i, a=a: a["older"][i], hi[live], last[live], before[live] + before.dtype.type(1))
+            found = lower_bound(lambda i, a=a: a["minor"][i], lo, hi, word[own])
             count = np.zeros(len(own), np.int64)
             at = np.flatnonzero(found < hi)
-            at = at[key(found[at]) == want[at]]
+            at = at[a["minor"][found[at]] == word[own[at]]]
             count[at] = counts_at(a, found[at])
             total, n = np.zeros(len(own)), [np.zeros(len(own)) for _ in range(3)]
             long = np.flatnonzero(hi - lo > SHORT)
@@ -362,56 +404,56 @@ class Model:
         token, doc = tokens(data, off)
         begin = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
         distinct, inverse = np.unique(token, return_inverse=True)
-        uses, p = self.unigrams(distinct)
+        number, uses, p = self.unigrams(distinct)
         base = np.log10((uses + 0.1) / (self.train_tokens + 0.1 * (self.distinct + 1)))
-        p, word, middle, older = p[inverse], small(token), back(token, doc, 1, BEGIN), small(back(token, doc, 2, BEGIN))
+        p, word = p[inverse], number[inverse]
+        middle, older = back(word, doc, 1, BEGIN), back(word, doc, 2, BEGIN)
         self.after_one(middle, word, p)
         self.after_two(middle, older, word, p)
         return {"n_tokens": np.diff(np.append(begin, len(doc))), "n_known": np.add.reduceat((uses > 0)[inverse].astype(np.int64), begin), "base_score": np.add.reduceat(base[inverse], begin), "score": np.add.reduceat(np.log10(p), begin)}
 
 
-def deal_for(docs: DataFrame, partitions: int, hot: float = HOT) -> Deal:
-    """Twice as many owners as partitions, from 16 to 16,384, and the words that a sample of texts shows to be too frequent for one of them."""
-    bits = min(14, max(4, (2 * partitions - 1).bit_length()))
-    scale = 1 << 30
-    n = max(1, docs.count())
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < min(scale, scale * SAMPLE_TEXTS // n + 1)).select("text")
+def deal_for(words: Words, spark: SparkSession, hot: float = HOT) -> Deal:
+    """The words, and a text's beginning, that are too frequent for one owner, as the vocabulary has counted them."""
+    least = max(1.0, hot * words.tokens / (1 << words.bits))
+    end = int(top(np.array([END]), words.bits)[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, off in chunks(batch.column(0)) if batch.num_rows else ():
-                token, _ = tokens(data, off)
-                word, uses = np.unique(np.append(token, np.full(len(off) - 1, BEGIN)), return_counts=True)
-                often = uses * (8 << bits) >= len(token)
-                yield pa.record_batch([pa.array(np.append(word[often], np.uint64(0)).view(np.int64)), pa.array(np.append(uses[often], len(token)))], names=["word", "n"])
+            for o in batch.column(0).to_pylist():
+                if words.first[o] == words.first[o + 1]:
+                    continue
+                a = load(f"{words.folder}/{VOCABULARY}/{o}")
+                number, uses = words.first[o] + np.arange(len(a["major"])), a["uses"].astype(np.int64)
+                if o == end and (own := np.flatnonzero(a["major"] == END)).size:  # there are as many beginnings as ends
+                    number, uses = np.append(number, BEGIN), np.append(uses, uses[own])
+                often = uses >= least
+                yield pa.record_batch([pa.array(number[often]), pa.array(uses[often])], names=["number", "n"])
 
-    seen = sample.mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    total = seen.where("word = 0").select("n").first()
-    found = seen.where((F.col("word") != 0) & (F.col("n") * (1 << bits) >= hot * total["n"])).collect() if total else []  # fewer than 1 / hot times as many as owners
-    found = sorted((int(np.int64(r["word"]).view(np.uint64)), -(-4 * r["n"] * (1 << bits) // total["n"])) for r in found)
-    return Deal(bits, np.array([w for w, _ in found], np.uint64), np.array([p for _, p in found], np.uint64))
+    rows = spark.range(1 << words.bits).mapInArrow(run, "number bigint, n bigint").collect()  # fewer than 2 / hot times as many as owners
+    found = sorted((r["number"], -(-4 * r["n"] * (1 << words.bits) // words.tokens)) for r in rows)
+    return Deal(words.bits, np.array([w for w, _ in found], words.kind), np.array([p for _, p in found], np.uint64))
 
 
 def fit(docs: DataFrame, hot: float = HOT) -> Model:
     """A Model of all texts of (doc_id, text)."""
     spark = session(docs)
     folder = shared_dir(spark)
-    deal = deal_for(docs, docs.rdd.getNumPartitions(), hot)
+    docs = docs.select("text")
+    words = vocabulary(docs, folder, min(MOST_BITS, max(4, (2 * docs.rdd.getNumPartitions() - 1).bit_length())))
+    deal = deal_for(words, spark, hot)
+    kind_ = words.kind
 
     def stats(level: int, owner: int, count: np.ndarray, more: tuple[int, ...] = ()) -> tuple:
         return STATS, owner, level, 0, b"", b"", b"", np.array([*counts_of(count), *more], np.int64).tobytes()
 
     def own(table: pa.Table) -> pa.Table:
-        kind, owner, parts = table["kind"][0].as_py(), table["owner"][0].as_py(), []
+        owner, parts = table["owner"][0].as_py(), []
         for row in zip(*[table[c] for c in ("n", "major", "older", "minor", "count")], strict=True):
             n, *raw = (v.as_py() for v in row)
-            parts.append((unrising(raw[0], np.uint64, n), unlisted(raw[1], n), unlisted(raw[2], n), unplanes(raw[3], np.uint32, n).astype(np.int64)))
+            parts.append((unrising(raw[0], kind_, n), unlisted(raw[1], kind_, n), unlisted(raw[2], kind_, n), unplanes(raw[3], np.uint32, n).astype(np.int64)))
         major, older, minor, count = (np.concatenate(c) for c in zip(*parts, strict=True))
         del parts
-        if kind == WORDS:
-            order = np.argsort(major)
-            at = runs(major[order])
-            return pa.Table.from_batches([record([(WORDS, owner, USES, len(at), rising(major[order][at]), b"", b"", planes(summed(count[order], at).astype(np.uint64)))])])
         order = np.lexsort((minor, older, major))
         major, older, minor, count = major[order], older[order], minor[order], count[order]
         at = runs(major, older, minor)
@@ -427,13 +469,13 @@ def fit(docs: DataFrame, hot: float = HOT) -> Model:
         often = deal.frequent(major)
         for o, s in dealt(deal.top(major[often])):
             rows.append((FREQUENT, o, 0, len(s), rising(major[often][s]), b"", planes(minor[often][s]), planes(count[often][s].astype(np.uint64))))
-        for o, s in dealt(deal.word(minor[often])):
+        for o, s in dealt(words.owner(minor[often])):
             rows.append((WORDS, o, PAIRS, len(s), rising(major[often][s]), b"", planes(minor[often][s]), b""))
         major, minor, count = major[~often], minor[~often], count[~often]
         if len(major):
-            save(f"{folder}/{TRIGRAMS + 1}/{owner}", second_level(major, minor, count))
+            save(f"{folder}/{BIGRAMS}/{owner}", second_level(major, minor, count))
             word, kinds = np.unique(minor, return_counts=True)
-            for o, s in dealt(deal.word(word)):
+            for o, s in dealt(words.owner(word)):
                 rows.append((WORDS, o, BEFORE, len(s), b"", b"", planes(word[s]), planes(kinds[s].astype(np.uint64))))
             rows.append(stats(2, owner, count))
         return pa.Table.from_batches([record(rows)])
@@ -442,9 +484,9 @@ def fit(docs: DataFrame, hot: float = HOT) -> Model:
         kind, owner, out = table["kind"][0].as_py(), table["owner"][0].as_py(), []
         got = [tuple(v.as_py() for v in row) for row in zip(*[table[c] for c in ("tag", "n", "major", "minor", "count")], strict=True)]
         if kind == STATS:
-            out = [(tag, owner, TRIGRAMS + (tag == 2), np.frombuffer(count, np.int64).tolist()) for tag, _, _, _, count in got]
+            out = [(tag, owner, BIGRAMS if tag == 2 else TRIGRAMS, np.frombuffer(count, np.int64).tolist()) for tag, _, _, _, count in got]
         elif kind == FREQUENT:
-            parts = [(unrising(b, np.uint64, n), unplanes(c, np.uint32, n), unplanes(k, np.uint64, n).astype(np.int64)) for _, n, b, c, k in got]
+            parts = [(unrising(b, kind_, n), unplanes(c, kind_, n), unplanes(k, np.uint64, n).astype(np.int64)) for _, n, b, c, k in got]
             major, minor, count = (np.concatenate(c) for c in zip(*parts, strict=True))
             order = np.lexsort((minor, major))
             major, minor = major[order], minor[order]
@@ -453,31 +495,27 @@ def fit(docs: DataFrame, hot: float = HOT) -> Model:
             save(f"{folder}/{FREQUENT}/{owner}", second_level(major, minor, count))
             out = [(2, owner, FREQUENT, counts_of(count))]
         else:
-            none = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
-            word, uses = (np.concatenate(c) for c in zip(*none, *[(unrising(b, np.uint64, n), unplanes(k, np.uint64, n)) for t, n, b, _, k in got if t == USES], strict=True))
-            pair = [(unrising(b, np.uint64, n), unplanes(c, np.uint32, n)) for t, n, b, c, _ in got if t == PAIRS]
-            minor = [unplanes(c, np.uint32, n) for t, n, _, c, _ in got if t == BEFORE]
-            kinds = [unplanes(k, np.uint64, n).astype(np.int64) for t, n, _, _, k in got if t == BEFORE]
+            kinds = np.zeros(int(words.first[owner + 1] - words.first[owner]), np.int64)
+            pair = [(unrising(b, kind_, n), unplanes(c, kind_, n)) for t, n, b, c, _ in got if t == PAIRS]
+            for t, n, _, c, k in got:
+                if t == BEFORE:
+                    kinds[unplanes(c, kind_, n).astype(np.int64) - words.first[owner]] += unplanes(k, np.uint64, n).astype(np.int64)
             if pair:  # of one frequent word and what follows it, each once
                 b, c = (np.concatenate(x) for x in zip(*pair, strict=True))
                 order = np.lexsort((b, c))
                 at = runs(c[order], b[order])
-                minor.append(c[order][at])
-                kinds.append(np.ones(len(at), np.int64))
-            minor, back_ = np.unique(np.concatenate(minor), return_inverse=True)
-            kinds = np.bincount(back_, weights=np.concatenate(kinds), minlength=len(minor)).astype(np.int64)
-            kinds = kinds[np.searchsorted(minor, small(word))]
-            save(f"{folder}/{WORDS}/{owner}", {"major": word, "uses": uses, "kinds": kinds.astype(np.uint64)})
-            out = [(1, owner, WORDS, [*counts_of(kinds), len(word), int(uses.sum())])]
+                kinds += np.bincount(c[order][at].astype(np.int64) - words.first[owner], minlength=len(kinds))
+            save(f"{folder}/{WORDS}/{owner}", {"kinds": kinds.astype(np.uint64)})
+            out = [(1, owner, WORDS, counts_of(kinds))]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())), strict=True)], names=["level", "owner", "kind", "stats"])
 
-    counted = count_rows(docs.select("text"), deal).groupBy("kind", "owner").applyInArrow(own, _ROW)
+    counted = count_rows(docs, words, deal).groupBy("kind", "owner").applyInArrow(own, _ROW)
     rows = counted.groupBy("kind", "owner").applyInArrow(finish, "level int, owner int, kind int, stats array<bigint>").collect()  # a few rows for each owner
     total = {k: np.sum([r["stats"] for r in rows if r["level"] == k] or [[0] * 8], axis=0) for k in (1, 2, 3)}
     off = [amounts(total[k][:4]) for k in (1, 2, 3)]
     one = total[1]
     weight = (off[0][1] * one[0] + off[0][2] * one[1] + off[0][3] * one[4]) / one[5] if one[5] else 1.0
-    return Model(folder, deal, int(one[7]), int(one[6]), off, (float(one[5]), float(weight)), {(r["kind"], r["owner"]) for r in rows})
+    return Model(words, deal, off, (float(one[5]), float(weight)), {(r["kind"], r["owner"]) for r in rows})
 
 
 def held_out(id_col: str = "doc_id"):

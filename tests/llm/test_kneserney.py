@@ -105,8 +105,11 @@ def test_frequent_words_are_dealt_over_owners(spark):
     rng = random.Random(3)
     texts = [" ".join(rng.choice(["the", "the", f"w{rng.randint(0, 400)}"]) for _ in range(200)) for _ in range(60)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    deal = K.deal_for(df, 8)
-    the = K.tokens(np.frombuffer(b"the", np.uint8), np.array([0, 3]))[0][:1]
+    model = K.fit(df.select("doc_id", "text"))
+    word = K.tokens(np.frombuffer(b"the", np.uint8), np.array([0, 3]))[0][:1]
+    the, uses = model.words.numbers(word)
+    deal = model.deal
+    assert uses[0] == sum(t.split().count("the") for t in texts)
     assert deal.frequent(the).all() and len(set(deal.trigram(np.repeat(the, 500), np.arange(500, dtype=np.uint32) * 7_919).tolist())) > 4
     got = [{r.doc_id: round(r.score, 6) for r in K.score_texts(df, hot=h).collect()} for h in (K.HOT, 1e9)]
     assert got[0] == got[1]
@@ -119,8 +122,19 @@ def test_large_counts_and_long_contexts():
 
     rng = np.random.default_rng(4)
     n = 5000
-    middle, older = rng.integers(0, 40, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), rng.integers(0, 9, n).astype(np.uint32)
-    minor = rng.integers(0, 1 << 32, n, dtype=np.uint32)
+    middle, older, minor = (rng.integers(0, m, n).astype(np.uint32) for m in (40, 9, 1 << 31))
+    order = np.lexsort((minor, older, middle))
     count = np.where(rng.random(n) < 0.05, rng.integers(255, 100_000, n), rng.integers(1, 5, n))
-    a = K.third_level(middle, older, minor, count)
+    a = K.third_level(middle[order], older[order], minor[order], count)
     assert K.counts_at(a, np.arange(n)).sum() == count.sum() and len(a["long"]) > 200 and (np.diff(a["start"].astype(np.int64)) >= 0).all()
+
+
+def test_words_whose_hashes_share_bits_are_told_apart(spark, monkeypatch):
+    import numpy as np
+
+    whole = K.span_hashes
+    monkeypatch.setattr(K, "span_hashes", lambda data, a, b: whole(data, a, b) | np.uint64(0xFFFFFFFF))  # equal lower halves
+    texts = [f"w{i} w{i + 1} w{i} x{i % 3}" for i in range(40)]
+    brute = Brute([t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10], 3)
+    got = {r.doc_id: r.score for r in K.score_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert all(abs(got[i] - brute.score(t)) < 1e-9 for i, t in enumerate(texts))
