@@ -298,6 +298,10 @@ class Pages:
         """(source, run, url, fault) of the pages that can't be read or are empty."""
         return self._read.where("kind = 'fault'").select("source", "run", "url", F.col("value").alias("fault"))
 
+    def present(self) -> list[str]:
+        """The sources that have a page: as many as are known, at most."""
+        return sorted(r["source"] for r in self._bodies.select("source").distinct().collect())
+
     @property
     def fetched(self) -> DataFrame:
         """(source, run) of all pages."""

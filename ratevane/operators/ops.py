@@ -86,5 +86,7 @@ def channel_changes(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def resolved_channels(base: DataFrame, branches: DataFrame) -> DataFrame:
     """(source, url, sha, fetched) after branches land: the newest fetch wins, the base wins ties with a branch, the newest branch ties among branches."""
-    rows = base.select("source", "url", "sha", "fetched", F.lit(1 << 30).alias("number")).unionByName(branches.select("source", "url", "sha", "fetched", F.col("number").cast("int").alias("number")))
-    return rows.groupBy("source", "url").agg(F.max_by(F.struct("sha", "fetched", "number"), F.struct("fetched", "number")).alias("x")).select("source", "url", "x.sha", "x.fetched", (F.col("x.number") == 1 << 30).alias("from_base"))
+    held_ = base.select("source", "url", "sha", "fetched", F.lit(True).alias("from_base"), F.lit(None).cast("bigint").alias("number"))
+    rows = held_.unionByName(branches.select("source", "url", "sha", "fetched", F.lit(False).alias("from_base"), F.col("number").cast("bigint").alias("number")))
+    best = F.max_by(F.struct("sha", "fetched", "from_base"), F.struct("fetched", "from_base", "number"))
+    return rows.groupBy("source", "url").agg(best.alias("x")).select("source", "url", "x.sha", "x.fetched", "x.from_base")

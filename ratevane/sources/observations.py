@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import ROW
@@ -20,12 +20,15 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, pos, line) of newline-delimited files. Lines end at \\n alone; an empty last one isn't a line; `pos` is the order in the file.
 
-    A file is read whole, as its order carries meaning: shards are small, and there are as many tasks as shards. No file at `path`, or
-    an empty one, gives no rows.
+    `path` is a file, a pattern or a folder, with all that is in it: a source's shard is a file `s.ndjson` or a folder `source=s` of part
+    files, as write_shards() and append_run() leave them, and is named as if it were `s.ndjson/...`, so that (path, pos) orders a source's lines.
+    A file is read whole, as its order carries meaning; a large source has many part files. No file at `path`, or an empty one, gives no
+    rows.
     """
     if not exists(spark, path):
         return spark.createDataFrame([], "path string, pos int, line string")
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split("value", "\n", -1).alias("lines"))
+    named = F.regexp_replace(F.col("_metadata.file_path"), "/source=([^/]+)/", "/$1.ndjson/")
+    whole = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(named.alias("path"), F.split("value", "\n", -1).alias("lines"))
     return whole.select("path", F.posexplode("lines").alias("pos", "line")).where("line <> ''")
 
 
@@ -49,14 +52,45 @@ def read_shard(spark: SparkSession, folder: str, source: str, strict: bool = Tru
 
     if not re.fullmatch(SHARD_NAME.strip("^$"), source):
         raise ValueError(f"bad shard name: {source}")
-    return read_log(spark, f"{folder}/{source}.ndjson", strict)
+    return read_log(spark, f"{folder}/{{{source}.ndjson,source={source}}}", strict)
 
 
-def write_shards(rows: DataFrame, path: str) -> None:
-    """One folder for each source, sorted by (model_id, observed_at, pos); the commit protocol makes a rewrite all or nothing."""
+def shard_of(path: Column) -> Column:
+    """The source that a line's path names."""
+    return F.regexp_extract(path, r"([^/]+)\.ndjson(?:/|$)", 1)
+
+
+def _named_lines(rows: DataFrame) -> DataFrame:
     named = rows.withColumn("source", F.when(F.col("source").rlike(SHARD_NAME), F.col("source")).otherwise(F.raise_error(F.concat(F.lit("bad shard name: "), F.coalesce("source", F.lit("null"))))))
     line = F.to_json(F.struct(*[c for c in rows.columns if c not in ("path", "pos", "line")]))
-    named.select("source", "model_id", "observed_at", "pos", line.alias("line")).repartition("source").sortWithinPartitions("source", "model_id", "observed_at", "pos").select("source", "line").write.mode("overwrite").partitionBy("source").text(path)
+    return named.select("source", "model_id", "observed_at", "pos", line.alias("line"))
+
+
+def write_shards(rows: DataFrame, path: str) -> None:
+    """A folder of part files for each source, sorted by (model_id, observed_at, pos); the commit protocol makes a rewrite all or nothing.
+
+    Rows are dealt over ranges of that order, so a large source is many tasks' work, and its files, by name, are in it.
+    """
+    order = ["source", "model_id", "observed_at", "pos"]
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    _named_lines(rows).repartitionByRange(n, *order).sortWithinPartitions(*order).select("source", "line").write.mode("overwrite").partitionBy("source").text(path)
+
+
+def append_run(rows: DataFrame, path: str, run: str) -> None:
+    """Adds a run's rows to the log as files of their own, `source=s/run=<run>/part-*`: the same run again takes the place of what it wrote before, so nothing stands twice."""
+    spark = rows.sparkSession
+    at = f"{path.rstrip('/')}/.run={run}"
+    order = ["source", "model_id", "observed_at"]
+    _named_lines(rows.withColumn("pos", F.lit(0))).repartition("source").sortWithinPartitions(*order).select("source", "line").write.mode("overwrite").partitionBy("source").text(at)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    store = hadoop.Path(at).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for old in store.globStatus(hadoop.Path(f"{path}/source=*/run={run}")) or []:
+        store.delete(old.getPath(), True)
+    for made in store.globStatus(hadoop.Path(f"{at}/source=*")) or []:  # a folder for each source
+        to = hadoop.Path(f"{path}/{made.getPath().getName()}")
+        store.mkdirs(to)
+        store.rename(made.getPath(), hadoop.Path(to, f"run={run}"))
+    store.delete(hadoop.Path(at), True)
 
 
 def read_fx(spark: SparkSession, path: str) -> DataFrame:

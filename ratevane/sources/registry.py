@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.markup import Pages
 from . import providers, providers_more  # noqa: F401  each source puts itself into SOURCES
-from .priced import READINGS, SOURCES, c
+from .priced import PRICED, READINGS, SOURCES, c
 
 #: Other spellings that a page's id may be stored under: (pattern, replacement); fixed values.
 SPELLINGS: dict[str, tuple[tuple[str, str], ...]] = {
@@ -42,7 +42,8 @@ def read(pages: DataFrame, names: tuple[str, ...] | None = None) -> Pages:
 def all_priced(pages: DataFrame | Pages, names: tuple[str, ...] | None = None) -> DataFrame:
     """PRICED rows of all sources, or those named, over one table of pages."""
     found = pages if isinstance(pages, Pages) else read(pages, names)
-    return reduce(DataFrame.unionByName, [SOURCES[n](found.of(n)) for n in names or sorted(SOURCES)])
+    made = [SOURCES[n](found.of(n)) for n in found.present() if not names or n in names]  # sources without a page cost nothing
+    return reduce(DataFrame.unionByName, made) if made else found.bodies.sparkSession.createDataFrame([], PRICED)
 
 
 def detected(priced: DataFrame) -> DataFrame:

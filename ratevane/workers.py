@@ -27,5 +27,5 @@ def shared_table(df: DataFrame, name: str, *by: str) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = f"file://{tempfile.gettempdir()}/ratevane-shared"
     own = f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*by).parquet(own)
+    (df.write.partitionBy(*by) if by else df.write).parquet(own)
     return spark.read.schema(df.schema).parquet(own).select(df.columns)

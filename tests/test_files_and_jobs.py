@@ -146,6 +146,7 @@ def test_ingest_job(spark, tmp_path):
     spark.createDataFrame([(s, u, b) for s in names for u, b in PAGES[s]], "source string, url string, body string").write.parquet(f"{tmp_path}/pages")
     jobs.main(["ingest", "--pages", f"{tmp_path}/pages", "--root", root, "--day", "2026-03-01", "--out", f"{tmp_path}/out"])
     got = {(r.source, r.model_id): r for r in spark.read.parquet(f"{tmp_path}/out/appended").collect()}
+    assert [r.source for r in observations.read_log(spark, f"{root}/data/history").where("source = 'ai21'").collect()] == ["ai21"]
     assert ("groq", "org/elm-8b") not in got  # its price didn't move
     assert got["scaleway", "thyme-9b"].rates.input == 3.6 and got["scaleway", "thyme-9b"].provenance.fx_rate == 2.0 and got["scaleway", "thyme-9b"].currency == "EUR"
     assert got["xai", "tarn-4"].overrides[0].when.min_tokens == 128000 and got["databricks", "glm-5.2"].rates.input == 5.0
@@ -160,7 +161,7 @@ def test_merge_review_and_health_jobs(spark, tmp_path):
     spark.createDataFrame(branches, "branch string, path string, pos int, line string").write.parquet(f"{tmp_path}/branches")
     jobs.main(["merge-branches", "--root", root, "--branches", f"{tmp_path}/branches", "--out", f"{tmp_path}/merged"])
     assert {r.branch for r in spark.read.json(f"{tmp_path}/merged/refused").collect()} == {"b2", "b3"}
-    landed = [json.loads(r.value)["observed_at"] for r in spark.read.text(f"{tmp_path}/merged/history").collect()]
+    landed = [json.loads(r.value)["observed_at"] for r in spark.read.text(f"{tmp_path}/merged/data/history").collect()]
     assert sorted(landed) == ["2026-01-01", "2026-02-01"]
     spark.createDataFrame([(1, "rows/a", "abcdef1"), (2, "rows/b", "abcdef2"), (3, "else/c", "abcdef3")], "number bigint, head string, oid string").write.parquet(f"{tmp_path}/requests")
     spark.createDataFrame([(1, 0, "bot", "automerge: no abcdef1"), (1, 1, "bot", "x\nautomerge: yes abcdef1\nbye"), (1, 2, "reader", "automerge: no abcdef1"), (2, 0, "bot", "automerge: yes abcdef9")], "number bigint, pos int, author string, body string").write.parquet(f"{tmp_path}/comments")

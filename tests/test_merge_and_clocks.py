@@ -1,3 +1,7 @@
+import json
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from ratevane.functions import clock
@@ -61,7 +65,7 @@ def test_merges(spark):
     base = df([("a", "s", "1"), ("b", "s", "2")], claims)
     head = df([("a", "s", "1"), ("b", "s", "2"), ("h", "s", "9")], claims)
     branch = df([("a", "s", "1"), ("b", "s", "2"), ("b", "s", "3"), ("n", "s", "9"), ("k", "s", "5")], claims)
-    assert sorted(map(tuple, merge.catalog_union(base, head, branch).collect())) == [("b", "s", "2"), ("b", "s", "3"), ("k", "s", "5")]
+    assert sorted(map(tuple, merge.catalog_union(base, head, branch).collect())) == [("k", "s", "5")]  # the head claims an id of b and of n
     files = df([("s", "{}", "head", 5), ("s", "{1}", "b", 5), ("t", "{}", "head", 1), ("t", "{2}", "b", 2)], "source string, state string, ref string, authored int")
     assert sorted((r.source, r.ref) for r in merge.absence_merge(files).collect()) == [("s", "head"), ("t", "b")]
     assert {r.number: r.settled for r in merge.settled(df([(1, True), (1, False), (2, True), (3, None)], "number int, channel_settled boolean")).collect()} == {1: False, 2: True, 3: False}
@@ -72,13 +76,40 @@ def test_merges(spark):
     assert got == ["meta", "openai", "openai", "vend", None]
 
 
-def test_catalogs_of_branches_claim_one_after_the_other(spark):
-    schema = "canonical string, source string, model_id string"
-    of = lambda *rows: spark.createDataFrame(list(rows), schema)
-    head = of(("a", "s", "1"))
-    first, second = of(("a", "s", "1"), ("b", "s", "2")), of(("a", "s", "1"), ("c", "s", "2"), ("d", "s", "3"))
-    got = merge.catalog_unions(head, head, [first, second])
-    assert sorted(tuple(r) for r in got.collect()) == [("a", "s", "1"), ("b", "s", "2"), ("d", "s", "3")]
+def in_sequence(head, branches):
+    """What a loop over branches lands: (canonical, claims) of changed entries, unless one of their claims is taken."""
+    merged = {c: json.dumps(e, sort_keys=True) for c, e in head}
+    claims = lambda e: {(s, i) for s, ids in e["sources"].items() for i in ([ids] if isinstance(ids, str) else ids)}
+    taken = {x for _, e in head for x in claims(e)}
+    refused = []
+    for branch, _, canonical, entry, base in sorted(branches, key=lambda b: b[:2]):
+        if base == entry:
+            continue
+        if claims(entry) & taken:
+            refused.append((branch, canonical))
+            continue
+        merged[canonical] = json.dumps(entry, sort_keys=True)
+        taken |= claims(entry)
+    return sorted(merged.items()), sorted(refused)
+
+
+@pytest.mark.parametrize("task_claims", [0, 7, 100_000])
+def test_catalogs_of_branches_land_as_in_a_loop(spark, task_claims):
+    rng = random.Random(task_claims + 1)
+    entry = lambda *ids: {"vendor": None, "curated": bool(rng.randint(0, 1)), "sources": {s: [i for t, i in ids if t == s] for s in {t for t, _ in ids}}}
+    some = lambda n: entry(*{(rng.choice("st"), str(rng.randint(0, 60))) for _ in range(n)})
+    head = [("h0", entry(("s", "1"), ("t", "2"))), ("h1", {"sources": {"s": "3"}})]
+    branches = [(f"b{b}", i, f"c{rng.randint(0, 9)}", some(rng.randint(1, 3)), None) for b in range(6) for i in range(8)]
+    branches += [("b7", k, f"chain{k}", entry(("u", str(k)), ("u", str(k + 1))), None) for k in range(9)]  # each conflicts with the next
+    branches += [("b0", 90, "h0", head[0][1], head[0][1]), ("b1", 91, "h0", entry(("z", "1")), head[0][1]), ("b8", 0, "h1", {"sources": {"s": "3"}, "vendor": "v"}, head[1][1]), ("b9", 0, "none", {"sources": {}}, None)]
+    text = lambda e: None if e is None else json.dumps(e)
+    made = spark.createDataFrame([(b, i, c, text(e), text(o)) for b, i, c, e, o in branches], "branch string, ord int, canonical string, entry string, base_entry string").repartition(3)
+    catalog_, refused = merge.catalog_merge(spark.createDataFrame([(c, text(e)) for c, e in head], "canonical string, entry string"), made, task_claims)
+    want, want_refused = in_sequence(head, branches)
+    assert sorted((r.canonical, json.dumps(json.loads(r.entry), sort_keys=True)) for r in catalog_.collect()) == want
+    assert sorted(map(tuple, refused.collect())) == want_refused
+    nothing = made.where("false")
+    assert merge.catalog_merge(nothing.select("canonical", "entry"), nothing, task_claims)[0].collect() == []
 
 
 def test_lines_are_sorted_and_recorded(spark):
