@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.positions import positions
 from .frames import map_texts, session, slim, written
 from .textbuf import buffers, mix, value_hashes
 
@@ -197,12 +199,19 @@ def _open(shared: DataFrame, seqs: DataFrame, gone: DataFrame, block_words: int)
     return all_.mapInArrow(run, "run bigint, doc_id bigint, own bigint").select("run", F.struct("doc_id", "own").alias("later"))
 
 
+def _union_of(found: list[DataFrame]) -> DataFrame:
+    """(key, gone): the lines that a document loses in any of `found`."""
+    both = reduce(DataFrame.unionByName, found)
+    return both.groupBy("key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
+
+
 def deletions(seqs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, own, gone): the lines to delete from each later document, as sorted 32-bit integers: what all alignments with earlier ones give.
 
     Of documents of the same non-blank lines the first stands for all: beside it, another one loses all that any alignment can take. A
-    block holds a run that both have, so only holders of a run are aligned: first each with the run's first holder, then, for runs of
-    which a line is left, with all other earlier holders. Where no line is left, no alignment can take more.
+    block holds a run that both have, so only holders of a run are aligned: first each with the run's first holder, then, as long as a
+    line of the run is left, with the run's next ones in their order, by rounds of 1, 2, 4, ... holders. Where no line is left, no
+    alignment can take more, so a document is done once its own lines are.
     """
     first = written(seqs.groupBy("kind").agg(F.min("key").alias("earlier"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "kinds")
     copies = written(seqs.select("key", "kind").join(first, "kind").where(F.col("key") > F.col("earlier")).select(F.col("key").alias("later"), "earlier"), "copies")
@@ -211,21 +220,37 @@ def deletions(seqs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     count = written(holders.groupBy("run").agg(F.count(F.lit(1)).alias("df"), F.min("key").alias("first")).where("df > 1").drop("df"), "counted")
     shared = holders.join(count, "run").where(F.col("key") > F.col("first")).groupBy("key").agg(F.collect_set("first").alias("firsts"), F.collect_set("run").alias("runs"))
     shared = written(shared, "shared")
-    pairs = shared.select(F.col("key").alias("later"), F.explode("firsts").alias("earlier"))
-    gone = written(_aligned(pairs.unionByName(copies), seqs, block_words), "first_pass")
-    left = written(_open(shared.select("key", "runs"), one, gone, block_words), "open")
-    more = left.join(holders, "run").where(F.col("key") < F.col("later")).select("later", F.col("key").alias("earlier")).distinct().join(pairs, ["later", "earlier"], "left_anti")
-    both = gone.unionByName(_aligned(written(more, "pairs"), one, block_words))
-    return both.groupBy("key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone")).select("key.doc_id", "key.own", "gone")
-
-
-def align_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
+    done = shared.select(F.col("key").alias("later"), F.explode("firsts").alias("earlier"))
+    found = [written(_aligned(done.unionByName(copies), seqs, block_words), "gone")]
+    left = written(_open(shared.select("key", "runs"), one, found[0], block_words), "open")
+    if left.isEmpty():
+        return found[0].select("key.doc_id", "key.own", "gone")
+    near = positions(holders.join(left.select("run").distinct(), "run", "left_semi"), ["run", "key"], "at")
+    ranked = near.join(near.groupBy("run").agg(F.min("at").alias("least")), "run").select("run", "key", (F.col("at") - F.col("least")).alias("rank"))
+    ranked = written(ranked, "ranked")
+    lo, width = 1, 1
+    while True:
+        own = ranked.select("run", F.col("key").alias("later"), F.col("rank").alias("own"))
+        waiting = written(left.join(own, ["run", "later"]).where(F.col("own") > lo), "waiting")
+        if waiting.isEmpty():
+            break
+        next_ = waiting.select("run", "later", F.explode(F.sequence(F.lit(lo), F.least(F.col("own") - 1, F.lit(lo + width - 1)))).alias("rank"))
+        pairs = next_.join(ranked, ["run", "rank"]).select("later", F.col("key").alias("earlier")).distinct().join(done, ["later", "earlier"], "left_anti")
+        pairs = written(pairs, "pairs")
+        found.append(written(_aligned(pairs, one, block_words), "gone"))
+        done = done.unionByName(pairs)
+        lo, width = lo + width, 2 * width
+        docs = waiting.groupBy(F.col("later").alias("key")).agg(F.collect_set("run").alias("runs"))
+        left = written(_open(docs, one, _union_of(found), block_words), "open")
+    return _union_of(found).select("key.doc_id", "key.own", "gone")
+
+
+def align_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, text, n_lines, n_deleted) of every row: the text without the blocks of lines that an earlier document has.
 
     Documents come in the order of their ids, nulls first, equal ids by a hash of the text; rows that repeat id and text are one
     document and get the same result. Lines are equal if their bytes are; blank ones are no part of an alignment and stay. A null text
-    is an empty one: one line. Other columns are ignored; no rows give none. Memory follows the longest pair of documents. `rare` is
-    there for older callers and changes nothing.
+    is an empty one: one line. Other columns are ignored; no rows give none. Memory follows the longest pair of documents.
     """
     session(df)
     docs = slim(df, id_col, text_col)

@@ -26,8 +26,8 @@ def line(rng, n=12):
     return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
 
 
-def brute(rows, rare):
-    """The pairs that share a line, rare lines by the holder before, others by the first, aligned one by one."""
+def brute(rows):
+    """The pairs that share a line, aligned one by one."""
     keyed = sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
     lines = {k: k[1].split("\n") for k in keyed}
     holders = {}
@@ -36,7 +36,7 @@ def brute(rows, rare):
             holders.setdefault(x, []).append(k)
     pairs = set()
     for h in holders.values():
-        pairs |= set(zip(h[1:], h)) if len(h) <= rare else {(k, h[0]) for k in h[1:]}
+        pairs |= {(k, e) for n, k in enumerate(h) for e in h[:n]}
     gone = {k: set() for k in keyed}
     for later, earlier in pairs:
         (ha, wa), (hb, wb) = (L.line_hashes(k[1].encode()) for k in (later, earlier))
@@ -50,9 +50,8 @@ def test_against_brute_force(spark):
     rows = [(i, "\n".join([line(rng), common] + ([*passage[:2], "", *passage[2:]] if i % 3 == 0 else []) + [line(rng)])) for i in range(40)]
     rows += [(100 + i, rows[4][1]) for i in range(5)] + [(200, None), (201, ""), (202, "\n\n"), (None, "\n".join(passage)), (7, rows[7][1]), (300, passage[0])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, gone int").repartition(3)
-    for rare in (64, 4):
-        got = sorted((str(r.doc_id), r.text, r.n_lines, r.n_deleted) for r in L.align_lines(df, rare=rare).collect())
-        assert got == brute(rows, rare)
+    got = sorted((str(r.doc_id), r.text, r.n_lines, r.n_deleted) for r in L.align_lines(df).collect())
+    assert got == brute(rows)
     clean = {r.doc_id: r for r in L.align_lines(df).collect()}
     assert clean[0].n_deleted > 0 and clean[None].n_deleted == 0 and clean[104].n_deleted == 3 and clean[300].n_deleted == 0
 
@@ -89,3 +88,24 @@ def test_edge_rows(spark, docs, none):
     assert sorted((str(r.doc_id), r.text, r.n_lines, r.n_deleted) for r in got.collect()) == want
     assert got.columns == ["doc_id", "text", "n_lines", "n_deleted"] and L.align_lines(none).collect() == []
     assert sum(bool(x) for x in gone.values()) > 0
+
+
+def test_swapped_passages_cost_a_few_alignments_each(spark, monkeypatch):
+    rng = random.Random(6)
+    a, b, n = line(rng, 25), line(rng, 25), 300
+    rows = [(0, f"{b}\n{a}")] + [(i, f"{a}\n{line(rng)}\n{b}") for i in range(1, n)]
+    pairs = []
+    whole = L._aligned
+    monkeypatch.setattr(L, "_aligned", lambda p, *more: pairs.append(p.count()) or whole(p, *more))
+    got = {r.doc_id: r.n_deleted for r in L.align_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [got[i] for i in range(n)] == [0, 1] + [2] * (n - 2)
+    assert sum(pairs) <= 2 * n
+
+
+def test_rounds_reach_the_last_holder(spark):
+    rng = random.Random(7)
+    a, b, c = (line(rng, 25) for _ in range(3))
+    # in each of the first documents `a` comes behind a passage that the last one has in another order, so that only the last but one takes it
+    rows = [(i, f"{line(rng)}\n{b}\n{c}\n{a}") for i in range(9)] + [(20, f"{a}\n{line(rng)}"), (30, f"{a}\n{b}\n{c}")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.n_deleted) for r in L.align_lines(df).collect()) == all_pairs(rows)
