@@ -283,6 +283,18 @@ def component_tables(text: str, name: str) -> list[tuple[list[str], list[list[st
     return out
 
 
+def objects_in(text: str, start: str) -> Iterator[object]:
+    """Every object in a text that begins with `start`; one that can't be read is its Fault."""
+    reader, at = Reader(text), 0
+    while (at := text.find(start, at)) >= 0:
+        try:
+            value, at = reader.value(at)
+            yield value
+        except Fault as fault:
+            at += len(start)
+            yield fault
+
+
 def stream_of(body: str) -> str:
     """The script state that a rendered page carries: the texts pushed to it, in order, and a manifest's compiled source."""
     out, mark, at = [], "self.__next_f.push(", 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workers import reachable, shared_table
-from .literals import Fault, component_tables, stream_of
+from .literals import Fault, component_tables, objects_in, plain_json, stream_of
 from .money import short_references
 from .tables import markdown_tables, span_of
 from .text import fold_heading
@@ -47,13 +48,14 @@ class Sel:
 
 @dataclass(frozen=True)
 class Reading:
-    """What a source's pages are read for: elements by name; rows of tables, with elements inside cells (`inner`); rows of pipe tables; tables that a component of script or markup holds. `clean` changes a body first."""
+    """What a source's pages are read for: elements by name; rows of tables, with elements inside cells (`inner`); rows of pipe tables; tables that a component of script or markup holds; objects in the state of scripts that begin with a text (`objects`). `clean` changes a body first."""
 
     wanted: dict[str, Sel] = field(default_factory=dict)
     inner: dict[str, Sel] = field(default_factory=dict)
     tables: bool = False
     pipes: bool = False
     component: str = ""
+    objects: str = ""
     sep: str = " "
     clean: Callable[[str], str] | None = None
 
@@ -214,6 +216,8 @@ def page_rows(index: Index, body: str | None) -> list[dict]:
     if reading.pipes:
         for t, table in enumerate(markdown_tables(body)):
             out += [{"kind": "pipe", "tbl": t, "no": t * 100_000 + r, "cells": cells, "top": table[0]} for r, cells in enumerate(table) if r]
+    if reading.objects:
+        out += [{"kind": "object", "no": n, "value": json.dumps(plain_json(x), ensure_ascii=False)} if not isinstance(x, Fault) else {"kind": "fault", "value": f"literal: {x}"} for n, x in enumerate(objects_in(stream_of(body), reading.objects))]
     if reading.component:
         for late, source in enumerate((text, stream_of(body))):
             for t, table in enumerate(component_tables(source, reading.component)):
@@ -288,6 +292,11 @@ class Pages:
         """(url, table, ord, head, cells) of the rows of pipe tables, heading rows left out."""
         return self._keyed(self._read.where("kind = 'pipe'")).select("url", F.col("tbl").alias("table"), F.col("no").alias("ord"), F.transform("top", fold_heading).alias("head"), "cells")
 
+    @property
+    def objects(self) -> DataFrame:
+        """(url, no, value) of the objects in the state of scripts, as JSON."""
+        return self._keyed(self._read.where("kind = 'object'")).select("url", "no", "value")
+
     @property
     def components(self) -> DataFrame:
         """(url, late, ord, top, cells) of the rows of component tables; `late` is 0 on the page itself, 1 in the state of its scripts."""

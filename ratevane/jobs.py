@@ -244,9 +244,8 @@ def raw_entries(spark: SparkSession, path: str) -> DataFrame:
     """(canonical, entry): the catalog's entries as JSON."""
     if not exists(spark, path):
         return spark.createDataFrame([], "canonical string, entry string")
-    text = spark.read.text(path, wholetext=True)
-    models = F.from_json("value", "struct<models:map<string,variant>>")["models"]
-    return text.select(F.explode(models).alias("canonical", "v")).select("canonical", F.to_json("v").alias("entry"))
+    models = F.try_variant_get("v", "$.models", "map<string,variant>")
+    return dimensions.document(spark, path).select(F.explode(models).alias("canonical", "v")).select("canonical", F.to_json("v").alias("entry"))
 
 
 @job

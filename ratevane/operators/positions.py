@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 from ..workers import shared_table
 
 
+def places_in(rows: DataFrame, group: list[str], order: list[str | Column], name: str = "place") -> DataFrame:
+    """`rows` with their places, from 1, inside their group; a group that holds most rows is dealt over tasks like any other."""
+    placed = positions(rows, [*group, *order], name)
+    least = placed.groupBy(*group).agg(F.min(name).alias("__least"))
+    return placed.join(least, group).select(*rows.columns, (F.col(name) - F.col("__least") + 1).cast("int").alias(name))
+
+
 def positions(rows: DataFrame, order: list[str | Column], name: str = "place", start: int = 0) -> DataFrame:
     """`rows` with their positions, from `start`, in a total order.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import clock as K
 from ..functions import text as T
 from ..operators import absence, candidates, catalog, log, merge, ops, rates, temporal, validate, views
+from ..operators.positions import places_in
 from ..schema import AXES, OVERRIDES, PROVENANCE, RATES
 from ..sources.listing import listing_rows
 from ..sources.observations import observations, table
@@ -506,13 +507,9 @@ def channel_changes(spark, sf_dir):
 SELECT source, url, arg_max(sha, (fetched, number, CASE WHEN number = 1 << 30 THEN sha ELSE '' END)) AS sha, max(fetched) AS fetched, arg_max(number, (fetched, number)) = 1 << 30 AS from_base FROM r GROUP BY 1, 2"""
 )
 def resolved_channels(spark, sf_dir):
-    return _resolved_channels(spark, sf_dir, F.lit(True))
-
-
-def _resolved_channels(spark, sf_dir, in_base):
     i = F.col("page_id")
     rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("s"), (i % 3).cast("string")).alias("source"), F.concat(F.lit("u"), (i % 50).cast("string")).alias("url"), F.sha2(i.cast("string"), 256).alias("sha"), (i % 4).cast("string").alias("fetched"), i.alias("number"))
-    base = rows.where((F.col("number") % 9 == 0) & in_base).groupBy("source", "url").agg(F.max_by(F.struct("sha", "fetched"), F.struct("fetched", "sha")).alias("x")).select("source", "url", "x.*")
+    base = rows.where("number % 9 = 0").groupBy("source", "url").agg(F.max_by(F.struct("sha", "fetched"), F.struct("fetched", "sha")).alias("x")).select("source", "url", "x.*")
     return ops.resolved_channels(base, rows.where("number % 9 <> 0"))
 
 
@@ -533,7 +530,13 @@ def nested_index(spark, sf_dir):
 @query(f"WITH {OBS}, v AS (SELECT source, model_id, arg_max(rate_input, (observed_at, pos)) FILTER (NOT removed) AS r FROM obs GROUP BY 1, 2) SELECT source, model_id, CAST(row_number() OVER (PARTITION BY source ORDER BY r DESC NULLS LAST, model_id) AS INT) AS place FROM v")
 def null_last_order(spark, sf_dir):
     rows = log.partition_view(observations(spark, sf_dir), F.col("rate_input"))
-    return rows.select("source", "model_id", F.row_number().over(Window.partitionBy("source").orderBy(F.col("priced").desc_nulls_last(), "model_id")).alias("place"))
+    return places_in(rows.select("source", "model_id", "priced"), ["source"], [F.col("priced").desc_nulls_last(), "model_id"]).drop("priced")
+
+
+@query(f"WITH {OBS}, v AS (SELECT source, model_id, arg_max(rate_input, (observed_at, pos)) FILTER (NOT removed) AS r FROM obs GROUP BY 1, 2) SELECT source, model_id, CAST(row_number() OVER (PARTITION BY source ORDER BY r ASC NULLS LAST, model_id) AS INT) AS place FROM v")
+def null_last_rising(spark, sf_dir):
+    rows = log.partition_view(observations(spark, sf_dir), F.col("rate_input"))
+    return places_in(rows.select("source", "model_id", "priced"), ["source"], [F.col("priced").asc_nulls_last(), "model_id"]).drop("priced")
 
 
 @query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'O' ORDER BY o_orderkey LIMIT 20")
@@ -758,12 +761,7 @@ def alias_lookup_all(spark, sf_dir):
     return catalog.alias_on(p, a)
 
 
-def resolved_channels_all(spark, sf_dir):
-    """resolved_channels with all pages of the base; tested by brute force."""
-    return _resolved_channels(spark, sf_dir, F.lit(True))
-
-
-QUERIES |= {"amount_scan": amount_scan, "page_tables": page_tables, "alias_lookup_all": alias_lookup_all, "resolved_channels_all": resolved_channels_all}
+QUERIES |= {"amount_scan": amount_scan, "page_tables": page_tables, "alias_lookup_all": alias_lookup_all}
 
 from . import more as _more  # noqa: E402  the queries below use the tables above
 

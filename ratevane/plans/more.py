@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import money, page
-from ..operators import build, ops, review, temporal
+from ..functions import literals, mentions, money, page
+from ..operators import build, ops, review, runs, temporal
+from ..operators.positions import places_in
 from ..schema import AXES, OVERRIDES, RATES
 from ..sources import registry
 from ..sources.observations import observations, table
@@ -145,7 +146,7 @@ def index_entries(spark, sf_dir):
 def merged_history(spark, sf_dir):
     """Places inside a source of the merged history's order; the sink writes the lines in range partitions."""
     rows = contract_rows(spark, sf_dir)
-    return rows.select("pos", F.row_number().over(Window.partitionBy("source").orderBy("model_id", "observed_at", "pos")).alias("place"), "source", "model_id", "observed_at")
+    return places_in(rows.select("pos", "source", "model_id", "observed_at"), ["source"], ["model_id", "observed_at", "pos"])
 
 
 @query("SELECT DISTINCT event_type AS source, 'rows only' AS side FROM events WHERE event_type NOT IN (SELECT lower(o_orderpriority) FROM orders) UNION ALL SELECT DISTINCT lower(o_orderpriority), 'files only' FROM orders WHERE lower(o_orderpriority) NOT IN (SELECT event_type FROM events)")
@@ -364,6 +365,40 @@ def _priced_query(name):
     return priced, f"SELECT '{_PREFIX.get(name, '')}' || {_MODEL} AS model_id, {cents('p_size / 4.0')} AS input, {cents('p_size / 2.0')} AS output, CAST(NULL AS VARCHAR) AS fault FROM part"
 
 
+@query("SELECT 'r' || p_partkey % 7 AS run, 'fireworks' AS source, p_partkey % 7 NOT IN (2, 4, 5) AS settled, CASE p_partkey % 7 WHEN 2 THEN 'no row' WHEN 4 THEN 'page v: markup: AssertionError' WHEN 5 THEN 'skipped m' || min(CASE WHEN p_partkey % 7 = 5 THEN CAST(p_partkey AS VARCHAR) END) || ': unreadable rate' END AS reason FROM part GROUP BY p_partkey % 7")
+def run_validity(spark, sf_dir):
+    """Runs over pages written from parts: one has another heading, one a page that can't be read, one cells that can't."""
+    k = c("p_partkey") % 7
+    cells = F.concat(lit("<tr><td>m"), c("p_partkey").cast("string"), lit("</td><td>"), F.when(k == 5, lit("$1-2 $3 $4")).otherwise(lit("$1 $2 $3")), lit("</td><td></td></tr>"))
+    rows = table(spark, sf_dir, "part").select(k.alias("k"), c("p_partkey"), cells.alias("r"))
+    body = F.concat(F.when(c("k") == 2, _th("Name", "Standard", "Priority")).otherwise(_th("Model", "Standard", "Priority")), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "r"))), lambda x: x["r"]), ""), lit("</tbody></table>"))
+    made = rows.groupBy("k").agg(body.alias("body")).select(F.concat(lit("r"), c("k").cast("string")).alias("run"), lit("fireworks").alias("source"), lit("u").alias("url"), "body")
+    broken = rows.where("k = 4").select("k").distinct().select(lit("r4").alias("run"), lit("fireworks").alias("source"), lit("v").alias("url"), lit("<![x[<p>").alias("body"))
+    found = registry.read(made.unionByName(broken), ("fireworks",))
+    return runs.validity(found.fetched, found.faults, registry.all_priced(found, ("fireworks",))).select("run", "source", "settled", "reason")
+
+
+@query("SELECT o_orderkey, 'm' || o_orderkey % 97 AS title, CAST(o_custkey AS BIGINT) AS held, o_orderkey % 5 = 0 AS broken FROM orders")
+def literal_values(spark, sf_dir):
+    """Script literals with component calls, brackets inside texts and trailing commas; every fifth has no end."""
+    k = c("o_orderkey")
+    n = (k % 97).cast("string")
+    text = F.concat(lit("[{title: <>{'m"), n, lit("'}</>, note: 'a] {b',}, _jsx(Cell, {n: "), c("o_custkey").cast("string"), lit(", children: ['x', null,]}),"), F.when(k % 5 == 0, "").otherwise("]"))
+    got = literals.scan_literals(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", text.alias("t")), "t")
+    v = F.try_parse_json("t_json")
+    whole = lambda path, kind, other: F.when(c("t_fault").isNull(), F.try_variant_get(v, path, kind)).otherwise(other)
+    return got.select("o_orderkey", whole("$[0].title.props.children[0]", "string", F.concat(lit("m"), n)).alias("title"), whole("$[1].props.n", "bigint", c("o_custkey").cast("bigint")).alias("held"), c("t_fault").isNotNull().alias("broken"))
+
+
+@query("WITH o AS (SELECT o_orderkey, o_orderkey % 500 AS a, o_custkey % 300 AS b FROM orders) SELECT DISTINCT o_orderkey, 'M' || p_partkey AS model_id FROM o JOIN part ON p_partkey = a OR p_partkey = b")
+def id_mentions(spark, sf_dir):
+    """Ids that a cell names whole; longer tokens that hold one, and link targets, name none."""
+    k, a, b = c("o_orderkey"), (c("o_orderkey") % 500).cast("string"), (c("o_custkey") % 300).cast("string")
+    text = F.concat(lit("see _m"), a, lit("_, xm1, m2_fast, m3.5 or [m"), b, lit("](m4 m5) <i m6>."))
+    ids = table(spark, sf_dir, "part").select(F.concat(lit("M"), c("p_partkey").cast("string")).alias("model_id"))
+    return mentions.mentions(table(spark, sf_dir, "orders").select(k, mentions.visible(text).alias("t")), "o_orderkey", "t", ids)
+
+
 for _name in _MADE:
     QUERIES[f"priced_{_name}"], SQL[f"priced_{_name}"] = _priced_query(_name)
 

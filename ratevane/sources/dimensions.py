@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import real_day, slug, unwrapped, wrapped
+from .documents import write_document
 from .observations import SHARD_NAME, exists
 
 CATALOG_VERSION = 4
@@ -66,9 +67,11 @@ def refuse(rows: DataFrame, fault: str, *label: str) -> DataFrame:
     return rows.select(*[F.when(F.col(fault).isNotNull(), F.raise_error(named).cast(kinds[c])).otherwise(F.col(c)).alias(c) for c in rows.columns if c != fault])
 
 
-def _document(spark: SparkSession, path: str) -> DataFrame:
-    """(path, v): each file as a variant; null where it isn't JSON. No file gives no rows."""
-    return spark.read.option("ignoreMissingFiles", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("v"))
+def document(spark: SparkSession, path: str) -> DataFrame:
+    """(path, v): each document as a variant; null where it isn't JSON. No file gives no rows. Part files of a folder are one document, in the order of their names."""
+    files = spark.read.option("ignoreMissingFiles", "true").text(path, wholetext=True).select(F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "").alias("path"), F.col("_metadata.file_path").alias("file"), "value")
+    whole = files.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file", "value"))), lambda x: x["value"]), "").alias("value"))
+    return whole.select("path", F.try_parse_json("value").alias("v"))
 
 
 def _versioned(doc: DataFrame, key: str) -> DataFrame:
@@ -88,7 +91,7 @@ def catalog(spark: SparkSession, path: str, allow_missing: bool = True, strict:
         if not allow_missing:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], "canonical string, name string, vendor string, curated boolean, source string, model_id string, fault string")
-    e = _versioned(_document(spark, path), "models").select(F.explode("m").alias("canonical", "v")).select("canonical", F.try_variant_get("v", "$", _MAP).alias("e"))
+    e = _versioned(document(spark, path), "models").select(F.explode("m").alias("canonical", "v")).select("canonical", F.try_variant_get("v", "$", _MAP).alias("e"))
     sources = F.try_variant_get(at(F.col("e"), "sources"), "$", _MAP)
     own = first_fault(
         (F.col("canonical") == "", "empty canonical id"),
@@ -113,7 +116,7 @@ def aliases(spark: SparkSession, path: str, models: DataFrame | None = None, str
     schema = "alias string, valid_from string, valid_to string, canonical string, citation string, fault string"
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    a = _versioned(_document(spark, path), "aliases").select(F.explode("m").alias("alias", "v"))
+    a = _versioned(document(spark, path), "aliases").select(F.explode("m").alias("alias", "v"))
     each = a.select("alias", F.explode_outer(F.try_variant_get("v", "$", "array<variant>")).alias("v")).select("alias", F.try_variant_get("v", "$", _MAP).alias("r"))
     r = F.col("r")
     day = lambda k: ~given(r, k) | F.coalesce((kind(at(r, k)) == "STRING") & real_day(text_of(at(r, k))), F.lit(False))
@@ -184,7 +187,7 @@ def absence(spark: SparkSession, folder: str, strict: bool = True) -> DataFrame:
     """(source, model_id, absent_runs, since, fault) of a folder's files, one a source; no folder has none."""
     if not exists(spark, f"{folder}/*.json"):
         return spark.createDataFrame([], "source string, model_id string, absent_runs int, since string, fault string")
-    doc = _document(spark, f"{folder}/*.json").select(_stem(F.col("path")).alias("source"), F.try_variant_get("v", "$", _MAP).alias("m"))
+    doc = document(spark, f"{folder}/*.json").select(_stem(F.col("path")).alias("source"), F.try_variant_get("v", "$", _MAP).alias("m"))
     each = doc.select("source", "m", F.explode_outer("m").alias("model_id", "v")).where("m is null or model_id is not null").select("source", "model_id", F.col("m").isNull().alias("broken"), F.try_variant_get("v", "$", _MAP).alias("e"))
     runs = at(F.col("e"), "absent_runs")
     own = first_fault((F.col("broken"), "isn't an object"), (F.col("e").isNull(), "entry isn't an object"), (~F.coalesce(kind(runs).isin("BIGINT", "INT", "SMALLINT", "TINYINT") & F.try_variant_get(runs, "$", "int").isin(1, 2), F.lit(False)), "absent_runs isn't 1 or 2"), (~filled(at(F.col("e"), "since")), "since"))
@@ -220,7 +223,7 @@ def announce(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
     """(source, url, file, sha, fetched, text, fault) of the committed channels; the index is the authority on their files. No index has none."""
     if not exists(spark, f"{root}/{ANNOUNCE}/index.json"):
         return spark.createDataFrame([], "source string, url string, file string, sha string, fetched string, text string, fault string")
-    m = _document(spark, f"{root}/{ANNOUNCE}/index.json").select(F.try_variant_get("v", "$", "map<string,map<string,map<string,string>>>").alias("m"))
+    m = document(spark, f"{root}/{ANNOUNCE}/index.json").select(F.try_variant_get("v", "$", "map<string,map<string,map<string,string>>>").alias("m"))
     m = refuse(m.withColumn("bad", F.when(F.col("m").isNull(), "index isn't an object of objects")), "bad")
     rows = m.select(F.explode("m").alias("source", "u")).select("source", F.explode("u").alias("url", "e")).select("source", "url", at(F.col("e"), "file").alias("said"), at(F.col("e"), "sha256").alias("sha"), at(F.col("e"), "fetched").alias("fetched"))
     rows = channel_files(rows)
@@ -241,7 +244,7 @@ def billing_rules(spark: SparkSession, path: str, strict: bool = True) -> DataFr
     """(id, provider, effective, timezone, statement, citation, fault): closed keys, ids once, real days, zones and citations. A missing file is an error."""
     if not exists(spark, path):
         raise FileNotFoundError(path)
-    doc = _document(spark, path).select(F.try_variant_get("v", "$.rules", "array<variant>").alias("rules"))
+    doc = document(spark, path).select(F.try_variant_get("v", "$.rules", "array<variant>").alias("rules"))
     doc = refuse(doc.withColumn("bad", F.when(F.col("rules").isNull(), "no list of rules")), "bad")
     e = doc.select(F.posexplode("rules").alias("n", "v")).select("n", F.try_variant_get("v", "$", _MAP).alias("e"))
     m = F.col("e")
@@ -270,11 +273,10 @@ def _zones() -> set[str]:
 
 
 def write_catalog(entries: DataFrame, path: str) -> None:
-    """The catalog as one document, entries by name; `entries` as catalog() gives them. It is one value of the output, as the file is."""
+    """The catalog as one document, entries by name, in part files that follow each other; `entries` as catalog() gives them."""
     source = entries.groupBy("canonical", "name", "vendor", "curated", "source").agg(F.array_sort(F.collect_list("model_id")).alias("ids"))
     own = source.groupBy("canonical").agg(F.first("name").alias("name"), F.first("vendor").alias("vendor"), F.first("curated").alias("curated"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "ids")))).alias("sources"))
     text = lambda x: F.coalesce(F.regexp_replace(F.to_json(F.struct(F.col(x).alias("x"))), r'^\{"x":(.*)\}$', "$1"), F.lit("null"))
     body = F.concat(F.lit('{"curated":'), F.col("curated").cast("string"), F.when(F.col("name").isNotNull(), F.concat(F.lit(',"name":'), text("name"))).otherwise(""), F.lit(',"sources":'), F.to_json("sources"), F.lit(',"vendor":'), F.when(F.col("vendor").isNull(), F.lit("null")).otherwise(text("vendor")), F.lit("}"))
     line = F.concat(text("canonical"), F.lit(":"), body)
-    whole = own.agg(F.concat(F.lit('{"models":{'), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("canonical", line.alias("line")))), lambda x: x["line"]), ","), F.lit(f'}},"version":{CATALOG_VERSION}}}')).alias("value"))
-    whole.write.mode("overwrite").text(path)
+    write_document(own.select("canonical", line.alias("member")), path, ["canonical"], head='{"models":{', tail=f'}},"version":{CATALOG_VERSION}}}')

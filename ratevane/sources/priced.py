@@ -99,6 +99,22 @@ def cell(i: int) -> Column:
     return F.get(c("cells"), i)
 
 
+def sized(text: Column, k: int = 1000) -> Column:
+    """A count such as 128K, 1.5 M or 32,768, in whole; null for another shape."""
+    bare = F.upper(F.regexp_replace(text, r"[\s,]", ""))
+    unit = F.when(bare.endswith("K"), k).when(bare.endswith("M"), k * k)
+    number = F.when(unit.isNotNull(), F.left(bare, F.length(bare) - 1)).otherwise(bare)
+    plain = F.when(number.rlike("^[0-9][0-9.]*$") & (F.length(number) <= COUNT_DIGITS), number.try_cast("double"))
+    return F.floor(plain * F.coalesce(unit, lit(1)))
+
+
+def word_before(text: Column, mark: str) -> Column:
+    """The word right before the first `mark`, with the one before it where it is a unit alone."""
+    words = F.split(F.trim(F.substring_index(text, mark, 1)), r"\s+")
+    last = F.element_at(words, -1)
+    return F.when(text.contains(mark), F.when(F.upper(last).isin("K", "M") & (F.size(words) > 1), F.concat(F.try_element_at(words, lit(-2)), last)).otherwise(last))
+
+
 def thousand(text: Column, scale: int = 1024) -> Column:
     """A count such as 128k in tokens; null for another shape."""
     digits = F.regexp_extract(text, rf"^(\d{{1,{COUNT_DIGITS}}})[kK]$", 1)

@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 from ..functions.markup import Pages, Sel, column, inner_of, plain, records
 from ..functions.money import scan
 from ..functions.text import fold_heading
-from .priced import COUNT_DIGITS, SOURCES, amount, c, cell, data_rows, faults, headed, lit, override, priced, rates, slug, source, thousand
+from .priced import COUNT_DIGITS, SOURCES, amount, c, cell, data_rows, faults, headed, lit, override, priced, rates, sized, slug, source, thousand, word_before
 
 
 @source(wanted={"list": Sel("div", ("b-cards--type-models",)), "card": Sel("div", ("card",)), "title": Sel("h3", ("card__title",)), "footer": Sel("div", ("card__footer",))})
 def ai21(pages: Pages) -> DataFrame:
     """Cards: a title, and a footer of one input and one output amount."""
     cards = records(pages.elements.where("path.list is not null"), "card", ("title", "footer"))
-    line = r"(\$\S+) / 1M input tokens\s*(\$\S+) / 1M output tokens"
-    cards = cards.withColumn("model_id", F.coalesce(slug(c("title")), lit(""))).withColumn("lines", F.size(F.regexp_extract_all("footer", lit(line), lit(0))))
-    cards = cards.withColumn("in", F.regexp_extract("footer", line, 1)).withColumn("out", F.regexp_extract("footer", line, 2))
-    got = scan(cards, footer=("footer", "$", ""), i=("in", "$", ""), o=("out", "$", ""))
-    fault = faults((c("footer").isNull(), "no footer"), (c("footer_bad"), "unreadable rate"), (c("lines") != 1, "price lines"), ((F.size("i_amounts") != 1) | (F.size("o_amounts") != 1), "unreadable rate"))
-    return priced(got, "ai21", fault, {"input": amount("i"), "output": amount("o")})
+    # the footer between its two units: what stands before each is an amount
+    part = F.split("footer", "/ 1M")
+    units = F.transform(F.slice(part, 2, 9), lambda x: F.array_join(F.slice(F.split(F.trim(x), r"\s+"), 1, 2), " "))
+    cards = cards.withColumn("model_id", F.coalesce(slug(c("title")), lit(""))).withColumn("units", units)
+    got = scan(cards, p=("footer", "$", ""))
+    fault = faults((c("footer").isNull(), "no footer"), (c("p_bad"), "unreadable rate"), (c("units") != F.array(lit("input tokens"), lit("output tokens")), "price lines"), (F.size("p_amounts") != 2, "unreadable rate"))
+    return priced(got, "ai21", fault, {"input": amount("p"), "output": amount("p", 1)})
 
 
 @source()
@@ -53,8 +54,7 @@ def avian(pages: Pages) -> DataFrame:
     block = rows.where("name in ('key', 'rate') and path.block is not null").groupBy("url", c("path.card").alias("ord"), c("path.block").alias("block")).agg(F.max(F.when(c("name") == "key", c("value"))).alias("k"), F.max(F.when(c("name") == "rate", c("value"))).alias("v"))
     block = block.groupBy("url", "ord").agg(*[F.max(F.when(c("k") == k, c("v"))).alias(k) for k in ("Input", "Output", "Cache")])
     got = scan(cards.join(block, ["url", "ord"], "left"), i=("Input", "$", ""), o=("Output", "$", ""), r=("Cache", "$", ""))
-    size = r"(\d+(?:\.\d+)?)\s*([KM])\s*context"
-    tokens = F.floor(F.regexp_extract("meta", size, 1).try_cast("double") * F.when(F.regexp_extract("meta", size, 2) == "K", 1000).otherwise(1_000_000))
+    tokens = sized(word_before(c("meta"), "context"))
     fault = faults((c("i_bad") | c("o_bad") | c("r_bad"), "unreadable rate"))
     return priced(got.withColumn("model_id", slug(c("label"))).where(r"model_id rlike '^[a-z0-9][a-z0-9.-]*$'"), "avian", fault, {"input": amount("i"), "output": amount("o"), "cache_read": amount("r")}, limits={"context": tokens})
 
@@ -103,9 +103,9 @@ def cloudflare(pages: Pages) -> DataFrame:
     once = Window.partitionBy("url", "section")
     rows = rows.withColumn("least", F.min("table").over(once)).where("table = least")
     lines = F.split(cell(1), "\n")
-    shape = "^(.*?) per M (cached input|input|output) tokens$"
-    kinds = F.transform(lines, lambda x: F.regexp_extract(x, shape, 2))
-    pick = lambda k: F.regexp_extract(F.get(F.filter(lines, lambda x: F.regexp_extract(x, shape, 2) == k), 0), shape, 1)
+    rate_of, kind_of = lambda x: F.substring_index(x, " per M ", 1), lambda x: F.when(x.contains(" per M ") & x.endswith(" tokens"), F.replace(F.substring_index(x, " per M ", -1), lit(" tokens"), lit(""))).otherwise("")
+    kinds = F.transform(lines, lambda x: F.when(kind_of(x).isin("input", "output", "cached input"), kind_of(x)).otherwise(""))
+    pick = lambda k: F.coalesce(rate_of(F.get(F.filter(lines, lambda x: kind_of(x) == k), 0)), lit(""))
     flat = rows.select("url", "ord", "section", F.lower(F.replace(cell(0), lit("\n"), lit(" "))).alias("model_id"), kinds.alias("kinds"), pick("input").alias("i"), pick("output").alias("o"), pick("cached input").alias("r"))
     got = scan(flat.where("model_id rlike '^@[a-z0-9][a-z0-9._/-]*$'"), i=("i", "$", ""), o=("o", "$", ""), r=("r", "$", ""))
     odd = F.array_contains("kinds", "") | (F.size("kinds") != F.size(F.array_distinct("kinds"))) | ~F.array_contains("kinds", "input") | ~F.array_contains("kinds", "output")
@@ -114,19 +114,18 @@ def cloudflare(pages: Pages) -> DataFrame:
     return priced(got.where((c("section") == "section0") | ~odd), "cloudflare", faults((odd, "token cell"), (unreadable, "unreadable rate")), {"input": amount("i"), "output": amount("o"), "cache_read": amount("r")}, order=("section",))
 
 
-@source(wanted={"script": Sel("script"), "block": Sel(("li", "p"))})
+@source(wanted={"block": Sel(("li", "p"))}, objects='{"_type":"model"')
 def cohere(pages: Pages) -> DataFrame:
     """Cards inside script state, then sentences that name both rates; output that isn't of tokens costs nothing."""
     named = lambda x: slug(F.replace(x, lit("+"), lit(" plus ")))
-    mark = r'\"_type\":\"model\"'
-    state = pages.elements.where((c("name") == "script") & F.col("value").contains("__next_f") & F.col("value").contains(mark))
-    part = state.select("url", "no", F.posexplode(F.slice(F.split("value", r'\\"_type\\":\\"model\\"'), 2, 1 << 30)).alias("i", "s"))
-    text = lambda p, i=1: F.regexp_extract("p", p, i)
-    part = part.withColumn("name", F.regexp_extract("s", r'\\"modelName\\":\\"([^"\\]+)\\"', 1)).withColumn("p", F.regexp_extract("s", r'\\"pricings\\":\[([^\]]*)\]', 1)).where("p <> ''")
-    has_out = text(r'\\"outputLabel\\":\\"([^"\\]*)\\",\\"outputPrice\\":([^,}]+)', 0) != ""
-    card = part.where(has_out).select("url", (c("no") * 1000 + c("i")).cast("bigint").alias("ord"), named(c("name")).alias("model_id"), text(r'\\"inputPrice\\":([^,}]+)').try_cast("double").alias("in"), F.when(text(r'\\"outputLabel\\":\\"([^"\\]*)\\"') == "Output", text(r'\\"outputPrice\\":([^,}]+)').try_cast("double")).otherwise(0.0).alias("out"), F.lit(0).alias("kind"), lit(False).alias("bad")).where("in >= 0 and out >= 0")
-    shape = r"^(.+?) pricing is (\$[^/]+?)\s*/\s*1M tokens for input and (\$[^/]+?)\s*/\s*1M tokens for output$"
-    said = pages.elements.where((c("name") == "block") & F.col("value").rlike(shape)).select("url", c("no").cast("bigint").alias("ord"), named(F.regexp_extract("value", shape, 1)).alias("model_id"), F.regexp_extract("value", shape, 2).alias("a"), F.regexp_extract("value", shape, 3).alias("b"))
+    get = lambda path, kind: F.try_variant_get("v", path, kind)
+    state = pages.objects.select("url", c("no").cast("bigint").alias("ord"), F.try_parse_json("value").alias("v"))
+    costs = state.select("url", "ord", get("$.modelName", "string").alias("name"), F.explode(get("$.pricings", "array<variant>")).alias("v"))
+    out = F.when(get("$.outputLabel", "string") == "Output", get("$.outputPrice", "double")).otherwise(0.0)
+    card = costs.where(get("$.outputLabel", "string").isNotNull()).select("url", "ord", named(c("name")).alias("model_id"), get("$.inputPrice", "double").alias("in"), out.alias("out"), lit(0).alias("kind"), lit(False).alias("bad")).where("in >= 0 and out >= 0")
+    sides = lambda i: F.trim(F.get(F.split(c("value"), r"/\s*1M tokens for (input and|output)"), i))
+    lines = pages.elements.where((c("name") == "block") & c("value").contains(" pricing is ") & (F.size(F.split("value", "1M tokens for")) == 3) & c("value").endswith(" for output"))
+    said = lines.select("url", c("no").cast("bigint").alias("ord"), named(F.substring_index("value", " pricing is ", 1)).alias("model_id"), F.substring_index(sides(0), " pricing is ", -1).alias("a"), sides(1).alias("b"))
     said = scan(said, a=("a", "$", ""), b=("b", "$", ""))
     whole = lambda n: ~c(f"{n}_bad") & (F.size(f"{n}_amounts") == 1) & (c(n) == F.concat(lit("$"), F.get(f"{n}_amounts", 0)))
     said = said.select("url", "ord", "model_id", amount("a").alias("in"), amount("b").alias("out"), lit(1).alias("kind"), (~whole("a") | ~whole("b")).alias("bad"))
@@ -188,9 +187,12 @@ def groq(pages: Pages) -> DataFrame:
     link = r"^.*\]\(([^)]*)\)(.*)$"
     path, tail = F.regexp_extract(cell(0), link, 1), F.regexp_extract(cell(0), link, 2)
     own = F.regexp_extract(path, r"^/docs/model/(.*)$", 1)
-    line = r"^(\$\S+)\s+input\s*(\$\S+)\s+output$"
-    free = r"^(\$\S+) per (?:hour|1M characters)$"
-    flat = rows.select("url", "ord", F.when(tail.endswith(own), own).alias("model_id"), cell(2).alias("p"), F.regexp_extract(cell(2), line, 1).alias("i"), F.regexp_extract(cell(2), line, 2).alias("o"), F.regexp_extract(cell(2), free, 1).alias("other"), cell(4).alias("context"), cell(5).alias("most"))
+    halves = F.split(cell(2), "input")
+    both = (F.size(halves) == 2) & F.get(halves, 1).endswith("output")
+    before = F.when(both, F.trim(F.get(halves, 0))).otherwise("")
+    behind = F.when(both, F.trim(F.replace(F.get(halves, 1), lit("output"), lit("")))).otherwise("")
+    other = F.when(F.substring_index(cell(2), " per ", -1).isin("hour", "1M characters"), F.substring_index(cell(2), " per ", 1)).otherwise("")
+    flat = rows.select("url", "ord", F.when(tail.endswith(own), own).alias("model_id"), cell(2).alias("p"), before.alias("i"), behind.alias("o"), other.alias("other"), cell(4).alias("context"), cell(5).alias("most"))
     got = scan(flat.where("model_id rlike '^[a-z0-9][a-z0-9._/-]*$'"), i=("i", "$", ""), o=("o", "$", ""), f=("other", "$", ""))
     none = c("p").isin("ContactSales", "-", "\\-") | (~c("f_bad") & (F.size("f_amounts") == 1))
     count = lambda x: F.when(c(x).isin("-", "\\-"), 0).otherwise(F.when(c(x).rlike(rf"^[\d,]{{1,{COUNT_DIGITS}}}$"), F.replace(c(x), lit(","), lit("")).try_cast("bigint")))
@@ -250,8 +252,12 @@ def perplexity(pages: Pages) -> DataFrame:
     flat = rows.select("url", "ord", F.regexp_extract(name, "^perplexity/([a-z0-9][a-z0-9.-]*)$", 1).alias("model_id"), *[F.trim(column(x)).alias(n) for x, n in zip(labels, "ior", strict=True)], (F.size("cells") < F.size("head")).alias("short")).where(~c("model_id").isin(list(resold)))
     got = scan(flat, i=("i", "", ""), o=("o", "", ""), r=("r", "", ""))
     own = lambda n: F.when((F.size(f"{n}_amounts") == 1) & ((c(n) == F.get(f"{n}_amounts", 0)) | (c(n) == F.concat(lit("$"), F.get(f"{n}_amounts", 0)))), amount(n))
-    clause = pages.bodies.select("url", F.regexp_extract(plain(c("body")), r"(?i)(instead of\s*\$[^.]*?(?:\.\d[^.]*)*)(?:\.\s|\.$|$)", 1).alias("fee"), F.regexp_extract(plain(c("body")), r"(?i)\bper\s+([\d,.]*)\s+invocations\b", 1).alias("n")).where("fee <> ''")
-    clause = scan(clause.withColumn("own", F.regexp_extract("fee", r"(?i)\bper\s+([\d,.]*)\s+invocations\b", 1)).withColumn("n", F.when(c("own") != "", c("own")).otherwise(c("n"))), f=("fee", "$", ""), k=("n", "", ""))
+    # the sentence with `instead of`: the amount behind it is the fee, of as many calls as it says, else as the page says elsewhere
+    sentences = F.split(plain(c("body")), r"\.(?=\s|$)")
+    calls = lambda x: word_before(F.lower(x), "invocations")
+    said = F.get(F.filter(sentences, lambda x: F.lower(x).contains("instead of")), 0)
+    clause = pages.bodies.select("url", F.substring_index(F.lower(said), "instead of", -1).alias("fee"), F.coalesce(calls(said), calls(F.get(F.filter(sentences, lambda x: F.lower(x).contains(" invocations")), 0))).alias("n")).where("fee <> ''")
+    clause = scan(clause, f=("fee", "$", ""), k=("n", "", ""))
     fee = clause.where(~c("f_bad") & ~c("k_bad") & (F.size("k_amounts") == 1) & (F.size("f_amounts") > 0)).groupBy("url.run").agg(F.max(amount("f") / amount("k")).alias("fee"))
     got = got.withColumn("run", c("url.run")).join(fee, "run", "left")
     fault = faults((c("short"), "cells"), (c("i_bad") | c("o_bad") | c("r_bad"), "unreadable rate"), (c("fee").isNull(), "fee of a search"))
@@ -283,13 +289,15 @@ def scaleway(pages: Pages) -> DataFrame:
     """A captioned table in euros; Free is zero; prices by the audio minute are none; a link that names the model must agree."""
     start = F.array(*map(lit, ("name", "tasks", "input tokens", "output tokens")))
     rows = data_rows(pages, F.forall(F.arrays_zip(F.slice("head", 1, 4).alias("h"), start.alias("s")), lambda x: x["h"].startswith(x["s"])) & (F.size("head") == 5)).where("caption = 'Generative API'")
-    rate, cached = r"^€(\d+(?:\.\d+)?) / million tokens$", r"^€(\d+(?:\.\d+)?) / million tokens €(\d+(?:\.\d+)?) / million tokens cached$"
-    read = lambda text, p, i=1: F.regexp_extract(text, p, i).try_cast("double")
-    i = F.when(cell(2) == "Free", 0.0).otherwise(F.coalesce(read(cell(2), cached), read(cell(2), rate)))
-    o = F.when(cell(3) == "Free", 0.0).otherwise(read(cell(3), rate))
-    audio = cell(2).rlike(r"^€\d+(\.\d+)? / Audio minute$")
+    euro = lambda x: F.when(F.trim(x).rlike("^€[0-9][0-9.]*$"), F.ltrim(F.trim(x), lit("€")).try_cast("double"))
+    parts = lambda i: F.split(cell(i), " / million tokens")
+    alone = lambda i: F.when(F.get(parts(i), 1) == "", euro(F.get(parts(i), 0)))
+    cached = (F.size(parts(2)) == 3) & (F.trim(F.get(parts(2), 2)) == "cached")
+    i = F.when(cell(2) == "Free", 0.0).otherwise(F.when(cached, euro(F.get(parts(2), 0))).otherwise(alone(2)))
+    o = F.when(cell(3) == "Free", 0.0).otherwise(alone(3))
+    audio = cell(2).endswith(" / Audio minute") & euro(F.substring_index(cell(2), " / ", 1)).isNotNull()
     named = F.regexp_extract(F.coalesce(inner_of("link", 4), lit("")), "[?&]modelName=([^&]+)", 1)
-    flat = rows.select("url", "ord", cell(0).alias("model_id"), i.alias("i"), o.alias("o"), read(cell(2), cached, 2).alias("r"), audio.alias("audio"), (inner_of("link", 4).isNotNull() & (named != cell(0))).alias("other"), (F.size("cells") != 5).alias("short"))
+    flat = rows.select("url", "ord", cell(0).alias("model_id"), i.alias("i"), o.alias("o"), F.when(cached, euro(F.get(parts(2), 1))).alias("r"), audio.alias("audio"), (inner_of("link", 4).isNotNull() & (named != cell(0))).alias("other"), (F.size("cells") != 5).alias("short"))
     fault = faults((c("short"), "cells"), (c("other"), "link of another model"), (~c("model_id").rlike("^[a-z0-9][a-z0-9._/-]*$"), "id"), (~c("audio") & c("i").isNull(), "input price"), (~c("audio") & c("o").isNull(), "output price"))
     return priced(flat, "scaleway", fault, {"input": c("i"), "output": c("o"), "cache_read": c("r")}, currency="EUR")
 
@@ -316,8 +324,10 @@ def volcengine(pages: Pages) -> DataFrame:
     card = card.select("url", "ord", F.regexp_extract("t", f"^({id_})", 1).alias("model_id"), F.regexp_replace("t", f"^{id_}", "").alias("t"))
     card = card.withColumn("t", F.regexp_extract("t", f"(?s)^((?:(?!{copy}).)*(?:{copy}(?:(?!{copy}).)*)?)", 1))
     after = lambda labels: F.regexp_extract("t", f"(?s)(?:{labels})((?:(?!{ins}|{outs}|{sizes}).)*)", 1)
-    value = lambda labels: F.regexp_extract(after(labels), r"([0-9]+(?:\.[0-9]+)?)(?:\s*-\s*[0-9]+(?:\.[0-9]+)?)?\s*元\s*/\s*百万", 1).try_cast("double") / per_usd
-    size = lambda label: F.floor(F.regexp_extract(after(label), r"(?i)(\d+(?:\.\d+)?)\s*k\b", 1).try_cast("double")) * 1024
+    tight = lambda labels: F.regexp_replace(after(labels), r"\s", "")
+    ends = lambda x: F.when(x.contains("元/百万"), F.regexp_extract(F.substring_index(x, "元/百万", 1), "[0-9.-]+$", 0))
+    value = lambda labels: F.substring_index(ends(tight(labels)), "-", 1).try_cast("double") / per_usd
+    size = lambda label: sized(F.get(F.filter(F.split(F.trim(after(label)), r"\s+"), lambda x: F.lower(x).endswith("k")), 0), 1024)
     return priced(card, "volcengine", lit(None).cast("string"), {"input": value(ins), "output": value(outs)}, limits={"context": size("上下文窗口"), "output": size("最大输出")})
 
 

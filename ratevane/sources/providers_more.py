@@ -11,7 +11,7 @@ from ..functions.markup import Pages, Sel, column, plain
 from ..functions.money import scan
 from ..functions.text import fold_heading
 from ..schema import DAYS, RATES
-from .priced import amount, c, cell, data_rows, faults, headed, lit, override, priced, rates, slug, some, source
+from .priced import amount, c, cell, data_rows, faults, headed, lit, override, priced, rates, sized, slug, some, source
 
 
 def hhmm(text: Column) -> Column:
@@ -30,12 +30,17 @@ def anthropic(pages: Pages) -> DataFrame:
     """A markdown table of five rates; rows for prompts up to and over a bound become one entry; a table of a fast mode gives overrides."""
     rows = pages.pipes
     clean = lambda x: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r"(?s)<sup>.*?</sup>", ""), r"!?\[([^\]]*)\]\([^)]*\)", "$1"), r"<[^>]*>|[*`_​‌‍]", " "), r"\s+", " "))
-    tier = r"(?i)\(for\s+prompts\s+(up\s+to|over)\s+(\S+)\s+(?:input\s+)?tokens\)\s*$"
     name = clean(cell(0))
-    stem = F.trim(F.regexp_replace(F.regexp_replace(name, tier, ""), r"(?i)\((?:deprecated|retired|legacy|new|beta|preview)[^)]*\)\s*$", ""))
-    size = F.regexp_extract(name, tier, 2)
-    threshold = F.replace(F.regexp_replace(size, "[kK]$", ""), lit(","), lit("")).try_cast("bigint") * F.when(size.rlike("[kK]$"), 1000).otherwise(1)
-    over = F.lower(F.regexp_extract(name, tier, 1)) == "over"
+    # a name, then notes in brackets: the last of them may be a bound of prompts, others tell of the model's state
+    notes = F.transform(F.slice(F.split(name, r"\("), 2, 9), lambda x: F.trim(F.replace(F.lower(x), lit(")"), lit(""))))
+    bound_ = F.get(F.filter(notes, lambda x: x.startswith("for prompts ") & x.endswith("tokens")), 0)
+    words = F.split(F.replace(bound_, lit("for prompts "), lit("")), " ")
+    over = F.coalesce(F.get(words, 0) == "over", lit(False))
+    size = F.coalesce(F.get(words, F.when(over, 1).otherwise(2)), lit(""))
+    threshold = sized(size).cast("bigint")
+    state = F.array(*map(lit, ("deprecated", "retired", "legacy", "new", "beta", "preview")))  # fixed values
+    left_out = lambda x: x.startswith("for prompts ") | F.array_contains(state, F.get(F.split(x, " "), 0))
+    stem = F.trim(F.concat(F.substring_index(name, "(", 1), F.array_join(F.transform(F.filter(notes, lambda x: ~left_out(x)), lambda x: F.concat(lit("("), x, lit(")"))), " ")))
     shape = stem.rlike(r"(?i)^Claude(\s+[a-z]+)+\s+\d+(\.\d+)*(\s*\(Fast\))?$")
     main = rows.where(headed("Model", "Base Input Tokens", "5m Cache Writes", "1h Cache Writes", "Cache Hits & Refreshes", "Output Tokens"))
     flat = main.select("url", "ord", slug(stem, "a-z0-9").alias("model_id"), (size != "").alias("tiered"), threshold.alias("threshold"), over.alias("over"), (~shape).alias("odd"), (F.size("cells") != 6).alias("short"), *[cell(i).alias(n) for i, n in ((1, "i"), (2, "w"), (3, "h"), (4, "r"), (5, "o"))])
@@ -177,8 +182,8 @@ def digitalocean(pages: Pages) -> DataFrame:
     value = lambda x: F.regexp_extract(F.coalesce(under(x), lit("")), r"^\$(\d+(?:\.\d+)?)$", 1).try_cast("double")
     odd = lambda x: under(x).isNotNull() & ~F.lower(under(x)).isin("n/a", "-", "") & value(x).isNull()
     mode = slug(under("processing mode"))
-    length = r"^>\s*(\d[\d,]*)\s*([KkMm])(?:\s*tokens?)?\s*$"
-    each = line.select("url", (c("tr") * 1000 + c("k")).alias("ord"), F.when(mode == "standard", c("name")).otherwise(F.concat_ws("-", "name", mode)).alias("model_id"), (mode == "standard").alias("standard"), value("input").alias("i"), value("output").alias("o"), value("cache read").alias("r"), bound(F.coalesce(under("prompt length"), lit("")), length).alias("min_tokens"), (odd("input") | odd("output") | odd("cache read")).alias("bad"), (F.size("v") != F.size("labels")).alias("short"), F.array_contains("labels", "output").alias("has"))
+    longer = lambda x: F.when(F.trim(x).startswith(">"), sized(F.replace(F.replace(F.lower(F.trim(x)), lit(">"), lit("")), lit("tokens"), lit(""))).cast("bigint"))
+    each = line.select("url", (c("tr") * 1000 + c("k")).alias("ord"), F.when(mode == "standard", c("name")).otherwise(F.concat_ws("-", "name", mode)).alias("model_id"), (mode == "standard").alias("standard"), value("input").alias("i"), value("output").alias("o"), value("cache read").alias("r"), longer(under("prompt length")).alias("min_tokens"), (odd("input") | odd("output") | odd("cache read")).alias("bad"), (F.size("v") != F.size("labels")).alias("short"), F.array_contains("labels", "output").alias("has"))
     full = c("i").isNotNull() & c("o").isNotNull()
     tiers = F.sort_array(F.collect_list(F.when(full & c("standard"), F.struct("ord", "min_tokens", "i", "o", "r"))))
     one = each.where("model_id rlike '^[a-z0-9][a-z0-9._/-]*$'").groupBy("url", "model_id").agg(F.min("ord").alias("ord"), F.min_by(F.struct("i", "o", "r"), F.when(full, c("ord"))).alias("base"), F.min_by(F.struct("i", "r"), F.when(c("i").isNotNull() & c("o").isNull() & c("standard"), c("ord"))).alias("half"), tiers.alias("tiers"), F.max("bad").alias("bad"), F.max("short").alias("short"), F.min("has").alias("has"))

@@ -152,3 +152,34 @@ def test_state_from_run_to_run_is_the_batch_rule(spark):
         state = of(spark, [tuple(x) for x in after.select("source", "model_id", "absent_runs", "since").collect()], kinds)
     gone, due = runs.advance(of(spark, [("s", "m0", 2, "r1")], kinds), of(spark, [("s", "m0", "r9", False, True, False)], schema), of(spark, [("s", "m0")], "source string, model_id string"))
     assert gone.collect() == [] == due.collect()
+
+
+def test_whole_ids_in_texts(spark):
+    from ratevane.functions import mentions
+
+    texts = {"_m-2_ and **M-3**.": {"m-2", "m-3"}, "m-2_fast m-2.5 xm-2 m-2-x": {"m-2.5"}, "`m-2`, m-2: (m-3)": {"m-2", "m-3"}, "[m-2](m-3) <a m-3>m-2.5</a>": {"m-2", "m-2.5"}, "": set(), None: set(), "m-2": {"m-2"}}
+    ids = spark.createDataFrame([("m-2",), ("m-2",), ("m-2.5",), ("m-3",), ("",), (None,)], "model_id string")
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", mentions.visible(F.col("t")).alias("t"))
+    for block in (1 << 20, 4):
+        got = {}
+        for r in mentions.mentions(df, "i", "t", ids, block).collect():
+            got.setdefault(r.i, []).append(r.model_id)
+        assert {i: sorted(x) for i, x in got.items()} == {i: sorted(w) for i, w in enumerate(texts.values()) if w}
+    assert mentions.mentions(df, "i", "t", ids.where("false")).collect() == []
+
+
+def test_a_document_of_fragments(spark, tmp_path):
+    from ratevane.sources.documents import text_of, write_document
+
+    rows = [(f"s{i % 3}", f"m{i:03d}", i) for i in range(200)] + [("quote\"d", "x\\y", 1)]
+    df = spark.createDataFrame(rows, "source string, model_id string, n int").repartition(5)
+    members = df.select("source", "model_id", F.concat(text_of(F.col("model_id")), F.lit(":"), F.col("n").cast("string")).alias("member"))
+    files = write_document(members, f"{tmp_path}/doc", ["source", "model_id"], group="source").collect()
+    want = {}
+    for s, m, n in rows:
+        want.setdefault(s, {})[m] = n
+    raw = b"".join((tmp_path / "doc" / r.file).read_bytes() for r in sorted(files, key=lambda r: r.start))
+    assert json.loads(raw) == want and len(files) > 1 and [r.start for r in sorted(files, key=lambda r: r.file)] == sorted(r.start for r in files)
+    assert all(raw[r.start : r.start + r.bytes] == (tmp_path / "doc" / r.file).read_bytes() for r in files)
+    write_document(members.where("false"), f"{tmp_path}/none", ["source", "model_id"], group="source")
+    assert json.loads(b"".join(p.read_bytes() for p in (tmp_path / "none").glob("part*"))) == {}

@@ -62,7 +62,7 @@ page("cloudflare", '<h2 id="llm-model-pricing">LLM</h2>' + table(head, ["@cf/Yew
 WANT |= {("cloudflare", "@cf/yew-1"): (0.1, 0.2, 0.02, None), ("cloudflare", "@cf/yew-2"): (None, None, None, "token cell"), ("cloudflare", "@cf/yew-3"): (1.0, 2.0, None, None)}
 
 flight = lambda name, out: r'{\"_type\":\"model\",\"modelName\":\"' + name + r'\",\"pricings\":[{\"inputLabel\":\"Input\",\"inputPrice\":2.5,\"outputLabel\":\"' + out + r'\",\"outputPrice\":10}]}'
-page("cohere", "<script>self.__next_f.push(" + flight("Bay R+", "Output") + flight("Bay Rank", "Searches") + "</script><ul><li>Bay Old pricing is $1.50 / 1M tokens for input and $2.00 / 1M tokens for output</li><li>Bay Bad pricing is $1,5 / 1M tokens for input and $2.00 / 1M tokens for output</li></ul>")
+page("cohere", '<script>self.__next_f.push([1,"' + flight("Bay R+", "Output") + flight("Bay Rank", "Searches") + '"])</script><ul><li>Bay Old pricing is $1.50 / 1M tokens for input and $2.00 / 1M tokens for output</li><li>Bay Bad pricing is $1,5 / 1M tokens for input and $2.00 / 1M tokens for output</li></ul>')
 WANT |= {("cohere", "bay-r-plus"): (2.5, 10.0, None, None), ("cohere", "bay-rank"): (2.5, 0.0, None, None), ("cohere", "bay-old"): (1.5, 2.0, None, None), ("cohere", "bay-bad"): (None, None, None, "prose rate")}
 
 dash = ["Model ID", "Scope", "Input token range", "Input price", "Output price"]

@@ -31,7 +31,7 @@ def test_base_of_all_pages(spark, tmp_path):
         key = (f"s{i % 3}", f"u{i % 50}")
         best[key] = max(best.get(key, (("",), "", False)), (rank, sha, base))
     seen = {k: (sha, rank[0], base) for k, (rank, sha, base) in best.items()}
-    rows = QUERIES["resolved_channels_all"](spark, str(tmp_path)).collect()
+    rows = QUERIES["resolved_channels"](spark, str(tmp_path)).collect()
     got = {(r.source, r.url): (r.sha, r.fetched, r.from_base) for r in rows}
     assert got == seen
     assert any(v[2] and v[0] in {hashlib.sha256(str(i).encode()).hexdigest() for i in (450, 459, 468, 477, 486, 495, 900, 2250)} for v in got.values())
