@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import AXES
+from ..schema import AXES, LIMITS, OVERRIDES
 from .text import clock, clock_of_minutes, fixed
 
 #: What an axis is called on the page, where its name doesn't say it; in reports; and the sign for nothing.
@@ -172,3 +172,31 @@ def chart_text(name: Column, axis: str, runs: Column, removed: Column) -> Column
     tail = F.when(F.element_at(runs, -1)["end"].isNull(), "").when(removed, "; the model was removed there").otherwise(f"; no later era prices {label(axis)}")
     said = F.concat(F.lit(f"{label(axis)} price per million tokens: "), F.array_join(spans, "; then "), tail, F.lit("."))
     return F.when(F.size(runs) > 0, said).otherwise(F.concat(F.lit(f"no {label(axis)} rate is recorded for "), name, F.lit(".")))
+
+
+def detail_rows(flat: DataFrame, peak: bool = False) -> DataFrame:
+    """(source, model_id, ord, label, value, number) of what an entry's details show, in their order; `number` is a rate's own value.
+
+    Rates (at their peak if `peak`), the currency of the quote, limits, overrides, days, the era that holds, and the day of a removal; what an
+    entry doesn't have has no row, but for the open end of its era. `flat` has the entries with their intervals.
+    """
+    none = F.lit(None)
+    row = lambda label_, value, number=none: F.struct(F.lit(label_).alias("label") if isinstance(label_, str) else label_.alias("label"), value.cast("string").alias("value"), number.cast("double").alias("number"))
+    filled = lambda x: F.nullif(x.cast("string"), F.lit(""))
+    rates_ = []
+    for a in AXES:
+        own = peak_rate(F.col("rates"), F.col("overrides"), a) if peak else F.col(f"rates.{a}")
+        rates_.append(row(f"rate {label(a)}", F.when(own.isNotNull(), rate(own)), own))
+    limits = [row(f"limit {label(x)}", F.col(f"limits.{x}")) for x in LIMITS]
+    overrides = F.transform(F.coalesce("overrides", F.array().cast(OVERRIDES)), lambda o, i: row(F.concat(F.lit("override "), (i + 1).cast("string")), override_text(o)))
+    solid = F.filter("intervals", lambda x: (x["valid_to"].isNull() | (x["valid_to"] > x["valid_from"])) & ~F.coalesce(x["removed"], F.lit(False)))
+    era = F.try_element_at(F.array_sort(F.transform(solid, lambda x: F.struct(x["observed_at"].alias("at"), x["valid_from"].alias("from"), x["valid_to"].alias("to")))), F.lit(-1))
+    ends = [row("first seen", filled(F.col("first_seen"))), row("observed", filled(F.col("observed_at"))), row("valid from", filled(era["from"])), row("valid to", F.when(era.isNotNull(), F.coalesce(era["to"], F.lit(DASH)))), row("removed", filled(F.col("removed_at")))]
+    whole = F.concat(F.array(*rates_, row("quoted in", filled(F.col("currency")))), F.array(*limits), overrides, F.array(*ends))
+    return flat.select("source", "model_id", F.posexplode(F.filter(whole, lambda r: r["value"].isNotNull())).alias("ord", "r")).select("source", "model_id", "ord", "r.*")
+
+
+def restored(state: DataFrame, entries: DataFrame) -> DataFrame:
+    """(key) of a decoded fragment's keys (`state`: pos, key as source/id) that name an entry for chats, in their order, each once; unknown ones and other modalities are dropped."""
+    known = entries.where("modality is null").select(F.concat_ws("/", "source", "model_id").alias("key")).distinct()
+    return state.groupBy("key").agg(F.min("pos").alias("pos")).join(known, "key", "left_semi").select("key", "pos")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .operators import absence, build, candidates, log, merge, ops, review, runs, validate
+from .operators import absence, build, candidates, contract, log, merge, ops, review, runs, validate
 from .operators.positions import positions
 from .plans import publish
 from .schema import FIELDS, INCOMPARABLE, KEY, RATES, ROW, VERSION
@@ -193,14 +193,15 @@ def merge_branches(spark: SparkSession, args: argparse.Namespace) -> None:
     Lines that the log has are left out; a branch with an invalid line, one that nobody claims, or more changes than the bounds allow is
     refused whole. --changes is a folder of Parquet tables, each of which may be missing: `entries` (branch, ord, canonical, entry,
     base_entry), `rules` (branch, id, rule), `absence` (ref, authored, source, state) and `channels` (branch, number, source, url, sha,
-    fetched, text, verdict); branches land in the order of their names. A key that a landed removal ends leaves the absence state.
+    fetched, text, verdict); branches land in the order of their names. With --schema, the file of the row contract, lines are held against it at every depth too. A key that a landed removal ends leaves the absence state.
     """
     head = read_lines(spark, f"{args.root}/data/history")
     landed_lines = head.select(F.concat(shard_of(F.col("path")), F.lit(".ndjson")).alias("path"), "line").distinct()
     lines = spark.read.parquet(args.branches)
     new = lines.join(landed_lines, ["path", "line"], "left_anti")
     fresh = parse_lines(new.select("path", "pos", "line"), strict=False).dropDuplicates(["path", "line"])
-    checked = fresh.join(new.select("path", "line", "branch").distinct(), ["path", "line"]).withColumn("_fault", validate.fault(F.col("line")))
+    deep = contract.contract_fault(F.col("line"), contract.load_schema(spark, args.schema)) if args.schema else F.lit(None)
+    checked = fresh.join(new.select("path", "line", "branch").distinct(), ["path", "line"]).withColumn("_fault", F.coalesce(validate.fault(F.col("line")), deep))
     known = parse_lines(head.select("path", "pos", "line"))
     part = lambda name: spark.read.parquet(f"{args.changes}/{name}") if args.changes and exists(spark, f"{args.changes}/{name}") else None
     catalog_at = f"{args.root}/data/catalog/models.json"
@@ -313,7 +314,7 @@ def smoke(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="ratevane.jobs")
     parser.add_argument("job", choices=sorted(JOBS))
-    for name in ("pages", "root", "day", "out", "seen", "readme", "branches", "requests", "comments", "bot", "prefix", "now", "before", "alerts", "source", "model", "pending", "checkpoint", "changes", "runs"):
+    for name in ("pages", "root", "day", "out", "seen", "readme", "branches", "requests", "comments", "bot", "prefix", "now", "before", "alerts", "source", "model", "pending", "checkpoint", "changes", "runs", "schema"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--limit", type=int, default=20)
     args = parser.parse_args(argv)

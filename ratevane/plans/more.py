@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import literals, mentions, money, page
-from ..operators import build, ops, review, runs, temporal
+from ..operators import build, contract, ops, review, runs, temporal
 from ..operators.positions import places_in
 from ..schema import AXES, OVERRIDES, RATES
 from ..sources import registry
@@ -352,7 +352,17 @@ _MADE = {
     "zai": (_th("Model", "Input", "Cached Input", "Output"), lambda p: _tr(F.concat(lit("glm-"), c("m")), F.concat(lit("$"), c("i")), lit("Free"), F.concat(lit("$"), c("o"))), "</tbody></table>"),
     "watsonx": ("<c4d-pricing-table><c4d-pricing-table-header-row><c4d-pricing-table-header-cell>Model Name</c4d-pricing-table-header-cell><c4d-pricing-table-header-cell>Model Provider</c4d-pricing-table-header-cell><c4d-pricing-table-header-cell>Pay as you go</c4d-pricing-table-header-cell></c4d-pricing-table-header-row>", lambda p: F.concat(lit("<c4d-pricing-table-row><c4d-pricing-table-cell>"), c("m"), lit("</c4d-pricing-table-cell><c4d-pricing-table-cell>p</c4d-pricing-table-cell><c4d-pricing-table-cell>USD "), c("i"), lit(" / USD "), c("o"), lit("</c4d-pricing-table-cell></c4d-pricing-table-row>")), "</c4d-pricing-table>"),
 }
-_PREFIX = {"cloudflare": "@", "zai": "glm-"}
+_MADE |= {
+    "mistral": ("<section>Prices /M Tokens" + _th("Model", "Input", "Cached input", "Output"), lambda p: _tr(F.concat(lit('<a href="/models/'), c("m"), lit('">x</a>')), F.concat(lit("<del>$99</del><ins>Sale: $"), c("i"), lit("</ins>")), lit("-"), F.concat(lit("$"), c("o"))), "</tbody></table></section>"),
+    "groq": ("| MODEL ID | SPEED (T/SEC) | PRICE PER 1M TOKENS | RATE LIMITS (DEVELOPER PLAN) | CONTEXT WINDOW (TOKENS) | MAX COMPLETION TOKENS | MAX FILE SIZE |\n|---|---|---|---|---|---|---|\n", lambda p: F.concat(lit("| [M](/docs/model/"), c("m"), lit(")"), c("m"), lit(" | 9 | $"), c("i"), lit(" input$"), c("o"), lit(" output | 1 | 131,072 | - | - |\n")), ""),
+    "novita": ("", lambda p: F.concat(lit('<article data-testid="model-section-mobile-card"><a href="/models/model-detail/org-'), c("m"), lit('">m</a><dl><dt>Input</dt><dd><span title="'), c("i"), lit('">a</span></dd><dt>Output</dt><dd><span title="'), c("o"), lit('">b</span></dd></dl></article>')), ""),
+    "scaleway": ("<table><caption>Generative API</caption><thead><tr><th>Name</th><th>Tasks</th><th>Input tokens</th><th>Output tokens</th><th>Try</th></tr></thead><tbody>", lambda p: _tr(c("m"), lit("Chat"), F.concat(lit("€"), c("i"), lit(" / million tokens")), F.concat(lit("€"), c("o"), lit(" / million tokens")), lit("")), "</tbody></table>"),
+    "cohere": ("<ul>", lambda p: F.concat(lit("<li>"), c("m"), lit(" pricing is $"), c("i"), lit(" / 1M tokens for input and $"), c("o"), lit(" / 1M tokens for output</li>")), "</ul>"),
+    "avian": ('<div id="avModelGrid">', lambda p: F.concat(lit('<div class="av-model-card"><div class="av-model-label">'), c("m"), lit('</div><div class="av-mp"><span class="av-mp-label">Input</span><span class="av-mp-val">$'), c("i"), lit('</span></div><div class="av-mp"><span class="av-mp-label">Output</span><span class="av-mp-val">$'), c("o"), lit("</span></div></div>")), "</div>"),
+    "moonshot": ('<DocTable columns={[{title: "Model"}, "Input Price", "Output Price",]} rows={[', lambda p: F.concat(lit('["'), c("m"), lit('", <>{"$'), c("i"), lit('"} now</>, "$'), c("o"), lit('"], ')), "]} />"),
+    "digitalocean": ("<table><thead><tr><th>Provider</th><th>Model</th><th>Serverless Inference per 1M</th></tr></thead><tbody>", lambda p: _tr(lit("P"), c("m"), F.concat(lit('<span class="gen-ai-pricing-matrix"><span class="gen-ai-pricing-matrix-row"><span>Processing Mode</span><span>Input</span><span>Output</span></span><span class="gen-ai-pricing-matrix-row"><span>Standard</span><span>$'), c("i"), lit("</span><span>$"), c("o"), lit("</span></span></span>"))), "</tbody></table>"),
+}
+_PREFIX = {"cloudflare": "@", "zai": "glm-", "novita": "org/"}
 
 
 def _priced_query(name):
@@ -399,6 +409,26 @@ def id_mentions(spark, sf_dir):
     return mentions.mentions(table(spark, sf_dir, "orders").select(k, mentions.visible(text).alias("t")), "o_orderkey", "t", ids)
 
 
+@query(f"WITH {_FLAT} SELECT source, model_id, 'first seen' AS label, first_seen AS value FROM flat UNION ALL SELECT source, model_id, 'rate input', CAST(CAST(input AS DECIMAL(18, 4)) AS VARCHAR) FROM flat WHERE input IS NOT NULL")
+def detail_rows(spark, sf_dir):
+    """An entry's detail rows, those of its first day and its input rate compared."""
+    rows = page.detail_rows(_flat(spark, sf_dir)).where("label in ('first seen', 'rate input')")
+    value = F.when(c("label") == "rate input", c("number").cast("decimal(18,4)").cast("string")).otherwise(c("value"))
+    return rows.select("source", "model_id", "label", value.alias("value"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 6 WHEN 1 THEN 'row: unknown other' WHEN 2 THEN 'overrides[].when: unknown x' WHEN 3 THEN 'overrides[].rates.input: minimum' WHEN 4 THEN 'row: missing model_id' WHEN 5 THEN 'rates: minProperties' END AS fault FROM part")
+def contract_at_depth(spark, sf_dir):
+    """Lines against a closed schema: faults at the top, in lists of objects and in what these hold."""
+    rates_ = {"type": "object", "additionalProperties": False, "minProperties": 1, "properties": {a: {"type": "number", "minimum": 0} for a in AXES}}
+    when = {"type": "object", "additionalProperties": False, "properties": {"window": {"type": "array", "items": {"type": "integer"}}}}
+    entry = {"type": "object", "additionalProperties": False, "required": ["when"], "properties": {"when": when, "rates": rates_}}
+    schema = {"type": "object", "additionalProperties": False, "required": ["source", "model_id"], "properties": {"source": {"type": "string"}, "model_id": {"type": "string"}, "rates": rates_, "overrides": {"type": "array", "minItems": 1, "items": entry}}}
+    k = c("p_partkey") % 6
+    line = F.concat(lit('{"source":"s"'), F.when(k == 4, "").otherwise(F.concat(lit(',"model_id":"m'), c("p_partkey").cast("string"), lit('"'))), F.when(k == 1, lit(',"other":1')).otherwise(""), F.when(k == 5, lit(',"rates":{}')).otherwise(F.concat(lit(',"rates":{"input":'), c("p_size").cast("string"), lit("}"))), lit(',"overrides":[{"when":{"window":[1,2]'), F.when(k == 2, lit(',"x":1')).otherwise(""), lit('},"rates":{"input":'), F.when(k == 3, lit("-1")).otherwise(lit("1")), lit("}}]}"))
+    return contract.contract_faults(table(spark, sf_dir, "part").select("p_partkey", line.alias("line")), schema).select("p_partkey", "fault")
+
+
 for _name in _MADE:
     QUERIES[f"priced_{_name}"], SQL[f"priced_{_name}"] = _priced_query(_name)
 
