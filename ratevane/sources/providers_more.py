@@ -11,7 +11,7 @@ from ..functions.markup import Pages, Sel, column, plain
 from ..functions.money import scan
 from ..functions.text import fold_heading
 from ..schema import DAYS, RATES
-from .priced import amount, c, cell, data_rows, faults, headed, lit, override, priced, rates, sized, slug, some, source
+from .priced import amount, c, cell, data_rows, faults, headed, lit, override, priced, rates, sized, slug, some, source, word_before
 
 
 def hhmm(text: Column) -> Column:
@@ -19,12 +19,6 @@ def hhmm(text: Column) -> Column:
     return F.replace(text, lit(":"), lit("")).try_cast("int")
 
 
-def bound(text: Column, pattern: str) -> Column:
-    """A threshold such as `> 200K`: digits with commas, then K or M, in tokens."""
-    digits, scale = F.replace(F.regexp_extract(text, pattern, 1), lit(","), lit("")).try_cast("bigint"), F.lower(F.regexp_extract(text, pattern, 2))
-    return digits * F.when(scale == "k", 1000).when(scale == "m", 1_000_000).otherwise(1)
-
-
 @source(pipes=True)
 def anthropic(pages: Pages) -> DataFrame:
     """A markdown table of five rates; rows for prompts up to and over a bound become one entry; a table of a fast mode gives overrides."""
@@ -145,10 +139,14 @@ def deepseek(pages: Pages) -> DataFrame:
         return own.groupBy("url", "model_id").agg(F.max(F.floor(F.regexp_extract("t", pattern, 1).try_cast("double")).cast("bigint") * scale).alias("n" + str(scale)))
 
     got = got.join(size("CONTEXT LENGTH", r"(?i)(\d+(?:\.\d+)?)\s*M\b", 1024 * 1024), ["url", "model_id"], "left").join(size("MAX OUTPUT", r"(?i)(\d+(?:\.\d+)?)\s*K\b", 1024), ["url", "model_id"], "left")
-    foot = r"Peak hours are (\d{2}:\d{2}) - (\d{2}:\d{2}) and (\d{2}:\d{2}) - (\d{2}:\d{2}) UTC"
-    note = pages.elements.where(c("value").rlike(foot)).groupBy("url").agg(F.min_by("value", F.length("value")).alias("note"))
-    clocks = [hhmm(F.regexp_extract("note", foot, k)) for k in range(1, 5)]
-    tail = F.lower(F.regexp_extract("note", f"(?s){foot}(.*)$", 5))
+    # a note says from when to when, twice, in UTC; what follows may name weekdays
+    said = lambda x: F.substring_index(x, "Peak hours are ", -1)
+    hours = lambda x: F.flatten(F.transform(F.split(F.substring_index(said(x), " UTC", 1), " and "), lambda span: F.split(span, " - ")))
+    whole = c("value").contains("Peak hours are ") & said(c("value")).contains(" UTC") & (F.size(hours(c("value"))) == 4) & F.forall(hours(c("value")), lambda x: x.rlike("^[0-9]{2}:[0-9]{2}$"))
+    note = pages.elements.where(whole).groupBy("url").agg(F.min_by("value", F.length("value")).alias("note"))
+    clocks = [hhmm(F.get(hours(c("note")), k)) for k in range(4)]
+    behind = said(c("note"))
+    tail = F.lower(F.substring(behind, F.length(F.substring_index(behind, " UTC", 1)) + 5, F.length(behind)))
     weekly = F.contains(tail, lit("monday through friday"))
     other = ~weekly & tail.rlike(r"\b(mon|tue|wed|thu|fri|sat|sun|weekdays?|mondays?|tuesdays?|wednesdays?|thursdays?|fridays?|saturdays?|sundays?)\b")
     late = weekly & (F.greatest(clocks[1], clocks[3]) > 1600)
@@ -209,8 +207,7 @@ def google(pages: Pages) -> DataFrame:
     link = F.regexp_extract_all("t", lit(r"\[`([^\s`]+)`\]\(/docs/models/\S+?\)"), lit(1))
     ids = line.where("table = 0").groupBy("url", "section").agg(F.max("anchor").alias("anchor"), F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("n", link.alias("x")))), lambda v: v["x"])).alias("links"))
     prose = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(~c("inside"), F.struct("n", F.trim("t").alias("x"))))), lambda v: v["x"]), " ")
-    window = r"(\d[\d,]*)\s*([KkMm])\s+token context window"
-    context = line.groupBy("url", "section").agg(bound(prose, window).alias("context"))
+    context = line.groupBy("url", "section").agg(sized(word_before(prose, "token context window")).cast("bigint").alias("context"))
     t = Window.partitionBy("url", "section", "table").orderBy("n")
     body = line.where("inside").withColumn("row", F.sum(c("t").rlike(r"^\s*---\s*$").cast("int")).over(t)).where(~c("t").rlike(r"^\s*---\s*$"))
     bullet = r"^\s*\* (.*)$"
@@ -227,9 +224,11 @@ def google(pages: Pages) -> DataFrame:
     wide = rows.groupBy("url", "section").agg(first("Input price").alias("i1"), first("Text input price").alias("i2"), first("Output price").alias("o"), F.max(F.when(cell(0) == "Context caching price", F.get("cells", paid))).alias("r"), F.max(cell(0).startswith("Output price")).alias("has_out"))
     wide = wide.where("i1 is not null or i2 is not null").join(ids, ["url", "section"]).join(context, ["url", "section"])
     got = wide.select("*", F.explode(F.when(F.size("links") > 0, c("links")).otherwise(F.array("anchor"))).alias("model_id")).withColumn("ord", c("section"))
-    tier = r">\s*(\d[\d,]*)\s*([KkMm])\b"
+    behind = lambda n: F.split(F.trim(F.substring(c(n), F.instr(c(n), ">") + 1, F.length(n))), r"[\s,]+(?![0-9])")
+    word = lambda n: F.when(F.upper(F.get(behind(n), 1)).isin("K", "M"), F.concat(F.get(behind(n), 0), F.get(behind(n), 1))).otherwise(F.get(behind(n), 0))
+    size_at = lambda n: F.when((F.instr(c(n), ">") > 0) & F.upper(word(n)).rlike("[KM]$"), sized(word(n)))
     for n in ("i1", "i2", "o", "r"):
-        got = got.withColumn(f"{n}t", F.regexp_extract(F.coalesce(n, lit("")), f"(?s)^(.*?){tier}", 1))
+        got = got.withColumn(f"{n}_at", size_at(n).cast("bigint")).withColumn(f"{n}t", F.when(c(f"{n}_at").isNotNull(), F.substring_index(n, ">", 1)).otherwise(""))
     got = scan(got, **{n: (n, "$", "") for n in ("i1", "i2", "o", "r")}, **{f"{n}t": (f"{n}t", "$", "") for n in ("i1", "i2", "o", "r")})
 
     def rate(n: str) -> Column:
@@ -237,8 +236,8 @@ def google(pages: Pages) -> DataFrame:
         return F.when(~F.coalesce(F.regexp_extract(c(n), r"(?s)\$[0-9][0-9,]*(?:\.[0-9]+)?\s*(per )", 1) != "", lit(False)) | (F.instr(c(n), "per ") > F.instr(c(n), "$") + 12), amount(n))
 
     text_in = rate("i1").isNull()
-    over_of = lambda n: F.when(c(n).rlike(tier), amount(f"{n}t", -1))
-    at = lambda n: F.when(c(n).rlike(tier), bound(c(n), f"(?s).*?{tier}"))
+    over_of = lambda n: F.when(c(f"{n}_at").isNotNull(), amount(f"{n}t", -1))
+    at = lambda n: c(f"{n}_at")
     i_at, i_over = F.when(text_in, at("i2")).otherwise(at("i1")), F.when(text_in, over_of("i2")).otherwise(over_of("i1"))
     bounds = F.array_distinct(F.array_compact(F.array(i_at, at("o"), at("r"))))
     fault = faults((F.greatest(*[F.coalesce(c(f"{n}_bad"), lit(False)) for n in ("i1", "i2", "o", "r")]), "unreadable rate"), (F.size(bounds) > 1, "long-context bounds differ"))
