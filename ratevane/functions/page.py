@@ -41,14 +41,25 @@ def general(x: Column) -> Column:
 
 def rate(x: Column) -> Column:
     """A rate at the shortest form that is that number: whole ones without a fraction, an exponent from 1e21 on and below 0.000001."""
-    text = x.cast("string")
-    digits = F.regexp_replace(F.regexp_extract(text, r"^-?([\d.]+)", 1), r"\.0$", "")
-    exp = F.coalesce(F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0))
-    body, point = F.replace(digits, F.lit("."), F.lit("")), F.when(F.instr(digits, ".") > 0, F.instr(digits, ".") - 1).otherwise(F.length(digits)) + exp
-    wide = F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), body)).when(point >= F.length(body), F.concat(body, F.repeat(F.lit("0"), point - F.length(body)))).otherwise(F.concat(F.substring(body, F.lit(1), point), F.lit("."), F.substring(body, point + 1, F.length(body))))
-    tiny = F.concat(F.regexp_replace(digits, r"\.$", ""), F.lit("e"), F.when(exp > 0, "+").otherwise(""), exp.cast("string"))
-    plain = F.when(exp == 0, digits).when((F.abs(x) < 1e-6) | (F.abs(x) >= 1e21), tiny).otherwise(wide)
-    return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), F.lit(DASH)).otherwise(F.concat(F.when(x < 0, "-").otherwise(""), plain))
+
+    def parts(v: Column) -> Column:
+        text = v.cast("string")
+        digits = F.regexp_replace(F.regexp_extract(text, r"^-?([\d.]+)", 1), r"\.0$", "")
+        return F.named_struct(F.lit("size"), F.abs(v), F.lit("digits"), digits, F.lit("exp"), F.coalesce(F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0)))
+
+    def laid(p: Column) -> Column:
+        digits, dot = p["digits"], F.instr(p["digits"], ".")
+        point = F.when(dot > 0, dot - 1).otherwise(F.length(digits)) + p["exp"]
+        return F.named_struct(F.lit("p"), p, F.lit("body"), F.replace(digits, F.lit("."), F.lit("")), F.lit("point"), point)
+
+    def shown(q: Column) -> Column:
+        size, digits, exp, body, point = q["p"]["size"], q["p"]["digits"], q["p"]["exp"], q["body"], q["point"]
+        wide = F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), body)).when(point >= F.length(body), F.concat(body, F.repeat(F.lit("0"), point - F.length(body)))).otherwise(F.concat(F.substring(body, F.lit(1), point), F.lit("."), F.substring(body, point + 1, F.length(body))))
+        tiny = F.concat(F.regexp_replace(digits, r"\.$", ""), F.lit("e"), F.when(exp > 0, "+").otherwise(""), exp.cast("string"))
+        return F.when(exp == 0, digits).when((size < 1e-6) | (size >= 1e21), tiny).otherwise(wide)
+
+    written = once(once(once(x.cast("double"), parts), laid), shown)
+    return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), F.lit(DASH)).otherwise(F.concat(F.when(x < 0, "-").otherwise(""), written))
 
 
 def money(x: Column) -> Column:
@@ -141,6 +152,13 @@ def peak_moves(base: Column, overrides: Column, axes: tuple[str, ...] = ("input"
     return moved
 
 
+def found(needle: Column, name: Column, vendor: Column) -> Column:
+    """Whether an entry is shown for what is searched: case and blanks around it don't count, blanks alone show everything, nothing is a wildcard."""
+    sought = F.lower(F.trim(F.coalesce(needle, F.lit(""))))
+    holds = lambda x: F.contains(F.lower(F.coalesce(x, F.lit(""))), sought)
+    return (sought == "") | holds(name) | holds(vendor)
+
+
 def sort_value(entry: dict[str, Column], key: str, peak: bool) -> Column:
     """What a table is sorted by: a rate or its peak, else lower-case text; null is a missing fact."""
     if key in ("input", "cache_read", "output"):

@@ -83,7 +83,10 @@ def ingested(spark: SparkSession, pages: DataFrame, stored: DataFrame, fx: DataF
     priced = shared_table(registry.all_priced(found), "priced")
     names = registry.spellings(priced.select(*KEY).distinct())
     hit = names.join(ids.withColumnRenamed("model_id", "spelling"), ["source", "spelling"]).groupBy(*KEY).agg(F.min_by("spelling", "ord").alias("_stored"))
-    named = shared_table(priced.join(hit, list(KEY), "left").withColumn("model_id", F.coalesce("_stored", "model_id")).drop("_stored"), "named")
+    pairs = shared_table(priced.select(*KEY).distinct().join(hit, list(KEY), "left").select(*KEY, F.coalesce("_stored", "model_id").alias("stored")), "pairs")
+    standing = candidates.keepers(pairs)
+    twice = candidates.refused(pairs.join(standing, ["source", "stored", "model_id"], "left_anti"), last.where("false"), standing.select("source", F.col("stored").alias("model_id")))
+    named = shared_table(priced.join(standing, list(KEY)).withColumn("model_id", F.col("stored")).drop("stored"), "named")
     quotes = shared_table(build.resolved(build.scraped_of(named).withColumn("observed_at", F.lit(day)), fx, providers, strict=False), "quotes")
     own = pages.where(F.col("source") == LISTING)
     listed, listing_faults = shared_table(listing.listing_rows(own, LISTING, day), "listed"), listing.listing_faults(own, LISTING).select(F.lit(LISTING).alias("source"), "model_id", "fault")
@@ -91,6 +94,7 @@ def ingested(spark: SparkSession, pages: DataFrame, stored: DataFrame, fx: DataF
     checked = shared_table(rows.withColumn("_fault", validate.fault()), "checked")  # each step of its own, as plans grow by their product
     fresh = drift(checked.where("_fault is null").drop("_fault"), last).join(held.select(*KEY).distinct(), list(KEY), "left_anti")
     report = named.where("fault is not null").select(*KEY, "fault").unionByName(quotes.where("fx_fault is not null").select(*KEY, F.col("fx_fault").alias("fault"))).unionByName(checked.where("_fault is not null").select(*KEY, F.concat(F.lit("contract: "), "_fault").alias("fault"))).unionByName(listing_faults)
+    report = report.unionByName(twice.select(*KEY, F.concat(F.lit("stored under "), "stored", F.lit(", which another id refreshes")).alias("fault")))
 
     seen_rows = priced.select(*KEY, "run", "rates", "fault").unionByName(listed.select(*KEY, F.lit(None).cast("string").alias("run"), "rates", F.lit(None).cast("string").alias("fault")))
     seen_rows = seen_rows.unionByName(listing_faults.select(*KEY, F.lit(None).cast("string").alias("run"), F.lit(None).cast(RATES).alias("rates"), "fault"))

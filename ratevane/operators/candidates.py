@@ -76,12 +76,20 @@ def priced_positive(rates: Column) -> Column:
     return F.coalesce((rates["input"] > 0) & (rates["output"] > 0), F.lit(False))
 
 
-def refused(priced: DataFrame, stored: DataFrame) -> DataFrame:
-    """(key, why): keys that are priced but not detected and can't be taken up: removed in the log, or under another spelling that is covered already.
+def refused(priced: DataFrame, stored: DataFrame, covered: DataFrame) -> DataFrame:
+    """(source, model_id, stored, why) of ids that a page prices but none detects, and that can't be taken up.
 
-    `priced` has the key and `spelling`; `stored` the key's newest row as (source, model_id, removed).
+    `priced` (source, model_id, stored) has the id on the page and the one it is stored under, `stored` the newest row of each stored key
+    (source, model_id, removed), `covered` (source, model_id) the stored keys that a detected id refreshes. Why: `removed`, as a page that
+    only prices tells of no reappearance, else `covered`, as one key would be read from two rows. A stored id that no row has is new.
     """
-    s = stored.select("source", F.col("model_id").alias("spelling"), F.coalesce("removed", F.lit(False)).alias("removed"))
-    j = priced.join(s, ["source", "spelling"])
-    why = F.when(F.col("removed"), "removed").when(F.col("spelling") != F.col("model_id"), "covered")
-    return j.select(*KEY, why.alias("why")).where("why is not null").distinct()
+    newest = stored.select("source", F.col("model_id").alias("stored"), F.coalesce("removed", F.lit(False)).alias("_removed"))
+    other = covered.select("source", F.col("model_id").alias("stored")).distinct().withColumn("_covered", F.lit(True))
+    j = priced.join(newest, ["source", "stored"], "left").join(other, ["source", "stored"], "left")
+    why = F.when(F.col("_removed"), "removed").when(F.col("_covered"), "covered")
+    return j.select(*KEY, "stored", why.alias("why")).where("why is not null").distinct()
+
+
+def keepers(named: DataFrame) -> DataFrame:
+    """(source, stored, model_id): of the page ids that are stored under one key, the one that stands: the key's own name, else the first by name."""
+    return named.groupBy("source", "stored").agg(F.min_by("model_id", F.struct(F.col("model_id") != F.col("stored"), "model_id")).alias("model_id"))

@@ -19,6 +19,13 @@ def unclaimed(keys: DataFrame, bridge: DataFrame) -> DataFrame:
     return keys.select(*KEY).distinct().join(bridge.select(*KEY).distinct(), list(KEY), "left_anti").withColumn("canonical", F.concat_ws("/", *KEY))
 
 
+def seeds(keys: DataFrame, bridge: DataFrame, catalog: DataFrame) -> DataFrame:
+    """unclaimed() for a catalog (canonical): a seed whose name an entry has already stops the query with that name."""
+    taken = catalog.select("canonical").distinct().withColumn("_taken", F.lit(True))
+    stop = F.raise_error(F.concat(F.lit("seed collides with an entry of the catalog: "), "canonical")).cast("string")
+    return unclaimed(keys, bridge).join(taken, "canonical", "left").select(*KEY, F.when(F.col("_taken"), stop).otherwise(F.col("canonical")).alias("canonical"))
+
+
 def alias_on(probes: DataFrame, aliases: DataFrame, day: str = "day") -> DataFrame:
     """`probes` with the canonical that its alias named on its day: ranges are half-open, null ends open."""
     a, p = aliases.alias("a"), probes.alias("p")
@@ -50,7 +57,7 @@ def resold(provider_vendor: Column, vendor: Column) -> Column:
     return provider_vendor.isNull() | ~provider_vendor.eqNullSafe(vendor)
 
 
-def slug_collisions(rows: DataFrame, group: str, slug: str) -> DataFrame:
-    """`rows` with the path of a channel: the slug, and where it isn't alone in its group the first 8 digits of the url's SHA-256 behind it."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(group, slug))
+def slug_collisions(rows: DataFrame, group: str, slug: str, within: tuple[str, ...] = ()) -> DataFrame:
+    """`rows` with the path of a channel: the slug, and where it isn't alone in its group (and `within`) the first 8 digits of the url's SHA-256 behind it."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*within, group, slug))
     return rows.withColumn("collides", n > 1).withColumn("path", F.concat(F.lit("state/announce/"), F.col(group), F.lit("/"), F.col(slug), F.when(F.col("collides"), F.concat(F.lit("-"), F.substring(F.sha2("url", 256), 1, 8))).otherwise(""), F.lit(".md")))

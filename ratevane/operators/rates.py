@@ -54,6 +54,13 @@ def peak(base: Column, overrides: Column) -> Column:
     return F.struct(*[highest(a) for a in AXES])
 
 
+def priced_axes(base: Column, overrides: Column) -> Column:
+    """Names of the axes that a peak schedule prices, in the order of AXES: the base's, and those of any override with a clock window."""
+    timed = F.filter(F.coalesce(overrides, F.array()), lambda o: F.size(o["when"]["window"]) == 2)
+    held = lambda axis: base[axis].isNotNull() | F.exists(timed, lambda o: o["rates"][axis].isNotNull())
+    return F.array_compact(F.array(*[F.when(F.coalesce(held(a), F.lit(False)), a) for a in AXES]))
+
+
 def ranked(costed: DataFrame, group: list[str], total: str = "total") -> DataFrame:
     """`costed` with the group's cheapest total, its multiple (of a cheapest of nothing only nothing is once) and the rank, null totals last."""
     w = Window.partitionBy(*group)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import slug
+from .catalog import slug_collisions
 from .merge import carriers as _carriers
 
 
@@ -81,6 +83,16 @@ def settled(base: DataFrame, branches: DataFrame, changed: DataFrame, bound: Dat
     return each.join(candidates.where("not unread").select("number"), "number", "left_semi").join(bound.where("verdict = 'no'").select("number"), "number", "left_semi").select("number")
 
 
+def changed_channels(branches: DataFrame, diffs: DataFrame) -> DataFrame:
+    """(number, source, url) of channels whose file a request's own commits changed.
+
+    `branches` (number, source, url) is each request's index, `diffs` (number, path) the files that its commits changed. A channel's path
+    comes from its own index, in which slugs may collide. A file of no channel of the index, such as a deleted one's, is none.
+    """
+    named = slug_collisions(branches.select("number", "source", "url").distinct().withColumn("_slug", slug(F.col("url"))), "source", "_slug", ("number",))
+    return named.join(diffs.select("number", "path").distinct(), ["number", "path"], "left_semi").select("number", "source", "url")
+
+
 def hold_reason(lines: DataFrame, message: Column, starts: tuple[str, ...], order: str = "pos") -> DataFrame:
     """One row: the first message that says why no provider ran; null if none does."""
     said = F.when(message.rlike("^(" + "|".join(starts) + ")"), message)
@@ -106,10 +118,9 @@ def weekly_probe(runs: DataFrame, jobs: DataFrame, job: str = "smoke") -> DataFr
     """
     monday = runs.withColumn("at", F.try_to_timestamp("created")).where(F.weekday("at") == 0)
     own = jobs.where(F.col("name") == job).groupBy("id").agg(F.first("conclusion").alias("conclusion"), F.lit(True).alias("_there"))
-    w = Window.orderBy(F.desc("at"))  # a page of runs of one workflow
-    each = monday.join(own, "id", "left").withColumn("nth", F.row_number().over(w))
+    each = monday.join(own, "id", "left").withColumn("nth", F.struct("at", "id"))
     state = F.when(F.col("_there").isNull(), "missing").when(F.col("conclusion") == "success", "ok").when(F.col("conclusion") == "skipped", F.lit(None)).otherwise("failed")
-    one = each.agg(F.max(F.when(F.col("nth") == 1, F.col("status"))).alias("newest"), F.min_by(F.struct(state.alias("state"), "id"), F.when((F.col("status") == "completed") & state.isNotNull(), F.col("nth"))).alias("x"), F.count(F.lit(1)).alias("n"))
+    one = each.agg(F.max_by("status", "nth").alias("newest"), F.max_by(F.struct(state.alias("state"), "id"), F.when((F.col("status") == "completed") & state.isNotNull(), F.col("nth"))).alias("x"), F.count(F.lit(1)).alias("n"))
     return one.select(F.when(F.col("n") == 0, F.lit(None)).when(F.col("newest") != "completed", "pending").otherwise(F.coalesce("x.state", F.lit("skipped"))).alias("state"), F.when((F.col("newest") == "completed"), F.col("x.id")).alias("run"))
 
 

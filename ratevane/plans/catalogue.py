@@ -763,8 +763,9 @@ def alias_lookup_all(spark, sf_dir):
 
 QUERIES |= {"amount_scan": amount_scan, "page_tables": page_tables, "alias_lookup_all": alias_lookup_all}
 
-from . import more as _more  # noqa: E402  the queries below use the tables above
+from . import details as _details  # noqa: E402  the queries below use the tables above
+from . import more as _more  # noqa: E402
 from . import priced_pages as _priced_pages  # noqa: E402
 
-QUERIES |= _more.QUERIES | _priced_pages.QUERIES
-SQL |= _more.SQL | _priced_pages.SQL
+QUERIES |= _more.QUERIES | _priced_pages.QUERIES | _details.QUERIES
+SQL |= _more.SQL | _priced_pages.SQL | _details.SQL
