@@ -11,7 +11,7 @@ from ..operators.positions import places_in
 from ..schema import AXES, OVERRIDES, RATES
 from ..sources.observations import observations, table
 from . import publish
-from .more import _CHAIN, _FLAT, _ROWS, _charts, _flat
+from .more import _CHAIN, _CHANNELS, _FLAT, _ROWS, _charts, _flat
 
 QUERIES, SQL = {}, {}
 c, lit = F.col, F.lit
@@ -143,3 +143,19 @@ def changed_channels(spark, sf_dir):
     coded = lambda u: F.concat(lit("state/announce/"), c("source"), lit("/x-"), F.substring(F.sha2(lit(u), 256), 1, 8), lit(".md"))
     touched = F.when(c("k") == 0, F.array(coded(urls[0]), coded(urls[1]))).when(c("k") == 1, F.array(coded(urls[1]), file("gone"))).when(c("k") == 2, F.array(file("y"), file("y"))).otherwise(F.array(file("x"), lit("else/y.md")))
     return review.changed_channels(branches, base.select("number", F.explode(touched).alias("path")))
+
+
+_SHARED = _CHANNELS.replace("page_id % 40", "page_id % 37")
+assert _SHARED != _CHANNELS
+
+
+@query(f"WITH {_SHARED} SELECT br.number FROM br LEFT JOIN base USING (source, url) LEFT JOIN newest USING (source, url) WHERE br.n = 1 AND br.number % 6 <> 0 AND br.number % 13 <> 0 AND (coalesce(br.sha = base.sha OR base.fetched >= br.fetched, false) OR coalesce(newest.number % 5 = 0, false))")
+def settled_shared(spark, sf_dir):
+    """Requests with a no whose changed channels are settled, where requests and the base share urls; some changed none, some have no readable index."""
+    n = c("page_id")
+    rows = table(spark, sf_dir, "pages").select(n.alias("number"), F.concat(lit("s"), (n % 3).cast("string")).alias("source"), F.concat(lit("u"), (n % 37).cast("string")).alias("url"), (n % 7).alias("sha"), (n % 11).alias("fetched"), (n % 5).alias("n"))
+    base = rows.where("number % 4 = 0").groupBy("source", "url").agg(F.max("sha").alias("sha"), F.max("fetched").alias("fetched"))
+    branches = rows.where("number % 4 <> 0")
+    bound = branches.select("number", F.when(c("n") == 0, "yes").when(c("n") == 1, "no").alias("verdict"))
+    times = branches.select("number", F.when(c("n") < 4, c("n").cast("string")).otherwise("").alias("at"))
+    return review.settled(base, branches.drop("n"), branches.where("number % 6 <> 0"), bound, times, branches.select("number", (c("number") % 13 == 0).alias("unread")))
