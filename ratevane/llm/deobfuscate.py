@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 from .charlm import _STEP, BLANK, Mixture, folded
+from .textbuf import mix
 
 #: What a sign may stand for inside a word.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¡": "i", "§": "s"}
@@ -38,14 +39,14 @@ def flags() -> np.ndarray:
     return _cache["flags"]
 
 
-def suspects(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> list[tuple[int, int, int]]:
+def suspects(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first code point, one after the last, text) of what may be a disguised word, of words (white space apart) as code points.
 
     A sign next to a letter, a letter twice in a row, a letter after a mark and another letter, or several words of PIECE letters at most in a row.
     """
     n = len(points)
     if not len(starts):
-        return []
+        return starts, ends, doc
     kind = flags()[points]
     letter = (kind & _LETTER) > 0
     sign = (kind & _SIGN) > 0
@@ -63,24 +64,90 @@ def suspects(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.n
     mark[1:] |= letter[1:] & ~letter[:-1] & (said[1:-1] > np.cumsum(before)[1:])
     total = np.zeros(n + 1, np.int64)
     np.cumsum(mark, out=total[1:])
-    hit = total[ends] > total[starts]
-    out = [(int(starts[i]), int(ends[i]), int(doc[i])) for i in np.flatnonzero(hit)]
+    hit = np.flatnonzero(total[ends] > total[starts])
     count = np.zeros(n + 1, np.int64)
     np.cumsum(letter | sign, out=count[1:])
     read = count[ends] - count[starts]
     short = (read > 0) & (read <= PIECE) & (ends - starts <= PIECE + 1)
-    edge = np.diff(np.concatenate([[0], short.astype(np.int8), [0]]))
-    for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
-        while a < b:
-            to = a + 1
-            while to < b and doc[to] == doc[a]:
-                to += 1
-            if to - a >= 2:
-                out.append((int(starts[a]), int(ends[to - 1]), int(doc[a])))
-            a = to
+    joined = short[1:] & short[:-1] & (doc[1:] == doc[:-1])  # a short word and the next one
+    first, last = np.flatnonzero(np.append(joined, False) & ~np.append(False, joined)), np.flatnonzero(np.append(False, joined) & ~np.append(joined, False))
+    return np.concatenate([starts[hit], starts[first]]), np.concatenate([ends[hit], ends[last]]), np.concatenate([doc[hit], doc[first]])
+
+
+def _outline() -> np.ndarray:
+    """Of every code point: what all letters and signs that may be read alike have in common, or 0 where it may be left out."""
+    out = np.where(folded() != BLANK, folded(), 0).astype(np.uint32)
+    for read in LEET.values():  # letters of one sign are one, whichever else they share
+        codes = {int(out[ord(c)]) for c in read}
+        out[np.isin(out, list(codes))] = min(codes)
+    for c, read in LEET.items():
+        out[ord(c)] = out[ord(read[0])]
     return out
 
 
+class Outlines:
+    """Tells which strings may be read as a word, or a word's beginning, of a set: none that may is missed.
+
+    A character of a word that is read is a letter or sign of the same outline, a letter said again, or left out. So the outlines of a string
+    that can be read so, less repeats, hold those of the word in a row. The first LONGEST of these are looked for, by hashes.
+    """
+
+    LONGEST, BITS = 8, 22
+
+    def __init__(self, words: list[str]) -> None:
+        self.three, self.table = np.zeros(1 << 15, bool), np.zeros(1 << self.BITS, bool)
+        for word in words:
+            code, _ = self._of(np.frombuffer(word.encode("utf-32-le"), "<u4"))
+            small = (code & np.uint32(31)).astype(np.int64)
+            at = np.int64(0)
+            for c in small[:3]:
+                at = at << 5 | c
+            spare = 5 * max(0, 3 - len(small))
+            self.three[at << spare : (at + 1) << spare] = True
+            value = np.zeros(1, np.uint64)
+            for c in code[: self.LONGEST]:
+                value = self._next(value, c)
+            self.table[self._slot(value, min(len(code), self.LONGEST))] = True
+
+    @staticmethod
+    def _of(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(outlines less repeats, how many of them begin up to each code point)."""
+        if "outline" not in _cache:
+            _cache["outline"] = _outline()
+        code = _cache["outline"][points]
+        kept = np.flatnonzero(code)
+        own = code[kept]
+        new = np.ones(len(own), bool)
+        new[1:] = own[1:] != own[:-1]
+        mark = np.zeros(len(points), bool)
+        mark[kept[new]] = True
+        return own[new], np.cumsum(mark)
+
+    @staticmethod
+    def _next(value: np.ndarray, code: np.ndarray) -> np.ndarray:
+        return value * _STEP + np.uint64(1) + code.astype(np.uint64)
+
+    def _slot(self, value: np.ndarray, length: int) -> np.ndarray:
+        return (mix(value + np.uint64(length)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def may_hold(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Of each span of code points: whether it may be read as a word of the set."""
+        code, number = self._of(points)
+        wide = np.concatenate([code, np.zeros(self.LONGEST, np.uint32)])
+        small = (wide & np.uint32(31)).astype(np.int64)
+        n = len(code)
+        at = np.flatnonzero(self.three[small[:n] << 10 | small[1 : n + 1] << 5 | small[2 : n + 2]])
+        there, value = np.zeros(len(at), bool), np.zeros(len(at), np.uint64)
+        for k in range(self.LONGEST):
+            value = self._next(value, wide[at + k])
+            there |= self.table[self._slot(value, k + 1)]
+        total = np.zeros(n + 1, np.int64)
+        total[at[there] + 1] = 1
+        total = np.cumsum(total)
+        # a span's first outline may have begun before it
+        return total[number[ends - 1]] > total[np.maximum(number[starts] - 1, 0)]
+
+
 _ALL = (1 << 64) - 1
 
 

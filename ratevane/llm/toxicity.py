@@ -10,20 +10,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .charlm import BLANK, Mixture, fitted, folded, letters
-from .deobfuscate import Decoder, suspects
+from .deobfuscate import Decoder, Outlines, suspects
 from .frames import filter_texts, map_texts, session, slim, written
 from .textbuf import chunks, mix, spans, value_hashes
 
-#: Labelled rows of each class that are learned from, chosen by a hash of their id (1.5 times as a most): these bound the model.
-SAMPLE_TOXIC, SAMPLE_CLEAN = 6000, 12_000
-#: Characters of the whole sample: where its texts are so long that they have more, a share of them chosen by a hash is taken.
-SAMPLE_CHARS = 60_000_000
 #: Lengths of the word beginnings that are features beside whole words.
 PREFIXES = (4, 5)
 #: A feature stands if, of the texts that no better one explains, LEAST_NEW toxic ones have it and the lower bound of its share of toxic ones is at least
 #: LEAST_SHARE; or if among all texts its share is at least PURE and the bound at least SURE.
 LEAST_SHARE, LEAST_NEW, SURE, PURE, Z = 0.5, 3, 0.85, 0.98, 1.64
 THRESHOLD = 0.7
+#: What a text of which there is no near copy weighs; weights are whole numbers, so that no sum depends on its order.
+WHOLE = 1 << 32
+#: Orders of words' hashes whose smallest ones texts must share to weigh one text together: texts that only have a word in common seldom do.
+ORDERS = 4
+#: Groups of near copies at most that are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 ALPHABET = 20_000
 #: Bytes of text that one vectorised step handles.
 STEP_BYTES = 1 << 19
@@ -31,9 +33,16 @@ _WHITE = np.zeros(0x110000, bool)
 _WHITE[[9, 10, 11, 12, 13, 32, 0x85, 0xA0]] = True
 
 
+def words_of(x: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of letter streams begin and end; none crosses a text's end."""
+    edge = np.concatenate([[0], np.flatnonzero(doc[1:] != doc[:-1]) + 1, [len(x)]])
+    start, end, _ = spans(x != BLANK, edge)
+    return start, end
+
+
 def features_of(x: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(feature, text) of every word of letter streams: the word, and its beginnings if it is longer than they are."""
-    start, end, _ = spans(x != BLANK, np.array([0, len(x)]))
+    start, end = words_of(x, doc)
     if not len(start):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     value = mix(x.astype(np.uint64))
@@ -45,31 +54,59 @@ def features_of(x: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(out), np.concatenate(texts)
 
 
+def spelled(x: np.ndarray, doc: np.ndarray) -> list[str]:
+    """What each feature of features_of() is, in its order."""
+    start, end = words_of(x, doc)
+    text = x.astype("<u4").tobytes().decode("utf-32-le")
+    words = [text[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+    return words + [w[:k] for k in PREFIXES for w in words if len(w) > k]
+
+
 def stream(words: list[str]) -> np.ndarray:
     return folded()[np.frombuffer((" ".join(words) + " ").encode("utf-32-le"), "<u4")]
 
 
-def text_features(data: np.ndarray, off: np.ndarray, decoder: Decoder | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features, their texts, words restored in each text) of a chunk: of the texts as they are and of what the decoder reads in them."""
-    restored = np.zeros(len(off) - 1, np.int64)
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), restored
-    f, t = features_of(*letters(data, off))
-    if decoder is None:
-        return f, t, restored
-    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
-    begin = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-    start, end, doc = spans(~_WHITE[points], np.searchsorted(begin, off))
-    more = []
-    for a, b, d in suspects(points, start, end, doc):
-        words = decoder.restore(points[a:b].tobytes().decode("utf-32-le"))
-        restored[d] += len(words)
-        if words:
-            more.append((d, " ".join(words)))
-    if more:
-        g, u = features_of(stream([m for _, m in more]), np.repeat([d for d, _ in more], [len(m) + 1 for _, m in more]))
-        f, t = np.concatenate([f, g]), np.concatenate([t, u])
-    return f, t, restored
+class Found:
+    """Features of a chunk's texts and their texts, as they stand, then those of the words restored, which are numbered; `owner` has each one's text."""
+
+    def __init__(self, data: np.ndarray, off: np.ndarray, decoder: Decoder | None, outlines: Outlines | None = None) -> None:
+        self.restored, self.owner = [], np.zeros(0, np.int64)
+        self.feature, self.text = features_of(*letters(data, off))
+        self.more, self.word = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if decoder is None or not len(data):
+            return
+        points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
+        begin = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        start, end, doc = suspects(points, *spans(~_WHITE[points], np.searchsorted(begin, off)))
+        if outlines is not None and len(start):
+            may = outlines.may_hold(points, start, end)
+            start, end, doc = start[may], end[may], doc[may]
+        owner = []
+        for a, b, d in zip(start.tolist(), end.tolist(), doc.tolist(), strict=True):
+            words = decoder.restore(points[a:b].tobytes().decode("utf-32-le"))
+            self.restored += words
+            owner += [d] * len(words)
+        if owner:
+            self.owner = np.array(owner)
+            self.more, self.word = features_of(*self._stream())
+
+    def _stream(self) -> tuple[np.ndarray, np.ndarray]:
+        return stream(self.restored), np.repeat(np.arange(len(self.restored)), [len(w) + 1 for w in self.restored])
+
+    def spelled_more(self) -> list[str]:
+        return spelled(*self._stream()) if self.restored else []
+
+    def both(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([self.feature, self.more]), np.concatenate([self.text, self.owner[self.word]])
+
+
+def distinct(f: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of a feature and a text, by feature."""
+    order = np.lexsort((t, f))
+    f, t = f[order], t[order]
+    new = np.ones(len(f), bool)
+    new[1:] = (f[1:] != f[:-1]) | (t[1:] != t[:-1])
+    return f[new], t[new]
 
 
 class Reader:
@@ -88,27 +125,34 @@ class Reader:
 
 
 class Scorer:
-    """Sorted feature hashes with their shares of toxic texts, the share of toxic texts without any, and what reads disguised words."""
+    """Sorted feature hashes with their shares of toxic texts, the share of toxic texts without any, what reads disguised words, and which strings it reads."""
 
-    def __init__(self, keys: np.ndarray, share: np.ndarray, rest: float, reader: Reader) -> None:
-        self.keys, self.share, self.rest, self.reader = keys, share, rest, reader
+    def __init__(self, keys: np.ndarray, share: np.ndarray, rest: float, reader: Reader, outlines: Outlines) -> None:
+        self.keys, self.share, self.rest, self.reader, self.outlines = keys, share, rest, reader, outlines
 
-    def score(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(score of each text, words restored in it)."""
-        clean = np.full(len(off) - 1, 1.0 - self.rest)
-        if not len(self.keys):
-            return 1.0 - clean, np.zeros(len(off) - 1, np.int64)
-        f, t, restored = text_features(data, off, self.reader.decoder())
+    def _among(self, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.keys, f)
         at[at == len(self.keys)] = 0
-        hit = self.keys[at] == f
-        pair = np.unique(np.stack([t[hit], at[hit]]), axis=1)
+        return at, self.keys[at] == f
+
+    def score(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(score of each text, words restored in it that a feature stands for)."""
+        clean, restored = np.full(len(off) - 1, 1.0 - self.rest), np.zeros(len(off) - 1, np.int64)
+        if not len(self.keys):
+            return 1.0 - clean, restored
+        found = Found(data, off, self.reader.decoder(), self.outlines)
+        at, hit = self._among(found.feature)
+        more, again = self._among(found.more)
+        words = np.unique(found.word[again])
+        np.add.at(restored, found.owner[words], 1)
+        t, at = np.concatenate([found.text[hit], found.owner[found.word[again]]]), np.concatenate([at[hit], more[again]])
+        pair = np.unique(np.stack([t, at]), axis=1)
         np.multiply.at(clean, pair[0], 1.0 - self.share[pair[1]])
         return 1.0 - clean, restored
 
 
-def _one_of_each(sample: DataFrame) -> DataFrame:
-    """The least of all texts of a class that share the smallest of their words' hashes under two orders: of near copies a few are left."""
+def _weighed(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """(toxic, weight, text) of all labelled rows. Texts of a class that share the smallest of their words' hashes under ORDERS orders, as near copies do, weigh WHOLE together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,40 +161,65 @@ def _one_of_each(sample: DataFrame) -> DataFrame:
             made = []
             for at, to, data, off in chunks(batch.column(1), STEP_BYTES):
                 f, t = features_of(*letters(data, off))
-                least = np.full((to - at, 2), np.iinfo(np.int64).max, np.int64)
-                for k in range(2):
-                    np.minimum.at(least[:, k], t, mix(f + np.uint64(k)).view(np.int64))
-                made.append(mix(least[:, 0].view(np.uint64) * np.uint64(3) + least[:, 1].view(np.uint64)).view(np.int64))
+                alike = np.zeros(to - at, np.uint64)
+                for k in range(ORDERS):
+                    least = np.full(to - at, np.iinfo(np.int64).max)
+                    np.minimum.at(least, t, mix(f + np.uint64(k)).view(np.int64))
+                    alike = mix(alike * np.uint64(3) + least.view(np.uint64))
+                made.append(alike.view(np.int64))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(np.concatenate(made))], names=["toxic", "text", "likeness"])
 
-    return sample.select("toxic", "text").mapInArrow(run, "toxic boolean, text string, likeness bigint").groupBy("toxic", "likeness").agg(F.min("text").alias("text")).select("toxic", "text")
+    # labels grow with the documents, so they are never broadcast; hash tables took an executor beyond its memory, sorts spill
+    rows = docs.where("text is not null").join(marked.hint("merge"), "doc_id").select("toxic", "text").mapInArrow(run, "toxic boolean, text string, likeness bigint")
+    rows = written(rows, "labelled")
+    alike = written(rows.groupBy("toxic", "likeness").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "alike")
+    few = alike.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(alike) if few else alike, ["toxic", "likeness"], "left").select("toxic", F.expr(f"{WHOLE} div coalesce(n, 1)").alias("weight"), "text")
+
 
+def _toxic_features(toxic: DataFrame, reader: Reader) -> DataFrame:
+    """(weight, features, words) of every text: its distinct features, as it stands or restored, and what each is."""
+    shared = toxic.sparkSession.sparkContext.broadcast(reader)
 
-def _counted(docs: DataFrame, reader: Reader, only: np.ndarray | None) -> DataFrame:
-    """(feature, n): in how many texts each feature occurs, as it stands or restored."""
-    shared = docs.sparkSession.sparkContext.broadcast((reader, only))  # bounded by the sample
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, data, off in chunks(batch.column(1), STEP_BYTES) if batch.num_rows else ():
+                found = Found(data, off, shared.value.decoder())
+                f, t = found.both()
+                names = spelled(*letters(data, off)) + found.spelled_more()
+                first = np.lexsort((f, t))
+                first = first[np.append(True, (f[first][1:] != f[first][:-1]) | (t[first][1:] != t[first][:-1]))] if len(f) else first
+                cuts = pa.array(np.searchsorted(t[first], np.arange(to - at + 1)).astype(np.int32))
+                words = pa.array([names[i] for i in first.tolist()], pa.string())
+                yield pa.record_batch([batch.column(0).slice(at, to - at), pa.ListArray.from_arrays(cuts, pa.array(f[first].view(np.int64))), pa.ListArray.from_arrays(cuts, words)], names=["weight", "features", "words"])
+
+    return toxic.select("weight", "text").mapInArrow(run, "weight bigint, features array<bigint>, words array<string>")
+
+
+def _clean_features(clean: DataFrame, reader: Reader | None, only: np.ndarray | None, outlines: Outlines | None) -> DataFrame:
+    """(feature, weight): what the texts with each feature weigh; of texts as they stand where no reader is given, of all features where `only` isn't."""
+    shared = clean.sparkSession.sparkContext.broadcast((reader, only, outlines))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, wanted = shared.value
+        own, wanted, outline = shared.value
         for batch in batches:
-            for _, _, data, off in chunks(batch.column(0), STEP_BYTES) if batch.num_rows else ():
-                f, t, _ = text_features(data, off, own.decoder())
+            for at, to, data, off in chunks(batch.column(1), STEP_BYTES) if batch.num_rows else ():
+                f, t = Found(data, off, own and own.decoder(), outline).both()
                 if wanted is not None:
                     here = np.isin(f, wanted)
                     f, t = f[here], t[here]
-                order = np.lexsort((t, f))
-                f, t = f[order], t[order]
-                new = np.ones(len(f), bool)
-                new[1:] = (f[1:] != f[:-1]) | (t[1:] != t[:-1])
-                key, n = np.unique(f[new], return_counts=True)
-                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["feature", "n"])
+                f, t = distinct(f, t)
+                new = np.flatnonzero(np.append(True, f[1:] != f[:-1])) if len(f) else np.zeros(0, np.int64)
+                weight = batch.column(0).slice(at, to - at).to_numpy()[t]
+                total = np.add.reduceat(weight, new) if len(new) else weight
+                yield pa.record_batch([pa.array(f[new].view(np.int64)), pa.array(total)], names=["feature", "weight"])
 
-    return docs.select("text").mapInArrow(run, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
+    return clean.select("weight", "text").mapInArrow(run, "feature bigint, weight bigint")
 
 
 def _reader(texts: DataFrame) -> Reader:
-    """A character model of a bounded sample's texts."""
-    levels = fitted(texts.select(F.lit("toxic").alias("one"), "text"), "one", ALPHABET).get("toxic")
+    """A character model of all distinct texts."""
+    levels = fitted(texts.select(F.lit("toxic").alias("one"), "text").distinct(), "one", ALPHABET).get("toxic")
     return Reader(Mixture([levels], ALPHABET) if levels else None)
 
 
@@ -158,6 +227,11 @@ def _array(rows: list, name: str, kind: type) -> np.ndarray:
     return np.array([r[name] for r in rows], kind)
 
 
+def _texts(weight: np.ndarray) -> np.ndarray:
+    """Weights as numbers of texts; rounded, so that parts of a text that add up to it do so."""
+    return np.round(np.asarray(weight, float) / WHOLE, 6)
+
+
 def lower_bound(good: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Wilson's lower bound of a share."""
     p, z = good / n, Z * Z
@@ -165,81 +239,82 @@ def lower_bound(good: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Scorer:
-    """A Scorer from (doc_id, text) and (doc_id, toxic). Labels are counted over all rows; the rest uses a bounded sample of each class.
+    """A Scorer from (doc_id, text) and (doc_id, toxic): from all labelled rows and their whole texts.
 
-    Copies and near copies count about once. Features are taken by falling lower bound of their share of toxic texts, each only if it
+    Copies and near copies weigh one text together. Features are taken by falling lower bound of their share of toxic texts, each only if it
     explains toxic texts that none before does or its bound is beyond doubt, so that the other words of toxic texts teach nothing.
+    Disguised words are read in all toxic texts. In clean ones they only lower a bound, so they are read there for features that stand
+    without them. The driver gets those features, and the distinct sets of them that toxic texts have, up to the first that is beyond doubt.
     """
     session(docs)
-    scale = 1 << 30
     marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
-    size = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    limit = {k: min(scale, int(scale * most / max(1, size.get(k, 0))) + 1) for k, most in ((True, SAMPLE_TOXIC), (False, SAMPLE_CLEAN))}
-    pick = F.when(F.col("toxic"), limit[True]).otherwise(limit[False])
-    chosen = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < pick)
-    sample = docs.where("text is not null").join(F.broadcast(chosen), "doc_id")  # bounded by the two sample sizes
-    sample = written(_one_of_each(sample).repartition(max(8, 2 * docs.sparkSession.sparkContext.defaultParallelism), F.xxhash64("text")), "sample")
-    chars = sample.agg(F.coalesce(F.sum(F.length("text").cast("bigint")), F.lit(0)).alias("n")).first()["n"]
-    if chars > SAMPLE_CHARS:
-        sample = sample.where(F.pmod(F.xxhash64("text", F.lit(2)), F.lit(scale)) < int(scale * SAMPLE_CHARS / chars))
-
-    reader = _reader(sample.where("toxic"))  # bounded by SAMPLE_TOXIC
-    toxic = _counted(sample.where("toxic"), reader, None).where(F.col("n") >= LEAST_NEW).collect()  # at most the words of the sample
-    if not toxic:
-        return Scorer(np.zeros(0, np.uint64), np.zeros(0), 0.0, reader)
-    bad = {k: n for k, n in zip(_array(toxic, "feature", np.int64).tolist(), _array(toxic, "n", np.int64).tolist(), strict=True)}
-    keys = np.array(sorted(bad), np.int64).view(np.uint64)
-    good = {r["feature"]: r["n"] for r in _counted(sample.where("not toxic"), reader, keys).collect()}
-    names = np.array(sorted(bad), np.int64)
-    b = np.array([bad[k] for k in names.tolist()], float)
-    n = b + np.array([good.get(k, 0) for k in names.tolist()], float)
+    rows = _weighed(docs, marked)
+    clean = rows.where("not toxic")
+    reader = _reader(rows.where("toxic"))
+    toxic = written(_toxic_features(rows.where("toxic"), reader), "toxic_features")
+    named = toxic.select("weight", F.explode(F.arrays_zip("features", "words")).alias("f")).select(F.col("f.features").alias("feature"), F.col("f.words").alias("word"), F.col("weight").alias("bad"), F.lit(0).cast("bigint").alias("good"))
+    plain = _clean_features(clean, None, None, None).select("feature", F.lit(None).cast("string").alias("word"), F.lit(0).cast("bigint").alias("bad"), F.col("weight").alias("good"))
+    summed = named.union(plain).groupBy("feature").agg(F.min("word").alias("word"), F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    bad, every = F.round(F.col("bad") / WHOLE, 6), F.round(F.col("bad") / WHOLE, 6) + F.round(F.col("good") / WHOLE, 6)
+    p = bad / every
+    bound = (p + Z * Z / (2 * every) - Z * F.sqrt(p * (1 - p) / every + Z * Z / (4 * every * every))) / (1 + Z * Z / every)
+    might = summed.where(bad >= LEAST_NEW).where(bound >= LEAST_SHARE - 1e-9).orderBy("feature").collect()
+    names, words, b = _array(might, "feature", np.int64), [r["word"] for r in might], _texts(_array(might, "bad", np.int64))
+    key = np.sort(names.view(np.uint64))
+    good = {r["feature"]: r["good"] for r in _clean_features(clean, reader, key, Outlines(words)).groupBy("feature").agg(F.sum("weight").alias("good")).collect()}
+    n = b + _texts(np.array([good.get(k, 0) for k in names.tolist()], np.int64))
     bound = lower_bound(b, n)
-    stands = bound >= LEAST_SHARE
-    wanted = np.sort(names[stands].view(np.uint64))
-    shared = docs.sparkSession.sparkContext.broadcast((reader, wanted))
+    order = np.lexsort((names, -bound))
+    order = order[bound[order] >= LEAST_SHARE]
+    names, words, b, n, bound = names[order], [words[j] for j in order.tolist()], b[order], n[order], bound[order]
+    whole = (b + 0.5) / (n + 1)
+    pure = (whole >= PURE) & (bound >= SURE)
+    by = np.argsort(names)
+    shared = docs.sparkSession.sparkContext.broadcast((names[by], by, pure))
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, place, sure = shared.value
         for batch in batches:
-            for at, to, data, off in chunks(batch.column(0), STEP_BYTES) if batch.num_rows else ():
-                f, t, _ = text_features(data, off, shared.value[0].decoder())
-                here = np.isin(f, shared.value[1])
-                f, t = f[here], t[here]
-                yield pa.record_batch([pa.array([np.unique(f[t == i]).tobytes() for i in range(to - at)], pa.binary())], names=["found"])
-
-    rows = [np.frombuffer(r["found"], np.uint64) for r in sample.where("toxic").select("text").mapInArrow(held, "found binary").collect()]
+            out = []
+            for features in batch.column(1):
+                f = features.values.to_numpy()
+                near = np.minimum(np.searchsorted(known, f), max(0, len(known) - 1))
+                own = np.sort(place[near[known[near] == f]]) if len(known) else place
+                doubtless = np.flatnonzero(sure[own])
+                out.append(own[: doubtless[0] + 1] if len(doubtless) else own)  # it explains the text whatever stands before it
+            yield pa.record_batch([batch.column(0), pa.array([v.astype(np.int32) for v in out], pa.list_(pa.int32()))], names=["weight", "found"])
+
+    sets = toxic.select("weight", "features").mapInArrow(held, "weight bigint, found array<int>").groupBy("found").agg(F.sum("weight").alias("weight")).orderBy("found").collect()
     shared.unpersist()
-    texts: dict[int, list[int]] = {}
-    for i, found in enumerate(rows):
-        for k in found.tolist():
-            texts.setdefault(k, []).append(i)
-    order = np.lexsort((names, -bound))
-    explained, kept, share = np.zeros(len(rows), bool), [], []
-    for j in order.tolist():
-        if not stands[j]:
-            break
-        own = np.array(texts.get(int(names[j].view(np.uint64)), []), np.int64)
-        new, other, whole = float((~explained[own]).sum()), n[j] - b[j], (b[j] + 0.5) / (n[j] + 1)
+    size, explained = _texts(_array(sets, "weight", np.int64)), np.zeros(len(sets), bool)
+    at: dict[int, list[int]] = {}
+    for i, r in enumerate(sets):
+        for j in r["found"]:
+            at.setdefault(j, []).append(i)
+    kept, share = [], []
+    for j in range(len(names)):
+        own = np.array(at.get(j, []), np.int64)
+        new, other = float(np.round(size[own[~explained[own]]].sum(), 6)), n[j] - b[j]
         rest = (new + 0.5) / (new + other + 1)
-        pure = whole >= PURE and bound[j] >= SURE
-        if pure or (new >= LEAST_NEW and lower_bound(new, new + other) >= LEAST_SHARE):
+        if pure[j] or (new >= LEAST_NEW and lower_bound(new, new + other) >= LEAST_SHARE):
             explained[own] = True
             kept.append(j)
-            share.append(whole if pure else min(whole, rest))
-    kept = np.array(kept, np.int64)
-    left = float((~explained).sum()) / max(1, sample.count())
-    key = names[kept].view(np.uint64)
+            share.append(whole[j] if pure[j] else min(whole[j], rest))
+    total = rows.agg(F.sum("weight").alias("n")).first()["n"]
+    left = float(size[~explained].sum()) / max(1.0, float(_texts(total or 0)))
+    key = names[np.array(kept, np.int64)].view(np.uint64)
     by = np.argsort(key)
 
-    return Scorer(key[by], np.array(share)[by], min(0.5, left), reader)
+    return Scorer(key[by], np.array(share)[by], min(0.5, left), reader, Outlines([words[j] for j in kept]))
 
 
 def score(df: DataFrame, learned: Scorer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted, restored_words) of every row, in one pass.
 
-    The score is the chance that at least one of the features found, in the text as it is or as restored, makes it toxic. A null or
+    Disguised words are read wherever a feature may be hidden; `restored_words` counts those that a feature stands for. The score is the chance that at least one of the features found, in the text as it is or as restored, makes it toxic. A null or
     empty text has the share of toxic texts that have no feature. Ids may be null or repeat. Other columns are ignored; no rows give none.
     """
-    shared = df.sparkSession.sparkContext.broadcast(learned)  # its size is bounded by the sample's
+    shared = df.sparkSession.sparkContext.broadcast(learned)
 
     def body(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = [shared.value.score(data, off) for _, _, data, off in chunks(batch.column(1), STEP_BYTES)]
@@ -257,7 +332,7 @@ def held_out(key: Column) -> Column:
 def _learned(df: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Scorer:
     session(df)
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(~held_out(F.col("doc_id")))
-    return learn(slim(df, id_col, text_col), known)
+    return learn(slim(df, id_col, text_col).where(~held_out(F.col("doc_id"))), known)
 
 
 def toxicity_of(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

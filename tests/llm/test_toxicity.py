@@ -126,3 +126,68 @@ def test_a_very_long_text(spark):
     docs += [(5000, long), (5001, long + "you m0r0n"), (5002, "t h i s " * 20_000)]
     got = {r.doc_id: r.predicted for r in T.toxicity_of(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")).where("doc_id >= 5000").collect()}
     assert got == {5000: 0, 5001: 1, 5002: 0}
+
+
+def test_every_labelled_row_teaches(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghiklmnoprstuvw") for _ in range(7))
+    vocabulary, rare = [word() for _ in range(4000)], [word() + "zyx" for _ in range(12)]
+    text = lambda *own: " ".join([*(rng.choice(vocabulary) for _ in range(6)), *own])
+    rows = [(text("moron"), 1) for _ in range(13_000)] + [(text(w), 1) for w in rare for _ in range(3)] + [(text(), 0) for _ in range(13_000)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id bigint, text string")
+    learned = T.learn(docs, spark.createDataFrame([(i, x) for i, (_, x) in enumerate(rows)], "doc_id bigint, toxic int"))
+    asked = spark.createDataFrame([(i, text(w)) for i, w in enumerate(rare)] + [(100, text())], "doc_id bigint, text string")
+    assert {r.doc_id: r.predicted for r in T.score(asked, learned).collect()} == {**dict.fromkeys(range(len(rare)), 1), 100: 0}
+
+
+def test_near_copies_weigh_one_text_together(spark):
+    base = "silent market number letter water house green window garden river mountain bottle"
+    docs = [(i, f"{base}{'.' * i}") for i in range(7)] + [(7, "an own text"), (8, "an own text of a toxic kind"), (9, None)]
+    marked = spark.createDataFrame([(i, i == 8) for i in range(10)], "doc_id bigint, toxic boolean")
+    rows = T._weighed(spark.createDataFrame(docs, "doc_id bigint, text string"), marked).collect()
+    assert sorted((r.toxic, r.weight) for r in rows) == [(False, T.WHOLE // 7)] * 7 + [(False, T.WHOLE), (True, T.WHOLE)]
+
+
+def bytes_of(texts):
+    import numpy as np
+
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *(len(r) for r in raw)])
+
+
+def test_no_word_crosses_a_texts_end():
+    texts = ["you moron", "green water", "", "house", "s"]
+    f, t = T.features_of(*T.letters(*bytes_of(texts)))
+    for i, own in enumerate(texts):
+        assert sorted(f[t == i].tolist()) == sorted(T.features_of(*T.letters(*bytes_of([own])))[0].tolist()), own
+
+
+def test_outlines_miss_no_reading():
+    import numpy as np
+
+    from ratevane.llm import charlm
+    from ratevane.llm.deobfuscate import LEET, Outlines
+
+    rng = random.Random(12)
+    words = ["moron", "idiot", "silly", "lilt", "ass", "zoo", "scumbags", "naïveté", "abcdefghiklmn"]
+    x = np.array([ord(c) for c in " ".join(words) + " the lot is in solo "], np.uint32)
+    reader = T.Reader(charlm.Mixture([charlm.train(x, np.zeros(len(x), np.int64), 50)], 50))
+    signs = {c: [k for k, v in LEET.items() if c in v] for c in "abcdefghiklmnoprstuvwxyz"}
+
+    def disguised(w):
+        out = ""
+        for c in w:
+            out += rng.choice([c, c, c.upper(), rng.choice(signs.get(c) or [c])]) * rng.choice([1, 1, 1, 2, 3]) + rng.choice(["", "", "", ".", "-", "*", " "])
+        return rng.choice(["", "so ", "1", "the"]) + out + rng.choice(["", "s", "!", " is", "0"])
+
+    texts = [disguised(rng.choice([*words, "water", "lotto", "green"])) for _ in range(1500)]
+    data, off = bytes_of(texts)
+    learned = ["moron", "idio", "sill", "ass", "scumb", "naïve", "abcdefghiklmn"]
+    keys = np.sort(np.unique(T.features_of(T.stream(learned), np.repeat(np.arange(len(learned)), [len(w) + 1 for w in learned]))[0]))
+    scorer = T.Scorer(keys, np.full(len(keys), 0.9), 0.01, reader, Outlines([w[:k] for w in learned for k in (4, 5, 99)]))
+    value, restored = scorer.score(data, off)
+    scorer.outlines = None  # every suspect is read
+    all_value, all_restored = scorer.score(data, off)
+    assert value.tolist() == all_value.tolist() and restored.tolist() == all_restored.tolist() and restored.sum() > 300
+    outlines, points = Outlines(learned), np.frombuffer("green water".encode("utf-32-le"), "<u4")
+    assert not outlines.may_hold(points, np.array([0, 6]), np.array([5, 11])).any()
