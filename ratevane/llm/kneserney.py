@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .charlm import amounts
-from .frames import map_texts, session, shared_dir, slim
+from .frames import session, shared_dir, slim
 from .shelf import load, lower_bound, save
 from .textbuf import chunks, lowered, mix, span_hashes, word_spans
 
@@ -122,6 +122,22 @@ def top(x: np.ndarray, bits: int) -> np.ndarray:
     return (mix(x.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def ordered(major: np.ndarray, minor: np.ndarray) -> np.ndarray:
+    """The rows of two columns in order; numbers of 32 bits are compared as one."""
+    if major.dtype.itemsize <= 4 and minor.dtype.itemsize <= 4:
+        return np.argsort(major.astype(np.uint64) << np.uint64(32) | minor)
+    return np.lexsort((minor, major))
+
+
+def pairs(major: np.ndarray, minor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a row of each distinct pair, in their order; the place of each row's pair among them)."""
+    order = ordered(major, minor)
+    at = runs(major[order], minor[order])
+    which = np.empty(len(order), np.uint32)
+    which[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(order))))
+    return order[at], which
+
+
 class Words:
     """The vocabulary: sorted hashes of each owner, a file each; a word's number is its owner's first one and its place there."""
 
@@ -337,67 +353,81 @@ class Model:
         p[rows] = (np.maximum(count - d[np.minimum(count, 3)], 0) + sum(x * y for x, y in zip(d[1:], n, strict=True)) * p[rows]) / total
 
     def after_one(self, middle: np.ndarray, word: np.ndarray, p: np.ndarray) -> None:
-        """Probabilities of words after one word, from those after none."""
+        """Probabilities of words after one word, from those after none; each distinct pair is looked for once."""
+        one, which = pairs(middle, word)
+        middle, word, own = middle[one], word[one], p[one]
         often = self.deal.frequent(middle)
         for kind, chosen in ((BIGRAMS, np.flatnonzero(~often)), (FREQUENT, np.flatnonzero(often))):
             for part, a in self._parts(kind, self.deal.top(middle[chosen])):
-                rows = chosen[part]
+                rows = chosen[part]  # still in order, so searches that follow each other touch what is near
                 at = np.searchsorted(a["major"], middle[rows])
                 at[at == len(a["major"])] = 0
                 hit = a["major"][at] == middle[rows]
                 rows, at = rows[hit], at[hit]
-                order = np.lexsort((word[rows], at))  # searches that follow each other touch what is near
-                rows, at = rows[order], at[order]
                 lo, hi = a["start"][at].astype(np.int64), a["start"][at + 1].astype(np.int64)
                 found = lower_bound(lambda i, a=a: a["minor"][i], lo, hi, word[rows])
                 count = np.zeros(len(rows), np.int64)
                 there = np.flatnonzero(found < hi)
                 there = there[a["minor"][found[there]] == word[rows][there]]
                 count[there] = counts_at(a, found[there])
-                self._raised(p, rows, count, a["total"][at].astype(np.float64), [a[f"n{k}"][at].astype(np.float64) for k in (1, 2, 3)], self.off[1])
+                self._raised(own, rows, count, a["total"][at].astype(np.float64), [a[f"n{k}"][at].astype(np.float64) for k in (1, 2, 3)], self.off[1])
+        p[:] = own[which]
+
+    def _context(self, a: dict[str, np.ndarray], middle: np.ndarray, older: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Of distinct contexts in order: (which are there; where each one's words begin and end; their total; how many counts are 1, 2, and 3 or more)."""
+        at = np.searchsorted(a["major"], middle)
+        at[at == len(a["major"])] = 0
+        live = np.flatnonzero(a["major"][at] == middle)
+        lo, last = a["start"][at[live]].astype(np.int64), a["start"][at[live] + 1].astype(np.int64)
+        lo = lower_bound(lambda i: a["older"][i], lo, last, older[live])
+        there = np.flatnonzero(lo < last)
+        there = there[a["older"][lo[there]] == older[live[there]]]
+        own, lo, last = live[there], lo[there], last[there]
+        hi, before = lo + 1, older[own]
+        live = np.arange(len(own))
+        for _ in range(SHORT):  # most contexts end soon
+            live = live[hi[live] < last[live]]
+            live = live[a["older"][hi[live]] == before[live]]
+            hi[live] += 1
+        hi[live] = lower_bound(lambda i: a["older"][i], hi[live], last[live], before[live] + before.dtype.type(1))
+        total, n = np.zeros(len(own)), [np.zeros(len(own)) for _ in range(3)]
+        long = np.flatnonzero(hi - lo > SHORT)
+        place = np.searchsorted(a["long"], lo[long].astype(np.uint64))
+        total[long] = a["total"][place]
+        for k in (1, 2, 3):
+            n[k - 1][long] = a[f"n{k}"][place]
+        short = np.flatnonzero(hi - lo <= SHORT)
+        for j in range(SHORT):
+            short = short[lo[short] + j < hi[short]]
+            c = counts_at(a, lo[short] + j)
+            total[short] += c
+            for k in (1, 2, 3):
+                n[k - 1][short] += np.minimum(c, 3) == k
+        return own, lo, hi, total, n
 
     def after_two(self, middle: np.ndarray, older: np.ndarray, word: np.ndarray, p: np.ndarray) -> None:
-        """Probabilities of words after two words, from those after one."""
-        for rows, a in self._parts(TRIGRAMS, self.deal.trigram(middle, older)):
-            at = np.searchsorted(a["major"], middle[rows])
-            at[at == len(a["major"])] = 0
-            hit = a["major"][at] == middle[rows]
-            rows, at = rows[hit], at[hit]
-            order = np.lexsort((word[rows], older[rows], at))
-            rows, at = rows[order], at[order]
-            lo, last = a["start"][at].astype(np.int64), a["start"][at + 1].astype(np.int64)
-            lo = lower_bound(lambda i, a=a: a["older"][i], lo, last, older[rows])
-            there = np.flatnonzero(lo < last)
-            there = there[a["older"][lo[there]] == older[rows[there]]]
-            if not len(there):
+        """Probabilities of words after two words, from those after one; each distinct context is looked for once."""
+        one, which = pairs(middle, older)
+        middle, older = middle[one], older[one]
+        owner = self.deal.trigram(middle, older)
+        order = ordered(which, word)
+        slot = np.full(len(one), -1)
+        for (o, mine), (_, part) in zip(dealt(owner), dealt(owner[which[order]]), strict=True):
+            if (TRIGRAMS, o) not in self.there:
                 continue
-            own, lo, last = rows[there], lo[there], last[there]
-            hi, before = lo + 1, older[own]
-            live = np.arange(len(own))
-            for _ in range(SHORT):  # most contexts end soon
-                live = live[hi[live] < last[live]]
-                live = live[a["older"][hi[live]] == before[live]]
-                hi[live] += 1
-            hi[live] = lower_bound(lambda i, a=a: a["older"][i], hi[live], last[live], before[live] + before.dtype.type(1))
-            found = lower_bound(lambda i, a=a: a["minor"][i], lo, hi, word[own])
-            count = np.zeros(len(own), np.int64)
-            at = np.flatnonzero(found < hi)
-            at = at[a["minor"][found[at]] == word[own[at]]]
-            count[at] = counts_at(a, found[at])
-            total, n = np.zeros(len(own)), [np.zeros(len(own)) for _ in range(3)]
-            long = np.flatnonzero(hi - lo > SHORT)
-            place = np.searchsorted(a["long"], lo[long].astype(np.uint64))
-            total[long] = a["total"][place]
-            for k in (1, 2, 3):
-                n[k - 1][long] = a[f"n{k}"][place]
-            short = np.flatnonzero(hi - lo <= SHORT)
-            for j in range(SHORT):
-                short = short[lo[short] + j < hi[short]]
-                c = counts_at(a, lo[short] + j)
-                total[short] += c
-                for k in (1, 2, 3):
-                    n[k - 1][short] += np.minimum(c, 3) == k
-            self._raised(p, own, count, total, n, self.off[2])
+            a = _mapped(f"{self.folder}/{TRIGRAMS}/{o}")
+            own, lo, hi, total, n = self._context(a, middle[mine], older[mine])
+            slot[mine[own]] = np.arange(len(own))
+            rows = order[part]
+            at = slot[which[rows]]
+            rows, at = rows[at >= 0], at[at >= 0]
+            want, end = word[rows], hi[at]
+            found = lower_bound(lambda i, a=a: a["minor"][i], lo[at], end, want)
+            count = np.zeros(len(rows), np.int64)
+            there = np.flatnonzero(found < end)
+            there = there[a["minor"][found[there]] == want[there]]
+            count[there] = counts_at(a, found[there])
+            self._raised(p, rows, count, total[at], [x[at] for x in n], self.off[2])
 
     def score(self, data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
         """Of each text: tokens, known tokens, base score and log10 probability."""
@@ -534,11 +564,25 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     docs = slim(df, id_col, text_col)
     model = fit(docs.where(~held_out("doc_id")), hot)
 
-    def body(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = [model.score(data, off) for _, _, data, off in chunks(batch.column(1), SCORE_BYTES)]
+    def scored(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        made = [model.score(data, off) for _, _, data, off in chunks(table["text"], SCORE_BYTES)]
         c = {k: np.concatenate([m[k] for m in made]) for k in made[0]}
         perplexity = 10.0 ** (-c["score"] / c["n_tokens"])
-        return pa.record_batch([batch.column(0), *(pa.array(c[k]) for k in ("n_tokens", "n_known", "base_score", "score")), pa.array(perplexity)], names=["doc_id", "n_tokens", "n_known", "base_score", "score", "perplexity"])
+        return pa.record_batch([table["doc_id"].combine_chunks(), *(pa.array(c[k]) for k in ("n_tokens", "n_known", "base_score", "score")), pa.array(perplexity)], names=["doc_id", "n_tokens", "n_known", "base_score", "score", "perplexity"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0  # texts scored together share what is looked for
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held and size + batch.nbytes > SCORE_BYTES:
+                yield scored(held)
+                held, size = [], 0
+            held.append(batch)
+            size += batch.nbytes
+        if held:
+            yield scored(held)
 
-    done = map_texts(docs, body, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double, perplexity double")
+    done = docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double, perplexity double")
     return done.select("doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known", F.lit(model.train_tokens).cast("bigint").alias("train_tokens"), "base_score", "score", "perplexity")

@@ -34,7 +34,7 @@ def load(file: str) -> dict[str, np.ndarray]:
     """The arrays, memory-mapped where the shared folder is one of the file system's; else read."""
     store, at = fs.FileSystem.from_uri(file)
     if store.type_name == "local":
-        raw = np.memmap(at, np.uint8, "r")
+        raw = np.asarray(np.memmap(at, np.uint8, "r"))  # a plain view: slices of it cost less
     else:
         with store.open_input_stream(at) as stream:
             raw = np.frombuffer(stream.read(), np.uint8)
@@ -44,12 +44,15 @@ def load(file: str) -> dict[str, np.ndarray]:
 
 def lower_bound(key: Callable[[np.ndarray], np.ndarray], lo: np.ndarray, hi: np.ndarray, want: np.ndarray) -> np.ndarray:
     """The first place from `lo` on, `hi` at most, whose key isn't less than what is wanted."""
-    lo, hi = lo.copy(), hi.copy()
+    out = lo.copy()
     live = np.flatnonzero(lo < hi)
+    lo, hi, want = lo[live], hi[live], want[live]
     while len(live):
-        mid = (lo[live] + hi[live]) >> 1
-        less = key(mid) < want[live]
-        lo[live[less]] = mid[less] + 1
-        hi[live[~less]] = mid[~less]
-        live = live[lo[live] < hi[live]]
-    return lo
+        mid = (lo + hi) >> 1
+        less = key(mid) < want
+        lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
+        more = lo < hi
+        if not more.all():
+            out[live[~more]] = lo[~more]
+            live, lo, hi, want = live[more], lo[more], hi[more], want[more]
+    return out

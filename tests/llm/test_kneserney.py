@@ -138,3 +138,19 @@ def test_words_whose_hashes_share_bits_are_told_apart(spark, monkeypatch):
     brute = Brute([t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10], 3)
     got = {r.doc_id: r.score for r in K.score_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
     assert all(abs(got[i] - brute.score(t)) < 1e-9 for i, t in enumerate(texts))
+
+
+def test_scores_depend_on_no_neighbours_and_contexts_are_looked_for_once(spark, monkeypatch):
+    import numpy as np
+
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    model = K.fit(spark.createDataFrame([(t,) for t in texts], "text string"), 0.05)
+    own = texts[:60] + ["w1 w2 w3 never seen w1 w2", "", "w5"]
+    raw = [t.encode() for t in own]
+    looked = []
+    monkeypatch.setattr(K.Model, "_context", lambda self, a, middle, older, real=K.Model._context: looked.extend(zip(middle.tolist(), older.tolist(), strict=True)) or real(self, a, middle, older))
+    together = model.score(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *(len(r) for r in raw)]))["score"]
+    assert looked and len(looked) == len(set(looked))
+    assert together.tolist() == [float(model.score(np.frombuffer(r, np.uint8), np.array([0, len(r)]))["score"][0]) for r in raw]
