@@ -51,8 +51,9 @@ def _shared(parts: DataFrame, source: str, *pieces: Column | str) -> DataFrame:
 
 
 def _alone(parts: DataFrame, source: str, body: Column, url: str = "u") -> DataFrame:
-    """A page of each part in a run of its own."""
-    return parts.select(lit(source).alias("source"), lit(url).alias("url"), body.alias("body"), text("r", c("n")).alias("run"))
+    """A page of each part in a run of its own; parts are dealt out first, as a short row makes a long page."""
+    dealt = parts.repartition(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    return dealt.select(lit(source).alias("source"), lit(url).alias("url"), body.alias("body"), text("r", c("n")).alias("run"))
 
 
 def cells(*x: Column | str) -> Column:

@@ -142,10 +142,10 @@ def databricks(pages: Pages) -> DataFrame:
         "Llama 3.3 70B": ["llama-3.3-70b-instruct"], "Gemma 3 12B": ["gemma-3-12b-it"], "Llama 3.1 8B": ["llama-3.1-8b-instruct"], "Qwen 3 0.6B Embedding": ["qwen3-embedding-0.6b"], "GTE": ["gte"], "BGE Large": ["bge-large"],
     }
     tier = F.get(F.filter("cells", lambda x: fold_heading(x).rlike(r"pay per token \(dbu per 1m tokens\)")), 0)
-    rows = pages.rows
-    spans = rows.where(c("in_head") | c("first")).groupBy("url", "table").agg(F.max(fold_heading(tier)).alias("tier"))
-    heading = rows.where("in_head or first").groupBy("url", "table").agg(F.max(F.array_contains(F.transform("cells", fold_heading), "cache read")).alias("sub"))
-    body = rows.where(~c("in_head") & ~c("first")).join(spans, ["url", "table"]).join(heading, ["url", "table"]).where("sub and tier is not null and size(cells) = 4 and not lower(cells[1]) = 'input'")
+    # a window over the table's rows: a join would broadcast what the headings say, a row for each table, by the size of its files
+    top, own = c("in_head") | c("first"), Window.partitionBy("url", "table")
+    rows = pages.rows.select("url", "table", "ord", "cells", top.alias("is_top"), F.when(top, fold_heading(tier)).alias("t"), F.when(top, F.array_contains(F.transform("cells", fold_heading), "cache read")).alias("s"))
+    body = rows.withColumn("tier", F.max("t").over(own)).withColumn("sub", F.max("s").over(own)).where("not is_top and sub and tier is not null and size(cells) = 4 and not lower(cells[1]) = 'input'")
     priority = c("tier").startswith("priority")
     display = F.trim(F.replace(cell(0), lit("⌖"), lit("")))
     known = F.create_map(*[x for k, v in names.items() for x in (lit(k), F.array(*map(lit, v)))])
