@@ -23,11 +23,12 @@ def validity(fetched: DataFrame, page_faults: DataFrame, priced: DataFrame) -> D
     fault), `priced` the rows of the pages with their fault. A null run is the run ''.
     """
     key = ["source", "run"]
-    named = F.concat("model_id", F.lit(": "), "fault")
-    rows = _run(priced).groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"), F.min(F.when(F.col("fault").isNotNull(), named)).alias("_skip"))
-    pages = _run(page_faults).groupBy(*key).agg(F.min(F.concat("url", F.lit(": "), "fault")).alias("_page"))
+    first = lambda name: F.min(F.when(F.col("fault").isNotNull(), F.struct(name, "fault")))  # noqa: E731  the least id, which another may begin with
+    named = lambda x, name: F.concat_ws(": ", f"{x}.{name}", f"{x}.fault")
+    rows = _run(priced).groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"), first("model_id").alias("_skip"))
+    pages = _run(page_faults).groupBy(*key).agg(first("url").alias("_page"))
     j = _run(fetched).select(*key).distinct().join(rows, key, "left").join(pages, key, "left")
-    reason = F.when(F.col("_page").isNotNull(), F.concat(F.lit("page "), "_page")).when(F.col("_rows").isNull(), "no row").when(F.col("_skip").isNotNull(), F.concat(F.lit("skipped "), "_skip"))
+    reason = F.when(F.col("_page").isNotNull(), F.concat(F.lit("page "), named("_page", "url"))).when(F.col("_rows").isNull(), "no row").when(F.col("_skip").isNotNull(), F.concat(F.lit("skipped "), named("_skip", "model_id")))
     return j.select(*key, reason.isNull().alias("settled"), reason.alias("reason"))
 
 

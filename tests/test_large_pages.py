@@ -1,5 +1,6 @@
 """What keeps pages, and what stands on them, within the memory of one process."""
 
+from ratevane.operators import runs
 from ratevane.plans import priced_pages
 from ratevane.sources import registry
 from tests.test_providers import table
@@ -17,3 +18,12 @@ def test_headings_of_databricks_are_not_broadcast(spark):
     got = registry.all_priced(pages, ("databricks",))
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.run, r.model_id, r.rates.input) for r in got.collect()) == [(f"r{i}", "gte", 1.0) for i in range(3)]
+
+
+def test_least_id_of_a_run_where_another_begins_with_it(spark):
+    rows = [("m100000", "unreadable rate"), ("m1000004", "unreadable rate"), ("m1", None)]
+    priced = spark.createDataFrame([("s", "r", *x) for x in rows], "source string, run string, model_id string, fault string")
+    fetched = spark.createDataFrame([("s", "r"), ("t", "r"), ("v", "r")], "source string, run string")
+    faults = spark.createDataFrame([("t", "r", "u", "empty page"), ("t", "r", "u/2", "empty page"), ("v", "r", None, "empty page")], "source string, run string, url string, fault string")
+    got = {r.source: r.reason for r in runs.validity(fetched, faults, priced).collect()}
+    assert got == {"s": "skipped m100000: unreadable rate", "t": "page u: empty page", "v": "page empty page"}
