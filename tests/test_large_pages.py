@@ -1,6 +1,8 @@
 """What keeps pages, and what stands on them, within the memory of one process."""
 
-from ratevane.operators import runs
+import random
+
+from ratevane.operators import catalog, runs, temporal
 from ratevane.plans import priced_pages
 from ratevane.sources import registry
 from tests.test_providers import table
@@ -27,3 +29,17 @@ def test_least_id_of_a_run_where_another_begins_with_it(spark):
     faults = spark.createDataFrame([("t", "r", "u", "empty page"), ("t", "r", "u/2", "empty page"), ("v", "r", None, "empty page")], "source string, run string, url string, fault string")
     got = {r.source: r.reason for r in runs.validity(fetched, faults, priced).collect()}
     assert got == {"s": "skipped m100000: unreadable rate", "t": "page u: empty page", "v": "page empty page"}
+
+
+def test_aliases_in_slices_of_days(spark):
+    rnd = random.Random(5)
+    days = [f"2026-{m:02}-{d:02}" for m in (1, 2, 3) for d in range(1, 29)]
+    some = lambda: rnd.choice([None, *rnd.sample(days, 4)])
+    aliases = [(rnd.choice(["a", "b", None]), some(), some(), str(i)) for i in range(150)]
+    probes = [(i, rnd.choice(["a", "b", "c", None]), rnd.choice([None, *days])) for i in range(400)]
+    p, a = spark.createDataFrame(probes, "k int, alias string, day string"), spark.createDataFrame(aliases, "alias string, valid_from string, valid_to string, canonical string")
+    whole = sorted(map(tuple, catalog.alias_on(p, a).collect()), key=str)
+    for n in (2, 3, 20):
+        cut = catalog.alias_on(p, a, cuts=temporal.cuts_of(p, "day", n))
+        assert cut.columns == ["k", "alias", "day", "canonical"] and sorted(map(tuple, cut.collect()), key=str) == whole
+    assert cut.rdd.getNumPartitions() >= 16  # two aliases, more tasks
