@@ -2,9 +2,13 @@
 
 import random
 
+import pyarrow as pa
+
+from ratevane.functions import markup
 from ratevane.operators import catalog, runs, temporal
 from ratevane.plans import priced_pages
 from ratevane.sources import registry
+from ratevane.sources.priced import READINGS
 from tests.test_providers import table
 
 
@@ -43,3 +47,46 @@ def test_aliases_in_slices_of_days(spark):
         cut = catalog.alias_on(p, a, cuts=temporal.cuts_of(p, "day", n))
         assert cut.columns == ["k", "alias", "day", "canonical"] and sorted(map(tuple, cut.collect()), key=str) == whole
     assert cut.rdd.getNumPartitions() >= 16  # two aliases, more tasks
+
+
+def held_rows(monkeypatch, body, reading):
+    """Rows of a page, and the most that were held in memory of it."""
+    most, put = [0], markup._Held.put
+
+    def counted(held, rows):
+        put(held, rows)
+        most[0] = max(most[0], len(held.rows))
+
+    monkeypatch.setattr(markup._Held, "put", counted)
+    return list(markup.page_rows(markup.Index(reading), body)), most[0]
+
+
+def test_a_large_page_is_not_held_in_memory(monkeypatch):
+    monkeypatch.setattr(markup, "HELD_ROWS", 50)
+    monkeypatch.setattr(markup, "HELD_BYTES", 1000)
+    rows = "".join(f"<tr><td>m{i}<td>a<table><tr><td>b</td></tr></table></td></tr>" for i in range(5000))
+    got, most = held_rows(monkeypatch, f"<table>{rows}<caption>late</caption></table>", READINGS["fireworks"])
+    assert most < 300 and len(got) == 5000 and {r["caption"] for r in got} == {"late"} and [r["first"] for r in got[:2]] == [True, False]
+    assert [r["cells"][0] for r in got] == [f"m{i}" for i in range(5000)] and got[-1]["cells"][1] == "a b" and got[-1]["top"][0] == "m0"
+    broken, _ = held_rows(monkeypatch, f"<table>{rows}</table><![x[<p>", READINGS["fireworks"])
+    assert broken == [{"kind": "fault", "value": "markup: AssertionError"}]
+
+
+def test_batches_of_pages_are_bounded(spark, monkeypatch):
+    card = '<div class="av-model-card"><div class="av-model-label">m{i}</div></div>'
+    body = '<div id="avModelGrid">' + "".join(card.replace("{i}", str(i)) for i in range(3000)) + "</div>"
+    caught, kept = [], []
+
+    class Caught:
+        def mapInArrow(self, f, schema):  # noqa: N802
+            caught.append(f)
+
+    monkeypatch.setattr(markup, "reachable", lambda df: Caught())
+    monkeypatch.setattr(markup, "shared_table", lambda df, name, *by: kept.append(by))
+    pages = spark.createDataFrame([], "source string, url string, body string")
+    registry.read(pages, ("avian",))
+    registry.read(pages, ("avian", "ai21"))
+    batch = pa.RecordBatch.from_pydict({"source": ["avian"] * 3, "run": [""] * 3, "url": ["a", "b", "c"], "body": [body] * 3})
+    made = list(caught[0](iter([batch])))
+    assert max(b.num_rows for b in made) == markup.BATCH_ROWS and sum(b.num_rows for b in made) == 3 * 6001
+    assert {x for b in made for x in b.column(2).to_pylist()} == {"a", "b", "c"} and kept == [(), ("source",)]
